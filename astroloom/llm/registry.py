@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from . import license_scan, quality_rules, url_filter
+from . import decontamination, license_scan, quality_rules, url_filter
 
 
 def queries() -> dict:
     return {
         "op3_quality_rules": quality_rules.op3_quality_rules,
+        "op5_decontamination": decontamination.op5_decontamination,
         "op7_url_filter": url_filter.op7_url_filter,
         "op10_license_scan": license_scan.op10_license_scan,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op3_quality_rules": quality_rules.OP3_SQL, "op10_license_scan": license_scan.OP10_SQL}
+    return {"op3_quality_rules": quality_rules.OP3_SQL, "op5_decontamination": decontamination.OP5_SQL, "op10_license_scan": license_scan.OP10_SQL}

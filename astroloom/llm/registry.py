@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontamination, license_scan, quality_rules, url_filter
+from . import decontamination, license_scan, packing, quality_rules, url_filter
 
 
 def queries() -> dict:
     return {
+        "op1_packing": packing.op1_packing,
         "op3_quality_rules": quality_rules.op3_quality_rules,
         "op5_decontamination": decontamination.op5_decontamination,
         "op7_url_filter": url_filter.op7_url_filter,

@@ -54,3 +54,18 @@ def words_of(text: Column) -> Column:
 def crc_mod(doc_id: Column, m: int) -> Column:
     """crc32 of the id as text, modulo m; the split into training and held-out rows."""
     return F.crc32(doc_id.cast("string").cast("binary")) % m
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, training: Column, rows: int) -> DataFrame:
+    """doc_id, text and y of at most `rows` labelled training documents, chosen by hash of the id, so alike on each run."""
+    y = labels.select("doc_id", F.col(target).cast("int").alias("y")).where(F.col("y").isin(0, 1) & training)
+    chosen = y.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most `rows` pairs of numbers
+
+
+def chunks(pdf, limit: int = 4_000_000):
+    """Parts of a pandas batch with about `limit` characters of text each, so that temporary arrays stay small."""
+    size = pdf["text"].str.len().fillna(0).to_numpy().cumsum()
+    part = (size // limit).astype(int)
+    for _, own in pdf.groupby(part, sort=True):
+        yield own

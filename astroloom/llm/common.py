@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,11 +35,11 @@ def shared_dir(spark: SparkSession) -> str:
     return spark._loom_dir
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back; later plans start from the files."""
+def materialise(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """Write df as Parquet into the shared folder, in folders by `by`, and read it back; later plans start from the files."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -69,3 +71,64 @@ def chunks(pdf, limit: int = 4_000_000):
     part = (size // limit).astype(int)
     for _, own in pdf.groupby(part, sort=True):
         yield own
+
+
+# ---- arrays in tasks -----------------------------------------------------------------------
+
+_P = 0x9E3779B97F4A7C15
+_powers: list = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least n powers of an odd number and of its inverse modulo 2^64; kept by each worker."""
+    if len(_powers[0]) < n:
+        for k, base in enumerate((_P, pow(_P, -1, 1 << 64))):
+            x = np.full(max(n, 1 << 20), base, dtype=np.uint64)
+            x[0] = 1
+            _powers[k] = np.multiply.accumulate(x)
+    return _powers[0], _powers[1]
+
+
+def prefix_hash(buf: np.ndarray) -> np.ndarray:
+    """h such that span_hash(h, start, end) is a 64-bit hash of buf[start:end] wherever it stands."""
+    x = buf.astype(np.uint64)
+    x += np.uint64(1)
+    x *= powers(len(buf) + 1)[0][: len(buf)]
+    h = np.empty(len(buf) + 1, np.uint64)
+    h[0] = 0
+    np.cumsum(x, out=h[1:])
+    return h
+
+
+def span_hash(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    x = h[end] - h[start]
+    x *= powers(len(h))[1][start]
+    return x
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """All bits of x spread over all bits."""
+    x = x ^ (x >> np.uint64(31))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(32))
+
+
+def dump(*arrays) -> bytes:
+    """Arrays as a compressed blob: few rows with much in each cost a shuffle far less than many small rows."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(arrays, 5))
+
+
+def load(blob: bytes) -> tuple:
+    import zstandard
+
+    return pickle.loads(zstandard.ZstdDecompressor().decompress(blob))
+
+
+def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0]+1, ... (counts[0] of them), then the same for the next."""
+    before = np.cumsum(counts) - counts
+    return np.repeat(starts - before, counts) + np.arange(int(counts.sum()))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import decontamination, license_scan, packing, quality_crf, quality_rules, toxicity, url_filter
+from . import decontamination, license_scan, packing, quality_crf, quality_rules, suffix_dedup, toxicity, url_filter
 
 
 def queries() -> dict:
     return {
         "op1_packing": packing.op1_packing,
         "op3_quality_rules": quality_rules.op3_quality_rules,
+        "op4_suffix_dedup": suffix_dedup.op4_suffix_dedup,
         "op5_decontamination": decontamination.op5_decontamination,
         "op7_url_filter": url_filter.op7_url_filter,
         "op8_toxicity": toxicity.op8_toxicity,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, license_scan, packing, quality_crf, quality_rules, suffix_dedup, toxicity, url_filter
+from . import decontamination, jaccard_join, license_scan, packing, quality_crf, quality_rules, suffix_dedup, toxicity, url_filter
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op3_quality_rules": quality_rules.op3_quality_rules,
         "op4_suffix_dedup": suffix_dedup.op4_suffix_dedup,
         "op5_decontamination": decontamination.op5_decontamination,
+        "op6_jaccard_join": jaccard_join.op6_jaccard_join,
         "op7_url_filter": url_filter.op7_url_filter,
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_quality_crf": quality_crf.op9_quality_crf,

@@ -23,3 +23,37 @@ def repeated(docs: list[tuple[int, str | None]], match: int = 50) -> dict:
         kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
         out[i] = (len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest())
     return out
+
+
+def shingle_set(text: str | None, words: int = 5) -> frozenset:
+    import re
+
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    return frozenset(tuple(w[i : i + words]) for i in range(len(w) - words + 1)) if len(w) >= words else frozenset([tuple(w)] if w else [])
+
+
+def near(docs: list[tuple[int, str | None]], similarity: float = 0.8) -> dict:
+    """doc_id -> (least id of its group, number of links), by all pairs that share a shingle."""
+    from collections import Counter, defaultdict
+
+    sets = {i: shingle_set(t) for i, t in docs}
+    where = defaultdict(list)
+    for i, s in sets.items():
+        for x in s or [()]:
+            where[x].append(i)
+    links, parent = Counter(), {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, s in sets.items():
+        seen = Counter(j for x in s or [()] for j in where[x] if j < i)
+        for j, c in seen.items():
+            if not s and not sets[j] or s and c >= similarity * (len(s) + len(sets[j]) - c) - 1e-9:
+                links[i] += 1
+                links[j] += 1
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    return {i: (root(i), links[i]) for i in sets}

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontamination, jaccard_join, license_scan, packing, quality_crf, quality_rules, suffix_dedup, toxicity, url_filter
+from . import ctw, decontamination, jaccard_join, license_scan, packing, quality_crf, quality_rules, suffix_dedup, toxicity, url_filter
 
 
 def queries() -> dict:
     return {
         "op1_packing": packing.op1_packing,
+        "op2_ctw": ctw.op2_ctw,
         "op3_quality_rules": quality_rules.op3_quality_rules,
         "op4_suffix_dedup": suffix_dedup.op4_suffix_dedup,
         "op5_decontamination": decontamination.op5_decontamination,

@@ -57,3 +57,59 @@ def near(docs: list[tuple[int, str | None]], similarity: float = 0.8) -> dict:
                 a, b = sorted((root(i), root(j)))
                 parent[b] = a
     return {i: (root(i), links[i]) for i in sets}
+
+
+def unigram(docs: list[tuple[int, str | None]], held_out) -> dict:
+    """doc_id -> (n_tokens, n_known, train_tokens, base score)."""
+    import math
+    from collections import Counter
+
+    toks = {i: (t or "").encode().lower().split() + [None] for i, t in docs}
+    count = Counter(w for i, ws in toks.items() if not held_out(i) for w in ws)
+    n, v = sum(count.values()), len(count)
+    return {i: (len(ws), sum(count[w] > 0 for w in ws), n, sum(math.log10((count[w] + 1) / (n + v + 1)) for w in ws)) for i, ws in toks.items()}
+
+
+def ctw(docs: list[tuple[int, str | None]], held_out, depth: int) -> dict:
+    """doc_id -> log10 probability, node by node with dictionaries."""
+    import math
+    from collections import defaultdict
+
+    texts = {i: (t or "").encode().lower() + b"\xff" for i, t in docs}
+    counts = defaultdict(lambda: [0, 0])
+    children = defaultdict(set)
+
+    def steps(b):
+        for p, byte in enumerate(b):
+            ctx = (b"\xff" * depth + b[:p])[-depth:]
+            for k in range(8):
+                yield ctx, (1 << k) | (byte >> (8 - k)), (byte >> (7 - k)) & 1
+
+    for i, b in texts.items():
+        if not held_out(i):
+            for ctx, node, bit in steps(b):
+                for d in range(depth + 1):
+                    key = (ctx[depth - d :], node)
+                    counts[key][bit] += 1
+                    if d:
+                        children[ctx[depth - d + 1 :], node].add(key)
+    kt, weighted = {}, {}
+    for key in sorted(counts, key=lambda x: -len(x[0])):
+        a, b = counts[key]
+        kt[key] = math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.log(math.pi) - math.lgamma(a + b + 1)
+        below = [weighted[c] for c in children[key]] if len(key[0]) < depth else None
+        weighted[key] = kt[key] if below is None else max(kt[key], sum(below)) + math.log1p(math.exp(-abs(kt[key] - sum(below)))) - math.log(2)
+    out = {}
+    for i, b in texts.items():
+        total = 0.0
+        for ctx, node, bit in steps(b):
+            p, seen = 0.5, False
+            for d in range(depth, -1, -1):
+                key = (ctx[depth - d :], node)
+                if key in counts:
+                    own = (counts[key][bit] + 0.5) / (sum(counts[key]) + 1)
+                    g = math.exp(kt[key] - weighted[key]) / 2 if seen and d < depth else 1.0
+                    p, seen = g * own + (1 - g) * p, True
+            total += math.log10(p)
+        out[i] = total
+    return out

@@ -8,8 +8,9 @@ the item's values must map to the document's like a function in 0.8 or more of
 the distinct pairs, so that a question with other names or numbers counts and a
 chance meeting of function words doesn't. An exact copy maps each value to itself.
 
-The benchmark side is broadcast after its windows are counted; beyond
-MAX_BROADCAST windows it is joined by a shuffle. Windows with fewer than three
+Inside a document's row, windows first pass a bit filter of fixed size made from
+the benchmark; only those that pass become rows. The benchmark side is broadcast
+after its windows are counted; beyond MAX_BROADCAST it is joined by a shuffle. Windows with fewer than three
 words outside placeholders carry no evidence and are left out on both sides;
 items without a window match nothing.
 
@@ -29,6 +30,8 @@ from .common import SPACE, materialise, read
 
 WORDS, SIMILARITY, LITERALS = 5, 0.8, 3
 MAX_BROADCAST = 500_000
+#: 64-bit words of the filter that windows pass before they become rows.
+FILTER_WORDS = 2048
 PUNCTUATION = ".,;:!?\"'`()[]{}|#*$%&<>=+~^_\\/"
 UNITS = "mm cm m km in ft mi mg g kg t lb oz ml l s ms min h hour hours minute minutes second seconds day days week weeks month months year years km/h mph percent dollars euros cents degrees".split()
 
@@ -61,45 +64,50 @@ def windows(t: Column) -> Column:
 
 
 def _prepared(df: DataFrame, key: str) -> DataFrame:
-    """key, w, t and h of each row; w is read more than once so that it is computed once."""
+    """key, w, t and h of each row; w and t are read more than once so that they are computed once."""
     w = df.select(F.col(key), words(F.col("text")).alias("w"))
     t = w.select(key, "w", template(F.col("w")).alias("t"))
     return t.select(key, "w", "t", windows(F.col("t")).alias("h"))
 
 
+def _windows(prepared: DataFrame, key: str, passes=None) -> DataFrame:
+    """key, pos, h and the words in the placeholders of each window that passes.
+
+    The outer form of explode: for the plain one Catalyst infers a filter on the
+    array, pushes it below the projections and computes them again in each step."""
+    wanted = lambda i: F.get("h", i).isNotNull() if passes is None else passes(F.get("h", i))
+    at = F.when(F.size("h") > 0, F.filter(F.sequence(F.lit(0), F.size("h") - 1), wanted))
+    slots = lambda i: F.array_compact(F.array(*(F.when(F.get("t", i + k).startswith("<"), F.get("w", i + k)) for k in range(WORDS))))
+    found = prepared.select(key, "h", "t", "w", at.alias("at")).select(key, F.transform("at", lambda i: F.struct(i.alias("pos"), F.get("h", i).alias("h"), slots(i).alias("slots"))).alias("x"))
+    return found.select(key, F.explode_outer("x").alias("x")).select(key, "x.pos", "x.h", "x.slots").where("h is not null")
+
+
+def _filter(probe: DataFrame):
+    """A test that all hashes in probe pass and most others don't: one bit for each, in FILTER_WORDS words whatever the size of probe."""
+    word, bit = (F.shiftrightunsigned("h", 6).bitwiseAND(F.lit(FILTER_WORDS - 1))).cast("int"), F.col("h").bitwiseAND(F.lit(63)).cast("int")
+    held = {r[0]: r[1] for r in probe.groupBy(word.alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("bits")).collect()}
+    bits = F.expr(f"array({','.join(f'cast({held.get(k, 0)} as bigint)' for k in range(FILTER_WORDS))})")
+    return lambda h: F.getbit(F.get(bits, F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(FILTER_WORDS - 1)).cast("int")), h.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
 def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, n_windows (of the item), n_matched and reparameterised, a row for each leak."""
     d = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
     items = _prepared(benchmark.select("item_id", "text").dropDuplicates(), "item_id")
     n_windows = F.size(F.filter("h", lambda x: x.isNotNull()))
-    items = items.withColumn("n_windows", n_windows)
-    # The outer form: for the plain one Catalyst infers a filter on size(h), pushes it below the projections and so computes the windows in every lambda step.
-    probe = items.select("item_id", "n_windows", F.posexplode_outer("h").alias("item_pos", "h")).where("h is not null")
-    n = items.agg(F.coalesce(F.sum("n_windows"), F.lit(0))).first()[0]
-    small = n <= MAX_BROADCAST
-    side = F.broadcast(probe) if small else probe
-    seen = _prepared(d, "doc_id").select("doc_id", F.posexplode_outer("h").alias("pos", "h")).where("h is not null")
-    met = seen.join(side, "h").groupBy("doc_id", "item_id").agg(
-        F.first("n_windows").alias("n_windows"), F.collect_set(F.struct("pos", "item_pos")).alias("at")
-    )
-    matched = F.size(F.array_distinct(F.transform("at", lambda m: m.item_pos)))
-    candidates = materialise(met.withColumn("n_matched", matched).where(F.col("n_matched") >= SIMILARITY * F.col("n_windows")), "leaks")
-    both = candidates.join(_slots(d, "doc_id").withColumnsRenamed({"w": "dw", "t": "dt"}), "doc_id")
-    both = both.join(F.broadcast(items.select("item_id", "w", "t")) if small else items.select("item_id", "w", "t"), "item_id")
-    pair = lambda m, k: F.when(F.get("t", m.item_pos + k).startswith("<"), F.struct(F.get("w", m.item_pos + k).alias("a"), F.get("dw", m.pos + k).alias("b")))
-    pairs = F.array_distinct(F.array_compact(F.flatten(F.transform("at", lambda m: F.array(*(pair(m, k) for k in range(WORDS)))))))
-    both = both.select("doc_id", "item_id", "n_windows", "n_matched", pairs.alias("pairs"))
+    probe = _windows(items, "item_id").withColumnsRenamed({"pos": "item_pos", "slots": "item_slots"})
+    probe = materialise(probe.join(items.select(F.col("item_id").alias("_i"), n_windows.alias("n_windows")), F.col("item_id").eqNullSafe(F.col("_i"))).drop("_i"), "benchmark")
+    side = F.broadcast(probe) if probe.count() <= MAX_BROADCAST else probe
+    met = _windows(_prepared(d, "doc_id"), "doc_id", _filter(probe)).join(side, "h")
+    pairs = F.transform(F.arrays_zip("item_slots", "slots"), lambda p: F.struct(p.item_slots.alias("a"), p.slots.alias("b")))
+    both = met.groupBy("doc_id", "item_id").agg(F.first("n_windows").alias("n_windows"), F.collect_set("item_pos").alias("at"), F.collect_set(pairs).alias("pairs"))
+    both = both.select("doc_id", "item_id", "n_windows", F.size("at").alias("n_matched"), F.array_distinct(F.flatten("pairs")).alias("pairs")).where(F.col("n_matched") >= SIMILARITY * F.col("n_windows"))
     values = F.size(F.array_distinct(F.transform("pairs", lambda p: p.a)))
     return both.where(values >= SIMILARITY * F.size("pairs")).select(
         "doc_id", "item_id", F.col("n_windows").cast("long").alias("n_windows"), F.col("n_matched").cast("long").alias("n_matched"), F.exists("pairs", lambda p: p.a != p.b).alias("reparameterised")
     )
 
 
-def _slots(df: DataFrame, key: str) -> DataFrame:
-    w = df.select(F.col(key), words(F.col("text")).alias("w"))
-    return w.select(key, "w", template(F.col("w")).alias("t"))
-
-
 def by_document(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, contaminated, n_items, items (ids in order, comma separated) and n_reparameterised of every row of docs."""
     leaks = find(docs, benchmark).groupBy("doc_id").agg(

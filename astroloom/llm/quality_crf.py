@@ -212,6 +212,26 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(rows, "doc_id long, score double")
 
 
+def keep(docs: DataFrame, model: dict, least: float) -> DataFrame:
+    """The rows of docs, all columns unchanged, whose score is `least` or more."""
+
+    def rows(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            texts, a = batch.column("text"), 0
+            while a < batch.num_rows:  # a part has a few megabytes of text or is one long text
+                b, size = a, 0
+                while b < batch.num_rows and (b == a or size < 4_000_000):
+                    size += len(texts[b].as_py() or "")
+                    b += 1
+                part = batch.slice(a, b - a)
+                yield part.filter(pa.array(score_texts(part.column("text").to_pylist(), model) >= least))
+                a = b
+
+    return docs.mapInArrow(rows, docs.schema)
+
+
 def model_for(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_DOCS) -> dict:
     return train(labelled_sample(docs, labels, "quality", crc_mod(F.col("doc_id"), 4) != 2, rows))
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import ctw, decontamination, jaccard_join, license_scan, packing, quality_crf, quality_rules, suffix_dedup, toxicity, url_filter
 
 
 def queries() -> dict:
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_packing": packing.op1_packing,
         "op2_ctw": ctw.op2_ctw,
         "op3_quality_rules": quality_rules.op3_quality_rules,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import pickle
 import tempfile
 import uuid
@@ -40,7 +41,18 @@ def materialise(df: DataFrame, name: str, *by: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.partitionBy(*by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._loom_path = path
+    return out
+
+
+def discard(table: DataFrame, part: str = "") -> None:
+    """Delete what materialise wrote, or one of its folders, once nothing reads it any more. Spark drops the shuffle files behind it only after the driver has collected garbage."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{table._loom_path}/{part}".rstrip("/"))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def let(value: Column, body) -> Column:
@@ -115,11 +127,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def dump(*arrays) -> bytes:
+def dump(*arrays, level: int = 1) -> bytes:
     """Arrays as a compressed blob: few rows with much in each cost a shuffle far less than many small rows."""
     import zstandard
 
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(arrays, 5))
+    return zstandard.ZstdCompressor(level=level).compress(pickle.dumps(arrays, 5))
 
 
 def load(blob: bytes) -> tuple:

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import dump, load, materialise, mixed, partitions, powers, prefix_hash, read, span_hash, spread
+from .common import discard, dump, load, materialise, mixed, partitions, powers, prefix_hash, read, span_hash, spread
 
 MATCH, GRAM = 50, 20
 #: Bytes of text in a block, about; a longer text is a block of its own.
@@ -108,7 +108,7 @@ def to_blocks(docs: DataFrame, n: int) -> DataFrame:
             buf = b"".join(raw)
             h = prefix_hash(np.frombuffer(buf, np.uint8))
             _, _, mark, doc = anchors(h, lengths)
-            yield pd.DataFrame({"block": [number], "part": [-1], "blob": [dump(keys, null, lengths, buf)], "kind": ["t"]})
+            yield pd.DataFrame({"block": [number], "part": [-1], "blob": [dump(keys, null, lengths, buf, level=6)], "kind": ["t"]})
             key = keys[doc]
             order = np.lexsort((key, mark))
             mark, key = mark[order], key[order]
@@ -284,7 +284,9 @@ def dedup(docs: DataFrame, digest: bool = False) -> DataFrame:
     texts = blocks.where("kind = 't'").select("block", "part", "blob")
     met = blocks.where("kind = 'a'").groupBy("part").applyInPandas(meet, "block long, blob binary")
     sent = materialise(texts.groupBy("block").cogroup(met.groupBy("block")).applyInPandas(strings(n), "block long, part int, blob binary, kind string"), "strings", "kind")
-    words = sent.where("kind = 'u'").select("block", "part", "blob").groupBy("part").applyInPandas(resolve, "block long, part int, blob binary")
+    discard(blocks, "kind=a")
+    words = materialise(sent.where("kind = 'u'").select("block", "part", "blob").groupBy("part").applyInPandas(resolve, "block long, part int, blob binary"), "bits")
+    discard(sent, "kind=u")
     found = sent.where("kind = 's'").select("block", "part", "blob").unionByName(words)
 
     def final(t: pd.DataFrame, f: pd.DataFrame) -> pd.DataFrame:

@@ -10,10 +10,14 @@
    for that bucket. After LEVELS levels what is still large is compared in pairs of
    small chunks, each a group of its own: exact, and no group grows.
    RUNS runs bring a pair of similarity 0.8 to a recall over 0.999.
-3. Pairs that survive are verified on the exact sets. Each pair is sent to one
-   bucket that both documents share, so a set travels to few places.
-4. Groups are the connected components of verified links, by least ids and
-   pointer jumping over tables in the shared folder.
+3. A pair belongs to the least node that both documents reached, and is looked at
+   there alone. Buckets name the documents that have such a pair with sketches
+   alike; their exact sets go to the bucket, which verifies its pairs and returns
+   for each document the number of its links and the least document that
+   it is connected with there. So pairs never become rows, and what moves
+   follows the documents and not the square of a group.
+4. Groups are the connected components of what the buckets return, by least ids
+   and pointer jumping over tables in the shared folder.
 
 Result: a row for each document with class_id (least id of its group of near
 duplicates), copy_of (least id with the same set) and n_links (other documents
@@ -32,10 +36,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, materialise, mixed, partitions, powers, prefix_hash, read, span_hash, spread
+from .common import chunks, discard, materialise, mixed, partitions, powers, prefix_hash, read, span_hash, spread
 
 WORDS, SIMILARITY = 5, 0.8
-BINS, RUNS, LEVELS, LIMIT, CHUNK = 128, 16, 3, 200, 100
+BINS, RUNS, LEVELS, LIMIT, CHUNK = 128, 16, 3, 200, 160
 #: Share of positions sampled at a node: 1 / (similarity * BINS).
 SHARE = 1 / (SIMILARITY * BINS)
 #: Pairs whose sketches agree in fewer positions aren't verified; 4.5 standard deviations under the similarity.
@@ -119,36 +123,40 @@ def _sampled(node: Column) -> Column:
     return F.filter(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda i: F.pmod(F.xxhash64(node, i), F.lit(1_000_000)) < int(SHARE * 1_000_000))
 
 
-def buckets(reps: DataFrame) -> DataFrame:
-    """key and doc of all final buckets of two documents or more; reps: doc, n, sketch."""
+def buckets(reps: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """key, node, side, doc and a of all final buckets of two documents or more, and the tables behind them. reps: doc, a, n, sketch.
+
+    side is 0 where all pairs of the bucket count, else 1 or 2, and only pairs of both sides do."""
     rng = np.random.default_rng(7)
     first = [(r, int(i)) for r in range(RUNS) for i in np.flatnonzero(rng.random(BINS) < SHARE)]
     keys = F.array(*(F.xxhash64(F.lit(r), F.lit(i), F.get("sketch", F.lit(i))) for r, i in first))
-    rows = reps.where("n > 0").select("doc", F.explode_outer(keys).alias("key")).where("key is not null")
-    done = []
+    rows = reps.where("n > 0").select("doc", "a", F.explode_outer(keys).alias("key")).where("key is not null")
+    done, tables = [], []
     for level in range(1, LEVELS + 1):
         count = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         sized = materialise(rows.join(count, "key"), f"level{level}")
-        done.append(sized.where(F.col("size") <= LIMIT).select("key", "doc"))
+        tables.append(sized)
+        done.append(sized.where(F.col("size") <= LIMIT).select("key", F.col("key").alias("node"), F.lit(0).alias("side"), "doc", "a"))
         large = sized.where(F.col("size") > LIMIT)
         if level == LEVELS:
             g = F.ceil(F.col("size") / CHUNK).cast("int")
             mine = F.pmod(F.xxhash64("doc", "key"), F.col("g")).cast("int")
-            dealt = large.withColumn("g", g).withColumn("c", mine).select("key", "doc", "c", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("o"))
-            done.append(dealt.select(F.xxhash64("key", F.least("c", "o"), F.greatest("c", "o")).alias("key"), "doc"))
+            dealt = large.withColumn("g", g).withColumn("c", mine).select("key", "doc", "a", "c", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("o"))
+            side = F.when(F.col("c") == F.col("o"), 0).when(F.col("c") < F.col("o"), 1).otherwise(2)
+            done.append(dealt.select(F.xxhash64("key", F.least("c", "o"), F.greatest("c", "o")).alias("key"), F.col("key").alias("node"), side.alias("side"), "doc", "a"))
         elif large.isEmpty():
             break
         else:
-            deeper = large.select("key", "doc").join(reps.select("doc", "sketch"), "doc")
+            deeper = large.select("key", "doc", "a").join(reps.select("doc", "a", "sketch"), ["doc", "a"])
             nxt = F.transform(_sampled(F.col("key")), lambda i: F.xxhash64("key", i, F.get("sketch", i)))
-            rows = deeper.select("doc", F.explode_outer(nxt).alias("key")).where("key is not null")
+            rows = deeper.select("doc", "a", F.explode_outer(nxt).alias("key")).where("key is not null")
     out = done[0]
     for x in done[1:]:
         out = out.unionByName(x)
-    return out
+    return out, tables
 
 
-def _groups(batches, columns: list[str]):
+def _groups(batches):
     """Whole groups of key from batches that are sorted by key: frames in which no group is cut."""
     held = None
     for pdf in batches:
@@ -172,13 +180,37 @@ def _pairs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(at, many), spread(at + 1, many)
 
 
+class Owner:
+    """Tells of pairs of rows of a frame (node, side, nodes, doc) whether they belong to where they stand."""
+
+    def __init__(self, g: pd.DataFrame):
+        size = g["nodes"].str.len().to_numpy()
+        self.nodes = np.full((len(g), int(size.max())), np.iinfo(np.int64).max)
+        self.nodes[np.repeat(np.arange(len(g)), size), spread(np.zeros(len(g), np.int64), size)] = np.concatenate(g["nodes"].to_numpy())
+        self.node, self.side, self.doc = (g[c].to_numpy() for c in ("node", "side", "doc"))
+
+    def __call__(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        ok = (self.doc[i] != self.doc[j]) & ((self.side[i] == 0) | (self.side[i] != self.side[j]))
+        live = np.flatnonzero(ok)
+        for k in range(self.nodes.shape[1]):  # near duplicates share nearly all nodes, so few pairs stay for long
+            one = self.nodes[i[live], k]
+            live, one = live[one < self.node[i[live]]], one[one < self.node[i[live]]]
+            if not len(live):
+                break
+            met = (self.nodes[j[live]] == one[:, None]).any(axis=1)
+            ok[live[met]] = False
+            live = live[~met]
+        return ok
+
+
 def candidates(reps: DataFrame, keyed: DataFrame) -> DataFrame:
-    """key, x and y (x < y): pairs whose sketches agree often enough, each with the least bucket that holds both."""
+    """key, node, side, doc and a: in which buckets a document has a pair of its own whose sketches agree often enough. reps: doc, a, n, marks, nodes."""
 
     def rows(batches):
-        for g in _groups(batches, ["key"]):
-            doc, n = g["doc"].to_numpy(), g["n"].to_numpy()
+        for g in _groups(batches):
+            n = g["n"].to_numpy()
             sk = np.frombuffer(b"".join(g["marks"]), np.uint8).reshape(len(g), BINS)
+            owned, some = Owner(g), np.zeros(len(g), bool)
             left, right = _pairs(g["key"].to_numpy())
             for k in range(0, len(left), 200_000):
                 i, j = left[k : k + 200_000], right[k : k + 200_000]
@@ -186,17 +218,17 @@ def candidates(reps: DataFrame, keyed: DataFrame) -> DataFrame:
                 i, j = i[ok], j[ok]
                 ok = (sk[i] == sk[j]).sum(axis=1) >= AGREE
                 i, j = i[ok], j[ok]
-                yield pd.DataFrame({"key": g["key"].to_numpy()[i], "x": np.minimum(doc[i], doc[j]), "y": np.maximum(doc[i], doc[j])})
+                ok = owned(i, j)
+                some[i[ok]] = some[j[ok]] = True
+            yield g.loc[some, ["key", "node", "side", "doc", "a"]]
 
     spark = reps.sparkSession
-    rows_in = keyed.join(reps.select("doc", "n", "marks"), "doc").repartition(partitions(spark), "key").sortWithinPartitions("key")
-    found = rows_in.select("key", "doc", "n", "marks").mapInPandas(rows, "key long, x long, y long")
-    return found.where("x < y").groupBy("x", "y").agg(F.min("key").alias("key"))
+    rows_in = keyed.join(reps.select("doc", "a", "n", "marks", "nodes"), ["doc", "a"]).repartition(partitions(spark), "key").sortWithinPartitions("key")
+    return rows_in.select("key", "node", "side", "doc", "a", "n", "marks", "nodes").mapInPandas(rows, "key long, node long, side int, doc long, a long")
 
 
-def _verified(g: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of positions in g with a similarity of SIMILARITY or more. g: rows of one key, with set (bytes)."""
-    sets = [np.frombuffer(x, np.uint64) for x in g["set"]]
+def _similar(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of positions with a similarity of SIMILARITY or more."""
     size = np.array([len(s) for s in sets])
     _, at, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     own = np.repeat(np.arange(len(sets)), size)
@@ -211,34 +243,49 @@ def _verified(g: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return i[ok], j[ok]
 
 
-def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """x, y of the pairs whose exact similarity is high enough. docs: doc, text."""
+def _least_connected(doc: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The least document that each one is connected with through pairs (i, j)."""
+    least = doc.copy()
+    while True:
+        was = least.copy()
+        np.minimum.at(least, i, was[j])
+        np.minimum.at(least, j, was[i])
+        if (least == was).all():
+            return least
+
+
+def verify(docs: DataFrame, reps: DataFrame, members: DataFrame) -> DataFrame:
+    """doc, a, links (of the pairs that belong to a bucket, copies counted) and least, a row for each bucket. docs: doc, text; reps: doc, a, nodes, copies; members: as candidates gives them."""
     spark = docs.sparkSession
-    need = pairs.select("key", F.explode(F.array("x", "y")).alias("doc")).distinct().groupBy("doc").agg(F.collect_set("key").alias("keys"))
+    need = members.groupBy("doc", "a").agg(F.collect_list(F.struct("key", "node", "side")).alias("at")).join(reps.select("doc", "a", "nodes", "copies"), ["doc", "a"])
 
     def sets(batches):
         for pdf in batches:
             for part in chunks(pdf):
                 own, sh = shingles(part["text"].tolist())
+                a = np.zeros(len(part), np.uint64)
+                np.add.at(a, own, sh)
                 cut = np.searchsorted(own, np.arange(1, len(part)))
-                yield pd.DataFrame({"doc": part["doc"], "keys": part["keys"], "set": [s.tobytes() for s in np.split(sh, cut)]})
+                out = part.drop(columns="text").assign(set=[s.tobytes() for s in np.split(sh, cut)])
+                yield out[a.view(np.int64) == part["a"].to_numpy()]  # else another text under the same id
 
-    held = docs.join(need.hint("shuffle_hash"), "doc").select("doc", "text", "keys").mapInPandas(sets, "doc long, keys array<long>, set binary")
-    dealt = held.select(F.explode("keys").alias("key"), "doc", "set").repartition(partitions(spark), "key").sortWithinPartitions("key")
+    held = docs.join(need.hint("shuffle_hash"), "doc").select("doc", "a", "text", "at", "nodes", "copies").mapInPandas(sets, "doc long, a long, at array<struct<key:long,node:long,side:int>>, nodes array<long>, copies long, set binary")
+    dealt = held.select(F.explode("at").alias("at"), "doc", "a", "nodes", "copies", "set").select("at.*", "doc", "a", "nodes", "copies", "set")
+    dealt = dealt.repartition(partitions(spark), "key").sortWithinPartitions("key")
 
     def rows(batches):
-        for frame in _groups(batches, ["key"]):
-            doc, out = frame["doc"].to_numpy(), []
-            for _, g in frame.groupby("key", sort=False):
-                if len(g) > 1:
-                    i, j = _verified(g)
-                    at = g.index.to_numpy()
-                    out.append((doc[at[i]], doc[at[j]]))
-            if out:
-                x, y = (np.concatenate(v) for v in zip(*out, strict=True))
-                yield pd.DataFrame({"x": np.minimum(x, y), "y": np.maximum(x, y)})
+        for frame in _groups(batches):
+            for _, g in frame.drop_duplicates(["key", "doc", "a"]).groupby("key", sort=False):
+                if len(g) < 2:
+                    continue
+                i, j = _similar([np.frombuffer(x, np.uint64) for x in g["set"]])
+                ok = Owner(g)(i, j)
+                i, j, doc, copies = i[ok], j[ok], g["doc"].to_numpy(), g["copies"].to_numpy()
+                links = np.bincount(i, copies[j], len(g)) + np.bincount(j, copies[i], len(g))
+                out = pd.DataFrame({"doc": doc, "a": g["a"].to_numpy(), "links": links.astype(np.int64), "least": _least_connected(doc, i, j)})
+                yield out[out["links"] > 0]
 
-    return dealt.mapInPandas(rows, "x long, y long").where("x < y").distinct()
+    return dealt.select("key", "node", "side", "doc", "a", "nodes", "copies", "set").mapInPandas(rows, "doc long, a long, links long, least long")
 
 
 # ---- groups --------------------------------------------------------------------------------
@@ -246,15 +293,17 @@ def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def components(links: DataFrame, name: str = "labels") -> DataFrame:
     """node and least node that it is connected with. links: x, y."""
-    both = materialise(links.select("x", "y").union(links.select("y", "x")), "edges")
+    both = materialise(links.select("x", "y").union(links.select("y", "x")).distinct(), "edges")
     label = materialise(both.groupBy("x").agg(F.least(F.min("y"), F.col("x")).alias("label")).withColumnRenamed("x", "node"), name)
     while True:
         near = both.join(label.withColumnRenamed("node", "y"), "y").groupBy("x").agg(F.min("label").alias("near")).withColumnRenamed("x", "node")
         least = label.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         jump = label.select(F.col("node").alias("label"), F.col("label").alias("next"))
         moved = materialise(least.join(jump, "label", "left").select("node", "old", F.least("label", "next").alias("label")), name)
-        label = moved.select("node", "label")
+        discard(label)
+        label = moved
         if moved.where("old <> label").isEmpty():
+            discard(both)
             return label
 
 
@@ -264,19 +313,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = sig.where("doc_id is not null").groupBy("a", "b", "n").agg(F.min("doc_id").alias("copy_of"), F.count(F.lit(1)).alias("copies"))
     classes = materialise(classes, "classes")
     marks = F.expr("array_join(transform(sketch, v -> lpad(hex(v & 255), 2, '0')), '')")
-    reps = sig.join(classes.select("a", "b", "n", F.col("copy_of").alias("doc_id")), ["doc_id", "a", "b", "n"]).dropDuplicates(["doc_id", "a", "b"])
-    reps = materialise(reps.select(F.col("doc_id").alias("doc"), "n", "sketch", F.unhex(marks).alias("marks")), "representatives")
-    pairs = materialise(candidates(reps, buckets(reps)), "pairs")
-    links = materialise(verify(docs.select(F.col("doc_id").alias("doc"), "text"), pairs), "links")
-    label = components(links)
-    size = classes.groupBy("copy_of").agg(F.sum("copies").alias("copies"))
-    ends = links.select(F.col("x").alias("copy_of"), F.col("y").alias("other")).union(links.select("y", "x"))
-    linked = ends.join(size.withColumnsRenamed({"copy_of": "other"}), "other").groupBy("copy_of").agg(F.sum("copies").alias("linked"))
-    known = classes.join(linked, "copy_of", "left").join(label.withColumnRenamed("node", "copy_of"), "copy_of", "left")
+    chosen = sig.join(classes.select("a", "b", "n", "copies", F.col("copy_of").alias("doc_id")), ["doc_id", "a", "b", "n"]).dropDuplicates(["doc_id", "a", "b"])
+    chosen = materialise(chosen.select(F.col("doc_id").alias("doc"), "a", "n", "copies", "sketch", F.unhex(marks).alias("marks")), "representatives")
+    keyed, levels = buckets(chosen)
+    nodes = keyed.groupBy("doc", "a").agg(F.array_sort(F.collect_set("node")).alias("nodes"))
+    reps = materialise(chosen.drop("sketch").join(nodes, ["doc", "a"]), "nodes")
+    members = materialise(candidates(reps, keyed), "members")
+    for table in (chosen, *levels):
+        discard(table)
+    links = materialise(verify(docs.select(F.col("doc_id").alias("doc"), "text"), reps, members), "links")
+    discard(reps)
+    discard(members)
+    label = components(links.where("doc <> least").select(F.col("doc").alias("x"), F.col("least").alias("y")))
+    linked = links.groupBy("doc", "a").agg(F.sum("links").alias("linked")).withColumnRenamed("doc", "copy_of")
+    known = classes.join(linked, ["copy_of", "a"], "left").join(label.select(F.col("node").alias("copy_of"), "label"), "copy_of", "left")
     known = known.select("a", "b", "n", "copy_of", F.coalesce("label", "copy_of").alias("class_id"), (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
     # One row of known for each class, so the copies of a hot class don't meet in a task: AQE splits that side.
     out = sig.where("doc_id is not null").select("doc_id", "a", "b", "n").join(known, ["a", "b", "n"]).select("doc_id", "class_id", "copy_of", "n_links")
-    return out.unionByName(sig.where("doc_id is null").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_of"), F.lit(0).cast("long").alias("n_links")))
+    out = materialise(out.unionByName(sig.where("doc_id is null").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_of"), F.lit(0).cast("long").alias("n_links"))), "near")
+    for table in (sig, classes, links, label):
+        discard(table)
+    return out
 
 
 def op6_jaccard_join(spark, sf_dir) -> DataFrame:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from . import sky
+
+_PARTS = [sky]
+
 
 def queries() -> dict:
-    return {}
+    return {k: f for part in _PARTS for k, f in part.QUERIES.items()}
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {k: s for part in _PARTS for k, s in part.SQL.items()}

@@ -19,11 +19,18 @@ def any_set(pix: Column) -> Column:
     return F.exists(pix, lambda x: x != 0)
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value computed once for a row, not again for each pixel that uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _ends(pix: Column) -> Column:
+    return let(good(pix), lambda p: F.struct(F.array_min(p).alias("low"), F.array_max(p).alias("high")))
+
+
 def min_max(pix: Column) -> Column:
     """To 0..1, null where all are alike."""
-    p = good(pix)
-    low, span = F.array_min(p), F.array_max(p) - F.array_min(p)
-    return F.transform(pix, lambda x: F.try_divide(x - low, span))
+    return let(_ends(pix), lambda e: F.transform(pix, lambda x: F.try_divide(x - e.low, e.high - e.low)))
 
 
 def root_stretch(pix: Column) -> Column:
@@ -40,14 +47,26 @@ def gains(pix: Column, gain: float, top: float = 1.0) -> Column:
 
 def for_display(pix: Column, low: float = -10.0, high: float = 1300.0, tiny: float = 1e-10) -> Column:
     """Zeros, very low, missing and infinite pixels become tiny, very high ones the largest."""
-    top = F.array_max(good(pix))
-    return F.transform(pix, lambda x: F.when(~finite(x) | (x == 0) | (x < low), F.lit(tiny)).when(x > high, top).otherwise(x))
+    return let(F.array_max(good(pix)), lambda top: F.transform(pix, lambda x: F.when(~finite(x) | (x == 0) | (x < low), F.lit(tiny)).when(x > high, top).otherwise(x)))
 
 
 def z_scaled(pix: Column) -> Column:
     """(x - mean) / (std + 1e-6) over the pixels that aren't missing."""
-    p = good(pix)
-    n = F.size(p)
-    mean = F.try_divide(F.aggregate(p, F.lit(0.0), lambda a, x: a + x), n)
-    var = F.try_divide(F.aggregate(p, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean)), n)
-    return F.transform(pix, lambda x: (x - mean) / (F.sqrt(var) + 1e-6))
+
+    def about(p: Column) -> Column:
+        mean = F.try_divide(F.aggregate(p, F.lit(0.0), lambda a, x: a + x), F.size(p))
+        return let(mean, lambda m: F.struct(m.alias("mean"), F.sqrt(F.try_divide(F.aggregate(p, F.lit(0.0), lambda a, x: a + (x - m) * (x - m)), F.size(p))).alias("std")))
+
+    return let(let(good(pix), about), lambda m: F.transform(pix, lambda x: (x - m.mean) / (m.std + 1e-6)))
+
+
+def percentile_of(pix: Column, share: float) -> Column:
+    """Percentile with linear interpolation over the finite pixels; null where there are none."""
+
+    def at(p: Column) -> Column:
+        place = (F.size(p) - 1) * share
+        low = F.floor(place).cast("int")
+        a, b = F.get(p, low), F.get(p, F.ceil(place).cast("int"))
+        return a + (b - a) * (place - low)
+
+    return let(F.array_sort(good(pix)), at)

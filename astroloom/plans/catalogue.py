@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import sky
+from . import pixels, sky
 
-_PARTS = [sky]
+_PARTS = [sky, pixels]
 
 
 def queries() -> dict:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import pixels, sky
+from . import pixels, sky, upkeep
 
-_PARTS = [sky, pixels]
+_PARTS = [sky, pixels, upkeep]
 
 
 def queries() -> dict:

@@ -62,7 +62,7 @@ def let(value: Column, body) -> Column:
 
 def words_of(text: Column) -> Column:
     """Words between white space, in order; none for null."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
 
 
 def crc_mod(doc_id: Column, m: int) -> Column:

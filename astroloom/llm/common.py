@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: White space of the word rule: blank, tab, line feed, vertical tab, form feed, carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
+#: Spark's setting that removes a query's shuffle files when it ends.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str, *cols: str) -> DataFrame:
@@ -37,17 +39,24 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame, name: str, *by: str) -> DataFrame:
-    """Write df as Parquet into the shared folder, in folders by `by`, and read it back; later plans start from the files."""
+    """Write df as Parquet into the shared folder, in folders by `by`, and read it back; later plans start from the files.
+
+    The shuffle files behind the table go with the end of the write; nothing reads them any more."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.partitionBy(*by).parquet(path)
+    was = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.partitionBy(*by).parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, was)
     out = spark.read.schema(df.schema).parquet(path)
     out._loom_path = path
     return out
 
 
 def discard(table: DataFrame, part: str = "") -> None:
-    """Delete what materialise wrote, or one of its folders, once nothing reads it any more. Spark drops the shuffle files behind it only after the driver has collected garbage."""
+    """Delete what materialise wrote, or one of its folders, once nothing reads it any more."""
     spark = table.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{table._loom_path}/{part}".rstrip("/"))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

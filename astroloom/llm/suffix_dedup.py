@@ -43,6 +43,8 @@ MATCH, GRAM = 50, 20
 BLOCK_BYTES = 6_000_000
 #: An anchor that more blocks hold is dealt by its strings.
 HOT_BLOCKS = 64
+#: Runs of strings that a block marks at once, so that arrays stay small.
+RUNS_AT_ONCE = 50_000
 LAST = np.iinfo(np.int64).max
 BITS = np.uint64(39)
 
@@ -248,6 +250,13 @@ def resolve(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"block": pdf["block"], "part": pdf["part"], "blob": [dump(x.astype(np.uint32)) for x in np.split(bits, cut)]})
 
 
+def _before(flags: np.ndarray) -> np.ndarray:
+    """How many flags are set before each place; blocks are far smaller than 2^31 bytes."""
+    out = np.zeros(len(flags) + 1, np.int32)
+    np.cumsum(flags, out=out[1:])
+    return out
+
+
 def cut_out(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept bytes of each document of a block."""
     keys, null, lengths, raw = load(texts["blob"].iloc[0])
@@ -258,19 +267,24 @@ def cut_out(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         words = found[found["part"] >= 0].sort_values("part")
         bits = np.concatenate([load(x)[0] for x in words["blob"]]).astype(np.uint64)
         bits = np.where(first, bits[kind], np.uint64(0xFFFFFFFF))
-        many = many.astype(np.int64)
-        offset = spread(np.zeros(len(many), np.int64), many)
-        covered = (np.repeat(bits, many) >> offset.astype(np.uint64)) & np.uint64(1) > 0
-        at = (np.repeat(start, many) + offset)[covered]
-        step = np.bincount(at, minlength=len(buf) + 1) - np.bincount(at + MATCH, minlength=len(buf) + 1)
-        gone = np.cumsum(step)[: len(buf)] > 0
+        step = np.zeros(len(buf) + MATCH + 1, np.int32)
+        for a in range(0, len(many), RUNS_AT_ONCE):  # a repetitive block has as many strings as bytes
+            n, s = many[a : a + RUNS_AT_ONCE].astype(np.int64), start[a : a + RUNS_AT_ONCE]
+            offset = spread(np.zeros(len(n), np.int64), n)
+            covered = (np.repeat(bits[a : a + RUNS_AT_ONCE], n) >> offset.astype(np.uint64)) & np.uint64(1) > 0
+            at = (np.repeat(s, n) + offset)[covered]
+            np.add.at(step, at, 1)
+            np.subtract.at(step, at + MATCH, 1)
+        np.cumsum(step, out=step)
+        gone = step[: len(buf)] > 0
+        del step
     end = np.cumsum(lengths)
     begin = end - lengths
-    total = np.concatenate(([0], np.cumsum(gone)))
+    total = _before(gone)
     rises = gone & ~np.concatenate(([False], gone[:-1])) if len(gone) else gone
     inner = begin[(lengths > 0)]
     rises[inner] = gone[inner]
-    spans = np.concatenate(([0], np.cumsum(rises)))
+    spans = _before(rises)
     removed = total[end] - total[begin]
     kept = [raw[b:e] if not r else buf[b:e][~gone[b:e]].tobytes() for b, e, r in zip(begin, end, removed, strict=True)]
     return pd.DataFrame({"doc_id": pd.array(keys, dtype="Int64").copy() if not null.any() else pd.array([None if x else k for k, x in zip(keys.tolist(), null, strict=True)], dtype="Int64"), "n_bytes": lengths, "n_removed": removed, "n_spans": spans[end] - spans[begin], "kept": kept})

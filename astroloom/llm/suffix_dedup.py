@@ -234,17 +234,19 @@ def resolve(pdf: pd.DataFrame) -> pd.DataFrame:
     """For each string of a partition: is it in a document with a smaller id? A bit for each, a word for each run."""
     got = [load(x) for x in pdf["blob"]]
     key, many = np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got]).astype(np.int64)
-    h = prefix_hash(np.concatenate([g[2] for g in got]))
-    size = many + MATCH - 1
-    begin = spread(np.cumsum(size) - size, many)
+    string = []
+    for _, n, raw in got:  # block by block, as workers keep tables as long as the longest array they hashed
+        n = n.astype(np.int64)
+        begin = spread(np.cumsum(n + MATCH - 1) - (n + MATCH - 1), n)
+        string.append(span_hash(prefix_hash(raw), begin, begin + MATCH))
+    string = np.concatenate(string)
     run = np.repeat(np.arange(len(many)), many)
-    string = span_hash(h, begin, begin + MATCH)
     order = np.argsort(string, kind="stable")
     new = np.flatnonzero(np.concatenate(([True], string[order][1:] != string[order][:-1])))
     own = key[run]
     least = np.empty(len(own), np.int64)
     least[order] = np.repeat(np.minimum.reduceat(own[order], new), np.diff(np.append(new, len(order))))
-    bit = (own > least).astype(np.uint64) << (begin - np.repeat(np.cumsum(size) - size, many)).astype(np.uint64)
+    bit = (own > least).astype(np.uint64) << spread(np.zeros(len(many), np.int64), many).astype(np.uint64)
     bits = np.add.reduceat(bit, np.cumsum(many) - many)
     cut = np.cumsum([len(g[0]) for g in got])[:-1]
     return pd.DataFrame({"block": pdf["block"], "part": pdf["part"], "blob": [dump(x.astype(np.uint32)) for x in np.split(bits, cut)]})

@@ -2,7 +2,7 @@
 
 1. Each text becomes the set of its five-word shingles (a shorter text: one
    shingle of all its words), a signature of that set, and a sketch with the
-   least hash in each of 128 bins. Documents with equal sets are one class;
+   least hash in each of 128 bins (an empty bin: of the set under a hash of its own). Documents with equal sets are one class;
    from here on only the class's smallest id takes part.
 2. Chosen path: a run samples sketch positions; documents that agree at a
    sampled position share a bucket. Buckets of up to LIMIT documents are compared
@@ -12,7 +12,7 @@
    RUNS runs bring a pair of similarity 0.8 to a recall over 0.999.
 3. A pair belongs to the least node that both documents reached, and is looked at
    there alone. Buckets name the documents that have such a pair with sketches
-   alike; their exact sets go to the bucket, which verifies its pairs and returns
+   alike or under FEW shingles; their exact sets go to the bucket, which verifies its pairs and returns
    for each document the number of its links and the least document that
    it is connected with there. So pairs never become rows, and what moves
    follows the documents and not the square of a group.
@@ -42,7 +42,8 @@ WORDS, SIMILARITY = 5, 0.8
 BINS, RUNS, LEVELS, LIMIT, CHUNK = 128, 16, 3, 200, 160
 #: Share of positions sampled at a node: 1 / (similarity * BINS).
 SHARE = 1 / (SIMILARITY * BINS)
-#: Pairs whose sketches agree in fewer positions aren't verified; 4.5 standard deviations under the similarity.
+#: Pairs of sets of FEW shingles or more whose sketches agree in fewer positions than AGREE aren't verified; 4.5 standard deviations under the similarity.
+FEW = 300
 AGREE = int(BINS * (SIMILARITY - 4.5 * (SIMILARITY * (1 - SIMILARITY) / BINS) ** 0.5))
 
 _SPACE = np.zeros(256, bool)
@@ -81,20 +82,26 @@ def prefix_words(word: np.ndarray) -> np.ndarray:
 
 
 def sketches(own: np.ndarray, sh: np.ndarray, n_texts: int) -> np.ndarray:
-    """Least hash in each bin for each text, as 32-bit numbers; an empty bin takes over from the next one that isn't."""
+    """Least hash in each bin for each text, as 32-bit numbers; an empty bin takes the least hash of the whole set under a hash of its own.
+
+    So each position agrees with the probability of the similarity, and in short texts, too, one by one."""
     out = np.zeros((n_texts, BINS), np.uint32)
     filled = np.zeros((n_texts, BINS), bool)
     bin_ = (sh >> np.uint64(57)).astype(np.int64)
     new = np.concatenate(([True], (own[1:] != own[:-1]) | (bin_[1:] != bin_[:-1]))) if len(sh) else np.zeros(0, bool)
     out[own[new], bin_[new]] = mixed(sh[new]).astype(np.uint32)
     filled[own[new], bin_[new]] = True
-    todo = np.flatnonzero(filled.any(axis=1) & ~filled.all(axis=1))
-    while len(todo):
-        f, s = filled[todo], out[todo]
-        take = ~f & np.roll(f, -1, axis=1)
-        s[take] = (np.roll(s, -1, axis=1) * np.uint32(0x9E3779B1) + np.uint32(0x7F4A7C15))[take]
-        out[todo], filled[todo] = s, f | take
-        todo = todo[~(f | take).all(axis=1)]
+    n = np.bincount(own, minlength=n_texts)
+    first = np.cumsum(n) - n
+    text, bin_ = np.nonzero(~filled & (n > 0)[:, None])
+    salt = mixed(np.arange(1, BINS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    part = np.cumsum(n[text]) // 1_000_000  # so that temporary arrays stay small
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1, [len(text)]))
+    for k, end in zip(cuts[:-1], cuts[1:], strict=True):
+        t, b = text[k:end], bin_[k:end]
+        if len(t):
+            h = mixed(sh[spread(first[t], n[t])] ^ np.repeat(salt[b], n[t]))
+            out[t, b] = np.minimum.reduceat(h, np.cumsum(n[t]) - n[t]).astype(np.uint32)
     return out
 
 
@@ -204,7 +211,7 @@ class Owner:
 
 
 def candidates(reps: DataFrame, keyed: DataFrame) -> DataFrame:
-    """key, node, side, doc and a: in which buckets a document has a pair of its own whose sketches agree often enough. reps: doc, a, n, marks, nodes."""
+    """key, node, side, doc and a: in which buckets a document has a pair of its own that is small or whose sketches agree often enough. reps: doc, a, n, marks, nodes."""
 
     def rows(batches):
         for g in _groups(batches):
@@ -216,7 +223,9 @@ def candidates(reps: DataFrame, keyed: DataFrame) -> DataFrame:
                 i, j = left[k : k + 200_000], right[k : k + 200_000]
                 ok = np.minimum(n[i], n[j]) >= SIMILARITY * np.maximum(n[i], n[j])
                 i, j = i[ok], j[ok]
-                ok = (sk[i] == sk[j]).sum(axis=1) >= AGREE
+                ok = np.minimum(n[i], n[j]) < FEW  # verified whatever their sketches
+                large = np.flatnonzero(~ok)
+                ok[large] = (sk[i[large]] == sk[j[large]]).sum(axis=1) >= AGREE
                 i, j = i[ok], j[ok]
                 ok = owned(i, j)
                 some[i[ok]] = some[j[ok]] = True

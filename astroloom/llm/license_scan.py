@@ -1,11 +1,15 @@
 """Licence recognition by sentences and ordered rules, in DataFrame operations only.
 
 A text is cut into sentences, each is normalised and looked up among the known
-licence sentences (a fixed table), and the identifiers found, in text order,
+licence sentences (a fixed table). Sentences end at line ends as well, so a
+known one may also be wrapped: it is found where it equals sentences that follow
+one another. The identifiers found, in text order,
 are matched against rules: a rule is a sequence of identifiers that must stand
-one after the other, sentences that are not known being skipped. All of it
+one after the other, sentences that are not known or in no rule being skipped. All of it
 happens inside the row: no shuffle, no join, no bound on the text's length.
 
+The SQL twin knows one-line notices only (SENTENCES and RULES).
+
 Defined results: null and empty texts have no sentence and no licence; repeated
 rows are scanned row by row; an empty table gives no rows; further columns are
 ignored.
@@ -67,6 +71,27 @@ RULES = [
     ("MPL-2.0", ["mpl-notice"]),
 ]
 
+_GPL_COPY = "you should have received a copy of the gnu general public license along with this program if not "
+_GPL_WRITE = _GPL_COPY + "write to the free software foundation inc "
+
+#: Further wordings and the identifiers that each stands for, as the notices are usually written.
+WORDINGS = [
+    ("licensed under the apache license version 2 0 the license", "apache-notice"),
+    ("licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license", "apache-notice,apache-comply"),
+    ("you may obtain a copy of the license at https www apache org licenses license 2 0", "apache-obtain"),
+    ("the above copyright notice and this permission notice including the next paragraph shall be included in all copies or substantial portions of the software", "mit-keep"),
+    ("this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version", "gpl2-redistribute"),
+    (_GPL_COPY + "see http www gnu org licenses", "gpl-copy"),
+    (_GPL_COPY + "see https www gnu org licenses", "gpl-copy"),
+    (_GPL_WRITE + "51 franklin street fifth floor boston ma 02110 1301 usa", "gpl-copy"),
+    (_GPL_WRITE + "51 franklin st fifth floor boston ma 02110 1301 usa", "gpl-copy"),
+    (_GPL_WRITE + "59 temple place suite 330 boston ma 02111 1307 usa", "gpl-copy"),
+    (_GPL_WRITE + "675 mass ave cambridge ma 02139 usa", "gpl-copy"),
+]
+
+#: Rules on identifiers that only WORDINGS has.
+WORDING_RULES = [("GPL-2.0", ["gpl2-redistribute", "gpl-hope", "gpl-copy"])]
+
 
 def sentences_of(text: Column) -> Column:
     """Normalised sentences that hold a letter or digit: cut after . ! ? before white space, and at line ends."""
@@ -74,16 +99,23 @@ def sentences_of(text: Column) -> Column:
     return F.filter(F.transform(cut, lambda x: F.trim(F.regexp_replace(F.lower(x), r"[^\p{L}\p{N}]+", " "))), lambda x: x != "")
 
 
-def scan(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules: list[tuple[str, list[str]]] = RULES) -> DataFrame:
+def scan(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules: list[tuple[str, list[str]]] = RULES, wordings: list[tuple[str, str]] = WORDINGS, wording_rules: list[tuple[str, list[str]]] = WORDING_RULES) -> DataFrame:
     """docs plus n_sentences, sentence_ids (array, text order) and licenses (array, by name)."""
-    if len(sentences) > 200:
+    if len(sentences) + len(wordings) > 200:
         raise ValueError("the sentence table is held in the plan; 200 entries at most")
-    known = F.create_map(*(F.lit(v) for name, text in sentences.items() for v in (text, name)))
-    ids = F.filter(F.transform(F.col("_s"), lambda x: F.try_element_at(known, x)), lambda x: x.isNotNull())
-    joined = F.concat(F.lit(","), F.array_join("sentence_ids", ","), F.lit(","))
-    hits = [F.when(joined.contains("," + ",".join(seq) + ","), F.lit(name)) for name, seq in rules]
-    found = docs.withColumn("_s", sentences_of(F.col("text"))).withColumn("n_sentences", F.size("_s").cast("long")).withColumn("sentence_ids", ids).drop("_s")
-    return found.withColumn("licenses", F.when(F.size("sentence_ids") == 0, F.array().cast("array<string>")).otherwise(F.array_sort(F.array_distinct(F.array_compact(F.array(*hits))))))
+    rules = rules + wording_rules
+    table = {text: name for name, text in sentences.items()} | dict(wordings)
+    known = F.create_map(*(F.lit(v) for pair in table.items() for v in pair))
+    # Longest first: of two that begin at a place the longer one counts.
+    anyone = "(?<=\n)(?:" + "|".join(t.replace(" ", "[ \n]") for t in sorted(table, key=len, reverse=True)) + ")(?=\n)"
+    text = F.concat(F.lit("\n"), F.array_join("_s", "\n"), F.lit("\n"))
+    found_texts = F.transform(F.regexp_extract_all(text, F.lit(anyone), F.lit(0)), lambda x: F.try_element_at(known, F.translate(x, "\n", " ")))
+    ids = F.flatten(F.transform(found_texts, lambda x: F.split(x, ",")))
+    ruled = F.array(*(F.lit(x) for x in sorted({x for _, seq in rules for x in seq})))
+    joined = F.concat(F.lit(","), F.array_join(F.filter("sentence_ids", lambda x: F.array_contains(ruled, x)), ","), F.lit(","))
+    hits = [F.when(F.col("_j").contains("," + ",".join(seq) + ","), F.lit(name)) for name, seq in rules]
+    found = docs.withColumn("_s", sentences_of(F.col("text"))).withColumn("n_sentences", F.size("_s").cast("long")).withColumn("sentence_ids", ids).drop("_s").withColumn("_j", joined)
+    return found.withColumn("licenses", F.when(F.size("sentence_ids") == 0, F.array().cast("array<string>")).otherwise(F.array_sort(F.array_distinct(F.array_compact(F.array(*hits)))))).drop("_j")
 
 
 def op10_license_scan(spark, sf_dir) -> DataFrame:

@@ -7,12 +7,19 @@ more of the item's windows. Then the values in the placeholders are compared:
 the item's values must map to the document's like a function in 0.8 or more of
 the distinct pairs, so that a question with other names or numbers counts and a
 chance meeting of function words doesn't. An exact copy maps each value to itself.
+Both must hold within one occurrence: matches at one offset between item and
+document, or at offsets that are joined over gaps of up to GAP words, of half the
+item, or of any length. One occurrence that passes is a leak.
 
 Inside a document's row, windows first pass a bit filter of fixed size made from
 the benchmark; only those that pass become rows. The benchmark side is broadcast
 after its windows are counted; beyond MAX_BROADCAST it is joined by a shuffle. Windows with fewer than three
-words outside placeholders carry no evidence and are left out on both sides;
-items without a window match nothing.
+words outside placeholders carry no evidence and are left out on both sides.
+An item without a window is one window as a whole: with any numbers and units if
+it has three other words, names being literal there, else word by word. An item
+without words matches nothing.
+
+The SQL twin pools the matches of a document and leaves such items out.
 
 Defined results: null and empty texts hold no window and are clean; repeated
 documents are judged one by one and repeated benchmark texts each count as an
@@ -23,13 +30,15 @@ elsewhere; rows with a null doc_id are clean.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACE, materialise, read
 
 WORDS, SIMILARITY, LITERALS = 5, 0.8, 3
 MAX_BROADCAST = 500_000
+#: Offsets of one occurrence may differ by so much from one to the next, besides by none, half an item or anything.
+GAP = 3
 #: 64-bit words of the filter that windows pass before they become rows.
 FILTER_WORDS = 2048
 PUNCTUATION = ".,;:!?\"'`()[]{}|#*$%&<>=+~^_\\/"
@@ -90,21 +99,73 @@ def _filter(probe: DataFrame):
     return lambda h: F.getbit(F.get(bits, F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(FILTER_WORDS - 1)).cast("int")), h.bitwiseAND(F.lit(63)).cast("int")) == 1
 
 
+def _open(prepared: DataFrame) -> DataFrame:
+    """prepared with o: its words, only numbers and units as placeholders."""
+    return prepared.withColumn("o", F.transform(F.arrays_zip("w", "t"), lambda x: F.when(x.t.isin("<number>", "<unit>"), x.t).otherwise(x.w)))
+
+
+def _slots(w: Column, o: Column) -> Column:
+    return F.transform(F.filter(F.arrays_zip(w.alias("w"), o.alias("o")), lambda x: x.o.isin("<number>", "<unit>")), lambda x: x.w)
+
+
+def _whole_items(items: DataFrame) -> DataFrame:
+    """item_id, item_pos, h, item_slots, n_windows, n_words and free of each item without windows: the item as one window; free if its numbers and units are open."""
+    x = _open(items.where((F.size(F.filter("h", lambda v: v.isNotNull())) == 0) & (F.size("w") > 0)))
+    x = x.withColumn("free", F.size(F.filter("o", lambda v: ~v.isin("<number>", "<unit>"))) >= LITERALS).withColumn("n_words", F.size("w"))
+    h = F.xxhash64("n_words", "free", F.when(F.col("free"), F.col("o")).otherwise(F.col("w")))
+    slots = F.when(F.col("free"), _slots(F.col("w"), F.col("o"))).otherwise(F.array().cast("array<string>"))
+    return x.select("item_id", F.lit(0).alias("item_pos"), h.alias("h"), slots.alias("item_slots"), F.lit(1).alias("n_windows"), "n_words", "free")
+
+
+def _runs(prepared: DataFrame, key: str, lengths: list[tuple[int, bool]], passes) -> DataFrame:
+    """key, pos, h and slots of the runs of so many words that pass, as _whole_items makes them."""
+    own = _open(prepared)
+
+    def found(n: int, free: bool) -> Column:
+        at = F.when(F.size("w") >= n, F.sequence(F.lit(0), F.size("w") - n))
+        run = F.transform(at, lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit(n), F.lit(free), F.slice("o" if free else "w", i + 1, F.lit(n))).alias("h"), F.lit(n).alias("n"), F.lit(free).alias("free")))
+        return F.coalesce(F.filter(run, lambda r: passes(r.h)), F.array().cast("array<struct<pos:int,h:bigint,n:int,free:boolean>>"))
+
+    own = own.select(key, "w", "o", F.explode_outer(F.concat(*(found(*x) for x in lengths))).alias("x")).where("x is not null")
+    slots = F.when(F.col("x.free"), _slots(F.slice("w", F.col("x.pos") + 1, F.col("x.n")), F.slice("o", F.col("x.pos") + 1, F.col("x.n")))).otherwise(F.array().cast("array<string>"))
+    return own.select(key, "x.pos", "x.h", slots.alias("slots"))
+
+
+def _occurrences(found: DataFrame) -> DataFrame:
+    """found (doc_id, item_id, n_windows, n_words, x: array of off, item_pos, pairs) as doc_id, item_id, n_windows, n_matched and pairs, a row for each way to join offsets and each run of them."""
+    gaps = F.array(F.lit(0), F.lit(GAP), F.expr("n_words div 2").cast("int"), F.lit(None).cast("int"))
+    each = found.withColumn("gap", F.explode(F.array_distinct(gaps))).select("doc_id", "item_id", "n_windows", "gap", F.explode("x").alias("x")).select("doc_id", "item_id", "n_windows", "gap", "x.*")
+    order = Window.partitionBy("doc_id", "item_id", "gap").orderBy("off")
+    starts = each.withColumn("new", (F.col("off") - F.lag("off").over(order) > F.col("gap")).cast("int"))
+    runs = starts.withColumn("run", F.coalesce(F.sum("new").over(order), F.lit(0)))
+    out = runs.groupBy("doc_id", "item_id", "gap", "run").agg(F.first("n_windows").alias("n_windows"), F.size(F.collect_set("item_pos")).alias("n_matched"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+    return out.select("doc_id", "item_id", "n_windows", "n_matched", "pairs")
+
+
 def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, n_windows (of the item), n_matched and reparameterised, a row for each leak."""
+    """doc_id, item_id, n_windows (of the item), n_matched (most in one occurrence that passes) and reparameterised (one that passes has other values), a row for each leak."""
     d = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
     items = _prepared(benchmark.select("item_id", "text").dropDuplicates(), "item_id")
     n_windows = F.size(F.filter("h", lambda x: x.isNotNull()))
     probe = _windows(items, "item_id").withColumnsRenamed({"pos": "item_pos", "slots": "item_slots"})
-    probe = materialise(probe.join(items.select(F.col("item_id").alias("_i"), n_windows.alias("n_windows")), F.col("item_id").eqNullSafe(F.col("_i"))).drop("_i"), "benchmark")
+    probe = probe.join(items.select(F.col("item_id").alias("_i"), n_windows.alias("n_windows"), F.size("w").alias("n_words")).where("n_windows > 0"), F.col("item_id").eqNullSafe(F.col("_i"))).drop("_i")
+    probe = materialise(probe.withColumn("free", F.lit(None).cast("boolean")).unionByName(_whole_items(items)), "benchmark")
+    lengths = sorted((r["n_words"], r["free"]) for r in probe.where("free is not null").select("n_words", "free").distinct().collect())
+    probe = probe.drop("free")
     side = F.broadcast(probe) if probe.count() <= MAX_BROADCAST else probe
-    met = _windows(_prepared(d, "doc_id"), "doc_id", _filter(probe)).join(side, "h")
+    passes, prepared = _filter(probe), _prepared(d, "doc_id")
+    own = _windows(prepared, "doc_id", passes)
+    if lengths:
+        own = own.unionByName(_runs(prepared, "doc_id", lengths, passes))
+    met = own.join(side, "h")
     pairs = F.transform(F.arrays_zip("item_slots", "slots"), lambda p: F.struct(p.item_slots.alias("a"), p.slots.alias("b")))
-    both = met.groupBy("doc_id", "item_id").agg(F.first("n_windows").alias("n_windows"), F.collect_set("item_pos").alias("at"), F.collect_set(pairs).alias("pairs"))
-    both = both.select("doc_id", "item_id", "n_windows", F.size("at").alias("n_matched"), F.array_distinct(F.flatten("pairs")).alias("pairs")).where(F.col("n_matched") >= SIMILARITY * F.col("n_windows"))
+    match = F.struct((F.col("pos") - F.col("item_pos")).alias("off"), "item_pos", pairs.alias("pairs"))
+    both = met.groupBy("doc_id", "item_id").agg(F.first("n_windows").alias("n_windows"), F.first("n_words").alias("n_words"), F.collect_list(match).alias("x"))
+    enough = F.col("n_matched") >= SIMILARITY * F.col("n_windows")
+    both = _occurrences(both.withColumn("n_matched", F.size(F.array_distinct(F.transform("x", lambda m: m.item_pos)))).where(enough).drop("n_matched")).where(enough)
     values = F.size(F.array_distinct(F.transform("pairs", lambda p: p.a)))
-    return both.where(values >= SIMILARITY * F.size("pairs")).select(
-        "doc_id", "item_id", F.col("n_windows").cast("long").alias("n_windows"), F.col("n_matched").cast("long").alias("n_matched"), F.exists("pairs", lambda p: p.a != p.b).alias("reparameterised")
+    return both.where(values >= SIMILARITY * F.size("pairs")).groupBy("doc_id", "item_id").agg(
+        F.max("n_windows").cast("long").alias("n_windows"), F.max("n_matched").cast("long").alias("n_matched"), F.bool_or(F.exists("pairs", lambda p: p.a != p.b)).alias("reparameterised")
     )
 
 

@@ -96,3 +96,19 @@ def test_wrapped_licence_notices(spark):
     got = {r.name: r for r in license_scan.scan(spark.createDataFrame(list(NOTICES.items()), "name string, text string")).collect()}
     assert {k: r.licenses for k, r in got.items()} == {k: [k] for k in NOTICES}
     assert got["Apache-2.0"].sentence_ids == ["apache-notice", "apache-comply", "apache-obtain", "apache-asis", "apache-see"]
+
+
+def test_leaks_are_judged_by_occurrence(spark):
+    from astroloom.llm import decontamination
+
+    ask = "On Monday {} bought {} red apples and then gave {} of them to his old friend {} before the long way home"
+    items = [(1, ask.format("Tom", 12, 5, "Ann")), (2, "What is 17 plus 25"), (3, "Oslo Bergen Turku Malmo Odense Aarhus"), (4, None)]
+    one, two, three = ask.format("Tom", 12, 5, "Ann"), ask.format("Bob", 31, 8, "Eve"), ask.format("Kim", 44, 9, "Lea")
+    filler = " so the words went on and on with nothing in them at all for quite a while "
+    docs = [
+        (1, one + filler + two), (2, two + filler + three), (3, one), (4, filler * 3), (5, two + " " + three + " " + one), (6, two.replace("red apples", "red and green apples") + filler + three),
+        (7, "they ask what What is 17 plus 25 now"), (8, "they ask What is 30 plus 4 now"), (9, "by Oslo Bergen Turku Malmo Odense Aarhus then"), (10, "by Rome Paris Turin Milan Genoa Siena then"), (11, None),
+    ]
+    got = {r.doc_id: (r.contaminated, r["items"], r.n_reparameterised) for r in decontamination.by_document(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    clean = (False, "", 0)
+    assert got == {1: (True, "1", 1), 2: (True, "1", 1), 3: (True, "1", 0), 4: clean, 5: (True, "1", 1), 6: (True, "1", 1), 7: (True, "2", 0), 8: (True, "2", 1), 9: (True, "3", 0), 10: clean, 11: clean}

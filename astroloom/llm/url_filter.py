@@ -3,9 +3,10 @@
 Pages that a rule decides are the labels. For the rest: each path becomes a
 template whose variable segments (numbers, ids, children of very wide nodes)
 are wildcards; sibling templates of a host whose share of blocked pages does
-not differ significantly from the pool of their node are merged; a template is
-rejected if the smoothed share of its pages that are labelled block reaches a
-bound. Pages are aggregated by (host, template) before anything else, so a host
+not differ significantly from the pool of their node are merged; one with too
+few labelled pages to reach the bound takes the pool of its node; a template is
+rejected if the smoothed share of block among its labelled pages reaches a
+bound. Pages without a label count in neither. Pages are aggregated by (host, template) before anything else, so a host
 with a third of all pages is a map-side combined sum.
 
 Defined results: a null url, or one without ://, has an empty host and path,
@@ -19,14 +20,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import materialise, read
 
 #: verdict and rule of the contract.
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 #: A node with more children than this is a wildcard.
 WIDE = 40
-#: Levels of the tree that are examined for wide nodes; deeper segments stay typed.
-LEVELS = 3
+#: Levels of the tree after which the plan starts from a table again.
+STEP = 4
 #: Two-sided bound of the two-proportion test, and bound and weight of the smoothed purity.
 Z, PURITY, PRIOR = 1.96, 0.8, 1.0
 
@@ -59,32 +60,38 @@ def typed(segment: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(segment, r"^[0-9a-fA-F-]{16,}", "<id>"), r"[0-9]+", "<n>")
 
 
-def template_tree(pages: DataFrame, wide: int = WIDE, levels: int = LEVELS) -> DataFrame:
-    """Pages by (host, shape): the array of typed segments, its template, and n and n_block."""
-    t = pages.groupBy("host", "shape").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == "block").alias("n_block"))
-    t = t.withColumn("template", F.col("shape"))
+def template_tree(pages: DataFrame, wide: int = WIDE) -> DataFrame:
+    """Pages by (host, shape): the array of typed segments, its template, and n (labelled) and n_block, through all levels."""
+    t = pages.groupBy("host", "shape").agg(F.count("label").alias("n"), F.count_if(F.col("label") == "block").alias("n_block"))
+    t = materialise(t.withColumn("template", F.col("shape")), "shapes")
+    levels = t.agg(F.max(F.size("shape"))).first()[0] or 0
     for level in range(1, levels + 1):
         seg, parent = F.get("template", F.lit(level - 1)), F.array_join(F.slice("template", 1, level - 1), "/")
         keyed = t.withColumn("_p", parent).withColumn("_s", seg)
         broad = keyed.where(F.col("_s").isNotNull()).groupBy("host", "_p", "_s").agg(F.lit(1).alias("x")).groupBy("host", "_p").agg(F.count("x").alias("_k")).where(F.col("_k") > wide)
         starred = F.when(F.col("_k").isNotNull() & F.col("_s").isNotNull(), F.transform("template", lambda x, i: F.when(i == level - 1, F.lit("*")).otherwise(x))).otherwise(F.col("template"))
         t = keyed.join(broad, ["host", "_p"], "left").select("host", "shape", "n", "n_block", starred.alias("template"))
+        if level % STEP == 0:
+            t = materialise(t, "templates")
     return t
 
 
-def purity(tree: DataFrame, z: float = Z, prior: float = PRIOR) -> DataFrame:
-    """Smoothed purity of each (host, template), after similar siblings are merged."""
+def purity(tree: DataFrame, z: float = Z, prior: float = PRIOR, bound: float = PURITY) -> DataFrame:
+    """Smoothed purity of each (host, template), after similar siblings are merged and those with few labels pooled."""
     leaf = tree.groupBy("host", "template").agg(F.sum("n").alias("n"), F.sum("n_block").alias("b"))
     leaf = leaf.withColumn("parent", F.when(F.size("template") > 1, F.concat_ws("/", F.slice("template", F.lit(1), F.size("template") - 1))).otherwise(F.lit("")))
     pool = leaf.groupBy("host", "parent").agg(F.sum("n").alias("pn"), F.sum("b").alias("pb"))
     both = leaf.join(pool, ["host", "parent"])
-    p = F.col("pb") / F.col("pn")
-    gap = F.abs(F.col("b") / F.col("n") - p)
-    similar = gap * gap * F.col("n") <= p * (1 - p) * (z * z)
-    both = both.withColumn("similar", similar)
+    share = lambda b, n: F.when(F.col(n) > 0, F.col(b) / F.col(n)).otherwise(F.lit(0.0))
+    p = share("pb", "pn")
+    gap = F.abs(share("b", "n") - p)
+    # Too few: all of them block, and the bound is still not reached.
+    few = F.col("n") + prior < bound * (F.col("n") + 2 * prior) - 1e-9
+    similar = (F.col("n") > 0) & (gap * gap * F.col("n") <= p * (1 - p) * (z * z))
+    both = both.withColumn("similar", similar).withColumn("few", few)
     merged = both.where("similar").groupBy("host", "parent").agg(F.sum("n").alias("mn"), F.sum("b").alias("mb"))
     both = both.join(merged, ["host", "parent"], "left")
-    n, b = F.when(F.col("similar"), F.col("mn")).otherwise(F.col("n")), F.when(F.col("similar"), F.col("mb")).otherwise(F.col("b"))
+    n, b = (F.when(F.col("few"), F.col("p" + c)).when(F.col("similar"), F.col("m" + c)).otherwise(F.col(c)) for c in "nb")
     return both.select("host", "template", ((b + prior) / (n + 2 * prior)).alias("purity"), F.col("similar").alias("merged"))
 
 
@@ -95,8 +102,8 @@ def judge(pages: DataFrame, rules=RULES, bound: float = PURITY) -> DataFrame:
     rule, label = rule_of(F.col("host"), F.col("path"), rules)
     shape = F.transform(F.filter(F.split("path", "/"), lambda s: s != ""), typed)
     p = p.select("page_id", "host", "path", rule.alias("rule"), label.alias("label"), shape.alias("shape"))
-    tree = template_tree(p)
-    scored = tree.select("host", "shape", "template").join(purity(tree), ["host", "template"])
+    tree = materialise(template_tree(p), "tree")
+    scored = tree.select("host", "shape", "template").join(purity(tree, bound=bound), ["host", "template"])
     # Only rejected templates are joined to the pages, and only to pages without a rule.
     rejected = scored.where(F.col("purity") >= bound).select("host", "shape", F.lit(True).alias("_r"))
     verdict = F.coalesce("label", F.when(F.col("_r"), F.lit("block")).otherwise(F.lit("allow")))

@@ -112,3 +112,12 @@ def test_leaks_are_judged_by_occurrence(spark):
     got = {r.doc_id: (r.contaminated, r["items"], r.n_reparameterised) for r in decontamination.by_document(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
     clean = (False, "", 0)
     assert got == {1: (True, "1", 1), 2: (True, "1", 1), 3: (True, "1", 0), 4: clean, 5: (True, "1", 1), 6: (True, "1", 1), 7: (True, "2", 0), 8: (True, "2", 1), 9: (True, "3", 0), 10: clean, 11: clean}
+
+
+def test_purity_is_that_of_labelled_pages(spark):
+    from astroloom.llm import url_filter
+
+    rules = [("block", f"a.com/x/{k}/") for k in range(70)] + [("block", f"b.com/p/q/r/t{'abcdefghij'[k]}z/") for k in range(10)] + [("allow", "c.com/x/1/")]
+    urls = [f"http://a.com/x/{k}/" for k in range(100)] + [f"http://b.com/p/q/r/t{c}z/" for c in "abcdefghijklmnopqrstuvwxyz"] + [f"http://b.com/p/q/r/u{c}z/" for c in "abcdefghijklmnopqrstuvwxyz"] + [f"http://c.com/x/{k}/" for k in range(30)] + [f"http://d.com/x/{k}/" for k in range(30)]
+    got = {r.page_id: r.verdict for r in url_filter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()}
+    assert {u: got[k] for k, u in enumerate(urls)} == {u: "block" if u[7] in "ab" else "allow" for u in urls}

@@ -5,8 +5,10 @@ that take many endings, which stand in toxic texts far more often than in
 others; greedy by likelihood gained on texts that earlier terms don't explain.
 The terms form a trie. The Levenshtein automaton of distance one, intersected
 with that trie, is made deterministic once; a word is read letter by letter and
-all words of a batch advance together, most of them leaving within three
-letters. Each hit then gets the evidence of its context: quotation marks or
+all words of a batch advance together, most of them leaving early.
+A letter may be missing, added or replaced anywhere in terms of FUZZY letters or
+more, and by a sign in terms of SIGNED letters or more. A sign at a word's edge
+may as well be no part of it. Each hit then gets the evidence of its context: quotation marks or
 words of report around it, or address ("you", exclamation). A logistic model of
 the hits' sums gives the score.
 
@@ -27,10 +29,10 @@ from pyspark.sql import functions as F
 
 from .common import chunks, crc_mod, labelled_sample, read
 
-#: Labelled documents that lexicon and weights are learned from, at most; terms of the lexicon and candidates for it, at most.
-SAMPLE_DOCS, TERMS, CANDIDATES = 8000, 150, 3000
+#: Labelled documents that lexicon and weights are learned from, and candidates for the lexicon, at most.
+SAMPLE_DOCS, CANDIDATES = 8000, 3000
 #: A term must stand in so many toxic texts and be so many times as frequent there. Stems and terms open to misspelling have so many letters.
-LEAST_DOCS, LEAST_RATIO, STEM, FUZZY = 4, 4.0, (4, 10), 5
+LEAST_DOCS, LEAST_RATIO, STEM, FUZZY, SIGNED = 4, 4.0, (4, 10), 5, 4
 #: Letters before and after a hit that make its context.
 CONTEXT = 40
 INNER = "*#@$!%&-_0123456789"
@@ -77,7 +79,7 @@ def learn_terms(sample: DataFrame) -> list[tuple[str, bool, float]]:
         return a * np.log(max((a / t) / ((b + 0.5) / c), 1e-9)) if a >= LEAST_DOCS else 0.0
 
     order = {term: gain(term) for term in sets}
-    while order and len(chosen) < TERMS:
+    while order:
         term = max(order, key=lambda k: (order[k], k))
         now = gain(term)
         if now < order[term]:  # gains only fall, so a fresh one that is still the best is the best
@@ -104,7 +106,7 @@ class Automaton:
 
     def __init__(self, terms: list[tuple[str, bool, float]]):
         letters = sorted({ch for t, _, _ in terms for ch in t})
-        self.code = {ch: k + 2 for k, ch in enumerate(letters)}  # 0: not in a word, 1: other letter
+        self.code = {ch: k + 4 for k, ch in enumerate(letters)}  # 0: not in a word, 1: other letter, 2: sign between letters, 3: sign at a word's edge
         trie, ends = [{}], {}
         for k, (t, _, _) in enumerate(terms):
             at = 0
@@ -114,31 +116,33 @@ class Automaton:
                     trie.append({})
                 at = trie[at][self.code[ch]]
             ends.setdefault(at, []).append(k)
-        fuzzy = [len(t) >= FUZZY for t, _, _ in terms]
-        below: list[bool] = [False] * len(trie)  # does a term open to misspelling end at or under the node
-        for at in range(len(trie) - 1, -1, -1):
-            below[at] = any(fuzzy[k] for k in ends.get(at, [])) or any(below[x] for x in trie[at].values())
+        # By the edit, 1: of letters, 2: of a sign in place of one, or added.
+        fuzzy = [(True, len(t) >= FUZZY, len(t) >= SIGNED) for t, _, _ in terms]
+        below = [[False] * len(trie) for _ in range(3)]  # does a term open to such an edit end at or under the node
+        for e in (1, 2):
+            for at in range(len(trie) - 1, -1, -1):
+                below[e][at] = any(fuzzy[k][e] for k in ends.get(at, [])) or any(below[e][x] for x in trie[at].values())
 
         def closure(items: set) -> frozenset:
             todo, out = list(items), set(items)
             while todo:
                 at, e = todo.pop()
-                if at >= 0 and e == 0 and at:  # a letter of the term is missing; its first one isn't
+                if at >= 0 and e == 0:  # a letter of the term is missing
                     for x in trie[at].values():
-                        if below[x] and (x, 1) not in out:
+                        if below[1][x] and (x, 1) not in out:
                             out.add((x, 1))
                             todo.append((x, 1))
-            return frozenset(i for i in out if not (i[1] == 1 and (i[0], 0) in out))
+            return frozenset(i for i in out if not (i[1] and (i[0], 0) in out))
 
         def accepted(items: frozenset) -> tuple[int, int]:
             best = (-1, 0)
             for at, e in sorted(items, key=lambda i: i[1]):
                 for k in [-at - 1] if at < 0 else ends.get(at, []):
-                    if (e == 0 or fuzzy[k]) and (best[0] < 0 or (e == best[1] and terms[k][2] > terms[best[0]][2])):
+                    if fuzzy[k][e] and (best[0] < 0 or (e == best[1] and terms[k][2] > terms[best[0]][2])):
                         best = (k, e)
             return best
 
-        n = len(letters) + 2
+        n = len(letters) + 4
         start = closure({(0, 0)})
         states, table, todo = {frozenset(): 0, start: 1}, [[0] * n, None], [start]
         while todo:
@@ -147,20 +151,23 @@ class Automaton:
             for ch in range(1, n):
                 nxt = set()
                 for at, e in items:
+                    if ch == 3:
+                        nxt.add((at, e))
                     if at < 0:  # a stem was read: any ending follows
                         nxt.add((at, e))
                         continue
                     for k in ends.get(at, []):
-                        if terms[k][1] and (e == 0 or fuzzy[k]):
+                        if terms[k][1] and fuzzy[k][e]:
                             nxt.add((-k - 1, e))
                     if ch in trie[at]:
                         nxt.add((trie[at][ch], e))
-                    if e == 0 and at:
+                    if e == 0:
+                        edit = 2 if ch in (2, 3) else 1
                         for x in trie[at].values():
-                            if below[x]:
-                                nxt.add((x, 1))
-                        if below[at]:
-                            nxt.add((at, 1))
+                            if below[edit][x]:
+                                nxt.add((x, edit))
+                        if below[edit][at]:
+                            nxt.add((at, edit))
                 new = closure(nxt)
                 if new not in states:
                     states[new] = len(table)
@@ -172,8 +179,9 @@ class Automaton:
         self.term = np.full(len(table), -1, dtype=np.int32)
         self.errors = np.zeros(len(table), dtype=np.int8)
         for items, k in states.items():
-            self.term[k], self.errors[k] = accepted(items)
-        self.classes = np.zeros(0x10000, dtype=np.uint8)
+            self.term[k], e = accepted(items)
+            self.errors[k] = e > 0
+        self.classes = np.zeros(0x10000, dtype=np.uint16)
         for cp in range(0x10000):
             if chr(cp).isalpha():
                 self.classes[cp] = 1
@@ -188,11 +196,15 @@ class Automaton:
         cls = self.classes[cp]
         letter = cls > 0
         pad = np.concatenate(([False], letter, [False]))
-        inner = self.inner[cp] & pad[:-2] & pad[2:]  # a sign between two letters stands for one
-        cls[inner & ~letter] = 1
+        sign = self.inner[cp] & ~letter
+        inner = sign & pad[:-2] & pad[2:]  # a sign between two letters stands for one
+        cls[inner] = 2
+        cls[sign & (pad[:-2] ^ pad[2:])] = 3  # one at a word's edge may
         word = letter | inner
         edge = np.diff(np.concatenate(([0], word.view(np.int8), [0])))
         start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        marked = np.concatenate((cls == 3, [False]))
+        start, end = start - marked[start - 1], end + marked[end]
         own, state, done = np.arange(len(start)), np.ones(len(start), np.int32), []
         step = 0
         while len(own):

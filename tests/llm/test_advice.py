@@ -121,3 +121,25 @@ def test_purity_is_that_of_labelled_pages(spark):
     urls = [f"http://a.com/x/{k}/" for k in range(100)] + [f"http://b.com/p/q/r/t{c}z/" for c in "abcdefghijklmnopqrstuvwxyz"] + [f"http://b.com/p/q/r/u{c}z/" for c in "abcdefghijklmnopqrstuvwxyz"] + [f"http://c.com/x/{k}/" for k in range(30)] + [f"http://d.com/x/{k}/" for k in range(30)]
     got = {r.page_id: r.verdict for r in url_filter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()}
     assert {u: got[k] for k, u in enumerate(urls)} == {u: "block" if u[7] in "ab" else "allow" for u in urls}
+
+
+def test_misspelled_terms_at_each_place():
+    import numpy as np
+
+    from astroloom.llm import toxicity
+
+    terms = ["stupid", "idiot", "moron", "scum"]
+    a = toxicity.Automaton([(t, False, 1.0) for t in terms])
+
+    def found(text):
+        _, term, errors, _ = a.hits(np.array([ord(c) for c in text + "\n"], dtype=np.uint32))
+        return [(terms[k], int(e)) for k, e in zip(term, errors, strict=True)]
+
+    for t in terms[:3]:
+        for k in range(len(t)):
+            for w in (t[:k] + "q" + t[k + 1 :], t[:k] + "*" + t[k + 1 :], t[:k] + "q" + t[k:], t[:k] + t[k + 1 :]):
+                assert found(f"a {w} b") == [(t, 1)], w
+        assert found(f"{t} *{t}* {t}! -{t}") == [(t, 0)] * 4
+    for w in ("$cum", "s*um", "sc*m", "scu*", "s-cum"):
+        assert found(f"a {w} b") == [("scum", 1)], w
+    assert found("scum! (scum) qcum scun 2scum") == [("scum", 0)] * 3

@@ -55,15 +55,61 @@ def materialise(df: DataFrame, name: str, *by: str) -> DataFrame:
     return out
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Write df as a table bucketed by key, in the shared folder: grouping it by key needs no shuffle from then on."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{table}"
+    df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(partitions(spark), key).saveAsTable(table)
+    out = spark.table(table)
+    out._loom_path, out._loom_table = path, table
+    return out
+
+
 def discard(table: DataFrame, part: str = "") -> None:
-    """Delete what materialise wrote, or one of its folders, once nothing reads it any more."""
+    """Delete what materialise or bucketed wrote, or one of its folders, once nothing reads it any more."""
     spark = table.sparkSession
+    if getattr(table, "_loom_table", None):
+        spark.sql(f"DROP TABLE IF EXISTS `{table._loom_table}`")
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{table._loom_path}/{part}".rstrip("/"))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     gc.collect()
     spark._jvm.System.gc()
 
 
+def utf8(column) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a string column of an Arrow table one after the other, and the length of each; null is empty."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    column = pc.fill_null(column, "")
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    if isinstance(column, pa.ChunkedArray):
+        column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.string())
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(0, np.int64)
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    offsets = np.frombuffer(column.buffers()[1], kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = column.buffers()[2]
+    buf = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    return buf, np.diff(offsets)
+
+
+def blobs(edges: np.ndarray, data: np.ndarray):
+    """An Arrow array of binary values: data[edges[0]:edges[1]], data[edges[1]:edges[2]], and so on."""
+    import pyarrow as pa
+
+    raw, step = np.ascontiguousarray(data), data.dtype.itemsize
+    offsets = np.ascontiguousarray((edges * step).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+
+
+def unblob(column, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a binary column of an Arrow table as one array, and how many entries each value has."""
+    values = column.to_pylist()
+    return np.frombuffer(b"".join(values), dtype), np.array([len(v) // np.dtype(dtype).itemsize for v in values], np.int64)
+
+
 def let(value: Column, body) -> Column:
     """body(value) with value computed once: a lambda variable isn't expanded for each use."""
     return F.transform(F.array(value), body)[0]

@@ -1,30 +1,34 @@
-"""Removal of long repeated passages with a logarithmic family of sparse suffix indexes.
+"""Removal of long repeated passages with a logarithmic family of sparse suffix arrays.
 
 A byte goes if a 50-byte string over it also starts in a document with a
-smaller id. Indexing all suffixes would move many times the corpus. Each 50-byte
-string has one anchor, the least hash among its 20-byte strings, so suffixes are
-indexed at anchors only, about one in sixteen, and equal strings have equal anchors.
-
-1. Documents are read into blocks of some megabytes, written to the shared
-   folder. Each block has a sorted suffix array of its anchors, dealt by
-   fingerprint into one small blob for each partition.
-2. In a partition, blocks arrive one after the other as batches: a batch is
-   merge-scanned against the levels there are, meetings are marked on both
-   sides, it becomes level 0, and levels of equal size merge, as in a binary
-   counter. This leaves the anchors that stand in two documents or more.
-3. For those only, the bytes of all strings with that anchor go to one
-   partition, once for each different text in a block. There each 50-byte
-   string gets the smallest id that holds it. Anchors that very many blocks hold
-   are dealt by string instead, so that no partition gets all of a hot passage.
-4. What is covered goes back to the blocks, which cut it out.
-
-Everything is compared over all documents; nothing is sampled or capped. Strings
-are compared by 64-bit hash.
-
-Defined results: a null text is empty; a text under 50 bytes keeps all;
+smaller id. Each 50-byte string has one anchor, the least hash among its 20-byte
+strings, about one in sixteen bytes; equal strings have equal anchors, so
+only strings whose anchor stands in two documents can repeat.
+
+1. Documents are numbered into batches of some megabytes and written as a table
+   bucketed by batch, so that no later step moves a text again.
+2. A batch deals its anchors, 32 bits each, to partitions by hash; a partition
+   tells each batch which of its anchors stand in two documents or more.
+3. A run is the neighbouring strings with one such anchor, with the bytes under
+   them. Batches exchange 96-bit digests of their runs: the
+   same run in a document with a smaller id settles all its strings, so the bytes
+   of a run travel from the document with the least id alone. Nothing grows with
+   the number of copies but one digest for each batch.
+4. Those bytes go to the partition of their anchor; anchors that very many
+   batches hold are dealt by string. In a partition each batch gets a suffix
+   array, its strings in order of their 50 bytes; arrays of like size are
+   merge-scanned, strings that meet take the smaller id, and the merged array
+   is the next level, as in a binary counter. Bytes are compared, not hashes.
+5. What is covered goes back to the batches, which cut it out.
+
+Everything is compared over all documents; nothing is sampled or capped.
+
+Defined results: a null text is empty; a text under 50 bytes keeps all; a text
+longer than a batch is a batch of its own and is worked through window by window;
 documents with equal ids don't remove from each other; a null id counts as
 greater than any, and such rows don't remove from each other; an empty table
-gives no rows; further columns are ignored.
+gives no rows; cut() keeps further columns whatever their names, dedup() ignores
+them.
 """
 
 from __future__ import annotations
@@ -32,290 +36,441 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import discard, dump, load, materialise, mixed, partitions, powers, prefix_hash, read, span_hash, spread
+from .common import blobs, bucketed, discard, dump, load, materialise, mixed, partitions, powers, prefix_hash, read, spread, unblob, utf8
 
 MATCH, GRAM = 50, 20
-#: Bytes of text in a block, about; a longer text is a block of its own.
-BLOCK_BYTES = 6_000_000
-#: An anchor that more blocks hold is dealt by its strings.
-HOT_BLOCKS = 64
-#: Runs of strings that a block marks at once, so that arrays stay small.
-RUNS_AT_ONCE = 50_000
+#: Bytes of text in a batch, and for each partition of anchors, about.
+BATCH_BYTES, PART_BYTES = 16_000_000, 8_000_000
+#: Places that are worked through at once, so that arrays stay small; under 2^20.
+WINDOW = 1_000_000
+#: An anchor that more batches hold is dealt by its strings.
+HOT_BATCHES = 64
 LAST = np.iinfo(np.int64).max
-BITS = np.uint64(39)
+U = np.uint64
+WORD = U((1 << 31) - 1)
 
 
-def encode(text) -> bytes:
-    return text.encode("utf-8", "replace") if isinstance(text, str) else b""
+# ---- batches, anchors and runs -------------------------------------------------------------
 
 
-def anchors(h: np.ndarray, lengths: np.ndarray, match: int = MATCH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For each run of neighbouring strings with one anchor: start, number of strings, fingerprint, document. h: prefix hash of all texts."""
-    n = int(lengths.sum())
-    if n < match:
-        return (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    x = h[gram:] - h[:-gram]
-    x *= powers(n + 1)[1][: len(x)]
+def to_batches(docs: DataFrame) -> DataFrame:
+    """docs plus batch, a number, and size, the bytes of the text. docs has a column text."""
+    names = [*docs.columns, "batch", "size"]
+    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in docs.schema), T.StructField("batch", T.LongType()), T.StructField("size", T.LongType())])
+
+    def numbered(stream):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        from pyspark import TaskContext
+
+        first, held = TaskContext.get().partitionId() << 32, 0
+        for rows in stream:
+            size = pc.fill_null(pc.binary_length(rows.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            end = held + np.cumsum(size)
+            held = int(end[-1]) if len(end) else held
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(first + (end - size) // BATCH_BYTES), pa.array(size)], names=names)
+
+    return docs.mapInArrow(numbered, schema)
+
+
+class Texts:
+    """The texts of a batch: bytes, ends of documents, and their ids as keys of comparison."""
+
+    def __init__(self, table):
+        import pyarrow.compute as pc
+
+        self.buf, self.lengths = utf8(table.column("text"))
+        self.ends = np.cumsum(self.lengths)
+        self.key = pc.fill_null(table.column("doc_id").cast("int64"), int(LAST)).to_numpy().astype(np.int64)
+
+    def doc(self, start: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.ends, start, "right")
+
+    def runs(self):
+        """(start, strings, hash of the anchor) of all runs, window by window."""
+        for a in range(0, max(len(self.buf) - MATCH + 1, 0), WINDOW):
+            own = self.buf[a : a + WINDOW + MATCH - 1]
+            n = len(own) - MATCH + 1
+            cut = np.clip(self.ends, a, a + n)
+            inside = a + np.arange(MATCH, MATCH + n) <= np.repeat(self.ends, np.diff(cut, prepend=a))
+            start, many, mark = _runs(own, inside)
+            yield a + start, many, mark
+
+
+def _runs(own: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    h = prefix_hash(own)
+    x = h[GRAM:] - h[:-GRAM]
+    x *= powers(len(h))[1][: len(x)]
+    del h
     x = mixed(x)
-    low = np.uint64(max(1, (n - 1).bit_length()))
-    least = ((x >> low) << low) | np.arange(len(x), dtype=np.uint64)
-    width, have = match - gram + 1, 1
+    least = ((x >> U(20)) << U(20)) | np.arange(len(x), dtype=U)
+    width, have = MATCH - GRAM + 1, 1
     while have * 2 <= width:
         least = np.minimum(least[:-have], least[have:])
         have *= 2
     if have < width:
         least = np.minimum(least[: len(least) - (width - have)], least[width - have :])
-    at = (least & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)  # anchor of the string that starts here
-    doc = np.repeat(np.arange(len(lengths)), lengths)
-    inside = doc[: len(at)] == doc[match - 1 : match - 1 + len(at)]
-    first = inside & np.concatenate(([True], (at[1:] != at[:-1]) | ~inside[:-1]))
-    last = inside & np.concatenate(((at[1:] != at[:-1]) | ~inside[1:], [True]))
-    start, end = np.flatnonzero(first), np.flatnonzero(last)
-    return start, end - start + 1, x[at[start]] >> (np.uint64(64) - BITS), doc[start]
+    at = (least & U((1 << 20) - 1)).astype(np.int32)  # anchor of the string that starts here
+    other = at[1:] != at[:-1]
+    start = np.flatnonzero(inside & np.concatenate(([True], other | ~inside[:-1])))
+    end = np.flatnonzero(inside & np.concatenate((other | ~inside[1:], [True])))
+    return start, end - start + 1, x[at[start]]
 
 
-def _five(x: np.ndarray) -> bytes:
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+def _place(mark: np.ndarray, parts: int) -> np.ndarray:
+    """Partition of an anchor and 31 further bits of its hash, as one sortable number."""
+    return ((mark >> U(32)) % U(parts) << U(31)) | (mark & WORD)
 
 
-def _from_five(blob: bytes) -> np.ndarray:
-    out = np.zeros((len(blob) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(blob, np.uint8).reshape(-1, 5)
-    return out.view("<u8").ravel()
+def _new(*sorted_keys: np.ndarray) -> np.ndarray:
+    """Where something sorted changes."""
+    n = len(sorted_keys[0])
+    flag = np.zeros(n, bool)
+    flag[:1] = True
+    for k in sorted_keys:
+        flag[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(flag)
 
 
-def _by_part(part: np.ndarray, n: int) -> np.ndarray:
-    """Edges of each part in something sorted by part."""
-    return np.searchsorted(part, np.arange(n + 1))
+def _dealt(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of something sorted, and their edges."""
+    new = _new(part)
+    return part[new], np.append(new, len(part))
 
 
-def to_blocks(docs: DataFrame, n: int) -> DataFrame:
-    """Rows (block, part, blob, kind): kind t holds a block's texts, kind a its anchors for a partition."""
+def _rows(batch: int, part: np.ndarray, **columns):
+    import pyarrow as pa
 
-    def rows(batches):
-        from pyspark import TaskContext
+    return pa.table({"batch": pa.array(np.full(len(part), batch, np.int64)), "part": pa.array(part.astype(np.int32)), **columns})
+
+
+def anchors(parts: int):
+    """The grouped function that deals a batch's distinct anchors; the last bit tells whether two of its documents hold one."""
+
+    def rows(table):
+        texts = Texts(table)
+        found = [(_place(mark, parts), texts.key[texts.doc(start)]) for start, _, mark in texts.runs()]
+        place, key = (np.concatenate([f[k] for f in found] or [np.zeros(0, d)]) for k, d in ((0, U), (1, np.int64)))
+        order = np.lexsort((key, place))
+        place, key = place[order], key[order]
+        new = _new(place)
+        several = np.zeros(0, bool) if not len(new) else np.minimum.reduceat(key, new) != np.maximum.reduceat(key, new)
+        part, edges = _dealt(place[new] >> U(31))
+        return _rows(table.column("batch")[0].as_py(), part, marks=blobs(edges, (((place[new] & WORD) << U(1)) | several.astype(U)).astype(np.uint32)))
+
+    return rows
+
+
+def meet(table):
+    """For each batch of a partition, its anchors that stand in two documents or more; the last bit tells of hot ones."""
+    word, many = unblob(table.column("marks"), np.uint32)
+    mark, several = word >> np.uint32(1), word & np.uint32(1)
+    order = np.argsort(mark, kind="stable")
+    new = _new(mark[order])
+    size = np.diff(np.append(new, len(mark)))
+    met = (size > 1) | (np.maximum.reduceat(several[order], new) > 0)
+    value = np.where(met, np.where(size > HOT_BATCHES, 2, 1), 0).astype(np.uint32)
+    own = np.empty(len(mark), np.uint32)
+    own[order] = np.repeat(value, size)
+    ok = own > 0
+    edges = np.concatenate(([0], np.cumsum(np.add.reduceat(ok, np.cumsum(many) - many))))
+    out = table.select(["batch", "part"]).append_column("marks", blobs(edges, (mark[ok] << np.uint32(1)) | (own[ok] - np.uint32(1))))
+    return out.filter(np.diff(edges) > 0)
+
+
+def exchange(parts: int):
+    """The cogrouped function that finds a batch's runs at met anchors: their digests for the partitions, and a state that stays with the batch."""
+
+    def rows(table, met):
+        import pyarrow as pa
+        from xxhash import xxh3_128_digest
+
+        batch = met.column("batch")[0].as_py()
+        texts = Texts(table)
+        word, many = unblob(met.column("marks"), np.uint32)
+        part = np.repeat(met.column("part").to_numpy().astype(U), many)
+        known = (part << U(31)) | (word >> np.uint32(1))
+        order = np.argsort(known)
+        known, hot = known[order], (word & np.uint32(1)).astype(bool)[order]
+        got = []
+        view = memoryview(np.ascontiguousarray(texts.buf))
+        for start, n, mark in texts.runs():
+            place = _place(mark, parts)
+            at = np.minimum(np.searchsorted(known, place), len(known) - 1)
+            ok = known[at] == place
+            start, n, place, at = start[ok], n[ok], place[ok], at[ok]
+            digest = b"".join([xxh3_128_digest(view[s:e]) for s, e in zip(start.tolist(), (start + n + MATCH - 1).tolist(), strict=True)])
+            got.append((start, n.astype(np.uint8), (place >> U(31)).astype(np.uint32), hot[at], np.frombuffer(digest, np.dtype([("a", "<u8"), ("b", "<u4"), ("c", "<u4")]))))
+        start, n, home, hot, digest = (np.concatenate(x) for x in zip(*got, strict=True))
+        key, to = texts.key[texts.doc(start)], digest["a"] % U(parts)
+        order = np.lexsort((key, digest["b"], digest["a"], to))
+        new = _new(digest["a"][order], digest["b"][order])
+        kind = np.empty(len(order), np.uint32)
+        kind[order] = np.repeat(np.arange(len(new), dtype=np.uint32), np.diff(np.append(new, len(order))))
+        lead = order[new]
+        part, edges = _dealt(to[lead])
+        short = np.empty(len(lead), np.dtype([("a", "<u8"), ("b", "<u4")]))
+        short["a"], short["b"] = digest["a"][lead], digest["b"][lead]
+        empty = np.zeros(2, np.int64)
+        state = dump(start.astype(np.uint32), n, kind, lead.astype(np.uint32), home[lead], hot[lead])
+        held = _rows(batch, np.array([-1]), digests=blobs(empty, np.zeros(0, np.uint8)), keys=blobs(empty, np.zeros(0, np.uint8)), state=pa.array([state], pa.binary()))
+        dealt = _rows(batch, part, digests=blobs(edges, short), keys=blobs(edges, key[lead]), state=pa.nulls(len(part), pa.binary()))
+        return pa.concat_tables([held, dealt])
+
+    return rows
+
+
+def first_of(table):
+    """For each batch of a partition, a bit for each of its runs: does the document with the least id that has it stand in the batch?"""
+    import pyarrow as pa
+
+    digest, many = unblob(table.column("digests"), np.dtype([("a", "<u8"), ("b", "<u4")]))
+    key, _ = unblob(table.column("keys"), np.int64)
+    order = np.lexsort((digest["b"], digest["a"]))
+    new = _new(digest["a"][order], digest["b"][order])
+    first = np.empty(len(key), bool)
+    first[order] = key[order] == np.repeat(np.minimum.reduceat(key[order], new), np.diff(np.append(new, len(key))))
+    flags = [np.packbits(x).tobytes() for x in np.split(first, np.cumsum(many)[:-1])]
+    return table.select(["batch", "part"]).append_column("flags", pa.array(flags, pa.binary())).append_column("count", pa.array(many.astype(np.int32)))
+
+
+class Sent:
+    """The runs of a batch, which of them it has first, and the records that it sends for those: whole runs, or strings of hot ones."""
+
+    def __init__(self, texts: Texts, side, parts: int):
+        state = side.filter(np.equal(side.column("part").to_numpy(), -1)).column("state")[0].as_py()
+        self.start, self.many, self.kind, self.lead, home, hot = load(state)
+        self.start, self.many = self.start.astype(np.int64), self.many.astype(np.int64)
+        self.key = texts.key[texts.doc(self.start)]
+        flags = side.filter(np.array([x is not None for x in side.column("flags").to_pylist()], bool)).sort_by("part")
+        counts = flags.column("count").to_numpy()
+        self.first = np.concatenate([np.unpackbits(np.frombuffer(f, np.uint8), count=n) for f, n in zip(flags.column("flags").to_pylist(), counts, strict=True)]).astype(bool)
+        own = np.flatnonzero(self.first)
+        cold, warm = own[~hot[own]], own[hot[own]]
+        n = self.many[self.lead[warm]]
+        one = spread(self.start[self.lead[warm]], n)
+        self.of = np.concatenate((cold, np.repeat(warm, n)))  # the run
+        self.shift = np.concatenate((np.zeros(len(cold), np.int64), spread(np.zeros(len(warm), np.int64), n)))
+        self.at = np.concatenate((self.start[self.lead[cold]], one))
+        self.strings = np.concatenate((self.many[self.lead[cold]], np.ones(len(one), np.int64)))
+        part = np.concatenate((home[cold].astype(U), _string_hash(texts.buf, one) % U(parts)))
+        self.order = np.argsort(part, kind="stable")
+        self.part = part[self.order]
+
+
+def _string_hash(buf: np.ndarray, start: np.ndarray) -> np.ndarray:
+    from xxhash import xxh3_64_intdigest
+
+    view = memoryview(np.ascontiguousarray(buf))
+    return np.array([xxh3_64_intdigest(view[s : s + MATCH]) for s in start.tolist()], U)
+
+
+def bytes_of(parts: int):
+    """The cogrouped function that sends out the bytes of the runs that a batch has first."""
+
+    def rows(table, side):
+        texts = Texts(table)
+        sent = Sent(texts, side, parts)
+        part, edges = _dealt(sent.part)
+        at, strings = sent.at[sent.order], sent.strings[sent.order]
+        size = strings + MATCH - 1
+        key = sent.key[sent.lead[sent.of[sent.order]]]
+        far = np.concatenate(([0], np.cumsum(size)))
+        return _rows(side.column("batch")[0].as_py(), part, keys=blobs(edges, key), many=blobs(edges, strings.astype(np.uint8)), raw=blobs(far[edges], texts.buf[spread(at, size)]))
+
+    return rows
 
-        task, made, ids, raw, held = TaskContext.get().partitionId(), 0, [], [], 0
-
-        def block():
-            nonlocal made, ids, raw, held
-            number, made = (task << 24) + made, made + 1
-            lengths = np.array([len(r) for r in raw], dtype=np.int64)
-            null = np.array([i is None for i in ids])
-            keys = np.array([LAST if i is None else i for i in ids], dtype=np.int64)
-            buf = b"".join(raw)
-            h = prefix_hash(np.frombuffer(buf, np.uint8))
-            _, _, mark, doc = anchors(h, lengths)
-            yield pd.DataFrame({"block": [number], "part": [-1], "blob": [dump(keys, null, lengths, buf, level=6)], "kind": ["t"]})
-            key = keys[doc]
-            order = np.lexsort((key, mark))
-            mark, key = mark[order], key[order]
-            new = np.flatnonzero(np.concatenate(([True], mark[1:] != mark[:-1]))) if len(mark) else np.zeros(0, np.int64)
-            if len(new):
-                several = np.minimum.reduceat(key, new) != np.maximum.reduceat(key, new)
-                mark = mark[new]
-                part = (mark % np.uint64(n)).astype(np.int64)
-                order = np.argsort(part, kind="stable")
-                word, edge = (mark[order] << np.uint64(1)) | several[order].astype(np.uint64), _by_part(part[order], n)
-                some = np.flatnonzero(np.diff(edge))
-                yield pd.DataFrame({"block": number, "part": some, "blob": [_five(word[edge[p] : edge[p + 1]]) for p in some], "kind": "a"})
-            ids, raw, held = [], [], 0
-
-        for pdf in batches:
-            for doc_id, text in zip(pdf["doc_id"].array, pdf["text"].array, strict=True):
-                ids.append(None if doc_id is None or doc_id != doc_id or doc_id is pd.NA else int(doc_id))
-                raw.append(encode(text))
-                held += len(raw[-1])
-                if held >= BLOCK_BYTES:
-                    yield from block()
-        if ids:
-            yield from block()
-
-    typed = docs.select("doc_id", "text")
-    return typed.mapInPandas(rows, "block long, part int, blob binary, kind string")
-
-
-class Levels:
-    """Sorted fingerprints in levels; the size of a level at least doubles from one to the next."""
+
+# ---- the family of suffix arrays -----------------------------------------------------------
+
+
+class Family:
+    """Sorted arrays of 50-byte strings, each with the least key that holds it; the size of a level at least doubles from one to the next."""
 
     def __init__(self):
-        self.levels: list[list[np.ndarray]] = []
-
-    def add(self, mark: np.ndarray, several: np.ndarray) -> None:
-        batch = [mark, several.copy(), np.ones(len(mark), np.int64)]
-        for level in self.levels:
-            at = np.searchsorted(level[0], batch[0])
-            met = (at < len(level[0])) & (level[0][np.minimum(at, len(level[0]) - 1)] == batch[0])
-            batch[1] |= met
-            level[1][at[met]] = True
-        self.levels.append(batch)
+        self.levels: list[list] = []  # strings, least keys, [rank of each string of each batch in it]
+
+    def add(self, strings: np.ndarray, keys: np.ndarray) -> None:
+        """A new batch: its suffix array is level 0, and meets the levels of like size."""
+        self.levels.append(self._sorted(strings, keys, [np.arange(len(strings))], None))
         while len(self.levels) > 1 and len(self.levels[-2][0]) < 2 * len(self.levels[-1][0]):
             self._merge()
 
+    @staticmethod
+    def _sorted(strings, keys, ranks, cut) -> list:
+        order = np.argsort(strings, kind="stable")  # two sorted arrays are merged in one pass
+        ordered = strings[order]
+        new = _new(ordered)
+        size = np.diff(np.append(new, len(order)))
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.repeat(np.arange(len(new), dtype=np.int32), size)
+        if cut is None:
+            ranks = [rank]
+        else:
+            ranks = [rank[r] for r in ranks[0]] + [rank[cut + r] for r in ranks[1]]
+        return [ordered[new], np.minimum.reduceat(keys[order], new), ranks]
+
     def _merge(self) -> None:
-        mark, met, count = (np.concatenate(x) for x in zip(self.levels.pop(), self.levels.pop(), strict=True))
-        order = np.argsort(mark, kind="stable")
-        mark, met, count = mark[order], met[order], count[order]
-        new = np.flatnonzero(np.concatenate(([True], mark[1:] != mark[:-1])))
-        self.levels.append([mark[new], np.logical_or.reduceat(met, new), np.add.reduceat(count, new)])
+        a, b = self.levels[-2:]
+        del self.levels[-2:]
+        self.levels.append(self._sorted(np.concatenate((a[0], b[0])), np.concatenate((a[1], b[1])), (a[2], b[2]), len(a[0])))
 
-    def closed(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def least(self) -> list[np.ndarray]:
+        """The least key of each string of each batch, after all levels have met."""
         while len(self.levels) > 1:
             self._merge()
-        return tuple(self.levels[0])
-
-
-def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-    """For each block of a partition, its anchors that stand in two documents or more, with a bit for hot ones."""
-    batches = [(b, _from_five(x)) for b, x in sorted(zip(pdf["block"], pdf["blob"], strict=True))]
-    levels = Levels()
-    for _, word in batches:
-        levels.add(word >> np.uint64(1), (word & np.uint64(1)) > 0)
-    mark, met, count = levels.closed()
-    hot = count[met] > HOT_BLOCKS
-    mark = mark[met]
-    out = []
-    for b, word in batches:
-        own = word >> np.uint64(1)
-        at = np.minimum(np.searchsorted(mark, own), max(len(mark) - 1, 0))
-        is_met = mark[at] == own if len(mark) else np.zeros(len(own), bool)
-        if is_met.any():
-            out.append((b, _five((own[is_met] << np.uint64(1)) | hot[at[is_met]].astype(np.uint64))))
-    return pd.DataFrame(out, columns=["block", "blob"])
-
-
-def strings(n: int):
-    """The cogrouped function that sends out the bytes of the strings whose anchors met."""
-
-    def rows(texts: pd.DataFrame, met: pd.DataFrame) -> pd.DataFrame:
-        if texts.empty or met.empty:
-            return pd.DataFrame({"block": [], "part": [], "blob": [], "kind": []})
-        block = int(texts["block"].iloc[0])
-        keys, _, lengths, raw = load(texts["blob"].iloc[0])
-        buf = np.frombuffer(raw, np.uint8)
-        h = prefix_hash(buf)
-        start, many, mark, doc = anchors(h, lengths)
-        word = np.sort(np.concatenate([_from_five(x) for x in met["blob"]]))
-        known = word >> np.uint64(1)
-        at = np.minimum(np.searchsorted(known, mark), len(known) - 1)
-        ok = known[at] == mark
-        start, many, mark, doc, hot = start[ok], many[ok], mark[ok], doc[ok], (word[at[ok]] & np.uint64(1)) > 0
-        if hot.any():  # each string on its own, dealt by its own hash
-            one = spread(start[hot], many[hot])
-            own = np.repeat(doc[hot], many[hot])
-            start, doc = np.concatenate((start[~hot], one)), np.concatenate((doc[~hot], own))
-            mark = np.concatenate((mark[~hot], mixed(span_hash(h, one, one + MATCH)) >> (np.uint64(64) - BITS)))
-            many = np.concatenate((many[~hot], np.ones(len(one), np.int64)))
-        # Equal bytes once, with the smallest id.
-        same = span_hash(h, start, start + many + MATCH - 1) + many.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        part = (mark % np.uint64(n)).astype(np.int64)
-        order = np.lexsort((keys[doc], same, part))
-        new = np.concatenate(([True], same[order][1:] != same[order][:-1]))
-        kind_of = np.empty(len(order), np.int64)
-        kind_of[order] = np.cumsum(new) - 1
-        first = order[new]
-        state = dump(start, many.astype(np.uint8), kind_of.astype(np.int32), keys[doc] == keys[doc[first]][kind_of])
-        edge = _by_part(part[first], n)
-        out = [(block, -1, state, "s")]
-        size = many + MATCH - 1
-        for p in np.flatnonzero(np.diff(edge)):
-            own = first[edge[p] : edge[p + 1]]
-            out.append((block, int(p), dump(keys[doc[own]], many[own].astype(np.uint8), buf[spread(start[own], size[own])]), "u"))
-        return pd.DataFrame(out, columns=["block", "part", "blob", "kind"])
+        _, keys, ranks = self.levels[0]
+        return [keys[r] for r in ranks]
 
-    return rows
 
+def strings_of(raw: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """All 50-byte strings of runs whose bytes follow each other."""
+    size = many + MATCH - 1
+    at = spread(np.cumsum(size) - size, many)
+    return np.lib.stride_tricks.sliding_window_view(raw, MATCH)[at].view(f"S{MATCH}").ravel()
 
-def resolve(pdf: pd.DataFrame) -> pd.DataFrame:
-    """For each string of a partition: is it in a document with a smaller id? A bit for each, a word for each run."""
-    got = [load(x) for x in pdf["blob"]]
-    key, many = np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got]).astype(np.int64)
-    string = []
-    for _, n, raw in got:  # block by block, as workers keep tables as long as the longest array they hashed
-        n = n.astype(np.int64)
-        begin = spread(np.cumsum(n + MATCH - 1) - (n + MATCH - 1), n)
-        string.append(span_hash(prefix_hash(raw), begin, begin + MATCH))
-    string = np.concatenate(string)
-    run = np.repeat(np.arange(len(many)), many)
-    order = np.argsort(string, kind="stable")
-    new = np.flatnonzero(np.concatenate(([True], string[order][1:] != string[order][:-1])))
-    own = key[run]
-    least = np.empty(len(own), np.int64)
-    least[order] = np.repeat(np.minimum.reduceat(own[order], new), np.diff(np.append(new, len(order))))
-    bit = (own > least).astype(np.uint64) << spread(np.zeros(len(many), np.int64), many).astype(np.uint64)
-    bits = np.add.reduceat(bit, np.cumsum(many) - many)
-    cut = np.cumsum([len(g[0]) for g in got])[:-1]
-    return pd.DataFrame({"block": pdf["block"], "part": pdf["part"], "blob": [dump(x.astype(np.uint32)) for x in np.split(bits, cut)]})
-
-
-def _before(flags: np.ndarray) -> np.ndarray:
-    """How many flags are set before each place; blocks are far smaller than 2^31 bytes."""
-    out = np.zeros(len(flags) + 1, np.int32)
-    np.cumsum(flags, out=out[1:])
-    return out
 
+def resolve(table):
+    """For each run of a partition, a bit for each string: is it in a document with a smaller id?"""
+    import pyarrow as pa
 
-def cut_out(texts: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept bytes of each document of a block."""
-    keys, null, lengths, raw = load(texts["blob"].iloc[0])
-    buf = np.frombuffer(raw, np.uint8)
-    gone = np.zeros(len(buf), bool)
-    if not found.empty:
-        start, many, kind, first = load(found.loc[found["part"] < 0, "blob"].iloc[0])
-        words = found[found["part"] >= 0].sort_values("part")
-        bits = np.concatenate([load(x)[0] for x in words["blob"]]).astype(np.uint64)
-        bits = np.where(first, bits[kind], np.uint64(0xFFFFFFFF))
-        step = np.zeros(len(buf) + MATCH + 1, np.int32)
-        for a in range(0, len(many), RUNS_AT_ONCE):  # a repetitive block has as many strings as bytes
-            n, s = many[a : a + RUNS_AT_ONCE].astype(np.int64), start[a : a + RUNS_AT_ONCE]
-            offset = spread(np.zeros(len(n), np.int64), n)
-            covered = (np.repeat(bits[a : a + RUNS_AT_ONCE], n) >> offset.astype(np.uint64)) & np.uint64(1) > 0
-            at = (np.repeat(s, n) + offset)[covered]
-            np.add.at(step, at, 1)
-            np.subtract.at(step, at + MATCH, 1)
-        np.cumsum(step, out=step)
-        gone = step[: len(buf)] > 0
-        del step
-    end = np.cumsum(lengths)
-    begin = end - lengths
-    total = _before(gone)
-    rises = gone & ~np.concatenate(([False], gone[:-1])) if len(gone) else gone
-    inner = begin[(lengths > 0)]
-    rises[inner] = gone[inner]
-    spans = _before(rises)
-    removed = total[end] - total[begin]
-    kept = [raw[b:e] if not r else buf[b:e][~gone[b:e]].tobytes() for b, e, r in zip(begin, end, removed, strict=True)]
-    return pd.DataFrame({"doc_id": pd.array(keys, dtype="Int64").copy() if not null.any() else pd.array([None if x else k for k, x in zip(keys.tolist(), null, strict=True)], dtype="Int64"), "n_bytes": lengths, "n_removed": removed, "n_spans": spans[end] - spans[begin], "kept": kept})
-
-
-def dedup(docs: DataFrame, digest: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept (binary), or with digest the SHA-256 of kept instead."""
+    table = table.sort_by("batch")
+    family, own = Family(), []
+    for keys, many, raw in zip(*(table.column(c).to_pylist() for c in ("keys", "many", "raw")), strict=True):
+        many = np.frombuffer(many, np.uint8).astype(np.int64)
+        own.append((np.repeat(np.frombuffer(keys, np.int64), many), many))
+        family.add(strings_of(np.frombuffer(raw, np.uint8), many), own[-1][0])
+    out = []
+    for (key, many), least in zip(own, family.least(), strict=True):
+        bit = (key > least).astype(np.uint32) << spread(np.zeros(len(many), np.int64), many).astype(np.uint32)
+        out.append(np.add.reduceat(bit, np.cumsum(many) - many, dtype=np.uint32).tobytes())
+    return table.select(["batch", "part"]).append_column("bits", pa.array(out, pa.binary()))
+
+
+# ---- cutting -------------------------------------------------------------------------------
+
+
+def spans(texts: Texts, side, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and document of each maximal removed run."""
+    sent = Sent(texts, side, parts)
+    words = side.filter(np.array([x is not None for x in side.column("bits").to_pylist()], bool)).sort_by("part")
+    word, _ = unblob(words.column("bits"), np.uint32)
+    bits = np.zeros(len(sent.lead), np.uint32)
+    np.bitwise_or.at(bits, sent.of[sent.order], word << sent.shift[sent.order].astype(np.uint32))
+    earlier = ~sent.first[sent.kind] | (sent.key > sent.key[sent.lead[sent.kind]])
+    bits = np.where(earlier, np.uint32(0xFFFFFFFF), bits[sent.kind])
+    full = bits & ((np.uint64(1) << sent.many.astype(U)) - U(1)).astype(np.uint32)
+    whole = full == ((np.uint64(1) << sent.many.astype(U)) - U(1))
+    some = (full > 0) & ~whole
+    n = sent.many[some]
+    place = spread(np.zeros(len(n), np.int64), n)
+    on = (np.repeat(full[some], n) >> place.astype(np.uint32)) & np.uint32(1) > 0
+    one = (np.repeat(sent.start[some], n) + place)[on]
+    start = np.concatenate((sent.start[whole], one))
+    end = np.concatenate((sent.start[whole] + sent.many[whole] + MATCH - 1, one + MATCH))
+    order = np.argsort(start, kind="stable")
+    start, end = start[order], end[order]
+    if not len(start):
+        return start, end, start
+    doc = texts.doc(start)
+    far = np.maximum.accumulate(end)
+    new = np.flatnonzero(np.concatenate(([True], (start[1:] > far[:-1]) | (doc[1:] != doc[:-1]))))
+    return start[new], far[np.append(new[1:], len(start)) - 1], doc[new]
+
+
+def _removed(table, side, parts: int):
+    """Texts, bytes removed and spans of each document, and {document: kept bytes} of those that lose some."""
+    texts = Texts(table)
+    n = len(texts.lengths)
+    if not len(side):
+        return texts, np.zeros(n, np.int64), np.zeros(n, np.int64), {}
+    start, end, doc = spans(texts, side, parts)
+    kept, (docs, edges) = {}, _dealt(doc)
+    for d, a, b in zip(docs.tolist(), edges[:-1], edges[1:], strict=True):
+        stop = int(texts.ends[d])
+        at, to = [stop - int(texts.lengths[d]), *end[a:b].tolist()], [*start[a:b].tolist(), stop]
+        kept[d] = b"".join(texts.buf[x:y].tobytes() for x, y in zip(at, to, strict=True))
+    return texts, np.bincount(doc, end - start, n).astype(np.int64), np.bincount(doc, minlength=n), kept
+
+
+def _run(docs: DataFrame, final, schema) -> DataFrame:
+    """final(table of a batch, what is known of it, number of partitions) for each batch, as a table."""
     spark = docs.sparkSession
-    n = partitions(spark)
-    blocks = materialise(to_blocks(docs, n), "blocks", "kind")
-    texts = blocks.where("kind = 't'").select("block", "part", "blob")
-    met = blocks.where("kind = 'a'").groupBy("part").applyInPandas(meet, "block long, blob binary")
-    sent = materialise(texts.groupBy("block").cogroup(met.groupBy("block")).applyInPandas(strings(n), "block long, part int, blob binary, kind string"), "strings", "kind")
-    discard(blocks, "kind=a")
-    words = materialise(sent.where("kind = 'u'").select("block", "part", "blob").groupBy("part").applyInPandas(resolve, "block long, part int, blob binary"), "bits")
-    discard(sent, "kind=u")
-    found = sent.where("kind = 's'").select("block", "part", "blob").unionByName(words)
-
-    def final(t: pd.DataFrame, f: pd.DataFrame) -> pd.DataFrame:
-        if t.empty:
-            return pd.DataFrame({"doc_id": pd.array([], dtype="Int64"), "n_bytes": [], "n_removed": [], "n_spans": [], last: []})
-        out = cut_out(t, f)
-        if digest:
-            out["kept_sha256"] = [hashlib.sha256(x).hexdigest() for x in out.pop("kept")]
-        return out
-
-    last = "kept_sha256" if digest else "kept"
-    return texts.groupBy("block").cogroup(found.groupBy("block")).applyInPandas(final, f"doc_id long, n_bytes long, n_removed long, n_spans long, {last} {'string' if digest else 'binary'}")
+    table = bucketed(to_batches(docs), "batches", "batch")
+    parts = int(table.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]) // PART_BYTES + 1
+    texts = table.drop("size")
+    bare = texts.select("batch", "doc_id", "text")
+    marks = bare.groupBy("batch").applyInArrow(anchors(parts), "batch long, part int, marks binary")
+    met = marks.groupBy("part").applyInArrow(meet, "batch long, part int, marks binary")
+    # A batch without met anchors has nothing to say, and no partition gets anything from it.
+    met_only = lambda f, empty: lambda t, m: f(t, m) if len(m) and len(t) else empty()
+    runs = materialise(bare.groupBy("batch").cogroup(met.groupBy("batch")).applyInArrow(met_only(exchange(parts), _no("digests", "keys", "state")), "batch long, part int, digests binary, keys binary, state binary"), "runs")
+    dealt = runs.where("part >= 0").select("batch", "part", "digests", "keys")
+    flags = dealt.groupBy("part").applyInArrow(first_of, "batch long, part int, flags binary, count int")
+    empty = F.lit(None).cast("binary")
+    side = runs.where("part < 0").select("batch", "part", "state", empty.alias("flags"), F.lit(0).alias("count"))
+    side = materialise(side.unionByName(flags.select("batch", "part", empty.alias("state"), "flags", "count")), "firsts")
+    discard(runs)
+    sent = bare.groupBy("batch").cogroup(side.groupBy("batch")).applyInArrow(met_only(bytes_of(parts), _no("keys", "many", "raw")), "batch long, part int, keys binary, many binary, raw binary")
+    bits = materialise(sent.groupBy("part").applyInArrow(resolve, "batch long, part int, bits binary"), "bits")
+    known = side.withColumn("bits", empty).unionByName(bits.select("batch", "part", empty.alias("state"), empty.alias("flags"), F.lit(0).alias("count"), "bits"))
+    out = materialise(texts.groupBy("batch").cogroup(known.groupBy("batch")).applyInArrow(lambda t, s: final(t, s, parts), schema), "deduplicated")
+    for x in (table, side, bits):
+        discard(x)
+    return out
+
+
+def _no(*columns: str):
+    """Makes an empty table of batch, part and binary columns."""
+
+    def make():
+        import pyarrow as pa
+
+        return pa.table({"batch": pa.array([], pa.int64()), "part": pa.array([], pa.int32()), **{c: pa.array([], pa.binary()) for c in columns}})
+
+    return make
+
+
+def dedup(docs: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each document."""
+
+    def final(table, side, parts):
+        import pyarrow as pa
+
+        texts, removed, n_spans, kept = _removed(table, side, parts)
+        begin = texts.ends - texts.lengths
+        digest = [hashlib.sha256(kept[d] if d in kept else texts.buf[a:b]).hexdigest() for d, (a, b) in enumerate(zip(begin.tolist(), texts.ends.tolist(), strict=True))]
+        return pa.table({"doc_id": table.column("doc_id").cast("int64"), "n_bytes": texts.lengths, "n_removed": removed, "n_spans": n_spans.astype(np.int64), "kept_sha256": pa.array(digest, pa.string())})
+
+    return _run(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), final, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+
+
+def cut(docs: DataFrame) -> DataFrame:
+    """docs with repeated passages cut out of text; characters that a cut splits go too."""
+    names = docs.columns
+    plain = [c if c in ("doc_id", "text") else f"x{k}" for k, c in enumerate(names)]
+    renamed = docs.toDF(*plain)
+
+    def final(table, side, parts):
+        import pyarrow as pa
+
+        _, _, _, kept = _removed(table, side, parts)
+        table = table.drop_columns(["batch"])
+        if not kept:
+            return table
+        text = table.column("text").to_pylist()
+        for d, raw in kept.items():
+            text[d] = raw.decode("utf-8", "ignore")
+        at = table.schema.get_field_index("text")
+        return table.set_column(at, table.schema.field(at), pa.array(text, table.schema.field(at).type))
+
+    out = _run(renamed, final, renamed.schema)
+    return out.toDF(*names)
 
 
 def op4_suffix_dedup(spark, sf_dir) -> DataFrame:
-    return dedup(read(spark, sf_dir, "documents", "doc_id", "text"), digest=True)
+    return dedup(read(spark, sf_dir, "documents", "doc_id", "text"))

@@ -39,10 +39,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut passages out that a document with a smaller id holds; characters that a cut splits go too. Documents left without text stay, as empty ones."""
-    cut = suffix_dedup.dedup(docs.select("doc_id", "text")).where("n_removed > 0").select("doc_id", F.try_validate_utf8(F.col("kept").cast("string")).alias("whole"), "kept")
-    text = F.when(F.col("kept").isNull(), F.col("text")).otherwise(F.coalesce("whole", F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "")))
-    out = docs.select(*COLUMNS).join(cut, "doc_id", "left").withColumn("text", text)
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    out = suffix_dedup.cut(docs.select(*COLUMNS))
+    return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ import uuid
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: White space of the word rule: blank, tab, line feed, vertical tab, form feed, carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -77,6 +78,26 @@ def discard(table: DataFrame, part: str = "") -> None:
     spark._jvm.System.gc()
 
 
+def to_batches(docs: DataFrame, batch_bytes: int) -> DataFrame:
+    """docs plus batch, a number, and size, the bytes of the text; a longer text than batch_bytes ends its batch. docs has a column text."""
+    names = [*docs.columns, "batch", "size"]
+    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in docs.schema), T.StructField("batch", T.LongType()), T.StructField("size", T.LongType())])
+
+    def numbered(stream):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        from pyspark import TaskContext
+
+        first, held = TaskContext.get().partitionId() << 32, 0
+        for rows in stream:
+            size = pc.fill_null(pc.binary_length(rows.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            end = held + np.cumsum(size)
+            held = int(end[-1]) if len(end) else held
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(first + (end - size) // batch_bytes), pa.array(size)], names=names)
+
+    return docs.mapInArrow(numbered, schema)
+
+
 def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column of an Arrow table one after the other, and the length of each; null is empty."""
     import pyarrow as pa

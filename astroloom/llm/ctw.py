@@ -12,14 +12,15 @@ bits is -score / log10(2).
 Nothing of the model passes through one task or the driver but the tables of
 depth 0 and 1, at most 257 x 256 nodes whatever the corpus:
 
-1. Blocks of some megabytes give their distinct byte strings (context and byte)
-   and distinct words with training counts, dealt into blobs: strings by the last
-   two bytes of their context, words by hash.
-2. A partition merges the strings of all blocks and computes the trees below
+1. Documents are numbered into batches of some megabytes, a table bucketed by
+   batch, so that no later step moves a text. Batches give their distinct byte
+   strings (context and byte) and distinct words with training counts, dealt into
+   blobs: strings by the last two bytes of their context, words by hash.
+2. A partition merges the strings of all batches and computes the trees below
    its contexts; sums for depth 1 and 0 are added up.
-3. A partition computes the log probability of each string, and each block gets
+3. A partition computes the log probability of each string, and each batch gets
    those of its own strings; likewise for the words' counts.
-4. A block adds up its documents.
+4. A batch adds up its documents.
 
 Words are told apart by 64-bit hash.
 
@@ -36,33 +37,34 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, dump, load, materialise, mixed, partitions, prefix_hash, read, span_hash
+from .common import bucketed, crc_mod, discard, dump, load, materialise, mixed, partitions, prefix_hash, read, span_hash, to_batches, utf8
 
 DEPTH = 5
 END = 0xFF  # no UTF-8 text holds this byte
-#: Bytes of text in a block and in a part of it, about. Blocks repeat the strings and words that they share, so few large ones move less; parts bound the arrays.
-BLOCK_BYTES, PART_BYTES = 32_000_000, 3_000_000
+#: Bytes of text in a batch and in a part of it, about. Batches repeat the strings and words that they share, so few large ones move less; parts bound the arrays.
+BATCH_BYTES, PART_BYTES = 24_000_000, 1_000_000
 U = np.uint64
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
-# ---- strings and words of a block ----------------------------------------------------------
+# ---- strings and words of a batch ----------------------------------------------------------
 
 
-def codes(buf: np.ndarray, lengths: np.ndarray, depth: int = DEPTH) -> np.ndarray:
-    """For each byte: its context from the latest byte on, then the byte itself, as a number. buf: texts, each with its end mark."""
-    x = buf.astype(U)
-    out = x.copy()
-    begin = np.cumsum(lengths) - lengths
+def codes(buf: np.ndarray, ends: np.ndarray, a: int, b: int, depth: int = DEPTH) -> np.ndarray:
+    """For each byte of buf[a:b]: its context from the latest byte on, then the byte itself, as a number. buf: texts, each with its end mark; ends: where they end."""
+    out = buf[a:b].astype(U)
+    begin = np.concatenate(([0], ends[:-1]))
+    begin = begin[(begin > a - depth) & (begin < b)]
     for d in range(1, depth + 1):
-        before = np.empty_like(x)
-        before[:d] = END
-        before[d:] = x[:-d]
+        before = np.full(b - a, END, U)
+        low = max(a - d, 0)
+        if b - d > low:
+            before[low - (a - d) :] = buf[low : b - d]
         for k in range(d):  # contexts don't reach into the text before
-            at = begin[lengths > k] + k
-            before[at] = END
+            at = begin + k
+            before[at[(at >= a) & (at < b)] - a] = END
         out |= before << U(8 * (depth + 1 - d))
     return out
 
@@ -76,12 +78,25 @@ def _counted(values: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndar
     return every, count
 
 
-def _parts(lengths: np.ndarray, limit: int | None = None):
-    """(documents, bytes) of consecutive parts of a block, as slices; no document is cut."""
-    end = np.cumsum(lengths)
-    cut = np.flatnonzero(np.diff((end - lengths) // (limit or PART_BYTES))) + 1
-    for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(lengths)], strict=True):
-        yield slice(a, b), slice(int(end[a] - lengths[a]), int(end[b - 1]))
+def _parts(buf: np.ndarray, ends: np.ndarray, limit: int | None = None):
+    """Consecutive ranges (a, b) of a batch; one ends with a document or, in a longer one, after a blank, so no word is cut."""
+    limit, a = limit or PART_BYTES, 0
+    while a < len(buf):
+        b = min(a + limit, len(buf))
+        last = int(ends[max(int(np.searchsorted(ends, b, "right")) - 1, 0)])
+        if a < last <= b:
+            b = last
+        else:
+            stop = int(ends[np.searchsorted(ends, a, "right")])
+            blank = np.flatnonzero(_SPACE[buf[a:b]])
+            b = a + int(blank[-1]) + 1 if len(blank) else next((k + 1 for k in range(b, stop) if _SPACE[buf[k]]), stop)
+        yield a, b
+        a = b
+
+
+def _share(ends: np.ndarray, a: int, b: int) -> np.ndarray:
+    """How many bytes of each document lie in a range."""
+    return np.diff(np.clip(ends, a, b), prepend=a)
 
 
 def _united(got: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -95,14 +110,14 @@ def _united(got: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.nd
     return values[new], np.add.reduceat(counts, new) if len(new) else counts
 
 
-def _words(buf: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, text number) of each word. The end mark counts as blank here; ends are counted by themselves."""
-    blank = _SPACE[buf]
-    blank[np.cumsum(lengths) - 1] = True
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], blank)).view(np.int8)))
+def _words(buf: np.ndarray, ends: np.ndarray, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text number) of each word of buf[a:b]. The end mark counts as blank here; ends are counted by themselves."""
+    blank = _SPACE[buf[a:b]]
+    blank[ends[(ends > a) & (ends <= b)] - 1 - a] = True
+    edge = np.flatnonzero(np.diff(np.concatenate(([True], blank, [True])).view(np.int8)))
     start, end = edge[0::2], edge[1::2]
-    h = prefix_hash(buf)
-    return mixed(span_hash(h, start, end) ^ ((end - start).astype(U) << U(32))), np.searchsorted(np.cumsum(lengths), start, "right")
+    h = prefix_hash(buf[a:b])
+    return mixed(span_hash(h, start, end) ^ ((end - start).astype(U) << U(32))), np.searchsorted(ends, a + start, "right")
 
 
 def _dealt(part: np.ndarray, n: int):
@@ -116,51 +131,39 @@ def part_of(code: np.ndarray, n: int, depth: int = DEPTH) -> np.ndarray:
     return (mixed(code >> U(8 * (depth - 1))) % U(n)).astype(np.int64)
 
 
-def to_blocks(docs: DataFrame, n: int, depth: int = DEPTH) -> DataFrame:
-    """Rows (block, part, blob, kind): t the texts of a block, s its strings and w its words for a partition. docs: doc_id, text, held_out."""
-
-    def rows(batches):
-        from pyspark import TaskContext
-
-        task, made, held = TaskContext.get().partitionId(), 0, []
-
-        def block():
-            nonlocal made, held
-            number, made = (task << 24) + made, made + 1
-            raw = [r for _, r, _ in held]
-            out = np.array([o for _, _, o in held], bool)
-            null = np.array([i is None for i, _, _ in held])
-            ids = np.array([0 if i is None else i for i, _, _ in held], np.int64)
-            lengths = np.array([len(r) for r in raw], np.int64)
-            joined = b"".join(raw)
-            held = []
-            yield pd.DataFrame({"block": [number], "part": [-1], "blob": [dump(ids, null, out, lengths, joined)], "kind": ["t"]})
-            buf = np.frombuffer(joined, np.uint8)
-            every, count = _united([_counted(codes(buf[y], lengths[x], depth), np.repeat(~out[x], lengths[x])) for x, y in _parts(lengths)])
-            got = list(_dealt(part_of(every, n, depth), n))
-            yield pd.DataFrame({"block": number, "part": [p for p, _ in got], "blob": [dump(np.diff(every[at], prepend=U(0)), count[at]) for _, at in got], "kind": "s"})
-            words = []
-            for x, y in _parts(lengths):
-                word, doc = _words(buf[y], lengths[x])
-                words.append(_counted(word, ~out[x][doc]))
-            every, count = _united(words)
-            got = list(_dealt((every % U(n)).astype(np.int64), n))
-            if got:
-                yield pd.DataFrame({"block": number, "part": [p for p, _ in got], "blob": [dump(every[at], count[at]) for _, at in got], "kind": "w"})
-
-        size = 0
-        for pdf in batches:
-            for doc_id, text, out in zip(pdf["doc_id"].array, pdf["text"].array, pdf["held_out"].array, strict=True):
-                raw = (text.encode("utf-8", "replace").lower() if isinstance(text, str) else b"") + bytes([END])
-                held.append((None if doc_id is None or doc_id != doc_id or doc_id is pd.NA else int(doc_id), raw, bool(out)))
-                size += len(raw)
-                if size >= BLOCK_BYTES:
-                    yield from block()
-                    size = 0
-        if held:
-            yield from block()
-
-    return docs.select("doc_id", "text", "held_out").mapInPandas(rows, "block long, part int, blob binary, kind string")
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def _texts(table) -> tuple[np.ndarray, np.ndarray]:
+    """The lower-case bytes of a batch, each text with its end mark, and their lengths."""
+    raw, lengths = utf8(table.column("text"))
+    lengths = lengths + 1
+    buf = np.full(len(raw) + len(lengths), END, np.uint8)
+    inner = np.ones(len(buf), bool)
+    inner[np.cumsum(lengths) - 1] = False
+    buf[inner] = _LOWER[raw]
+    return buf, lengths
+
+
+def gather(n: int, depth: int = DEPTH):
+    """The grouped function that gives rows (batch, part, blob, kind): s the strings and w the words of a batch for a partition."""
+
+    def rows(table):
+        import pyarrow as pa
+
+        buf, lengths = _texts(table)
+        train = ~table.column("held_out").to_numpy().astype(bool)
+        batch, out = table.column("batch")[0].as_py(), []
+        ends = np.cumsum(lengths)
+        every, count = _united([_counted(codes(buf, ends, a, b, depth), np.repeat(train, _share(ends, a, b))) for a, b in _parts(buf, ends)])
+        out += [(p, dump(np.diff(every[at], prepend=U(0)), count[at]), "s") for p, at in _dealt(part_of(every, n, depth), n)]
+        every, count = _united([_counted(word, train[doc]) for a, b in _parts(buf, ends) for word, doc in [_words(buf, ends, a, b)]])
+        out += [(p, dump(every[at], count[at]), "w") for p, at in _dealt((every % U(n)).astype(np.int64), n)]
+        part, blob, kind = zip(*out, strict=True)
+        return pa.table({"batch": pa.array([batch] * len(out), pa.int64()), "part": pa.array(part, pa.int32()), "blob": pa.array(blob, pa.binary()), "kind": pa.array(kind, pa.string())})
+
+    return rows
 
 
 # ---- trees ---------------------------------------------------------------------------------
@@ -302,12 +305,12 @@ def look_up(sorted_keys: np.ndarray, values: np.ndarray, query: np.ndarray) -> n
     return out
 
 
-def _gathered(blobs: pd.DataFrame, part: np.ndarray, dtype) -> np.ndarray:
-    """What the partitions say about a block's own distinct keys, in the order of those keys. part: the partition of each."""
+def _gathered(blobs: list[tuple[int, bytes]], part: np.ndarray, dtype) -> np.ndarray:
+    """What the partitions say about a batch's own distinct keys, in the order of those keys. part: the partition of each."""
     out = np.zeros(len(part), dtype)
     order = np.argsort(part, kind="stable")
     edge = np.searchsorted(part[order], np.arange(int(part.max()) + 2 if len(part) else 1))
-    for p, b in zip(blobs["part"], blobs["blob"], strict=True):
+    for p, b in blobs:
         out[order[edge[p] : edge[p + 1]]] = load(b)[0]
     return out
 
@@ -316,8 +319,9 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     """docs: doc_id, text, held_out. Result: the columns of op2 for each row."""
     spark = docs.sparkSession
     n = partitions(spark)
-    blocks = materialise(to_blocks(docs, n, depth), "ctw", "kind")
-    of = lambda kind: blocks.where(F.col("kind") == kind).select("block", "part", "blob")
+    texts = bucketed(to_batches(docs.select("doc_id", "text", "held_out"), BATCH_BYTES).drop("size"), "ctw", "batch")
+    gathered = materialise(texts.select("batch", "text", "held_out").groupBy("batch").applyInArrow(gather(n, depth), "batch long, part int, blob binary, kind string"), "strings", "kind")
+    of = lambda kind: gathered.where(F.col("kind") == kind).select("batch", "part", "blob")
 
     def sums(pdf):
         return Trees(*_united([_strings(b) for b in pdf["blob"]]), depth).sums()
@@ -329,44 +333,50 @@ def score(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         got = [_strings(b) for b in pdf["blob"]]
         every, count = _united(got)
         value = Trees(every, count, depth).log10(tables).astype(np.float32)
-        return pd.DataFrame({"block": pdf["block"], "part": pdf["part"], "blob": [dump(value[np.searchsorted(every, v)]) for v, _ in got], "kind": "s", "known": 0, "total": 0})
+        return pd.DataFrame({"batch": pdf["batch"], "part": pdf["part"], "blob": [dump(value[np.searchsorted(every, v)]) for v, _ in got], "kind": "s", "known": 0, "total": 0})
 
     def word_values(pdf):
         got = [load(b) for b in pdf["blob"]]
         every, count = _united(got)
-        return pd.DataFrame({"block": pdf["block"], "part": pdf["part"], "blob": [dump(count[np.searchsorted(every, own)].astype(np.uint32)) for own, _ in got], "kind": "w", "known": [int((count > 0).sum())] + [0] * (len(pdf) - 1), "total": [int(count.sum())] + [0] * (len(pdf) - 1)})
+        return pd.DataFrame({"batch": pdf["batch"], "part": pdf["part"], "blob": [dump(count[np.searchsorted(every, own)].astype(np.uint32)) for own, _ in got], "kind": "w", "known": [int((count > 0).sum())] + [0] * (len(pdf) - 1), "total": [int(count.sum())] + [0] * (len(pdf) - 1)})
 
-    out_schema = "block long, part int, blob binary, kind string, known long, total long"
+    out_schema = "batch long, part int, blob binary, kind string, known long, total long"
     words = materialise(of("w").groupBy("part").applyInPandas(word_values, out_schema), "words")
     known, total = words.agg(F.coalesce(F.sum("known"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).first()
-    ends = docs.agg(F.count_if(~F.col("held_out"))).first()[0]
-    train_tokens, distinct = total + ends, known + (ends > 0)
+    ends_seen = texts.agg(F.count_if(~F.col("held_out"))).first()[0]
+    train_tokens, distinct = total + ends_seen, known + (ends_seen > 0)
     values = of("s").groupBy("part").applyInPandas(string_values, out_schema).unionByName(words)
 
-    def final(t: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
-        if t.empty:
-            return pd.DataFrame({c: [] for c in ("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "n_bytes")})
-        ids, null, out, lengths, joined = load(t["blob"].iloc[0])
-        buf = np.frombuffer(joined, np.uint8)
-        own = lambda y, x: codes(buf[y], lengths[x], depth)
-        strings = _united([(k, k) for k in (np.unique(own(y, x)) for x, y in _parts(lengths))])[0]
-        value = _gathered(v[v["kind"] == "s"], part_of(strings, n, depth), np.float32)
-        word_of = [_words(buf[y], lengths[x]) for x, y in _parts(lengths)]
-        words = np.unique(np.concatenate([w for w, _ in word_of]))
-        count = _gathered(v[v["kind"] == "w"], (words % U(n)).astype(np.int64), np.uint32)
+    def final(table, v):
+        import pyarrow as pa
+
+        buf, lengths = _texts(table)
+        kind, part, blob = (v.column(c).to_pylist() for c in ("kind", "part", "blob"))
+        ends = np.cumsum(lengths)
+        strings = _united([(k, k) for k in (np.unique(codes(buf, ends, a, b, depth)) for a, b in _parts(buf, ends))])[0]
+        value = _gathered([(p, x) for k, p, x in zip(kind, part, blob, strict=True) if k == "s"], part_of(strings, n, depth), np.float32)
+        words = _united([(k, k) for k in (np.unique(_words(buf, ends, a, b)[0]) for a, b in _parts(buf, ends))])[0]
+        count = _gathered([(p, x) for k, p, x in zip(kind, part, blob, strict=True) if k == "w"], (words % U(n)).astype(np.int64), np.uint32)
         lg = lambda c: np.log10((c + 1.0) / (train_tokens + distinct + 1.0))
-        scores, base, n_tokens, n_known = (np.zeros(len(ids), k) for k in (float, float, np.int64, np.int64))
-        for (x, y), (word, doc) in zip(_parts(lengths), word_of, strict=True):
-            k = x.stop - x.start
-            scores[x] = np.add.reduceat(look_up(strings, value, own(y, x)).astype(float), np.cumsum(lengths[x]) - lengths[x])
+        k = len(lengths)
+        scores, base = np.zeros(k), np.full(k, lg(ends_seen))
+        n_tokens, n_known = np.ones(k, np.int64), np.full(k, int(ends_seen > 0), np.int64)
+        for a, b in _parts(buf, ends):
+            share = _share(ends, a, b)
+            some = np.flatnonzero(share)
+            scores[some] += np.add.reduceat(look_up(strings, value, codes(buf, ends, a, b, depth)).astype(float), np.cumsum(share[some]) - share[some])
+            word, doc = _words(buf, ends, a, b)
             c = look_up(words, count, word).astype(float)
-            base[x] = np.bincount(doc, lg(c), k) + lg(ends)
-            n_tokens[x] = np.bincount(doc, minlength=k) + 1
-            n_known[x] = np.bincount(doc, c > 0, k).astype(np.int64) + int(ends > 0)
-        return pd.DataFrame({"doc_id": pd.array([None if x else i for i, x in zip(ids.tolist(), null, strict=True)], dtype="Int64"), "held_out": out, "n_tokens": n_tokens, "n_known": n_known, "base_score": base, "score": scores, "n_bytes": lengths})
-
-    done = of("t").groupBy("block").cogroup(values.groupBy("block")).applyInPandas(final, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long")
-    return done.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score", (-F.col("score") / F.log10(F.lit(2.0)) / F.col("n_bytes")).alias("bits_per_byte"))
+            base += np.bincount(doc, lg(c), k)
+            n_tokens += np.bincount(doc, minlength=k)
+            n_known += np.bincount(doc, c > 0, k).astype(np.int64)
+        return pa.table({"doc_id": table.column("doc_id"), "held_out": table.column("held_out"), "n_tokens": n_tokens, "n_known": n_known, "base_score": base, "score": scores, "n_bytes": lengths})
+
+    done = texts.groupBy("batch").cogroup(values.groupBy("batch")).applyInArrow(final, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_bytes long")
+    out = materialise(done.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score", (-F.col("score") / F.log10(F.lit(2.0)) / F.col("n_bytes")).alias("bits_per_byte")), "scores")
+    for x in (texts, gathered, words):
+        discard(x)
+    return out
 
 
 def op2_ctw(spark, sf_dir) -> DataFrame:

@@ -38,9 +38,8 @@ import hashlib
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import blobs, bucketed, discard, dump, load, materialise, mixed, partitions, powers, prefix_hash, read, spread, unblob, utf8
+from .common import blobs, bucketed, discard, dump, load, materialise, mixed, powers, prefix_hash, read, spread, to_batches, unblob, utf8
 
 MATCH, GRAM = 50, 20
 #: Bytes of text in a batch, and for each partition of anchors, about.
@@ -57,26 +56,6 @@ WORD = U((1 << 31) - 1)
 # ---- batches, anchors and runs -------------------------------------------------------------
 
 
-def to_batches(docs: DataFrame) -> DataFrame:
-    """docs plus batch, a number, and size, the bytes of the text. docs has a column text."""
-    names = [*docs.columns, "batch", "size"]
-    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in docs.schema), T.StructField("batch", T.LongType()), T.StructField("size", T.LongType())])
-
-    def numbered(stream):
-        import pyarrow as pa
-        import pyarrow.compute as pc
-        from pyspark import TaskContext
-
-        first, held = TaskContext.get().partitionId() << 32, 0
-        for rows in stream:
-            size = pc.fill_null(pc.binary_length(rows.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            end = held + np.cumsum(size)
-            held = int(end[-1]) if len(end) else held
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(first + (end - size) // BATCH_BYTES), pa.array(size)], names=names)
-
-    return docs.mapInArrow(numbered, schema)
-
-
 class Texts:
     """The texts of a batch: bytes, ends of documents, and their ids as keys of comparison."""
 
@@ -400,7 +379,7 @@ def _removed(table, side, parts: int):
 def _run(docs: DataFrame, final, schema) -> DataFrame:
     """final(table of a batch, what is known of it, number of partitions) for each batch, as a table."""
     spark = docs.sparkSession
-    table = bucketed(to_batches(docs), "batches", "batch")
+    table = bucketed(to_batches(docs, BATCH_BYTES), "batches", "batch")
     parts = int(table.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]) // PART_BYTES + 1
     texts = table.drop("size")
     bare = texts.select("batch", "doc_id", "text")
@@ -435,18 +414,20 @@ def _no(*columns: str):
     return make
 
 
-def dedup(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each document."""
+def dedup(docs: DataFrame, digest: bool = False) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and kept (binary), or with digest the SHA-256 of kept instead."""
 
     def final(table, side, parts):
         import pyarrow as pa
 
         texts, removed, n_spans, kept = _removed(table, side, parts)
         begin = texts.ends - texts.lengths
-        digest = [hashlib.sha256(kept[d] if d in kept else texts.buf[a:b]).hexdigest() for d, (a, b) in enumerate(zip(begin.tolist(), texts.ends.tolist(), strict=True))]
-        return pa.table({"doc_id": table.column("doc_id").cast("int64"), "n_bytes": texts.lengths, "n_removed": removed, "n_spans": n_spans.astype(np.int64), "kept_sha256": pa.array(digest, pa.string())})
+        held = (kept[d] if d in kept else texts.buf[a:b] for d, (a, b) in enumerate(zip(begin.tolist(), texts.ends.tolist(), strict=True)))
+        last = {"kept_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in held], pa.string())} if digest else {"kept": pa.array([bytes(x) for x in held], pa.binary())}
+        return pa.table({"doc_id": table.column("doc_id").cast("int64"), "n_bytes": texts.lengths, "n_removed": removed, "n_spans": n_spans.astype(np.int64), **last})
 
-    return _run(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), final, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    last = "kept_sha256 string" if digest else "kept binary"
+    return _run(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), final, f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}")
 
 
 def cut(docs: DataFrame) -> DataFrame:
@@ -473,4 +454,4 @@ def cut(docs: DataFrame) -> DataFrame:
 
 
 def op4_suffix_dedup(spark, sf_dir) -> DataFrame:
-    return dedup(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return dedup(read(spark, sf_dir, "documents", "doc_id", "text"), digest=True)

@@ -12,8 +12,10 @@ only strings whose anchor stands in two documents can repeat.
 3. A run is the neighbouring strings with one such anchor, with the bytes under
    them. Batches exchange 96-bit digests of their runs: the
    same run in a document with a smaller id settles all its strings, so the bytes
-   of a run travel from the document with the least id alone. Nothing grows with
-   the number of copies but one digest for each batch.
+   of a run travel from the document with the least id alone, and only if another
+   run has the same anchor and the same 15 bytes before or after it, by 16-bit
+   mark: a string holds one of the two. Nothing grows with the number of copies
+   but one digest for each batch.
 4. Those bytes go to the partition of their anchor; anchors that very many
    batches hold are dealt by string. In a partition each batch gets a suffix
    array, its strings in order of their 50 bytes; arrays of like size are
@@ -39,7 +41,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blobs, bucketed, discard, dump, load, materialise, mixed, powers, prefix_hash, read, spread, to_batches, unblob, utf8
+from .common import blobs, bucketed, discard, dump, load, materialise, mixed, powers, prefix_hash, read, span_hash, spread, to_batches, unblob, utf8
 
 MATCH, GRAM = 50, 20
 #: Bytes of text in a batch, and for each partition of anchors, about.
@@ -51,6 +53,9 @@ HOT_BATCHES = 64
 LAST = np.iinfo(np.int64).max
 U = np.uint64
 WORD = U((1 << 31) - 1)
+BESIDE = (MATCH - GRAM) // 2
+#: What is exchanged of a run: digest, anchor with a bit for hot ones, and marks of both sides.
+DIGEST = np.dtype([("a", "<u8"), ("b", "<u4"), ("word", "<u4"), ("left", "<u2"), ("right", "<u2")])
 
 
 # ---- batches, anchors and runs -------------------------------------------------------------
@@ -70,21 +75,27 @@ class Texts:
         return np.searchsorted(self.ends, start, "right")
 
     def runs(self):
-        """(start, strings, hash of the anchor) of all runs, window by window."""
+        """(start, strings, hash of the anchor, marks of what stands before and after it) of all runs, window by window."""
         for a in range(0, max(len(self.buf) - MATCH + 1, 0), WINDOW):
             own = self.buf[a : a + WINDOW + MATCH - 1]
             n = len(own) - MATCH + 1
             cut = np.clip(self.ends, a, a + n)
             inside = a + np.arange(MATCH, MATCH + n) <= np.repeat(self.ends, np.diff(cut, prepend=a))
-            start, many, mark = _runs(own, inside)
-            yield a + start, many, mark
+            start, many, mark, left, right = _runs(own, inside)
+            yield a + start, many, mark, left, right
 
 
-def _runs(own: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _side(h: np.ndarray, start: np.ndarray, ok: np.ndarray) -> np.ndarray:
+    """16 bits of the BESIDE bytes from start, never 0; 0 where not ok."""
+    start = np.where(ok, start, 0)
+    x = mixed(span_hash(h, start, start + BESIDE)) % U(65535) + U(1)
+    return np.where(ok, x, U(0)).astype(np.uint16)
+
+
+def _runs(own: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, ...]:
     h = prefix_hash(own)
     x = h[GRAM:] - h[:-GRAM]
     x *= powers(len(h))[1][: len(x)]
-    del h
     x = mixed(x)
     least = ((x >> U(20)) << U(20)) | np.arange(len(x), dtype=U)
     width, have = MATCH - GRAM + 1, 1
@@ -97,7 +108,10 @@ def _runs(own: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     other = at[1:] != at[:-1]
     start = np.flatnonzero(inside & np.concatenate(([True], other | ~inside[:-1])))
     end = np.flatnonzero(inside & np.concatenate((other | ~inside[1:], [True])))
-    return start, end - start + 1, x[at[start]]
+    anchor = at[start].astype(np.int64)
+    # A string holds BESIDE bytes before its anchor or as many after it; a run tells of a side if one of its strings does.
+    left, right = _side(h, anchor - BESIDE, anchor - start >= BESIDE), _side(h, anchor + GRAM, anchor - end < BESIDE)
+    return start, end - start + 1, x[anchor], left, right
 
 
 def _place(mark: np.ndarray, parts: int) -> np.ndarray:
@@ -132,7 +146,7 @@ def anchors(parts: int):
 
     def rows(table):
         texts = Texts(table)
-        found = [(_place(mark, parts), texts.key[texts.doc(start)]) for start, _, mark in texts.runs()]
+        found = [(_place(mark, parts), texts.key[texts.doc(start)]) for start, _, mark, _, _ in texts.runs()]
         place, key = (np.concatenate([f[k] for f in found] or [np.zeros(0, d)]) for k, d in ((0, U), (1, np.int64)))
         order = np.lexsort((key, place))
         place, key = place[order], key[order]
@@ -177,43 +191,62 @@ def exchange(parts: int):
         known, hot = known[order], (word & np.uint32(1)).astype(bool)[order]
         got = []
         view = memoryview(np.ascontiguousarray(texts.buf))
-        for start, n, mark in texts.runs():
+        for start, n, mark, left, right in texts.runs():
             place = _place(mark, parts)
             at = np.minimum(np.searchsorted(known, place), len(known) - 1)
             ok = known[at] == place
             start, n, place, at = start[ok], n[ok], place[ok], at[ok]
             digest = b"".join([xxh3_128_digest(view[s:e]) for s, e in zip(start.tolist(), (start + n + MATCH - 1).tolist(), strict=True)])
-            got.append((start, n.astype(np.uint8), (place >> U(31)).astype(np.uint32), hot[at], np.frombuffer(digest, np.dtype([("a", "<u8"), ("b", "<u4"), ("c", "<u4")]))))
-        start, n, home, hot, digest = (np.concatenate(x) for x in zip(*got, strict=True))
-        key, to = texts.key[texts.doc(start)], digest["a"] % U(parts)
+            full = np.frombuffer(digest, np.dtype([("a", "<u8"), ("b", "<u4"), ("c", "<u4")]))
+            own = np.empty(len(start), DIGEST)
+            own["a"], own["b"], own["left"], own["right"] = full["a"], full["b"], left[ok], right[ok]
+            own["word"] = (place & WORD) | (hot[at].astype(U) << U(31))
+            got.append((start, n.astype(np.uint8), (place >> U(31)).astype(np.uint32), own))
+        start, n, home, digest = (np.concatenate(x) for x in zip(*got, strict=True))
+        hot = digest["word"] >> np.uint32(31) > 0
+        key, to = texts.key[texts.doc(start)], np.where(hot, digest["a"] % U(parts), home.astype(U))
         order = np.lexsort((key, digest["b"], digest["a"], to))
         new = _new(digest["a"][order], digest["b"][order])
         kind = np.empty(len(order), np.uint32)
         kind[order] = np.repeat(np.arange(len(new), dtype=np.uint32), np.diff(np.append(new, len(order))))
         lead = order[new]
         part, edges = _dealt(to[lead])
-        short = np.empty(len(lead), np.dtype([("a", "<u8"), ("b", "<u4")]))
-        short["a"], short["b"] = digest["a"][lead], digest["b"][lead]
         empty = np.zeros(2, np.int64)
         state = dump(start.astype(np.uint32), n, kind, lead.astype(np.uint32), home[lead], hot[lead])
         held = _rows(batch, np.array([-1]), digests=blobs(empty, np.zeros(0, np.uint8)), keys=blobs(empty, np.zeros(0, np.uint8)), state=pa.array([state], pa.binary()))
-        dealt = _rows(batch, part, digests=blobs(edges, short), keys=blobs(edges, key[lead]), state=pa.nulls(len(part), pa.binary()))
+        dealt = _rows(batch, part, digests=blobs(edges, digest[lead]), keys=blobs(edges, key[lead]), state=pa.nulls(len(part), pa.binary()))
         return pa.concat_tables([held, dealt])
 
     return rows
 
 
+def _met(*keys: np.ndarray) -> np.ndarray:
+    """Which rows agree with another one in all keys, the last key not being 0."""
+    order = np.lexsort(keys)
+    new = _new(*(k[order] for k in keys))
+    size = np.diff(np.append(new, len(order)))
+    out = np.empty(len(order), bool)
+    out[order] = np.repeat(size > 1, size)
+    return out & (keys[-1] > 0)
+
+
 def first_of(table):
-    """For each batch of a partition, a bit for each of its runs: does the document with the least id that has it stand in the batch?"""
+    """Two bits for each run that a batch tells a partition of: does the document with the least id that has it stand in the batch,
+    and if so, can a string of it stand in another run, as both have an anchor and one side in common? Hot ones always can."""
     import pyarrow as pa
 
-    digest, many = unblob(table.column("digests"), np.dtype([("a", "<u8"), ("b", "<u4")]))
+    digest, many = unblob(table.column("digests"), DIGEST)
     key, _ = unblob(table.column("keys"), np.int64)
     order = np.lexsort((digest["b"], digest["a"]))
     new = _new(digest["a"][order], digest["b"][order])
-    first = np.empty(len(key), bool)
-    first[order] = key[order] == np.repeat(np.minimum.reduceat(key[order], new), np.diff(np.append(new, len(key))))
-    flags = [np.packbits(x).tobytes() for x in np.split(first, np.cumsum(many)[:-1])]
+    size = np.diff(np.append(new, len(order)))
+    kind = digest[order[new]]
+    near = (kind["word"] >> np.uint32(31) > 0) | _met(kind["word"], kind["left"]) | _met(kind["word"], kind["right"])
+    first, needed = np.empty(len(key), bool), np.empty(len(key), bool)
+    first[order] = key[order] == np.repeat(np.minimum.reduceat(key[order], new), size)
+    needed[order] = np.repeat(near, size)
+    edges = np.cumsum(many)[:-1]
+    flags = [np.packbits(np.concatenate(x)).tobytes() for x in zip(np.split(first, edges), np.split(first & needed, edges), strict=True)]
     return table.select(["batch", "part"]).append_column("flags", pa.array(flags, pa.binary())).append_column("count", pa.array(many.astype(np.int32)))
 
 
@@ -227,8 +260,9 @@ class Sent:
         self.key = texts.key[texts.doc(self.start)]
         flags = side.filter(np.array([x is not None for x in side.column("flags").to_pylist()], bool)).sort_by("part")
         counts = flags.column("count").to_numpy()
-        self.first = np.concatenate([np.unpackbits(np.frombuffer(f, np.uint8), count=n) for f, n in zip(flags.column("flags").to_pylist(), counts, strict=True)]).astype(bool)
-        own = np.flatnonzero(self.first)
+        both = [np.unpackbits(np.frombuffer(f, np.uint8), count=2 * n).astype(bool).reshape(2, n) for f, n in zip(flags.column("flags").to_pylist(), counts, strict=True)]
+        self.first, needed = np.concatenate(both, axis=1)
+        own = np.flatnonzero(needed)
         cold, warm = own[~hot[own]], own[hot[own]]
         n = self.many[self.lead[warm]]
         one = spread(self.start[self.lead[warm]], n)
@@ -255,6 +289,8 @@ def bytes_of(parts: int):
         texts = Texts(table)
         sent = Sent(texts, side, parts)
         part, edges = _dealt(sent.part)
+        if not len(part):
+            return _no("keys", "many", "raw")()
         at, strings = sent.at[sent.order], sent.strings[sent.order]
         size = strings + MATCH - 1
         key = sent.key[sent.lead[sent.of[sent.order]]]

@@ -8,7 +8,7 @@
    sampled position share a bucket. Buckets of up to LIMIT documents are compared
    by brute force on the sketches, larger ones split again on positions sampled
    for that bucket. After LEVELS levels what is still large is compared in pairs of
-   small chunks, each a group of its own: exact, and no group grows.
+   chunks, each a group of its own: exact, and no group grows.
    RUNS runs bring a pair of similarity 0.8 to a recall over 0.999.
 3. A pair belongs to the least node that both documents reached, and is looked at
    there alone. Buckets name the documents that have such a pair with sketches
@@ -39,7 +39,11 @@ from pyspark.sql import functions as F
 from .common import chunks, discard, materialise, mixed, partitions, powers, prefix_hash, read, span_hash, spread
 
 WORDS, SIMILARITY = 5, 0.8
-BINS, RUNS, LEVELS, LIMIT, CHUNK = 128, 16, 3, 200, 160
+BINS, RUNS, LEVELS, LIMIT = 128, 16, 3, 200
+#: Documents and shingles in a chunk of a bucket that stays large: a document is sent out once for each chunk, so few large ones move less.
+CHUNK, CHUNK_SHINGLES = 1000, 1_000_000
+#: Documents compared at once within a group, so that arrays stay small.
+BLOCK = 250
 #: Share of positions sampled at a node: 1 / (similarity * BINS).
 SHARE = 1 / (SIMILARITY * BINS)
 #: Pairs of sets of FEW shingles or more whose sketches agree in fewer positions than AGREE aren't verified; 4.5 standard deviations under the similarity.
@@ -137,16 +141,17 @@ def buckets(reps: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     rng = np.random.default_rng(7)
     first = [(r, int(i)) for r in range(RUNS) for i in np.flatnonzero(rng.random(BINS) < SHARE)]
     keys = F.array(*(F.xxhash64(F.lit(r), F.lit(i), F.get("sketch", F.lit(i))) for r, i in first))
-    rows = reps.where("n > 0").select("doc", "a", F.explode_outer(keys).alias("key")).where("key is not null")
+    rows = reps.where("n > 0").select("doc", "a", "n", F.explode_outer(keys).alias("key")).where("key is not null")
     done, tables = [], []
+    small = (F.col("size") <= LIMIT) & (F.col("weight") <= 2 * CHUNK_SHINGLES)
     for level in range(1, LEVELS + 1):
-        count = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+        count = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight")).where("size > 1")
         sized = materialise(rows.join(count, "key"), f"level{level}")
         tables.append(sized)
-        done.append(sized.where(F.col("size") <= LIMIT).select("key", F.col("key").alias("node"), F.lit(0).alias("side"), "doc", "a"))
-        large = sized.where(F.col("size") > LIMIT)
+        done.append(sized.where(small).select("key", F.col("key").alias("node"), F.lit(0).alias("side"), "doc", "a"))
+        large = sized.where(~small)
         if level == LEVELS:
-            g = F.ceil(F.col("size") / CHUNK).cast("int")
+            g = F.greatest(F.ceil(F.col("size") / CHUNK), F.ceil(F.col("weight") / CHUNK_SHINGLES)).cast("int")
             mine = F.pmod(F.xxhash64("doc", "key"), F.col("g")).cast("int")
             dealt = large.withColumn("g", g).withColumn("c", mine).select("key", "doc", "a", "c", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("o"))
             side = F.when(F.col("c") == F.col("o"), 0).when(F.col("c") < F.col("o"), 1).otherwise(2)
@@ -154,9 +159,9 @@ def buckets(reps: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         elif large.isEmpty():
             break
         else:
-            deeper = large.select("key", "doc", "a").join(reps.select("doc", "a", "sketch"), ["doc", "a"])
+            deeper = large.select("key", "doc", "a").join(reps.select("doc", "a", "n", "sketch"), ["doc", "a"])
             nxt = F.transform(_sampled(F.col("key")), lambda i: F.xxhash64("key", i, F.get("sketch", i)))
-            rows = deeper.select("doc", "a", F.explode_outer(nxt).alias("key")).where("key is not null")
+            rows = deeper.select("doc", "a", "n", F.explode_outer(nxt).alias("key")).where("key is not null")
     out = done[0]
     for x in done[1:]:
         out = out.unionByName(x)
@@ -177,14 +182,32 @@ def _groups(batches):
         yield held
 
 
-def _pairs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of all pairs within runs of equal keys."""
+def _blocks(side: np.ndarray):
+    """(begin, end) of two blocks of a group's rows, for all pairs of blocks but those within one side. side: sorted; 0 counts as no side."""
+    cuts = [(a, min(a + BLOCK, len(side))) for a in range(0, len(side), BLOCK)]
+    for k, (a, b) in enumerate(cuts):
+        for c, d in cuts[k:]:
+            if not 0 < side[a] == side[d - 1]:
+                yield (a, b), (c, d)
+
+
+def _pairs(key: np.ndarray, side: np.ndarray):
+    """Positions of all pairs within runs of equal keys, but for those within one side, some hundred thousand at once. Both sorted."""
     new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    size = np.diff(np.append(new, len(key)))
-    end = np.repeat(new + size, size)
-    at = np.arange(len(key))
-    many = end - at - 1
-    return np.repeat(at, many), spread(at + 1, many)
+    end = np.append(new[1:], len(key))
+    size = end - new
+    many = np.where(size <= BLOCK, size * (size - 1) // 2, 0)
+    load = np.cumsum(many) // 200_000
+    for at in np.split(np.arange(len(new)), np.flatnonzero(np.diff(load)) + 1):
+        at = at[size[at] <= BLOCK]
+        row = spread(new[at], size[at])
+        n = np.repeat(end[at], size[at]) - row - 1
+        yield np.repeat(row, n), spread(row + 1, n)
+    for a, b in zip(new[size > BLOCK], end[size > BLOCK], strict=True):
+        for (p, q), (r, s) in _blocks(side[a:b]):
+            i, j = np.indices((q - p, s - r)).reshape(2, -1)
+            i, j = i + a + p, j + a + r
+            yield i[i < j], j[i < j]
 
 
 class Owner:
@@ -218,9 +241,7 @@ def candidates(reps: DataFrame, keyed: DataFrame) -> DataFrame:
             n = g["n"].to_numpy()
             sk = np.frombuffer(b"".join(g["marks"]), np.uint8).reshape(len(g), BINS)
             owned, some = Owner(g), np.zeros(len(g), bool)
-            left, right = _pairs(g["key"].to_numpy())
-            for k in range(0, len(left), 200_000):
-                i, j = left[k : k + 200_000], right[k : k + 200_000]
+            for i, j in _pairs(g["key"].to_numpy(), g["side"].to_numpy()):
                 ok = np.minimum(n[i], n[j]) >= SIMILARITY * np.maximum(n[i], n[j])
                 i, j = i[ok], j[ok]
                 ok = np.minimum(n[i], n[j]) < FEW  # verified whatever their sketches
@@ -232,24 +253,39 @@ def candidates(reps: DataFrame, keyed: DataFrame) -> DataFrame:
             yield g.loc[some, ["key", "node", "side", "doc", "a"]]
 
     spark = reps.sparkSession
-    rows_in = keyed.join(reps.select("doc", "a", "n", "marks", "nodes"), ["doc", "a"]).repartition(partitions(spark), "key").sortWithinPartitions("key")
+    rows_in = keyed.join(reps.select("doc", "a", "n", "marks", "nodes"), ["doc", "a"]).repartition(partitions(spark), "key").sortWithinPartitions("key", "side")
     return rows_in.select("key", "node", "side", "doc", "a", "n", "marks", "nodes").mapInPandas(rows, "key long, node long, side int, doc long, a long")
 
 
-def _similar(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of positions with a similarity of SIMILARITY or more."""
-    size = np.array([len(s) for s in sets])
+def _similar(sets: list[np.ndarray], side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of positions with a similarity of SIMILARITY or more, but for those within one side. side: sorted."""
+    size = np.array([len(x) for x in sets])
+    first = np.concatenate(([0], np.cumsum(size)))
     _, at, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    own = np.repeat(np.arange(len(sets)), size)
-    shared = df[at] > 1
-    column = np.cumsum(df > 1) - 1
-    m = np.zeros((len(sets), int((df > 1).sum())), np.float32)
-    m[own[shared], column[at[shared]]] = 1
-    both = m @ m.T
-    i, j = np.triu_indices(len(sets), 1)
-    common = both[i, j]
-    ok = common >= SIMILARITY * (size[i] + size[j] - common) - 1e-6
-    return i[ok], j[ok]
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+
+    def matrix(block: tuple[int, int], columns: np.ndarray) -> np.ndarray:
+        ids, own = at[first[block[0]] : first[block[1]]], np.repeat(np.arange(block[1] - block[0]), size[block[0] : block[1]])
+        k = np.minimum(np.searchsorted(columns, ids), len(columns) - 1)
+        ok = columns[k] == ids
+        m = np.zeros((block[1] - block[0], len(columns)), np.float32)
+        m[own[ok], k[ok]] = 1
+        return m
+
+    for x, y in _blocks(side):
+        ids = np.concatenate([np.unique(at[first[b[0]] : first[b[1]]]) for b in ((x, y) if x != y else (x,))])
+        both = np.sort(ids)
+        both = both[:-1][both[1:] == both[:-1]] if x != y else both[df[both] > 1]
+        common = np.zeros((x[1] - x[0], y[1] - y[0]), np.float32)
+        for k in range(0, len(both), 1 << 14):
+            columns = both[k : k + (1 << 14)]
+            m = matrix(x, columns)
+            common += m @ (m if x == y else matrix(y, columns)).T
+        i, j = np.indices(common.shape).reshape(2, -1)
+        i, j, common = i + x[0], j + y[0], common.ravel()
+        ok = (i < j) & (common >= SIMILARITY * (size[i] + size[j] - common) - 1e-6)
+        found.append((i[ok], j[ok]))
+    return tuple(np.concatenate(z) for z in zip(*found, strict=True))
 
 
 def _least_connected(doc: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -280,14 +316,14 @@ def verify(docs: DataFrame, reps: DataFrame, members: DataFrame) -> DataFrame:
 
     held = docs.join(need.hint("shuffle_hash"), "doc").select("doc", "a", "text", "at", "nodes", "copies").mapInPandas(sets, "doc long, a long, at array<struct<key:long,node:long,side:int>>, nodes array<long>, copies long, set binary")
     dealt = held.select(F.explode("at").alias("at"), "doc", "a", "nodes", "copies", "set").select("at.*", "doc", "a", "nodes", "copies", "set")
-    dealt = dealt.repartition(partitions(spark), "key").sortWithinPartitions("key")
+    dealt = dealt.repartition(partitions(spark), "key").sortWithinPartitions("key", "side")
 
     def rows(batches):
         for frame in _groups(batches):
             for _, g in frame.drop_duplicates(["key", "doc", "a"]).groupby("key", sort=False):
                 if len(g) < 2:
                     continue
-                i, j = _similar([np.frombuffer(x, np.uint64) for x in g["set"]])
+                i, j = _similar([np.frombuffer(x, np.uint64) for x in g["set"]], g["side"].to_numpy())
                 ok = Owner(g)(i, j)
                 i, j, doc, copies = i[ok], j[ok], g["doc"].to_numpy(), g["copies"].to_numpy()
                 links = np.bincount(i, copies[j], len(g)) + np.bincount(j, copies[i], len(g))

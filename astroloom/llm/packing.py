@@ -12,8 +12,9 @@ up in the ranges of the plan.
 
 Defined results: a null or empty text is one piece with the end id alone; equal
 documents, also with equal or null ids, are separate pieces; an empty table
-gives no rows; further columns are ignored. Special-token strings in a text are
-ordinary text.
+gives no rows; further columns are ignored; a text of any length is encoded in one go and
+cut into pieces. Ids are those of the JSON file by `tokenizers`, so a special token's
+string in a text is that token.
 """
 
 from __future__ import annotations
@@ -25,52 +26,70 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, partitions, read
+from .common import discard, materialise, partitions, read
 
 CAPACITY, END_ID = 1024, 2
 #: Pieces of one length that a single window group ranks, about.
 BUCKET_ROWS = 50_000
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, row long"
 
 _tokenizers: dict = {}
 
 
-def tokenizer(path: str):
-    """The byte-level BPE of a rank file; one for each worker. Same ids as the JSON file of that vocabulary, several times faster."""
-    if path not in _tokenizers:
-        import base64
+def tokenizer(path: str, ranks: str | None):
+    """text -> ids by the tokenizer of a JSON file; one for each worker. ranks: the same vocabulary as a rank file,
+    which gives the same ids several times faster where a text holds none of the special tokens."""
+    if (path, ranks) not in _tokenizers:
+        from tokenizers import Tokenizer
 
-        import public_tokenizers
-        import tiktoken
+        whole = Tokenizer.from_file(path)
+        special = [x.content for x in whole.get_added_tokens_decoder().values()]
+        plain = None
+        if ranks:
+            import base64
 
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _tokenizers[path] = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return _tokenizers[path]
+            import public_tokenizers
+            import tiktoken
 
+            with open(ranks, "rb") as f:
+                table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            plain = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={}).encode_ordinary
 
-def vocabulary() -> str:
+        def encode(text: str) -> list[int]:
+            if plain is None or any(x in text for x in special):
+                return whole.encode(text, add_special_tokens=False).ids
+            return plain(text)
+
+        _tokenizers[path, ranks] = encode
+    return _tokenizers[path, ranks]
+
+
+def vocabulary() -> tuple[str, str]:
+    """The JSON file of the tokenizer and the same vocabulary as ranks."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
-    """One row for each piece, with its ids if asked for."""
-    path = path or vocabulary()
+    """One row for each piece, with its ids if asked for; row is a number of its own. path: a tokenizer's JSON file."""
+    path, ranks = (path, None) if path else vocabulary()
 
     def cut(batches):
-        enc = tokenizer(path)
+        from pyspark import TaskContext
+
+        encode, row = tokenizer(path, ranks), TaskContext.get().partitionId() << 40
         for pdf in batches:
             rows = []
             for doc_id, text in zip(pdf["doc_id"].array, pdf["text"].array, strict=True):
-                ids = np.array(enc.encode_ordinary(text) + [end_id] if isinstance(text, str) else [end_id], dtype="<u4")
+                ids = np.array(encode(text) + [end_id] if isinstance(text, str) else [end_id], dtype="<u4")
                 first = len(ids) % capacity if len(ids) > capacity else len(ids)
                 edges = [0, *range(first or capacity, len(ids) + 1, capacity)] if len(ids) > capacity else [0, len(ids)]
                 for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
                     own = ids[a:b]
-                    rows.append((doc_id, k, a, b - a, zlib.crc32(own.tobytes())) + ((own.astype("int32"),) if with_ids else ()))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids)
+                    rows.append((doc_id, k, a, b - a, zlib.crc32(own.tobytes()), row) + ((own.astype("int32"),) if with_ids else ()))
+                    row += 1
+            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "row"] + ["ids"] * with_ids)
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
 
@@ -121,17 +140,17 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """pieces with sequence_id and offset. Reads them twice: give a table or something cheap."""
+    """pieces with sequence_id and offset. Reads them more than once: give a table, whose row is the same each time."""
     spark = pieces.sparkSession
     counts = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}  # one row for each length up to capacity
     if any(not 0 < k <= capacity for k in counts):
         raise ValueError("lengths must be from 1 to the capacity")
     ranges = spark.createDataFrame(plan(counts, capacity), "length long, lo long, hi long, first long, offset long")
     n = max(partitions(spark), sum(counts.values()) // BUCKET_ROWS + 1)
-    dealt = pieces.withColumn("_b", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(n)).cast("int"))
+    dealt = pieces.withColumn("_b", F.pmod(F.xxhash64("row"), F.lit(n)).cast("int"))
     before = Window.partitionBy("length").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     starts = dealt.groupBy("length", "_b").count().select("length", "_b", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_s"))
-    own = F.row_number().over(Window.partitionBy("length", "_b").orderBy("doc_id", "piece")) - 1
+    own = F.row_number().over(Window.partitionBy("length", "_b").orderBy("row")) - 1
     ranked = dealt.withColumn("_r", own).join(starts, ["length", "_b"]).withColumn("_r", F.col("_r") + F.col("_s")).drop("_b", "_s")
     # The plan has at most a few ranges for each length and pattern, so its size doesn't follow the corpus.
     placed = ranked.join(F.broadcast(ranges), (ranked["length"] == ranges["length"]) & (F.col("_r") >= F.col("lo")) & (F.col("_r") < F.col("hi")))
@@ -146,7 +165,9 @@ def sequences(packed: DataFrame) -> DataFrame:
 
 def pack_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     cut = materialise(pieces(docs, path), "pieces")
-    return pack(cut).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    out = materialise(pack(cut).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"), "packed")
+    discard(cut)
+    return out
 
 
 def op1_packing(spark, sf_dir) -> DataFrame:

@@ -127,3 +127,44 @@ def test_empty_documents_table(spark, docs):
     assert packing.pack_documents(none).count() == 0
     assert suffix_dedup.dedup(none, digest=True).count() == 0
     assert jaccard_join.near_duplicates(none).count() == 0
+
+
+def test_pieces_have_the_ids_of_the_tokenizer(spark, docs):
+    """Every piece against `tokenizers` alone, a special token's string and odd texts included."""
+    import zlib
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from astroloom.llm import packing
+
+    odd = [(901, "a <|endoftext|> b"), (902, None), (903, ""), (904, "a\x00b \U0001f600 é  \n\n\t x\r\n"), (905, "don't " * 3000), (None, "x"), (None, "x")]
+    table = docs.select("doc_id", "text").limit(40).unionByName(spark.createDataFrame(odd, "doc_id long, text string")).cache()
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = []
+    for r in table.collect():
+        ids = own.encode(r.text or "", add_special_tokens=False).ids + [2]
+        first = (len(ids) % 1024 or 1024) if len(ids) > 1024 else len(ids)
+        edges = [0, *range(first, len(ids) + 1, 1024)]
+        want += [(r.doc_id, k, a, b - a, zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids[a:b]))) for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False))]
+    got = packing.pack_documents(table).collect()
+    key = lambda x: (x[0] is None, x[0] or 0, *x[1:])
+    assert sorted((tuple(r)[:5] for r in got), key=key) == sorted(want, key=key)
+    by = {}
+    for r in got:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in by.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 1024
+    # No worse than first fit over falling lengths.
+    free = []
+    for n in sorted((w[3] for w in want), reverse=True):
+        k = next((k for k, f in enumerate(free) if f >= n), None)
+        if k is None:
+            free.append(1024 - n)
+        else:
+            free[k] -= n
+    assert len(by) <= len(free)

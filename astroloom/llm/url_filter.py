@@ -2,12 +2,15 @@
 
 Pages that a rule decides are the labels. For the rest: each path becomes a
 template whose variable segments (numbers, ids, children of very wide nodes)
-are wildcards; sibling templates of a host whose share of blocked pages does
-not differ significantly from the pool of their node are merged; one with too
-few labelled pages to reach the bound takes the pool of its node; a template is
-rejected if the smoothed share of block among its labelled pages reaches a
-bound. Pages without a label count in neither. Pages are aggregated by (host, template) before anything else, so a host
-with a third of all pages is a map-side combined sum.
+are wildcards, and the templates of a host form a tree with the host as its root.
+At each level, siblings whose share of blocked pages does not differ significantly
+from that of their node pool their labels. The purity of a node is the smoothed
+share of block among its labelled pages; one with too few of them to reach the
+bound takes the purity of its parent, up to the host. A page is rejected if the
+purity of its template reaches the bound; without labels on the whole host it is
+allowed. Pages without a label count nowhere. Pages are aggregated by (host,
+template) before anything else, so a host with a third of all pages is a map-side
+combined sum.
 
 Defined results: a null url, or one without ://, has an empty host and path,
 fits no rule and is allowed unless its template is rejected; repeated rows
@@ -77,33 +80,40 @@ def template_tree(pages: DataFrame, wide: int = WIDE) -> DataFrame:
 
 
 def purity(tree: DataFrame, z: float = Z, prior: float = PRIOR, bound: float = PURITY) -> DataFrame:
-    """Smoothed purity of each (host, template), after similar siblings are merged and those with few labels pooled."""
-    leaf = tree.groupBy("host", "template").agg(F.sum("n").alias("n"), F.sum("n_block").alias("b"))
-    leaf = leaf.withColumn("parent", F.when(F.size("template") > 1, F.concat_ws("/", F.slice("template", F.lit(1), F.size("template") - 1))).otherwise(F.lit("")))
-    pool = leaf.groupBy("host", "parent").agg(F.sum("n").alias("pn"), F.sum("b").alias("pb"))
-    both = leaf.join(pool, ["host", "parent"])
-    share = lambda b, n: F.when(F.col(n) > 0, F.col(b) / F.col(n)).otherwise(F.lit(0.0))
-    p = share("pb", "pn")
-    gap = F.abs(share("b", "n") - p)
-    # Too few: all of them block, and the bound is still not reached.
-    few = F.col("n") + prior < bound * (F.col("n") + 2 * prior) - 1e-9
-    similar = (F.col("n") > 0) & (gap * gap * F.col("n") <= p * (1 - p) * (z * z))
-    both = both.withColumn("similar", similar).withColumn("few", few)
-    merged = both.where("similar").groupBy("host", "parent").agg(F.sum("n").alias("mn"), F.sum("b").alias("mb"))
-    both = both.join(merged, ["host", "parent"], "left")
-    n, b = (F.when(F.col("few"), F.col("p" + c)).when(F.col("similar"), F.col("m" + c)).otherwise(F.col(c)) for c in "nb")
-    return both.select("host", "template", ((b + prior) / (n + 2 * prior)).alias("purity"), F.col("similar").alias("merged"))
+    """host, node (the first segments of templates), own (its depth) and purity of each node, after similar siblings have pooled their labels."""
+    depth = F.posexplode(F.transform(F.sequence(F.lit(0), F.size("template")), lambda d: F.array_join(F.slice("template", 1, d), "/"))).alias("depth", "node")
+    node = tree.select("host", "n", "n_block", depth).groupBy("host", "depth", "node").agg(F.sum("n").alias("n"), F.sum("n_block").alias("b"))
+    # A node's name ends with its last segment, which holds no slash.
+    node = materialise(node.withColumn("parent", F.when(F.col("depth") > 1, F.regexp_replace("node", "/[^/]*$", "")).otherwise(F.lit(""))), "nodes")
+    levels = node.agg(F.max("depth")).first()[0] or 0
+    reached = lambda n: F.col(n) + prior >= bound * (F.col(n) + 2 * prior) - 1e-9
+    smoothed = lambda b, n: (F.col(b) + prior) / (F.col(n) + 2 * prior)
+    above = node.where("depth = 0").select("host", "node", "depth", F.when(reached("n"), smoothed("b", "n")).otherwise(F.lit(0.5)).alias("purity"), "n", "b")
+    out = above
+    for d in range(1, levels + 1):
+        parent = above.select("host", F.col("node").alias("parent"), F.col("purity").alias("up"), F.col("n").alias("pn"), F.col("b").alias("pb"))
+        own = node.where(F.col("depth") == d).join(parent, ["host", "parent"])
+        p, gap = F.col("pb") / F.col("pn"), F.col("b") / F.col("n") - F.col("pb") / F.col("pn")
+        own = own.withColumn("similar", F.when(F.col("n") > 0, gap * gap * F.col("n") <= p * (1 - p) * (z * z) + 1e-12).otherwise(F.lit(False)))
+        merged = own.where("similar").groupBy("host", "parent").agg(F.sum("n").alias("mn"), F.sum("b").alias("mb"))
+        own = own.join(merged, ["host", "parent"], "left").withColumn("en", F.when(F.col("similar"), F.col("mn")).otherwise(F.col("n"))).withColumn("eb", F.when(F.col("similar"), F.col("mb")).otherwise(F.col("b")))
+        above = own.select("host", "node", "depth", F.when(reached("en"), smoothed("eb", "en")).otherwise(F.col("up")).alias("purity"), "n", "b")
+        if d % STEP == 0:
+            above = materialise(above, "purities")
+        out = out.unionByName(above)
+    return out.select("host", "node", F.col("depth").alias("own"), "purity")
 
 
 def judge(pages: DataFrame, rules=RULES, bound: float = PURITY) -> DataFrame:
-    """page_id, host, path, rule, template, purity and verdict of each row of pages."""
+    """page_id, host, path, rule, template and verdict of each row of pages."""
     host, path = host_path(F.col("url"))
     p = pages.select("page_id", host.alias("host"), path.alias("path"))
     rule, label = rule_of(F.col("host"), F.col("path"), rules)
     shape = F.transform(F.filter(F.split("path", "/"), lambda s: s != ""), typed)
     p = p.select("page_id", "host", "path", rule.alias("rule"), label.alias("label"), shape.alias("shape"))
     tree = materialise(template_tree(p), "tree")
-    scored = tree.select("host", "shape", "template").join(purity(tree, bound=bound), ["host", "template"])
+    leaf = tree.select("host", "shape", F.array_join("template", "/").alias("node"), F.size("template").alias("own"))
+    scored = leaf.join(purity(tree, bound=bound), ["host", "node", "own"])
     # Only rejected templates are joined to the pages, and only to pages without a rule.
     rejected = scored.where(F.col("purity") >= bound).select("host", "shape", F.lit(True).alias("_r"))
     verdict = F.coalesce("label", F.when(F.col("_r"), F.lit("block")).otherwise(F.lit("allow")))

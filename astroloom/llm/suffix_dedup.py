@@ -1,8 +1,8 @@
 """Removal of long repeated passages with a logarithmic family of sparse suffix arrays.
 
 A byte goes if a 50-byte string over it also starts in a document with a
-smaller id. Each 50-byte string has one anchor, the least hash among its 20-byte
-strings, about one in sixteen bytes; equal strings have equal anchors, so
+smaller id. Each 50-byte string has one anchor, the least hash among its 24-byte
+strings, about one in fourteen bytes; equal strings have equal anchors, so
 only strings whose anchor stands in two documents can repeat.
 
 1. Documents are numbered into batches of some megabytes and written as a table
@@ -13,7 +13,7 @@ only strings whose anchor stands in two documents can repeat.
    them. Batches exchange 96-bit digests of their runs: the
    same run in a document with a smaller id settles all its strings, so the bytes
    of a run travel from the document with the least id alone, and only if another
-   run has the same anchor and the same 15 bytes before or after it, by 16-bit
+   run has the same anchor and the same 13 bytes before or after it, by 16-bit
    mark: a string holds one of the two. Nothing grows with the number of copies
    but one digest for each batch.
 4. Those bytes go to the partition of their anchor; anchors that very many
@@ -43,13 +43,13 @@ from pyspark.sql import functions as F
 
 from .common import blobs, bucketed, discard, dump, load, materialise, mixed, powers, prefix_hash, read, span_hash, spread, to_batches, unblob, utf8
 
-MATCH, GRAM = 50, 20
+MATCH, GRAM = 50, 24
 #: Bytes of text in a batch, and for each partition of anchors, about.
 BATCH_BYTES, PART_BYTES = 16_000_000, 8_000_000
 #: Places that are worked through at once, so that arrays stay small; under 2^20.
 WINDOW = 1_000_000
-#: An anchor that more batches hold is dealt by its strings.
-HOT_BATCHES = 64
+#: An anchor that more batches hold is dealt by its runs and strings; up to here its entries in one partition take some hundred kilobytes.
+HOT_BATCHES = 10_000
 LAST = np.iinfo(np.int64).max
 U = np.uint64
 WORD = U((1 << 31) - 1)
@@ -205,16 +205,20 @@ def exchange(parts: int):
         start, n, home, digest = (np.concatenate(x) for x in zip(*got, strict=True))
         hot = digest["word"] >> np.uint32(31) > 0
         key, to = texts.key[texts.doc(start)], np.where(hot, digest["a"] % U(parts), home.astype(U))
-        order = np.lexsort((key, digest["b"], digest["a"], to))
+        order = np.lexsort((key, digest["b"], digest["a"]))
         new = _new(digest["a"][order], digest["b"][order])
-        kind = np.empty(len(order), np.uint32)
-        kind[order] = np.repeat(np.arange(len(new), dtype=np.uint32), np.diff(np.append(new, len(order))))
-        lead = order[new]
-        part, edges = _dealt(to[lead])
+        lead = np.sort(order[new])  # of each kind of run the one in the document with the least id
+        kind = np.empty(len(order), np.int32)
+        kind[order] = np.repeat(np.searchsorted(lead, order[new]), np.diff(np.append(new, len(order))))
+        to = to[lead].astype(np.min_scalar_type(parts))
+        dealt = np.argsort(to, kind="stable")
+        part, edges = _dealt(to[dealt])
         empty = np.zeros(2, np.int64)
-        state = dump(start.astype(np.uint32), n, kind, lead.astype(np.uint32), home[lead], hot[lead])
-        held = _rows(batch, np.array([-1]), digests=blobs(empty, np.zeros(0, np.uint8)), keys=blobs(empty, np.zeros(0, np.uint8)), state=pa.array([state], pa.binary()))
-        dealt = _rows(batch, part, digests=blobs(edges, digest[lead]), keys=blobs(edges, key[lead]), state=pa.nulls(len(part), pa.binary()))
+        state = dump(np.diff(start, prepend=0).astype(np.uint32), n, np.diff(kind, prepend=0), np.diff(lead, prepend=0).astype(np.uint32), to, np.packbits(hot[lead]))
+        held = _rows(batch, np.array([-1]), digests=blobs(empty, np.zeros(0, np.uint8)), keys=pa.array([b""], pa.binary()), state=pa.array([state], pa.binary()))
+        key = key[lead[dealt]]
+        keys = [dump(np.diff(key[a:b], prepend=0)) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        dealt = _rows(batch, part, digests=blobs(edges, digest[lead[dealt]]), keys=pa.array(keys, pa.binary()), state=pa.nulls(len(part), pa.binary()))
         return pa.concat_tables([held, dealt])
 
     return rows
@@ -236,7 +240,7 @@ def first_of(table):
     import pyarrow as pa
 
     digest, many = unblob(table.column("digests"), DIGEST)
-    key, _ = unblob(table.column("keys"), np.int64)
+    key = np.concatenate([np.cumsum(load(x)[0]) for x in table.column("keys").to_pylist()])
     order = np.lexsort((digest["b"], digest["a"]))
     new = _new(digest["a"][order], digest["b"][order])
     size = np.diff(np.append(new, len(order)))
@@ -255,13 +259,16 @@ class Sent:
 
     def __init__(self, texts: Texts, side, parts: int):
         state = side.filter(np.equal(side.column("part").to_numpy(), -1)).column("state")[0].as_py()
-        self.start, self.many, self.kind, self.lead, home, hot = load(state)
-        self.start, self.many = self.start.astype(np.int64), self.many.astype(np.int64)
+        start, many, kind, lead, to, hot = load(state)
+        self.start, self.kind, self.lead = (np.cumsum(x, dtype=np.int64) for x in (start, kind, lead))
+        self.many, hot = many.astype(np.int64), np.unpackbits(hot, count=len(lead)).astype(bool)
         self.key = texts.key[texts.doc(self.start)]
         flags = side.filter(np.array([x is not None for x in side.column("flags").to_pylist()], bool)).sort_by("part")
         counts = flags.column("count").to_numpy()
         both = [np.unpackbits(np.frombuffer(f, np.uint8), count=2 * n).astype(bool).reshape(2, n) for f, n in zip(flags.column("flags").to_pylist(), counts, strict=True)]
-        self.first, needed = np.concatenate(both, axis=1)
+        self.first, needed = np.empty((2, len(lead)), bool)
+        dealt = np.argsort(to, kind="stable")
+        self.first[dealt], needed[dealt] = np.concatenate(both, axis=1)
         own = np.flatnonzero(needed)
         cold, warm = own[~hot[own]], own[hot[own]]
         n = self.many[self.lead[warm]]
@@ -270,7 +277,7 @@ class Sent:
         self.shift = np.concatenate((np.zeros(len(cold), np.int64), spread(np.zeros(len(warm), np.int64), n)))
         self.at = np.concatenate((self.start[self.lead[cold]], one))
         self.strings = np.concatenate((self.many[self.lead[cold]], np.ones(len(one), np.int64)))
-        part = np.concatenate((home[cold].astype(U), _string_hash(texts.buf, one) % U(parts)))
+        part = np.concatenate((to[cold].astype(U), _string_hash(texts.buf, one) % U(parts)))
         self.order = np.argsort(part, kind="stable")
         self.part = part[self.order]
 
@@ -286,16 +293,18 @@ def bytes_of(parts: int):
     """The cogrouped function that sends out the bytes of the runs that a batch has first."""
 
     def rows(table, side):
+        import pyarrow as pa
+
         texts = Texts(table)
         sent = Sent(texts, side, parts)
         part, edges = _dealt(sent.part)
         if not len(part):
-            return _no("keys", "many", "raw")()
+            return _no("raw")()
         at, strings = sent.at[sent.order], sent.strings[sent.order]
         size = strings + MATCH - 1
         key = sent.key[sent.lead[sent.of[sent.order]]]
-        far = np.concatenate(([0], np.cumsum(size)))
-        return _rows(side.column("batch")[0].as_py(), part, keys=blobs(edges, key), many=blobs(edges, strings.astype(np.uint8)), raw=blobs(far[edges], texts.buf[spread(at, size)]))
+        raw = [dump(np.diff(key[a:b], prepend=0), strings[a:b].astype(np.uint8), texts.buf[spread(at[a:b], size[a:b])]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        return _rows(side.column("batch")[0].as_py(), part, raw=pa.array(raw, pa.binary()))
 
     return rows
 
@@ -355,10 +364,10 @@ def resolve(table):
 
     table = table.sort_by("batch")
     family, own = Family(), []
-    for keys, many, raw in zip(*(table.column(c).to_pylist() for c in ("keys", "many", "raw")), strict=True):
-        many = np.frombuffer(many, np.uint8).astype(np.int64)
-        own.append((np.repeat(np.frombuffer(keys, np.int64), many), many))
-        family.add(strings_of(np.frombuffer(raw, np.uint8), many), own[-1][0])
+    for keys, many, raw in map(load, table.column("raw").to_pylist()):
+        many = many.astype(np.int64)
+        own.append((np.repeat(np.cumsum(keys), many), many))
+        family.add(strings_of(raw, many), own[-1][0])
     out = []
     for (key, many), least in zip(own, family.least(), strict=True):
         bit = (key > least).astype(np.uint32) << spread(np.zeros(len(many), np.int64), many).astype(np.uint32)
@@ -430,7 +439,7 @@ def _run(docs: DataFrame, final, schema) -> DataFrame:
     side = runs.where("part < 0").select("batch", "part", "state", empty.alias("flags"), F.lit(0).alias("count"))
     side = materialise(side.unionByName(flags.select("batch", "part", empty.alias("state"), "flags", "count")), "firsts")
     discard(runs)
-    sent = bare.groupBy("batch").cogroup(side.groupBy("batch")).applyInArrow(met_only(bytes_of(parts), _no("keys", "many", "raw")), "batch long, part int, keys binary, many binary, raw binary")
+    sent = bare.groupBy("batch").cogroup(side.groupBy("batch")).applyInArrow(met_only(bytes_of(parts), _no("raw")), "batch long, part int, raw binary")
     bits = materialise(sent.groupBy("part").applyInArrow(resolve, "batch long, part int, bits binary"), "bits")
     known = side.withColumn("bits", empty).unionByName(bits.select("batch", "part", empty.alias("state"), empty.alias("flags"), F.lit(0).alias("count"), "bits"))
     out = materialise(texts.groupBy("batch").cogroup(known.groupBy("batch")).applyInArrow(lambda t, s: final(t, s, parts), schema), "deduplicated")

@@ -17,6 +17,7 @@ def build_session(app: str = "astroloom", cores: int | str = "*", partitions: in
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "20000")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
     )

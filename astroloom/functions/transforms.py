@@ -65,33 +65,51 @@ def haar_anomaly(image: np.ndarray, threshold: float = 0.0025, least: int = 50,
 
 
 def haar_levels(image: np.ndarray, levels: int, threshold: float = 0.0025, least: int = 50) -> list[list[bool]]:
-    """haar_anomaly on the image, then on its approximation, and so on."""
+    """For the image, then its approximation, and so on: whether horizontal, vertical and diagonal detail has a flat patch."""
     out = []
     for _ in range(levels):
-        out.append(haar_anomaly(image, threshold, least)[0])
+        diagonal, across, down = haar_anomaly(image, threshold, least)[0]
+        out.append([across, down, diagonal])
         image = haar(image)[0]
     return out
 
 
-def spectrum(image: np.ndarray) -> np.ndarray:
-    """Magnitudes with the zero frequency in the middle."""
-    return np.abs(np.fft.fftshift(np.fft.fft2(image)))
+def smoothed(m: np.ndarray) -> np.ndarray:
+    """Under a Gaussian of one pixel, nine pixels wide; zeros lie beyond the border."""
+    kernel = np.exp(-0.5 * np.arange(-4, 5) ** 2)
+    kernel /= kernel.sum()
+    for axis in (0, 1):
+        p = np.pad(m, [(4, 4) if k == axis else (0, 0) for k in (0, 1)])
+        m = sum(w * np.take(p, np.arange(k, k + m.shape[axis]), axis=axis) for k, w in enumerate(kernel))
+    return m
 
 
-def fourier_anomaly(image: np.ndarray, factor: float = 3.0) -> tuple[float, float, float, bool]:
-    """Mean magnitude over the vertical and the horizontal arm of the cross and over the corners; an anomaly if both arms are over `factor` times the corners."""
-    m = spectrum(np.nan_to_num(image, nan=0.0, posinf=0.0, neginf=0.0))
+def spectrum(image: np.ndarray, smooth: bool = False, log: bool = False) -> np.ndarray:
+    """Magnitudes with the zero frequency in the middle, smoothed or as log(1 + m) if asked for."""
+    m = np.abs(np.fft.fftshift(np.fft.fft2(image)))
+    m = smoothed(m) if smooth else m
+    return np.log1p(m) if log else m
+
+
+def fourier_anomaly(image: np.ndarray, factor: float = 3.0, smooth: bool = False) -> tuple[float, float, float, bool]:
+    """Mean magnitude over the vertical arms (the middle columns at the upper and lower edge), the horizontal arms and the corners; an anomaly if both are over `factor` times the corners.
+
+    The arms start at the edges, so on images larger than two arms the zero frequency lies in none."""
+    m = spectrum(np.nan_to_num(image, nan=0.0, posinf=0.0, neginf=0.0), smooth)
     rows, cols = m.shape
-    width, length, corner = (20, 3000, 3000) if cols > 500 else (3, 80, 80)
-    cy, cx = rows // 2, cols // 2
-    near = lambda c, r, n: slice(max(c - r // 2, 0), min(c - r // 2 + r, n))
-    vertical = m[near(cy, length, rows), near(cx, width, cols)].mean()
-    horizontal = m[near(cy, width, rows), near(cx, length, cols)].mean()
-    h, w = min(corner, rows // 2), min(corner, cols // 2)
-    if not h or not w:
-        return float(vertical), float(horizontal), float("nan"), False
-    corners = np.mean([m[:h, :w].mean(), m[:h, -w:].mean(), m[-h:, :w].mean(), m[-h:, -w:].mean()])
-    return float(vertical), float(horizontal), float(corners), bool(vertical > factor * corners and horizontal > factor * corners)
+    half, length, corner = (10, 3000, 3000) if cols > 500 else (1, 80, 80)
+    if not rows or not cols:
+        return (float("nan"),) * 3 + (False,)
+    ends = lambda n, k: (slice(0, min(k, n)), slice(max(n - k, 0), n))
+    middle = lambda n: slice(max(n // 2 - half, 0), n // 2 + half + 1)
+
+    def mean(*areas) -> float:
+        return float(sum(m[a].sum() for a in areas) / sum(m[a].size for a in areas))
+
+    vertical = mean(*((r, middle(cols)) for r in ends(rows, length)))
+    horizontal = mean(*((middle(rows), c) for c in ends(cols, length)))
+    corners = mean(*((r, c) for r in ends(rows, corner) for c in ends(cols, corner)))
+    return vertical, horizontal, corners, bool(vertical > factor * corners and horizontal > factor * corners)
 
 
 def background_rms(image: np.ndarray, mesh: int = 128, sigma: float = 3.0, rounds: int = 10) -> float:
@@ -117,31 +135,51 @@ def background_rms(image: np.ndarray, mesh: int = 128, sigma: float = 3.0, round
     return float(np.median(np.nanmedian(around[:, some], axis=0)))
 
 
-def composite(channels: np.ndarray, scaling: str = "linear", stretch: float = 0.5, q: float = 10.0, floor: float = 0.0, ceiling: float = 99.8, gamma: float = 0.35, norm: bool = True) -> np.ndarray:
-    """Red, green and blue (3, rows, cols) as whole numbers 0..255. A pixel that has no value becomes 0."""
-    r, g, b = c = channels.astype(float)
-    light = (r + g + b) / 3
-    top = lambda x: np.percentile(x[np.isfinite(x)], ceiling) if np.isfinite(x).any() else np.nan
+def composite(channels: np.ndarray, scaling: str = "linear", stretch: float = 0.5, q: float = 10.0, floor: float = 0.0, ceiling: float = 99.8, gamma: float | None = 0.35, norm: bool = True, gains: tuple = (1.0, 1.0, 1.0)) -> np.ndarray:
+    """Red, green and blue (3, rows, cols): scaled, under gamma, then each channel to its own percentile and gain, as whole numbers 0..255.
+
+    Without norm the scaled channels as they are, in floating point. A pixel that has no value becomes 0, as does a negative one under gamma."""
+    c = channels.astype(float)
+    light = c.sum(axis=0) / 3
+    top = lambda x: np.nanpercentile(x, ceiling) if not np.isnan(x).all() else np.nan
     with np.errstate(all="ignore"):
         if scaling == "linear":
-            out = c / top(light) * 255
+            c = c / top(light) * 255
         elif scaling == "asinh":
-            out = c * np.arcsinh(stretch * q * (light - floor)) / (q * light)
-            if norm:
-                out = np.stack([x / top(x) for x in out])
-            out = np.clip(out, 0, 1) ** gamma * 255
+            c = c * np.arcsinh(stretch * q * (light - floor)) / (q * light)
         else:
             raise ValueError(f"unknown scaling {scaling}")
-    return np.nan_to_num(np.clip(out, 0, 255), nan=0.0).astype(np.uint8)
+        if gamma is not None:
+            c = np.clip(c**gamma, 0, 255)
+        if not norm:
+            return c
+        c = np.stack([g * np.clip(x / top(x) * 255, 0, 255) for x, g in zip(c, gains, strict=True)])
+    return np.nan_to_num(np.clip(c, 0, 255), nan=0.0).astype(np.uint8)
+
+
+def percentile_for(values: np.ndarray, target: float) -> float:
+    """The first percentile from 100 down to 0.01, in steps of 0.01, whose value is at most target; else 100."""
+    steps = np.arange(100, 0, -0.01)
+    at = np.flatnonzero(np.nanpercentile(values, steps) <= target)
+    return float(steps[at[0]]) if len(at) else 100.0
+
+
+def saturated(image: np.ndarray, percentile: float, grow: int = 2, holes: bool = True, negatives: bool = False, least: int = 10) -> np.ndarray:
+    """Pixels at or over a percentile, grown; with patches of `least` or more low pixels (at most 0.9), grown by one, if asked for; with holes."""
+    mask = dilated(image >= np.nanpercentile(image, percentile), grow)
+    if negatives:
+        label = components(image <= 0.9)
+        big = np.bincount(label.ravel()) >= least
+        big[0] = False
+        mask = mask | dilated(big[label], 1)
+    return filled(mask) if holes else mask
 
 
-def desaturated(image: np.ndarray, percentile: float, grow: int = 2, holes: bool = True) -> np.ndarray:
-    """Pixels at or over a percentile, grown, with holes, take the mean of their neighbours that have a value, ring by ring from the rim inwards."""
-    good = image[np.isfinite(image)]
-    if not len(good):
+def desaturated(image: np.ndarray, percentile: float, grow: int = 2, holes: bool = True, negatives: bool = False, least: int = 10) -> np.ndarray:
+    """Saturated pixels take the mean of their neighbours that have a value, ring by ring from the rim inwards."""
+    if not np.isfinite(image).any():
         return image.copy()
-    mask = dilated(image >= np.percentile(good, percentile), grow)
-    mask = filled(mask) if holes else mask
+    mask = saturated(image, percentile, grow, holes, negatives, least)
     if mask.all():
         return image.copy()
     out = np.where(mask, 0.0, image.astype(float))
@@ -153,3 +191,17 @@ def desaturated(image: np.ndarray, percentile: float, grow: int = 2, holes: bool
         out[rim] = (around(v)[rim]) / around(k)[rim]
         known |= rim
     return np.where(mask, out, image).astype(image.dtype)
+
+
+#: Fixed values of the colour chooser: the percentile looked at, the bounds that tell of saturation, and the targets under them.
+LOOK, SATURATED, STRONGLY, TARGET, STRONG_TARGET = 99.9, 1000.0, 20000.0, 1000.0, 200.0
+
+
+def chosen_colours(channels: np.ndarray) -> np.ndarray:
+    """Red, green and blue (3, rows, cols) ready for display: desaturated first if one of them is bright, turned upside down last."""
+    c = channels.astype(float)
+    bright = max(np.nanpercentile(x, LOOK) if not np.isnan(x).all() else -np.inf for x in c)
+    if bright > SATURATED:
+        target = STRONG_TARGET if bright > STRONGLY else TARGET
+        c = np.stack([desaturated(x, percentile_for(x, target)) for x in c])
+    return composite(c, "linear", stretch=0.9, q=5)[:, ::-1]

@@ -49,13 +49,19 @@ def haar_anomalies(images: DataFrame, key: list[str], threshold: float = 0.0025,
 
 
 def haar_levels(images: DataFrame, key: list[str], levels: int = 2, threshold: float = 0.0025, least: int = 50) -> DataFrame:
-    """key and found: for each level whether diagonal, horizontal and vertical detail has a flat patch."""
+    """key and found: for each level whether horizontal, vertical and diagonal detail has a flat patch."""
     return _each(images, key, [], "found array<array<boolean>>", lambda image: (transforms.haar_levels(image, levels, threshold, least),), 1)
 
 
-def fourier_anomalies(images: DataFrame, key: list[str], factor: float = 3.0) -> DataFrame:
+def fourier_anomalies(images: DataFrame, key: list[str], factor: float = 3.0, smooth: bool = False) -> DataFrame:
     """key, vertical, horizontal, corners (mean magnitudes) and anomaly."""
-    return _each(images, key, [], "vertical double; horizontal double; corners double; anomaly boolean", lambda image: transforms.fourier_anomaly(image, factor), 4)
+    return _each(images, key, [], "vertical double; horizontal double; corners double; anomaly boolean", lambda image: transforms.fourier_anomaly(image, factor, smooth), 4)
+
+
+def spectra(images: DataFrame, key: list[str], smooth: bool = False, log: bool = True) -> DataFrame:
+    """key and pix: magnitudes of the spectrum, the zero frequency in the middle."""
+    clean = lambda image: np.nan_to_num(image, nan=0.0, posinf=0.0, neginf=0.0)
+    return _each(images, key, [], "pix array<double>", lambda image: (transforms.spectrum(clean(image), smooth, log).ravel().tolist(),), 1)
 
 
 def backgrounds(images: DataFrame, key: list[str], mesh: int = 128) -> DataFrame:
@@ -75,16 +81,20 @@ def replaced(images: DataFrame, key: list[str], seed: str, threshold: float = 0.
     return _each(images, key, [seed] if seed not in key else [], "pix array<float>", made, 1) if seed not in key else _each(images.withColumn("_seed", images[seed]), key, ["_seed"], "pix array<float>", made, 1)
 
 
+def _channels(image: np.ndarray) -> np.ndarray:
+    return image.reshape(3, image.shape[0] // 3, image.shape[1])
+
+
 def composites(images: DataFrame, key: list[str], scaling: str = "linear", **options) -> DataFrame:
     """key and rgb (rows x columns x 3, as bytes). images: ny, nx and pix with the red, green and blue pixels one after the other; ny counts all three."""
+    return _each(images, key, [], "rgb binary", lambda image: (transforms.composite(_channels(image), scaling, **options).transpose(1, 2, 0).tobytes(),), 1)
 
-    def made(image):
-        channels = image.reshape(3, image.shape[0] // 3, image.shape[1])
-        return (transforms.composite(channels, scaling, **options).transpose(1, 2, 0).tobytes(),)
 
-    return _each(images, key, [], "rgb binary", made, 1)
+def colours(images: DataFrame, key: list[str]) -> DataFrame:
+    """key and rgb as composites() gives them, desaturated where a channel is bright and turned upside down for display."""
+    return _each(images, key, [], "rgb binary", lambda image: (transforms.chosen_colours(_channels(image)).transpose(1, 2, 0).tobytes(),), 1)
 
 
-def desaturated(images: DataFrame, key: list[str], percentile: float) -> DataFrame:
+def desaturated(images: DataFrame, key: list[str], percentile: float, negatives: bool = False, least: int = 10) -> DataFrame:
     """key and pix. The fill is by neighbours from the rim inwards, in place of interpolation over triangles."""
-    return _each(images, key, [], "pix array<float>", lambda image: (transforms.desaturated(image, percentile).ravel().tolist(),), 1)
+    return _each(images, key, [], "pix array<float>", lambda image: (transforms.desaturated(image, percentile, negatives=negatives, least=least).ravel().tolist(),), 1)

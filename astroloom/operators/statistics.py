@@ -103,11 +103,11 @@ def percentiles(pixels: DataFrame, key: list[str], shares: list[float]) -> DataF
 
 
 def percentile_for(pixels: DataFrame, key: list[str], target: float, step: float = 0.01) -> DataFrame:
-    """The first percentile from 100 downward whose value is at most target, else 100."""
+    """The first percentile from 100 downward, 0 excluded, whose value is at most target, else 100."""
     n = round(100 / step)
-    grid = [k / n for k in range(n, -1, -1)]
+    grid = [k / n for k in range(n, 0, -1)]
     p = percentiles(pixels, key, grid)
-    at = F.filter(F.sequence(F.lit(0), F.lit(n)), lambda i: F.get("p", i) <= target)
+    at = F.filter(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.get("p", i) <= target)
     return p.select(*key, F.coalesce(F.lit(100.0) - F.get(at, F.lit(0)) * step, F.lit(100.0)).alias("percentile"))
 
 

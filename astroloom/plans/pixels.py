@@ -89,8 +89,8 @@ def percentile_for(spark, sf_dir):
     return statistics.percentile_for(points(spark, sf_dir), ["vec_id"], 0.1, 1.0)
 
 
-PERCENTILE_FOR = f"""WITH {PT}, q AS (SELECT vec_id, quantile_cont(v, [{", ".join(str(k / 100) for k in range(100, -1, -1))}]) AS p FROM pt GROUP BY 1)
-SELECT vec_id, coalesce(100.0::DOUBLE - (list_filter(range(0, 101), lambda i: p[i + 1] <= 0.1)[1]), 100.0::DOUBLE) AS percentile FROM q"""
+PERCENTILE_FOR = f"""WITH {PT}, q AS (SELECT vec_id, quantile_cont(v, [{", ".join(str(k / 100) for k in range(100, 0, -1))}]) AS p FROM pt GROUP BY 1)
+SELECT vec_id, coalesce(100.0::DOUBLE - (list_filter(range(0, 100), lambda i: p[i + 1] <= 0.1)[1]), 100.0::DOUBLE) AS percentile FROM q"""
 
 
 def pixel_histogram(spark, sf_dir):

@@ -59,8 +59,23 @@ def test_fourier_cross():
     striped = noise.copy()
     striped[100, :] += 80
     striped[:, 100] += 80
-    assert not transforms.fourier_anomaly(noise)[3]
-    assert transforms.fourier_anomaly(striped)[3]
+    for smooth in (False, True):
+        assert not transforms.fourier_anomaly(noise, smooth=smooth)[3]
+        assert not transforms.fourier_anomaly(noise + 5, smooth=smooth)[3]  # the zero frequency counts nowhere
+        assert transforms.fourier_anomaly(striped, smooth=smooth)[3]
+    m = np.abs(np.fft.fftshift(np.fft.fft2(striped)))
+    vertical, horizontal, corners, _ = transforms.fourier_anomaly(striped)
+    assert vertical == pytest.approx((m[:80, 99:102].sum() + m[120:, 99:102].sum()) / (2 * 80 * 3))
+    assert horizontal == pytest.approx((m[99:102, :80].sum() + m[99:102, 120:].sum()) / (2 * 80 * 3))
+    assert corners == pytest.approx(np.mean([m[:80, :80], m[:80, 120:], m[120:, :80], m[120:, 120:]]))
+
+
+def test_smoothing_keeps_the_sum_inside():
+    m = np.zeros((21, 21))
+    m[10, 10] = 1
+    out = transforms.smoothed(m)
+    assert out.sum() == pytest.approx(1)
+    assert out[10, 11] / out[10, 10] == pytest.approx(np.exp(-0.5))
 
 
 def test_background_leaves_a_star_out():
@@ -75,9 +90,16 @@ def test_colours(spark):
     pix = np.arange(48, dtype=np.float32)
     df = spark.createDataFrame([(1, 12, 4, pix.tolist())], "id int, ny int, nx int, pix array<float>")
     rgb = np.frombuffer(anomalies.composites(df, ["id"]).first().rgb, np.uint8).reshape(4, 4, 3)
-    light = pix.reshape(3, 16).mean(axis=0)
-    want = np.clip(pix.reshape(3, 16) / np.percentile(light, 99.8) * 255, 0, 255).astype(np.uint8)
+    light = pix.reshape(3, 16).astype(float).mean(axis=0)
+    want = []
+    for x in pix.reshape(3, 16).astype(float):  # scale, gamma, norm
+        x = np.clip((x / np.percentile(light, 99.8) * 255) ** 0.35, 0, 255)
+        want.append(np.clip(x / np.percentile(x, 99.8) * 255, 0, 255).astype(np.uint8))
     np.testing.assert_array_equal(rgb.reshape(16, 3).T, want)
+    plain = transforms.composite(pix.reshape(3, 4, 4), gamma=None, norm=False)
+    np.testing.assert_allclose(plain.reshape(3, 16), pix.reshape(3, 16) / np.percentile(light, 99.8) * 255)
+    half = transforms.composite(pix.reshape(3, 4, 4), gains=(0.5, 1, 1))
+    assert half[0].max() == 127 and half[1].max() == 255
     with pytest.raises(ValueError, match="unknown"):
         transforms.composite(np.zeros((3, 2, 2)), "other")
 
@@ -87,3 +109,25 @@ def test_desaturation_fills_from_the_rim():
     image[9:12, 9:12] = 1000
     out = transforms.desaturated(image, 99)
     np.testing.assert_allclose(out, 1)
+
+
+def test_low_patches_are_replaced_too():
+    image = np.full((31, 31), 5.0)
+    image[0, 0] = 9
+    image[20:26, 20:26] = -3  # 36 low pixels
+    image[3, 3] = -3  # too few
+    out = transforms.desaturated(image, 100, grow=0, holes=False, negatives=True)
+    assert (out[20:26, 20:26] == 5).all() and out[3, 3] == -3 and out[0, 0] == 5
+    assert transforms.percentile_for(np.arange(101.0), 50) == pytest.approx(50)
+    assert transforms.percentile_for(np.arange(101.0), -1) == 100
+    assert transforms.percentile_for(np.array([0.0, 5, 5, 5]), 0) == 100  # only the minimum, which is percentile 0
+
+
+def test_bright_channels_are_desaturated_before_display():
+    r = np.random.default_rng(4)
+    c = r.uniform(1, 100, (3, 40, 40))
+    plain = transforms.chosen_colours(c)
+    np.testing.assert_array_equal(plain, transforms.composite(c, stretch=0.9, q=5)[:, ::-1])
+    c[:, 10:14, 10:14] = 60000
+    out = transforms.chosen_colours(c)
+    assert out.shape == (3, 40, 40) and np.median(out) > 2 * np.median(transforms.composite(c)[:, ::-1])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,9 +12,18 @@ from .crossmatch import nearest, unmatched
 GALAXY = 2.0
 
 
-def _flagged(det: DataFrame, labels: DataFrame, max_sep: float, name: str, same: list[str], each: list[str]) -> DataFrame:
-    hit = nearest(labels, det, max_sep, "label_id", "det_id", same, each).select("det_id").distinct()
-    return det.join(hit.withColumn(name, F.lit(1.0)), "det_id", "left")
+def in_range_of(labels: DataFrame, det: DataFrame, margin: float = 10 / 3600) -> DataFrame:
+    """Labels within the range of the detections, in degrees; the scan of the labels gets the filters. Without detections none.
+
+    A range across ra 0 isn't narrowed in ra."""
+    low_ra, high_ra, low, high = det.agg(F.min("ra"), F.max("ra"), F.min("dec"), F.max("dec")).first()
+    if low is None:
+        return labels.limit(0)
+    near = labels.where(F.col("dec").between(low - margin, high + margin))
+    widest = margin / max(math.cos(math.radians(min(max(abs(low), abs(high)) + margin, 89.9))), 1e-3)
+    if low_ra - widest < 0 or high_ra + widest > 360:
+        return near
+    return near.where(F.col("ra").between(low_ra - widest, high_ra + widest))
 
 
 def attach(det: DataFrame, z: DataFrame, lens: DataFrame, dwarf: DataFrame) -> DataFrame:
@@ -20,14 +31,23 @@ def attach(det: DataFrame, z: DataFrame, lens: DataFrame, dwarf: DataFrame) -> D
 
     det: det_id (unique), ra, dec, tile and more; z, lens and dwarf: label_id (position in their catalogue), ra, dec, and cspec and zspec or tile.
     Each tile finds its own nearest detection. Of several redshifts on a detection the last one holds, nulls included.
-    Dwarfs match within their tile and make their detection a galaxy. Without labels nothing matches."""
-    found = nearest(z, det, 1.0, each=["tile"]).join(z.select("label_id", "cspec", "zspec"), "label_id")
-    last = found.groupBy("det_id").agg(F.max_by(F.struct(F.col("cspec").cast("double").alias("class_label"), F.col("zspec").cast("double").alias("zspec")), "label_id").alias("v"))
-    out = det.join(last, "det_id", "left").withColumns({"class_label": F.col("v.class_label"), "zspec": F.col("v.zspec")}).drop("v")
-    out = _flagged(out, lens, 1.0, "lens", [], ["tile"])
-    out = _flagged(out, dwarf, 10.0, "lsb", ["tile"], [])
-    out = out.withColumn("class_label", F.when(F.col("lsb") == 1, F.lit(GALAXY)).otherwise(F.col("class_label")))
-    rest = unmatched(dwarf, nearest(dwarf, det, 10.0, same=["tile"]))
+    Dwarfs match within their tile and make their detection a galaxy. Without labels nothing matches.
+    Redshifts and lenses are matched in one pass, and what is found is joined to the detections once."""
+    none = F.lit(None).cast("double")
+    kinds = lambda k, c, s: F.struct(F.lit(k).alias("kind"), "label_id", c.cast("double").alias("cspec"), s.cast("double").alias("zspec"))
+    short = z.select("ra", "dec", kinds(0, F.col("cspec"), F.col("zspec")).alias("lab")).unionByName(lens.select("ra", "dec", kinds(1, none, none).alias("lab")))
+    near = nearest(short, det, 1.0, "lab", each=["tile"]).select("det_id", "lab.*")
+    far = nearest(dwarf, det, 10.0, same=["tile"])
+    hits = near.unionByName(far.select("det_id", F.lit(2).alias("kind"), "label_id", none.alias("cspec"), none.alias("zspec")))
+    kind = F.col("kind")
+    found = hits.groupBy("det_id").agg(
+        F.max_by(F.struct("cspec", "zspec"), F.when(kind == 0, F.col("label_id"))).alias("v"),
+        F.max(F.when(kind == 1, F.lit(1.0))).alias("lens"),
+        F.max(F.when(kind == 2, F.lit(1.0))).alias("lsb"),
+    )
+    out = det.join(found, "det_id", "left")
+    out = out.withColumns({"class_label": F.when(F.col("lsb") == 1, F.lit(GALAXY)).otherwise(F.col("v.cspec")), "zspec": F.col("v.zspec")}).select(*det.columns, "class_label", "zspec", "lens", "lsb")
+    rest = unmatched(dwarf, far)
     common = [c for c in dwarf.columns if c in det.columns]
     added = rest.select(*common).withColumns({"class_label": F.lit(GALAXY), "lsb": F.lit(1.0)})
     return out.unionByName(added, allowMissingColumns=True)

@@ -94,21 +94,56 @@ def kahan(values: Column) -> Column:
 
 def describe(pixels: DataFrame, key: list[str]) -> DataFrame:
     v = F.col("v")
-    return pixels.groupBy(*key).agg(F.avg(v).alias("mean"), F.median(v).alias("median"), F.stddev_pop(v).alias("std"), F.var_pop(v).alias("var"), F.skewness(v).alias("skew"), F.kurtosis(v).alias("kurtosis"))
+    moments = pixels.groupBy(*key).agg(F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.var_pop(v).alias("var"), F.skewness(v).alias("skew"), F.kurtosis(v).alias("kurtosis"))
+    middle = percentiles(pixels, key, [0.5]).select(*key, F.get("p", F.lit(0)).alias("median"))
+    return moments.join(middle, key, "left").select(*key, "mean", "median", "std", "var", "skew", "kurtosis")
 
 
-def percentiles(pixels: DataFrame, key: list[str], shares: list[float]) -> DataFrame:
-    """Exact percentiles with linear interpolation over the pixels that aren't missing."""
-    return pixels.where(~F.isnan("v")).groupBy(*key).agg(F.percentile("v", [float(x) for x in shares]).alias("p"))
+def percentiles(pixels: DataFrame, key: list[str], shares: list[float], accuracy: int = 10_000) -> DataFrame:
+    """Exact percentiles with linear interpolation over the pixels that aren't missing, in bounded memory.
+
+    A sketch of fixed size brackets each percentile between two values with a share of 4 / accuracy of the pixels; what
+    lies below is counted, and only the distinct values of the brackets come together. Reads pixels twice. A column of key that is null makes no row."""
+    good = pixels.where(F.col("v").isNotNull() & ~F.isnan("v")).select(*key, "v")
+    at = lambda move: F.array(*(F.lit(min(max(float(x) + move, 0.0), 1.0)) for x in shares))
+    sketch = good.groupBy(*key).agg(F.count("v").alias("n"), F.percentile_approx("v", at(-2 / accuracy), accuracy).alias("lo"), F.percentile_approx("v", at(2 / accuracy), accuracy).alias("hi"))
+    met = good.join(sketch, key)
+    each = [(F.get("lo", F.lit(k)), F.get("hi", F.lit(k))) for k in range(len(shares))]
+    v = F.col("v")
+    # The neighbours of a bracket stand for ranks just outside of it.
+    sums = met.groupBy(*key).agg(F.first("n").alias("n"), *(x for k, (lo, hi) in enumerate(each) for x in (F.count_if(v < lo).alias(f"b{k}"), F.max(F.when(v < lo, v)).alias(f"d{k}"), F.min(F.when(v > hi, v)).alias(f"u{k}"))))
+    inside = F.explode(F.array_compact(F.array(*(F.when((v >= lo) & (v <= hi), F.lit(k)) for k, (lo, hi) in enumerate(each)))))
+    counted = met.select(*key, "v", inside.alias("k")).groupBy(*key, "k", "v").agg(F.count(F.lit(1)).alias("c"))
+    lists = counted.groupBy(*key).agg(*(F.array_sort(F.collect_list(F.when(F.col("k") == k, F.struct("v", "c")))).alias(f"l{k}") for k in range(len(shares))))
+    both = sums.join(lists, key)
+
+    def ranked(k: int, rank: Column) -> Column:
+        """The value at a rank from 0."""
+        step = lambda a, x: F.struct((a.left - x.c).alias("left"), F.when(a.v.isNull() & (a.left < x.c), x.v).otherwise(a.v).alias("v"))
+        left = rank - F.col(f"b{k}")
+        found = F.aggregate(f"l{k}", F.struct(left.alias("left"), F.lit(None).cast("double").alias("v")), step, lambda a: a.v)
+        return F.when(left < 0, F.col(f"d{k}")).otherwise(F.coalesce(found, F.col(f"u{k}")))
+
+    out = []
+    for k, share in enumerate(shares):
+        place = (F.col("n") - 1) * float(share)
+        low = F.floor(place)
+        below, above = ranked(k, low), ranked(k, F.least(low + 1, F.col("n") - 1))
+        out.append(F.when(place == low, below).otherwise(below * (low + 1 - place) + above * (place - low)))
+    return both.select(*key, F.array(*out).alias("p"))
 
 
 def percentile_for(pixels: DataFrame, key: list[str], target: float, step: float = 0.01) -> DataFrame:
-    """The first percentile from 100 downward, 0 excluded, whose value is at most target, else 100."""
-    n = round(100 / step)
-    grid = [k / n for k in range(n, 0, -1)]
-    p = percentiles(pixels, key, grid)
-    at = F.filter(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.get("p", i) <= target)
-    return p.select(*key, F.coalesce(F.lit(100.0) - F.get(at, F.lit(0)) * step, F.lit(100.0)).alias("percentile"))
+    """The first percentile from 100 downward, 0 excluded, whose value is at most target, else 100.
+
+    Values up to the target are counted; only the percentiles between the last of them and the next value need that value. No group is held."""
+    v, n = F.col("v"), round(100 / step)
+    known = pixels.where(v.isNotNull() & ~F.isnan("v")).groupBy(*key).agg(F.count(v).alias("n"), F.count_if(v <= target).alias("c"), F.max(F.when(v <= target, v)).alias("lo"), F.min(F.when(v > target, v)).alias("hi"))
+    place = lambda k: (F.col("n") - 1) * (k / F.lit(n))
+    over = lambda k: place(k) - (F.col("c") - 1)
+    fits = lambda k: (over(k) <= 0) | ((over(k) < 1) & (F.col("lo") * (1 - over(k)) + F.col("hi") * over(k) <= target))
+    best = F.array_max(F.filter(F.sequence(F.lit(1), F.lit(n)), lambda k: (F.col("c") > 0) & F.coalesce(fits(k), F.lit(True))))
+    return known.select(*key, F.coalesce(F.lit(100.0) - (n - best) * step, F.lit(100.0)).alias("percentile"))
 
 
 def histogram(df: DataFrame, value: str, low: float, high: float, bins: int) -> DataFrame:

@@ -153,7 +153,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, training: C
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most `rows` pairs of numbers
 
 
-def chunks(pdf, limit: int = 4_000_000):
+def text_parts(batch, limit: int = 1_000_000):
+    """Slices of an Arrow batch with about `limit` bytes of text each, or one longer text, so that temporary arrays stay small."""
+    import pyarrow.compute as pc
+
+    size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = (np.cumsum(size) - size) // limit
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(size)]
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
+def chunks(pdf, limit: int = 1_000_000):
     """Parts of a pandas batch with about `limit` characters of text each, so that temporary arrays stay small."""
     size = pdf["text"].str.len().fillna(0).to_numpy().cumsum()
     part = (size // limit).astype(int)

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, discard, materialise, mixed, partitions, powers, prefix_hash, read, span_hash, spread
+from .common import blobs, discard, materialise, mixed, partitions, powers, prefix_hash, read, span_hash, spread, text_parts, utf8
 
 WORDS, SIMILARITY = 5, 0.8
 BINS, RUNS, LEVELS, LIMIT = 128, 16, 3, 200
@@ -54,11 +54,14 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
-def shingles(texts: list) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, hash) of each distinct shingle, by text and hash."""
-    raw = [t.encode("utf-8", "replace") if isinstance(t, str) else b"" for t in texts]
-    lengths = np.array([len(r) + 1 for r in raw])
-    buf = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+def shingles(raw: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, hash) of each distinct shingle, by text and hash. raw: the bytes of texts of these lengths, one after the other."""
+    lengths = lengths + 1
+    buf = np.full(len(raw) + len(lengths), 10, np.uint8)  # a line feed ends each text
+    inner = np.ones(len(buf), bool)
+    inner[np.cumsum(lengths) - 1] = False
+    buf[inner] = raw
+    n_texts = len(lengths)
     blank = _SPACE[buf]
     edge = np.flatnonzero(np.diff(np.concatenate(([True], blank)).view(np.int8)))
     start, end = edge[0::2], edge[1::2]
@@ -66,11 +69,11 @@ def shingles(texts: list) -> tuple[np.ndarray, np.ndarray]:
     word = mixed(span_hash(h, start, end))
     doc = np.searchsorted(np.cumsum(lengths), start, "right")
     base = prefix_words(word)
-    n = np.bincount(doc, minlength=len(raw))
+    n = np.bincount(doc, minlength=n_texts)
     first = np.cumsum(n) - n
     many = np.where(n >= WORDS, n - WORDS + 1, np.minimum(n, 1))
     at = spread(first, many)
-    own = np.repeat(np.arange(len(raw)), many)
+    own = np.repeat(np.arange(n_texts), many)
     sh = mixed(span_hash(base, at, at + np.minimum(n, WORDS)[own]))
     order = np.lexsort((sh, own))
     own, sh = own[order], sh[order]
@@ -113,17 +116,20 @@ def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, a and b (signature of the set), n (its size) and sketch."""
 
     def rows(batches):
-        for pdf in batches:
-            for part in chunks(pdf):
-                own, sh = shingles(part["text"].tolist())
-                k = len(part)
+        import pyarrow as pa
+
+        for batch in batches:
+            for part in text_parts(batch):
+                own, sh = shingles(*utf8(part.column("text")))
+                k = part.num_rows
                 a, b = np.zeros(k, np.uint64), np.zeros(k, np.uint64)
                 np.add.at(a, own, sh)
                 np.add.at(b, own, mixed(sh ^ np.uint64(0x5851F42D4C957F2D)))
                 sk = sketches(own, sh, k).view(np.int32)
-                yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "a": a.view(np.int64), "b": b.view(np.int64), "n": np.bincount(own, minlength=k), "sketch": list(sk)})
+                sketch = pa.ListArray.from_arrays(np.arange(0, k * BINS + 1, BINS, dtype=np.int32), pa.array(sk.ravel()))
+                yield pa.record_batch({"doc_id": part.column("doc_id").cast("int64"), "a": a.view(np.int64), "b": b.view(np.int64), "n": np.bincount(own, minlength=k).astype(np.int32), "sketch": sketch})
 
-    return docs.select("doc_id", "text").mapInPandas(rows, "doc_id long, a long, b long, n int, sketch array<int>")
+    return docs.select("doc_id", "text").mapInArrow(rows, "doc_id long, a long, b long, n int, sketch array<int>")
 
 
 # ---- chosen path ---------------------------------------------------------------------------
@@ -305,16 +311,18 @@ def verify(docs: DataFrame, reps: DataFrame, members: DataFrame) -> DataFrame:
     need = members.groupBy("doc", "a").agg(F.collect_list(F.struct("key", "node", "side")).alias("at")).join(reps.select("doc", "a", "nodes", "copies"), ["doc", "a"])
 
     def sets(batches):
-        for pdf in batches:
-            for part in chunks(pdf):
-                own, sh = shingles(part["text"].tolist())
-                a = np.zeros(len(part), np.uint64)
+        import pyarrow as pa
+
+        for batch in batches:
+            for part in text_parts(batch):
+                own, sh = shingles(*utf8(part.column("text")))
+                k = part.num_rows
+                a = np.zeros(k, np.uint64)
                 np.add.at(a, own, sh)
-                cut = np.searchsorted(own, np.arange(1, len(part)))
-                out = part.drop(columns="text").assign(set=[s.tobytes() for s in np.split(sh, cut)])
-                yield out[a.view(np.int64) == part["a"].to_numpy()]  # else another text under the same id
+                out = part.drop_columns(["text"]).append_column("set", blobs(np.searchsorted(own, np.arange(k + 1)), sh))
+                yield out.filter(pa.array(a.view(np.int64) == part.column("a").to_numpy()))  # else another text under the same id
 
-    held = docs.join(need.hint("shuffle_hash"), "doc").select("doc", "a", "text", "at", "nodes", "copies").mapInPandas(sets, "doc long, a long, at array<struct<key:long,node:long,side:int>>, nodes array<long>, copies long, set binary")
+    held = docs.join(need.hint("shuffle_hash"), "doc").select("doc", "a", "text", "at", "nodes", "copies").mapInArrow(sets, "doc long, a long, at array<struct<key:long,node:long,side:int>>, nodes array<long>, copies long, set binary")
     dealt = held.select(F.explode("at").alias("at"), "doc", "a", "nodes", "copies", "set").select("at.*", "doc", "a", "nodes", "copies", "set")
     dealt = dealt.repartition(partitions(spark), "key").sortWithinPartitions("key", "side")
 

@@ -9,20 +9,21 @@ curve on the same sample. Documents are scored in parallel, each as a whole.
 
 Defined results: a null or empty text is one empty line; equal texts get equal
 scores; an empty table gives no rows; with labels of one kind or none, every
-score is the smoothed share of ones; further columns are ignored.
+score is the smoothed share of ones; further columns are ignored; texts of any
+length are scored as a whole.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, crc_mod, labelled_sample, read
+from .common import chunks, crc_mod, labelled_sample, read, text_parts
 
-#: Labelled documents that the model is fitted on, at most.
-SAMPLE_DOCS = 3000
+#: Labelled documents that the model is fitted on, their lines in all, and the lines of one of them, at most; longer ones are only scored.
+SAMPLE_DOCS, SAMPLE_LINES, MOST_LINES = 3000, 300_000, 20_000
 PREDICT_AT = 0.7
 STEPS, RATE, L2 = 120, 0.15, 1e-3
 
@@ -184,16 +185,19 @@ def score_texts(texts: list, model: dict) -> np.ndarray:
 
 
 def train(sample: DataFrame) -> dict:
-    """sample: text and y, as labelled_sample gives it. Features are computed where the texts are."""
+    """sample: doc_id, text and y, as labelled_sample gives it. Features are computed where the texts are; those of SAMPLE_LINES lines at most, in order of the ids' hashes, come to the driver."""
 
     def rows(batches):
         for pdf in batches:
             for own in chunks(pdf):
                 x, size, n = line_features(own["text"].tolist())
                 cut = np.cumsum(n)[:-1]
-                yield pd.DataFrame({"y": own["y"].to_numpy(), "n": n, "size": np.split(size, cut), "x": [v.ravel() for v in np.split(x, cut)]})
+                yield pd.DataFrame({"doc_id": own["doc_id"].to_numpy(), "y": own["y"].to_numpy(), "n": n, "size": np.split(size, cut), "x": [v.ravel() for v in np.split(x, cut)]})
 
-    got = sample.mapInPandas(rows, "y int, n int, size array<double>, x array<double>").toPandas()
+    short = sample.where(F.coalesce(F.size(F.split("text", "\n")), F.lit(1)) <= MOST_LINES)
+    before = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)  # over SAMPLE_DOCS rows at most, or copies of their ids
+    made = short.mapInPandas(rows, "doc_id long, y int, n int, size array<double>, x array<double>")
+    got = made.withColumn("total", F.sum("n").over(before)).where(F.col("total") <= SAMPLE_LINES).drop("doc_id", "total").toPandas()
     if got.empty:
         return {"constant": 0.5}
     x = np.concatenate(got["x"].tolist())
@@ -205,11 +209,13 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     """doc_id and score of every row of docs."""
 
     def rows(batches):
-        for pdf in batches:
-            for own in chunks(pdf):
-                yield pd.DataFrame({"doc_id": own["doc_id"].astype("Int64"), "score": score_texts(own["text"].tolist(), model)})
+        import pyarrow as pa
+
+        for batch in batches:
+            for part in text_parts(batch):
+                yield pa.record_batch({"doc_id": part.column("doc_id").cast("int64"), "score": score_texts(part.column("text").to_pylist(), model)})
 
-    return docs.select("doc_id", "text").mapInPandas(rows, "doc_id long, score double")
+    return docs.select("doc_id", "text").mapInArrow(rows, "doc_id long, score double")
 
 
 def keep(docs: DataFrame, model: dict, least: float) -> DataFrame:
@@ -219,15 +225,8 @@ def keep(docs: DataFrame, model: dict, least: float) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            texts, a = batch.column("text"), 0
-            while a < batch.num_rows:  # a part has a few megabytes of text or is one long text
-                b, size = a, 0
-                while b < batch.num_rows and (b == a or size < 4_000_000):
-                    size += len(texts[b].as_py() or "")
-                    b += 1
-                part = batch.slice(a, b - a)
+            for part in text_parts(batch):
                 yield part.filter(pa.array(score_texts(part.column("text").to_pylist(), model) >= least))
-                a = b
 
     return docs.mapInArrow(rows, docs.schema)
 

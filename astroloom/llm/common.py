@@ -34,6 +34,8 @@ def shared_dir(spark: SparkSession) -> str:
     path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if path:
         return path
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not getattr(spark, "_loom_dir", None):
         spark._loom_dir = tempfile.mkdtemp(prefix="loom-")
     return spark._loom_dir

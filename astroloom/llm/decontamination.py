@@ -25,11 +25,14 @@ Defined results: null and empty texts hold no window and are clean; repeated
 documents are judged one by one and repeated benchmark texts each count as an
 item; an empty benchmark leaves all documents clean; an empty table gives no
 rows; further columns, whatever their names, are kept by clean() and ignored
-elsewhere; rows with a null doc_id are clean.
+elsewhere; rows with equal or null ids are judged one by one; texts of any length
+are one row's arrays.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -169,12 +172,23 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
+def _row_key() -> Column:
+    """A key of a row that tells texts under one id apart, and rows without an id."""
+    return F.concat_ws(":", F.col("doc_id").cast("string"), F.xxhash64("text").cast("string"))
+
+
+def _by_row(docs: DataFrame) -> DataFrame:
+    return docs.select(_row_key().alias("doc_id"), "text")
+
+
 def by_document(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, contaminated, n_items, items (ids in order, comma separated) and n_reparameterised of every row of docs."""
-    leaks = find(docs, benchmark).groupBy("doc_id").agg(
+    leaks = find(_by_row(docs), benchmark).groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_items"), F.array_join(F.array_sort(F.collect_list("item_id")), ",").alias("items"), F.count_if("reparameterised").alias("n_reparameterised")
     )
-    out = docs.select("doc_id").join(leaks, "doc_id", "left")
+    # Leaked documents are few and the rest holds ids and hashes only; nothing here moves a text.
+    own = docs.select("doc_id", _row_key().alias("_key"))
+    out = own.join(leaks.withColumnRenamed("doc_id", "_key"), "_key", "left")
     return out.select(
         "doc_id", F.col("n_items").isNotNull().alias("contaminated"), F.coalesce("n_items", F.lit(0)).alias("n_items"), F.coalesce("items", F.lit("")).alias("items"), F.coalesce("n_reparameterised", F.lit(0)).alias("n_reparameterised")
     )
@@ -182,7 +196,10 @@ def by_document(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the contaminated ones, all columns kept."""
-    return docs.join(find(docs, benchmark).select(F.col("doc_id").alias("_leak")).distinct(), F.col("doc_id") == F.col("_leak"), "left_anti")
+    leak = f"_leak_{uuid.uuid4().hex}"  # no column of docs has this name
+    leaks = materialise(find(_by_row(docs), benchmark).select(F.col("doc_id").alias(leak)).distinct(), "leaks")
+    few = leaks.count() <= MAX_BROADCAST
+    return docs.join(F.broadcast(leaks) if few else leaks, _row_key() == F.col(leak), "left_anti")
 
 
 def op5_decontamination(spark, sf_dir) -> DataFrame:

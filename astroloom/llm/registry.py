@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
+import importlib.util
 
 from . import ctw, decontamination, jaccard_join, license_scan, packing, quality_crf, quality_rules, suffix_dedup, toxicity, url_filter
 
 
 def queries() -> dict:
-    return {
-        "pipeline": corpus_pipeline.run,
+    pipeline = {}
+    if importlib.util.find_spec("corpus_pipeline"):  # a file of its own at the top, which may be absent
+        import corpus_pipeline
+
+        pipeline = {"pipeline": corpus_pipeline.run}
+    return pipeline | {
         "op1_packing": packing.op1_packing,
         "op2_ctw": ctw.op2_ctw,
         "op3_quality_rules": quality_rules.op3_quality_rules,

@@ -3,20 +3,25 @@
 A text is cut into sentences, each is normalised and looked up among the known
 licence sentences (a fixed table). Sentences end at line ends as well, so a
 known one may also be wrapped: it is found where it equals sentences that follow
-one another. The identifiers found, in text order,
-are matched against rules: a rule is a sequence of identifiers that must stand
-one after the other, sentences that are not known or in no rule being skipped. All of it
-happens inside the row: no shuffle, no join, no bound on the text's length.
+one another. The identifiers found, in text order, are matched against the rules in
+the order given: a rule is a sequence of identifiers that must stand one after the
+other, sentences that are not known or in no rule being skipped, and the first rule
+that fits uses its sentences up, so a longer notice goes before its parts. All of it
+happens inside the row: no shuffle, no join, no bound on the text's length or on the
+number of sentences and rules; known sentences are tried by their first word.
 
 The SQL twin knows one-line notices only (SENTENCES and RULES).
 
 Defined results: null and empty texts have no sentence and no licence; repeated
 rows are scanned row by row; an empty table gives no rows; further columns are
-ignored.
+kept, but for those named n_sentences, sentence_ids or licenses, which are replaced.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,8 +94,37 @@ WORDINGS = [
     (_GPL_WRITE + "675 mass ave cambridge ma 02139 usa", "gpl-copy"),
 ]
 
-#: Rules on identifiers that only WORDINGS has.
-WORDING_RULES = [("GPL-2.0", ["gpl2-redistribute", "gpl-hope", "gpl-copy"])]
+_FREE = "is free software you can redistribute it and or modify it under the terms of the gnu "
+_LATER = " of the license or at your option any later version"
+
+WORDINGS += [
+    ("this library " + _FREE + "lesser general public license as published by the free software foundation either version 2 1" + _LATER, "lgpl21-redistribute"),
+    ("this program " + _FREE + "lesser general public license as published by the free software foundation either version 3" + _LATER, "lgpl3-redistribute"),
+    ("this library " + _FREE + "lesser general public license as published by the free software foundation either version 3" + _LATER, "lgpl3-redistribute"),
+    ("this program " + _FREE + "affero general public license as published by the free software foundation either version 3" + _LATER, "agpl3-redistribute"),
+    ("redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", "bsd-source"),
+    ("redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution", "bsd-binary"),
+    ("neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", "bsd-endorse"),
+    ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies", "isc-grant"),
+    ("permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies", "isc-grant"),
+    ("this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0", "mpl-notice"),
+]
+
+#: Identifiers of licences that a tag line may name.
+TAGGED = ["MIT", "ISC", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "Unlicense"]
+WORDINGS += [("spdx license identifier " + x.lower().replace("-", " ").replace(".", " "), f"tag-{x}") for x in TAGGED]
+
+#: Rules on identifiers that only WORDINGS has, in order; they go before RULES.
+WORDING_RULES = [
+    ("GPL-2.0", ["gpl2-redistribute", "gpl-hope", "gpl-copy"]),
+    ("LGPL-2.1-or-later", ["lgpl21-redistribute"]),
+    ("LGPL-3.0-or-later", ["lgpl3-redistribute"]),
+    ("AGPL-3.0-or-later", ["agpl3-redistribute"]),
+    ("BSD-3-Clause", ["bsd-redistribute", "bsd-source", "bsd-binary", "bsd-endorse"]),
+    ("BSD-2-Clause", ["bsd-redistribute", "bsd-source", "bsd-binary"]),
+    ("ISC", ["isc-grant"]),
+    *((x, [f"tag-{x}"]) for x in TAGGED),
+]
 
 
 def sentences_of(text: Column) -> Column:
@@ -99,23 +133,42 @@ def sentences_of(text: Column) -> Column:
     return F.filter(F.transform(cut, lambda x: F.trim(F.regexp_replace(F.lower(x), r"[^\p{L}\p{N}]+", " "))), lambda x: x != "")
 
 
+def _by_first_word(texts: list[str]) -> str:
+    """A pattern of all the texts, each word after a blank or line feed; at one place the longest counts."""
+    groups: dict[str, list[str]] = {}
+    for t in sorted(texts, key=len, reverse=True):
+        first, _, rest = t.partition(" ")
+        groups.setdefault(first, []).append(rest.replace(" ", "[ \n]"))
+    return "|".join(f"{first}(?:" + "|".join(f"[ \n]{x}(?=\n)" if x else "(?=\n)" for x in rests) + ")" for first, rests in groups.items())
+
+
+def _licenses(ids: Column, rules: list[tuple[str, list[str]]]) -> Column:
+    """Names of the rules that fit, in order of the rules; one that fits uses its identifiers up wherever it does."""
+    text = json.dumps([{"name": n, "seq": "".join(f",{x}," for x in seq)} for n, seq in rules])
+    table = F.from_json(F.lit(text), "array<struct<name:string,seq:string>>")
+    ruled = F.from_json(F.lit(json.dumps(sorted({x for _, seq in rules for x in seq}))), "array<string>")
+    start = F.array_join(F.transform(F.filter(ids, lambda x: F.array_contains(ruled, x)), lambda x: F.concat(F.lit(","), x, F.lit(","))), "")
+    zero = F.struct(start.alias("left"), F.array().cast("array<string>").alias("names"))
+
+    def tried(a: Column, r: Column) -> Column:
+        hit = a.left.contains(r.seq)
+        return F.struct(F.when(hit, F.replace(a.left, r.seq, F.lit(",#,"))).otherwise(a.left).alias("left"), F.when(hit, F.array_append(a.names, r["name"])).otherwise(a.names).alias("names"))
+
+    return F.aggregate(table, zero, tried, lambda a: a.names)
+
+
 def scan(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules: list[tuple[str, list[str]]] = RULES, wordings: list[tuple[str, str]] = WORDINGS, wording_rules: list[tuple[str, list[str]]] = WORDING_RULES) -> DataFrame:
     """docs plus n_sentences, sentence_ids (array, text order) and licenses (array, by name)."""
-    if len(sentences) + len(wordings) > 200:
-        raise ValueError("the sentence table is held in the plan; 200 entries at most")
-    rules = rules + wording_rules
     table = {text: name for name, text in sentences.items()} | dict(wordings)
-    known = F.create_map(*(F.lit(v) for pair in table.items() for v in pair))
-    # Longest first: of two that begin at a place the longer one counts.
-    anyone = "(?<=\n)(?:" + "|".join(t.replace(" ", "[ \n]") for t in sorted(table, key=len, reverse=True)) + ")(?=\n)"
-    text = F.concat(F.lit("\n"), F.array_join("_s", "\n"), F.lit("\n"))
+    known = F.from_json(F.lit(json.dumps(table)), "map<string,string>")
+    anyone = f"(?<=\n)(?:{_by_first_word(list(table))})"
+    own = f"_s_{uuid.uuid4().hex}"  # no column of docs has this name
+    text = F.concat(F.lit("\n"), F.array_join(own, "\n"), F.lit("\n"))
     found_texts = F.transform(F.regexp_extract_all(text, F.lit(anyone), F.lit(0)), lambda x: F.try_element_at(known, F.translate(x, "\n", " ")))
     ids = F.flatten(F.transform(found_texts, lambda x: F.split(x, ",")))
-    ruled = F.array(*(F.lit(x) for x in sorted({x for _, seq in rules for x in seq})))
-    joined = F.concat(F.lit(","), F.array_join(F.filter("sentence_ids", lambda x: F.array_contains(ruled, x)), ","), F.lit(","))
-    hits = [F.when(F.col("_j").contains("," + ",".join(seq) + ","), F.lit(name)) for name, seq in rules]
-    found = docs.withColumn("_s", sentences_of(F.col("text"))).withColumn("n_sentences", F.size("_s").cast("long")).withColumn("sentence_ids", ids).drop("_s").withColumn("_j", joined)
-    return found.withColumn("licenses", F.when(F.size("sentence_ids") == 0, F.array().cast("array<string>")).otherwise(F.array_sort(F.array_distinct(F.array_compact(F.array(*hits)))))).drop("_j")
+    found = docs.withColumn(own, sentences_of(F.col("text"))).withColumn("n_sentences", F.size(own).cast("long")).withColumn("sentence_ids", ids).drop(own)
+    none = F.array().cast("array<string>")
+    return found.withColumn("licenses", F.when(F.size("sentence_ids") == 0, none).otherwise(F.array_sort(F.array_distinct(_licenses(F.col("sentence_ids"), [*wording_rules, *rules])))))
 
 
 def op10_license_scan(spark, sf_dir) -> DataFrame:

@@ -70,3 +70,10 @@ def percentile_of(pix: Column, share: float) -> Column:
         return a + (b - a) * (place - low)
 
     return let(F.array_sort(good(pix)), at)
+
+
+def percentile_stretch(pix: Column, low: float = 0.01, high: float = 0.98, a: float = 0.01) -> Column:
+    """Between two percentiles to 0..1, values outside clipped, then the asinh stretch; null where both are alike."""
+    ends = F.struct(percentile_of(pix, low).alias("low"), percentile_of(pix, high).alias("high"))
+    unit = lambda x, e: F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.try_divide(x - e.low, e.high - e.low)))
+    return let(ends, lambda e: F.transform(pix, lambda x: F.when(e.high > e.low, F.asinh(unit(x, e) / a) / F.asinh(F.lit(1 / a)))))

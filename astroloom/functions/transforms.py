@@ -112,10 +112,12 @@ def fourier_anomaly(image: np.ndarray, factor: float = 3.0, smooth: bool = False
     return vertical, horizontal, corners, bool(vertical > factor * corners and horizontal > factor * corners)
 
 
-def background_rms(image: np.ndarray, mesh: int = 128, sigma: float = 3.0, rounds: int = 10) -> float:
-    """Median over mesh squares of the scatter that is left after clipping; a square's scatter is the median of its 3 x 3 neighbours."""
+def _meshes(image: np.ndarray, mesh: int, sigma: float, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Level and scatter of each mesh square after clipping, each the median of its 3 x 3 neighbours.
+
+    The level is 2.5 medians less 1.5 means, or the median where the two are far apart."""
     rows, cols = (-(-n // mesh) for n in image.shape)
-    rms = np.full((rows, cols), np.nan)
+    level, rms = np.full((rows, cols), np.nan), np.full((rows, cols), np.nan)
     for i in range(rows):
         for j in range(cols):
             v = image[i * mesh : (i + 1) * mesh, j * mesh : (j + 1) * mesh].ravel().astype(float)
@@ -125,14 +127,51 @@ def background_rms(image: np.ndarray, mesh: int = 128, sigma: float = 3.0, round
                 if keep.all():
                     break
                 v = v[keep]
-            rms[i, j] = v.std() if len(v) else np.nan
-    known = rms[np.isfinite(rms)]
-    if not len(known):
-        return float("nan")
-    p = np.pad(rms, 1, constant_values=np.nan)
-    around = np.stack([p[i : i + rows, j : j + cols] for i in range(3) for j in range(3)])
-    some = np.isfinite(around).any(axis=0)
-    return float(np.median(np.nanmedian(around[:, some], axis=0)))
+            if len(v):
+                mean, middle, rms[i, j] = v.mean(), np.median(v), v.std()
+                level[i, j] = 2.5 * middle - 1.5 * mean if rms[i, j] == 0 or abs(mean - middle) < 0.3 * rms[i, j] else middle
+    return _around(level), _around(rms)
+
+
+def _around(x: np.ndarray) -> np.ndarray:
+    """The median of each square and its neighbours, squares without a value left out."""
+    p = np.pad(x, 1, constant_values=np.nan)
+    around = np.stack([p[i : i + x.shape[0], j : j + x.shape[1]] for i in range(3) for j in range(3)])
+    some, out = np.isfinite(around).any(axis=0), np.full(x.shape, np.nan)
+    out[some] = np.nanmedian(around[:, some], axis=0)
+    return out
+
+
+def background_rms(image: np.ndarray, mesh: int = 128, sigma: float = 3.0, rounds: int = 10) -> float:
+    """Median over mesh squares of the scatter that is left after clipping."""
+    rms = _meshes(image, mesh, sigma, rounds)[1]
+    return float(np.median(rms[np.isfinite(rms)])) if np.isfinite(rms).any() else float("nan")
+
+
+def background(image: np.ndarray, mesh: int = 128, sigma: float = 3.0, rounds: int = 10) -> tuple[np.ndarray, float]:
+    """Level of each pixel, linear between the middles of the mesh squares, and the median scatter."""
+    level, rms = _meshes(image, mesh, sigma, rounds)
+    if not np.isfinite(level).any():
+        return np.zeros(image.shape), float("nan")
+    level = np.where(np.isfinite(level), level, np.nanmedian(level))
+
+    def between(n: int, squares: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at = np.clip((np.arange(n) + 0.5) / mesh - 0.5, 0, squares - 1)
+        low = np.minimum(at.astype(int), max(squares - 2, 0))
+        return low, np.minimum(low + 1, squares - 1), at - low
+
+    r0, r1, fr = between(image.shape[0], level.shape[0])
+    c0, c1, fc = between(image.shape[1], level.shape[1])
+    rows = level[r0] * (1 - fr)[:, None] + level[r1] * fr[:, None]
+    return rows[:, c0] * (1 - fc) + rows[:, c1] * fc, float(np.median(rms[np.isfinite(rms)]))
+
+
+def background_removed(image: np.ndarray, seed: int, mesh: int = 128, least: float = -0.1) -> np.ndarray:
+    """image less its background; missing pixels and those under `least` become noise of the background's scatter, the same for one seed."""
+    level, rms = background(image, mesh)
+    out = image - level
+    mask = np.isnan(image) | (out < least)
+    return np.where(mask, np.random.default_rng(seed).normal(0, np.nan_to_num(rms), image.shape), out)
 
 
 def composite(channels: np.ndarray, scaling: str = "linear", stretch: float = 0.5, q: float = 10.0, floor: float = 0.0, ceiling: float = 99.8, gamma: float | None = 0.35, norm: bool = True, gains: tuple = (1.0, 1.0, 1.0)) -> np.ndarray:

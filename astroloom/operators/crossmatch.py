@@ -39,9 +39,9 @@ def unmatched(labels: DataFrame, matches: DataFrame, label: str = "label_id") ->
     return labels.join(matches, label, "left_anti")
 
 
-def union_catalogs(a: DataFrame, b: DataFrame, max_sep: float = 15.0) -> DataFrame:
-    """All of the longer catalogue and the rows of the shorter one that it lacks; the first counts as shorter when both are alike. Both have ra and dec; one pass counts each."""
-    short, long = (a, b) if a.count() <= b.count() else (b, a)
-    short, long = short.withColumn("_s", F.monotonically_increasing_id()), long.withColumn("_d", F.monotonically_increasing_id())
-    found = nearest(short, long, max_sep, "_s", "_d")
-    return unmatched(short, found, "_s").drop("_s").unionByName(long.drop("_d"), allowMissingColumns=True)
+def union_catalogs(a: DataFrame, b: DataFrame, max_sep: float = 15.0, a_key: str = "label_id", b_key: str = "det_id") -> DataFrame:
+    """All of the longer catalogue and the rows of the shorter one that it lacks; the first counts as shorter when both are alike. Both have ra, dec and a key of their own; one pass counts each."""
+    first = a.count() <= b.count()
+    (short, s), (long, d) = ((a, a_key), (b, b_key)) if first else ((b, b_key), (a, a_key))
+    found = nearest(short.withColumn("_s", F.col(s)), long.withColumn("_d", F.col(d)), max_sep, "_s", "_d")
+    return short.join(found.select(F.col("_s").alias(s)), s, "left_anti").unionByName(long, allowMissingColumns=True)

@@ -61,8 +61,8 @@ def validated(pix: Column, size: int, most_missing: float = 0.05) -> Column:
 
 
 def stacks(cut: DataFrame, key: list[str], order: list[str], size: int, compact: bool = False) -> DataFrame:
-    """key and images (an array for each band). Bands stand at their place in the registry and missing ones are zeros; compact leaves gaps out. cut: key, band, pix."""
-    by_band = cut.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("band", "pix"))).alias("m"))
-    listed = F.transform(F.array(*(F.lit(b) for b in order)), lambda b: F.try_element_at(F.col("m"), b))
+    """key and images (an array for each band). Bands stand at their place in the registry and missing ones are zeros; compact leaves gaps out; of two images in a band the greater array counts. cut: key, band, pix."""
+    by_band = cut.groupBy(*key).agg(F.array(*(F.max(F.when(F.col("band") == b, F.col("pix"))) for b in order)).alias("m"))
+    listed = F.col("m")
     images = F.filter(listed, lambda p: p.isNotNull()) if compact else F.transform(listed, lambda p: F.coalesce(p, F.array_repeat(F.lit(0.0).cast("float"), size * size)))
     return by_band.select(*key, images.alias("images"))

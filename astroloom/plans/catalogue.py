@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import pixels, sky, upkeep
+from . import extras, pixels, sky, upkeep
 
-_PARTS = [sky, pixels, upkeep]
+_PARTS = [sky, pixels, upkeep, extras]
 
 
 def queries() -> dict:

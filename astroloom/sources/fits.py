@@ -84,11 +84,10 @@ def unit(content: bytes, extension: int) -> tuple[dict, bytes]:
 
 
 def extension_of(path: str, extension: int | str) -> int:
-    """'auto' is the first extension for calibrated exposures and survey z tiles, else the primary unit."""
+    """'auto' is the first extension where the path, its folders included, speaks of calibrated exposures or survey z tiles, else the primary unit."""
     if extension != "auto":
         return int(extension)
-    name = path.rsplit("/", 1)[-1]
-    return int("calexp" in name or "WISHES" in name)
+    return int("calexp" in path or "WISHES" in path)
 
 
 def pixels(head: dict, data: bytes) -> np.ndarray:

@@ -54,3 +54,42 @@ def test_cutout_at_the_edge_is_padded_and_one_outside_gives_none(spark):
     o = spark.createDataFrame([("edge", 1, 0.0, 0.0), ("out", 1, 50.0, 50.0)], "id string, img int, x double, y double")
     got = images.cutouts(o, images.to_blocks(img, ["img"], 2), ["img"], ["id"], 2, 2).collect()
     assert [(r.id, r.pix) for r in got] == [("edge", [0.0, 0.0, 0.0, 0.0])]
+
+
+#: Positions of known galaxies with the tile and pixel that the survey gives them (ra, dec, xxx, yyy, x, y).
+KNOWN = [
+    (210.9375, 53.9444, 248, 288, 5272.605978908489, 3922.5752461594193),
+    (212.1562, 54.3253, 246, 289, 1112.8468490735154, 1623.9625182097107),
+    (210.7737, 53.6156, 251, 287, 7454.425703716308, 7243.892888604144),
+    (211.89083, 54.71089, 246, 289, 4120.276396012283, 9087.340521854443),
+    (211.1171, 55.6167, 239, 291, 3492.105869601455, 7263.024499588791),
+    (212.07792, 55.19183, 243, 290, 2244.0341953593047, 8722.400178895885),
+    (211.44792, 55.13258, 243, 290, 9219.451933662118, 7580.774125962493),
+    (123.2432, 36.1984, 199, 252, 1020.9944945392867, 8850.019539934827),
+    (123.6499, 36.4344, 199, 253, 7001.208727501078, 3730.0707073263675),
+    (139.4972, 52.7426, 170, 285, 6531.84089371232, 9702.753925554882),
+    (139.1897, 53.4429, 166, 287, 9012.86695414017, 3903.240240462025),
+    (139.4444, 53.2935, 166, 287, 6076.747812265074, 998.9269385483763),
+    (139.2389, 53.0101, 168, 286, 8951.187923465895, 5205.060467959228),
+    (139.4253, 53.0271, 168, 286, 6777.094899750402, 5527.059039764314),
+    (139.3098, 53.2298, 168, 286, 8108.602411594937, 9459.132939189147),
+    (206.5777, 43.8514, 297, 268, 3065.768467506182, 2121.898050900346),
+    (207.0967, 43.7087, 300, 267, 700.398383333144, 9052.36536979984),
+    (206.6083, 43.4521, 300, 267, 7552.963379911458, 4074.527959708672),
+    (206.99, 43.5872, 300, 267, 2189.440587526024, 6693.23285391598),
+]
+
+
+def test_known_galaxies_fall_on_their_tiles(spark):
+    o = spark.createDataFrame([(k, r[0], r[1]) for k, r in enumerate(KNOWN)], "ID long, ra double, dec double")
+    d = spark.createDataFrame(sorted({(r[2], r[3]) for r in KNOWN}), "xxx int, yyy int")
+    for row in tiles.assign(o, d).collect():
+        _, _, xxx, yyy, x, y = KNOWN[row.ID]
+        assert (row.xxx, row.yyy) == (xxx, yyy)
+        assert abs(row.x - x) < 1e-5 and abs(row.y - y) < 1e-5
+
+
+def test_a_tile_beyond_ra_360(spark):
+    """Tile numbers come from positions, so the last tiles of a row reach over ra 0."""
+    o = spark.createDataFrame([(1, 3.2, -65.0)], "ID long, ra double, dec double")
+    assert tiles.assign(o, spark.createDataFrame([(307, 50)], "xxx int, yyy int")).first().tile == "(307, 50)"

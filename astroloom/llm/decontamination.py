@@ -36,7 +36,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, materialise, read
+from .common import SPACE, discard, materialise, read
 
 WORDS, SIMILARITY, LITERALS = 5, 0.8, 3
 MAX_BROADCAST = 500_000
@@ -146,13 +146,13 @@ def _occurrences(found: DataFrame) -> DataFrame:
 
 
 def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, n_windows (of the item), n_matched (most in one occurrence that passes) and reparameterised (one that passes has other values), a row for each leak."""
+    """doc_id, item_id, n_windows (of the item), n_matched (most in one occurrence that passes) and reparameterised (one that passes has other values), a row for each leak, as a table."""
     d = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
     items = _prepared(benchmark.select("item_id", "text").dropDuplicates(), "item_id")
     n_windows = F.size(F.filter("h", lambda x: x.isNotNull()))
     probe = _windows(items, "item_id").withColumnsRenamed({"pos": "item_pos", "slots": "item_slots"})
     probe = probe.join(items.select(F.col("item_id").alias("_i"), n_windows.alias("n_windows"), F.size("w").alias("n_words")).where("n_windows > 0"), F.col("item_id").eqNullSafe(F.col("_i"))).drop("_i")
-    probe = materialise(probe.withColumn("free", F.lit(None).cast("boolean")).unionByName(_whole_items(items)), "benchmark")
+    probe = table = materialise(probe.withColumn("free", F.lit(None).cast("boolean")).unionByName(_whole_items(items)), "benchmark")
     lengths = sorted((r["n_words"], r["free"]) for r in probe.where("free is not null").select("n_words", "free").distinct().collect())
     probe = probe.drop("free")
     side = F.broadcast(probe) if probe.count() <= MAX_BROADCAST else probe
@@ -167,9 +167,12 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     enough = F.col("n_matched") >= SIMILARITY * F.col("n_windows")
     both = _occurrences(both.withColumn("n_matched", F.size(F.array_distinct(F.transform("x", lambda m: m.item_pos)))).where(enough).drop("n_matched")).where(enough)
     values = F.size(F.array_distinct(F.transform("pairs", lambda p: p.a)))
-    return both.where(values >= SIMILARITY * F.size("pairs")).groupBy("doc_id", "item_id").agg(
+    out = both.where(values >= SIMILARITY * F.size("pairs")).groupBy("doc_id", "item_id").agg(
         F.max("n_windows").cast("long").alias("n_windows"), F.max("n_matched").cast("long").alias("n_matched"), F.bool_or(F.exists("pairs", lambda p: p.a != p.b)).alias("reparameterised")
     )
+    out = materialise(out, "leaks")
+    discard(table)
+    return out
 
 
 def _row_key() -> Column:
@@ -197,7 +200,7 @@ def by_document(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the contaminated ones, all columns kept."""
     leak = f"_leak_{uuid.uuid4().hex}"  # no column of docs has this name
-    leaks = materialise(find(_by_row(docs), benchmark).select(F.col("doc_id").alias(leak)).distinct(), "leaks")
+    leaks = find(_by_row(docs), benchmark).select(F.col("doc_id").alias(leak)).distinct()
     few = leaks.count() <= MAX_BROADCAST
     return docs.join(F.broadcast(leaks) if few else leaks, _row_key() == F.col(leak), "left_anti")
 

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, read
+from .common import discard, materialise, read
 
 #: verdict and rule of the contract.
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -63,10 +63,12 @@ def typed(segment: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(segment, r"^[0-9a-fA-F-]{16,}", "<id>"), r"[0-9]+", "<n>")
 
 
-def template_tree(pages: DataFrame, wide: int = WIDE) -> DataFrame:
+def template_tree(pages: DataFrame, wide: int = WIDE, held: list | None = None) -> DataFrame:
     """Pages by (host, shape): the array of typed segments, its template, and n (labelled) and n_block, through all levels."""
     t = pages.groupBy("host", "shape").agg(F.count("label").alias("n"), F.count_if(F.col("label") == "block").alias("n_block"))
+    held = [] if held is None else held  # the tables that are made on the way
     t = materialise(t.withColumn("template", F.col("shape")), "shapes")
+    held.append(t)
     levels = t.agg(F.max(F.size("shape"))).first()[0] or 0
     for level in range(1, levels + 1):
         seg, parent = F.get("template", F.lit(level - 1)), F.array_join(F.slice("template", 1, level - 1), "/")
@@ -76,15 +78,18 @@ def template_tree(pages: DataFrame, wide: int = WIDE) -> DataFrame:
         t = keyed.join(broad, ["host", "_p"], "left").select("host", "shape", "n", "n_block", starred.alias("template"))
         if level % STEP == 0:
             t = materialise(t, "templates")
+            held.append(t)
     return t
 
 
-def purity(tree: DataFrame, z: float = Z, prior: float = PRIOR, bound: float = PURITY) -> DataFrame:
+def purity(tree: DataFrame, z: float = Z, prior: float = PRIOR, bound: float = PURITY, held: list | None = None) -> DataFrame:
     """host, node (the first segments of templates), own (its depth) and purity of each node, after similar siblings have pooled their labels."""
     depth = F.posexplode(F.transform(F.sequence(F.lit(0), F.size("template")), lambda d: F.array_join(F.slice("template", 1, d), "/"))).alias("depth", "node")
     node = tree.select("host", "n", "n_block", depth).groupBy("host", "depth", "node").agg(F.sum("n").alias("n"), F.sum("n_block").alias("b"))
     # A node's name ends with its last segment, which holds no slash.
+    held = [] if held is None else held
     node = materialise(node.withColumn("parent", F.when(F.col("depth") > 1, F.regexp_replace("node", "/[^/]*$", "")).otherwise(F.lit(""))), "nodes")
+    held.append(node)
     levels = node.agg(F.max("depth")).first()[0] or 0
     reached = lambda n: F.col(n) + prior >= bound * (F.col(n) + 2 * prior) - 1e-9
     smoothed = lambda b, n: (F.col(b) + prior) / (F.col(n) + 2 * prior)
@@ -100,6 +105,7 @@ def purity(tree: DataFrame, z: float = Z, prior: float = PRIOR, bound: float = P
         above = own.select("host", "node", "depth", F.when(reached("en"), smoothed("eb", "en")).otherwise(F.col("up")).alias("purity"), "n", "b")
         if d % STEP == 0:
             above = materialise(above, "purities")
+            held.append(above)
         out = out.unionByName(above)
     return out.select("host", "node", F.col("depth").alias("own"), "purity")
 
@@ -111,11 +117,14 @@ def judge(pages: DataFrame, rules=RULES, bound: float = PURITY) -> DataFrame:
     rule, label = rule_of(F.col("host"), F.col("path"), rules)
     shape = F.transform(F.filter(F.split("path", "/"), lambda s: s != ""), typed)
     p = p.select("page_id", "host", "path", rule.alias("rule"), label.alias("label"), shape.alias("shape"))
-    tree = materialise(template_tree(p), "tree")
+    held: list[DataFrame] = []
+    tree = materialise(template_tree(p, held=held), "tree")
     leaf = tree.select("host", "shape", F.array_join("template", "/").alias("node"), F.size("template").alias("own"))
-    scored = leaf.join(purity(tree, bound=bound), ["host", "node", "own"])
+    scored = leaf.join(purity(tree, bound=bound, held=held), ["host", "node", "own"])
     # Only rejected templates are joined to the pages, and only to pages without a rule.
-    rejected = scored.where(F.col("purity") >= bound).select("host", "shape", F.lit(True).alias("_r"))
+    rejected = materialise(scored.where(F.col("purity") >= bound).select("host", "shape", F.lit(True).alias("_r")), "rejected")
+    for table in (tree, *held):
+        discard(table)
     verdict = F.coalesce("label", F.when(F.col("_r"), F.lit("block")).otherwise(F.lit("allow")))
     return p.join(rejected, ["host", "shape"], "left").select("page_id", "host", "path", "rule", F.array_join("shape", "/").alias("template"), verdict.alias("verdict"))
 

@@ -5,8 +5,9 @@ documents, and decides anew on all of it. The last one returns pieces with
 their places in sequences.
 
 Defined results: texts that are null or empty have no line of good quality and
-are judged like any other; documents with a null doc_id pass the stages that
-need an id; empty tables pass through as empty tables; columns beyond those of
+are judged like any other; documents with a null doc_id are no one's copies, but are
+cut and checked for leaks as all are; of documents with one id each is judged by
+itself, but leaves with its like where one is a near duplicate; empty tables pass through as empty tables; columns beyond those of
 documents are dropped by the first stage.
 """
 
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from astroloom.llm import decontamination, jaccard_join, packing, quality_crf, suffix_dedup
-from astroloom.llm.common import materialise, read
+from astroloom.llm.common import discard, materialise, read
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Documents under this quality go; well under the bound of the classifier's own prediction, so that doubtful ones stay.
@@ -67,9 +68,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on documents, each written as a table before the next reads it."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = materialise(docs, f"stage{k}")
+        docs = materialise(stage(spark, docs, sf_dir), f"stage{k}")
+        if before is not None:
+            discard(before)
+        before = docs
     return docs

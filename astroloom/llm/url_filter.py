@@ -27,6 +27,8 @@ from .common import discard, materialise, read
 
 #: verdict and rule of the contract.
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+#: Rules that are held in the plan, and in a broadcast table, at most; beyond, the table is joined by a shuffle.
+IN_PLAN, MAX_BROADCAST = 200, 500_000
 #: A node with more children than this is a wildcard.
 WIDE = 40
 #: Levels of the tree after which the plan starts from a table again.
@@ -47,9 +49,7 @@ def host_path(url: Column) -> tuple[Column, Column]:
 
 
 def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
-    """The longest rule that fits and its verdict; null where none does."""
-    if len(rules) > 200:
-        raise ValueError("rules are held in the plan; 200 at most")
+    """The longest rule that fits and its verdict; null where none does. The rules are held in the plan, for few of them."""
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
     for v, r in sorted(rules, key=lambda x: len(x[1])):
         h, _, p = r.partition("/")
@@ -58,6 +58,20 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
+def with_rules(p: DataFrame, rules=RULES, in_plan: int = IN_PLAN, broadcast: int = MAX_BROADCAST) -> DataFrame:
+    """p (host, path) with rule and label. Many rules are a table that meets the ends of each host, once for each distinct host and path."""
+    if len(rules) <= in_plan:
+        rule, label = rule_of(F.col("host"), F.col("path"), rules)
+        return p.withColumns({"rule": rule, "label": label})
+    rows = [(r.partition("/")[0], "/" + r.partition("/")[2], r, v, len(r), k) for k, (v, r) in enumerate(rules)]
+    table = p.sparkSession.createDataFrame(rows, "h string, prefix string, rule string, label string, length int, k int")
+    own = p.select("host", "path").distinct().withColumn("parts", F.split("host", r"\."))
+    ends = own.select("host", "path", F.explode(F.transform(F.sequence(F.lit(1), F.size("parts")), lambda i: F.array_join(F.slice("parts", i, F.size("parts")), "."))).alias("h"))
+    met = ends.join(F.broadcast(table) if len(rules) <= broadcast else table, "h").where(F.startswith("path", "prefix"))
+    best = met.groupBy("host", "path").agg(F.max_by(F.struct("rule", "label"), F.struct("length", "k")).alias("r"))
+    return p.join(best, ["host", "path"], "left").select(*p.columns, "r.rule", "r.label")
+
+
 def typed(segment: Column) -> Column:
     """A segment with its numbers and long hexadecimal ids as placeholders."""
     return F.regexp_replace(F.regexp_replace(segment, r"^[0-9a-fA-F-]{16,}", "<id>"), r"[0-9]+", "<n>")
@@ -114,9 +128,8 @@ def judge(pages: DataFrame, rules=RULES, bound: float = PURITY) -> DataFrame:
     """page_id, host, path, rule, template and verdict of each row of pages."""
     host, path = host_path(F.col("url"))
     p = pages.select("page_id", host.alias("host"), path.alias("path"))
-    rule, label = rule_of(F.col("host"), F.col("path"), rules)
     shape = F.transform(F.filter(F.split("path", "/"), lambda s: s != ""), typed)
-    p = p.select("page_id", "host", "path", rule.alias("rule"), label.alias("label"), shape.alias("shape"))
+    p = with_rules(p, rules).withColumn("shape", shape)
     held: list[DataFrame] = []
     tree = materialise(template_tree(p, held=held), "tree")
     leaf = tree.select("host", "shape", F.array_join("template", "/").alias("node"), F.size("template").alias("own"))

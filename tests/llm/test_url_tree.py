@@ -6,6 +6,8 @@ import random
 import re
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 
 def plain(urls: list, rules, wide: int, z=1.96, bound=0.8, prior=1.0) -> list:
     """(rule, verdict) of each url."""
@@ -77,3 +79,15 @@ def test_verdicts_equal_a_plain_tree(spark):
     learned = [v for x, v in want.values() if x is None]
     assert learned.count("block") > 50 and learned.count("allow") > 50
     assert U.judge(pages.limit(0), rules).count() == 0
+
+
+def test_rules_as_a_table_equal_rules_in_the_plan(spark):
+    from astroloom.llm import url_filter as U
+
+    r = random.Random(6)
+    rules = [*U.RULES, ("block", "example.com/a"), ("allow", "example.com/a/b"), ("block", "b.example.com/"), ("allow", "com/"), ("block", "com/"), ("block", "com/a/b")]
+    urls = [None, "x"] + ["http://" + r.choice(["a.example.com", "b.example.com", "xexample.com", "example.com", "y.net", "z.org", "com", "COM"]) + r.choice(["", "/", "/a", "/a/b", "/ab", "/fr/", "/de/1", "/en/"]) for _ in range(300)]
+    host, path = U.host_path(F.col("url"))
+    p = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string").select("page_id", host.alias("host"), path.alias("path"))
+    got = [{x.page_id: (x.rule, x.label) for x in U.with_rules(p, rules, n, b).collect()} for n, b in ((200, 0), (0, 500), (0, 0))]
+    assert got[0] == got[1] == got[2] and len({v[0] for v in got[0].values()}) > 6

@@ -3,9 +3,9 @@
 The tile of an object is the first of the four nearest tiles there are whose
 footprint holds it. Candidates come from grid arithmetic, sixteen for an
 object and some more at ra 0, and meet the tiles in a broadcast join, so no
-distance is computed between all objects and all tiles, and objects are
-shuffled once at most: where the candidates of an object come together. Those stand in
-one task already, so that shuffle moves one row for each object."""
+distance is computed between all objects and all tiles. Objects are shuffled
+once, by their key and before they become candidates; those of an object then come
+together where they are."""
 
 from __future__ import annotations
 
@@ -43,7 +43,9 @@ def assign(objects: DataFrame, tiles: DataFrame, key: str = "ID", nearest: int =
     ra0, dec0 = sky.tile_centre(F.col("xxx"), F.col("yyy"))
     placed = tiles.where(F.col("xxx").between(0, MOST_X) & F.col("yyy").between(0, MOST_Y)).withColumns({"_ra0": ra0, "_dec0": dec0})
     placed = placed.select("xxx", "yyy", "_ra0", "_dec0", F.struct(*sky.unit_vector(F.col("_ra0"), F.col("_dec0"))).alias("_v0"), *extra)
-    own = objects.select(F.struct(*objects.columns).alias("_o"), F.col(key).alias("_key"), "ra", "dec", F.struct(*sky.unit_vector(F.col("ra"), F.col("dec"))).alias("_v"))
+    # Dealt by key before a row becomes many: the one shuffle, and a small input still keeps all cores busy.
+    dealt = objects.repartition(int(objects.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.col(key))
+    own = dealt.select(F.struct(*objects.columns).alias("_o"), F.col(key).alias("_key"), "ra", "dec", F.struct(*sky.unit_vector(F.col("ra"), F.col("dec"))).alias("_v"))
     # At most MOST_X x MOST_Y tiles, so their broadcast is bounded.
     met = candidates(own).join(F.broadcast(placed), ["xxx", "yyy"], "left")
     parts = lambda c: tuple(F.col(f"{c}.col{i}") for i in (1, 2, 3))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib.util
 
-from . import ctw, decontamination, jaccard_join, license_scan, packing, quality_crf, quality_rules, suffix_dedup, toxicity, url_filter
+from . import ctw, curriculum, decontamination, divergence, jaccard_join, license_scan, packing, quality_crf, quality_rules, resampling, suffix_dedup, toxicity, url_filter
 
 
 def queries() -> dict:
@@ -24,8 +24,17 @@ def queries() -> dict:
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_quality_crf": quality_crf.op9_quality_crf,
         "op10_license_scan": license_scan.op10_license_scan,
+        "op11_divergence": divergence.op11_divergence,
+        "op12_mixing": curriculum.op12_mixing,
+        "op13_resampling": resampling.op13_resampling,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op3_quality_rules": quality_rules.OP3_SQL, "op5_decontamination": decontamination.OP5_SQL, "op10_license_scan": license_scan.OP10_SQL}
+    return {
+        "op3_quality_rules": quality_rules.OP3_SQL,
+        "op5_decontamination": decontamination.OP5_SQL,
+        "op10_license_scan": license_scan.OP10_SQL,
+        "op11_divergence": divergence.OP11_SQL,
+        "op12_mixing": curriculum.OP12_SQL,
+    }

@@ -24,9 +24,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, materialise, read
+from .common import discard, materialise, partitions, read
 
-#: Rows that one bucket of the running sum gets, about.
+#: Rows of all sources that share one bucket of the running sum, about, where there are more buckets than partitions.
 BUCKET_ROWS = 100_000
 #: Leading hexadecimal digits of the hash that order documents; 60 bits.
 DIGITS = 15
@@ -110,7 +110,7 @@ def mix(docs: DataFrame, schedule, share: float = 1.5, repeats: int = 2, seed: i
     share: the budget as a share of all words. repeats: passes over a source at most."""
     sized = materialise(sizes(docs, seed), "mix_sizes")
     goals = materialise(targets(schedule(sized.groupBy("source").agg(F.sum("size").alias("source_size"))), share, repeats), "mix_targets")
-    buckets = max(1, sized.count() // BUCKET_ROWS)
+    buckets = max(partitions(docs.sparkSession), sized.count() // BUCKET_ROWS)
     df = materialise(placed(sized, goals, repeats, buckets), "mix_placed")
     taken = F.aggregate("copies", F.lit(0).cast("long"), lambda s, c: s + c.words)
     out = df.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "copies").orderBy(F.get("copies", F.lit(0))["position"].asc_nulls_last(), F.col("doc_id").asc_nulls_last())

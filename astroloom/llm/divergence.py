@@ -21,6 +21,7 @@ What grows: the sources of one language stand in one row (a posting, the shares
 from __future__ import annotations
 
 import string
+from operator import itemgetter
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -29,7 +30,9 @@ from pyspark.sql import functions as F
 from .common import bucketed, discard, materialise, read, spread, to_batches
 
 #: Bytes of text in a batch, whose terms make one automaton for each language.
-BATCH_BYTES = 16_000_000
+BATCH_BYTES = 32_000_000
+#: Bytes of texts that are scanned as one string.
+JOINED = 1_000_000
 #: Documents of its language that a kept term needs.
 LEAST_DOCS = 3
 #: Ranks reported of a source's own terms.
@@ -68,6 +71,21 @@ def terms_seen(texts: DataFrame) -> DataFrame:
     return texts.groupBy("batch").applyInArrow(count, "batch long, lang string, term string, n long")
 
 
+def by_source(rows):
+    """Pairs of a source and padded texts of it in one string, which ends with the text that brings it to JOINED bytes."""
+    held: dict[str, list] = {}
+    sizes: dict[str, int] = {}
+    for source, text in zip(rows.column("source").to_pylist(), rows.column("text"), strict=True):
+        own = padded(text.as_py())
+        held.setdefault(source, []).append(own)
+        sizes[source] = sizes.get(source, 0) + len(own)
+        if sizes[source] >= JOINED:
+            yield source, b"".join(held.pop(source)).decode("utf-8", "surrogatepass")
+            sizes[source] = 0
+    for source, parts in held.items():
+        yield source, b"".join(parts).decode("utf-8", "surrogatepass")
+
+
 def recounted(texts: DataFrame, known: DataFrame) -> DataFrame:
     """lang, source, term and its occurrences, by batch: one automaton for each batch and language, over padded terms.
 
@@ -76,30 +94,25 @@ def recounted(texts: DataFrame, known: DataFrame) -> DataFrame:
     def scan(table, own):
         import ahocorasick
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        by_lang: dict[str, list] = {}
-        for lang, term in zip(own.column("lang").to_pylist(), own.column("term").to_pylist(), strict=True):
-            by_lang.setdefault(lang, []).append(term)
-        machines = {}
-        for lang, names in by_lang.items():
+        parts = [pa.table({c: pa.array([], t) for c, t in (("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()))})]
+        for lang in pc.unique(own.column("lang")).to_pylist():  # one automaton at a time
+            names = own.filter(pc.equal(own.column("lang"), lang)).column("term").combine_chunks()
             machine = ahocorasick.Automaton()
-            for k, term in enumerate(names):
+            for k, term in enumerate(names.to_pylist()):
                 machine.add_word(f" {term} ", k)
             machine.make_automaton()
-            machines[lang] = machine
-        counts: dict[tuple[str, str], np.ndarray] = {}
-        for lang, source, text in zip(table.column("lang").to_pylist(), table.column("source").to_pylist(), table.column("text"), strict=True):
-            if lang in machines:
-                at = np.fromiter((k for _, k in machines[lang].iter(padded(text.as_py()).decode("utf-8", "surrogatepass"))), np.int64)
-                held = counts.setdefault((lang, source), np.zeros(len(by_lang[lang]), np.int64))
-                np.add.at(held, at, 1) if len(at) < len(held) else held.__iadd__(np.bincount(at, minlength=len(held)))
-        parts = []
-        for (lang, source), held in counts.items():
-            at = np.flatnonzero(held)
-            names = pa.array(by_lang[lang], pa.string()).take(pa.array(at))
-            parts.append(pa.table({"lang": pa.array([lang] * len(at), pa.string()), "source": pa.array([source] * len(at), pa.string()), "term": names, "n": pa.array(held[at])}))
-        empty = pa.table({c: pa.array([], t) for c, t in (("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()))})
-        return pa.concat_tables(parts) if parts else empty
+            rows = table.filter(pc.equal(table.column("lang"), lang))
+            counts: dict[str, np.ndarray] = {}
+            for source, text in by_source(rows):
+                at = np.fromiter(map(itemgetter(1), machine.iter(text)), np.int64)
+                held = counts.setdefault(source, np.zeros(len(names), np.int64))
+                held += np.bincount(at, minlength=len(held))
+            for source, held in counts.items():
+                at = np.flatnonzero(held)
+                parts.append(pa.table({"lang": pa.array([lang] * len(at), pa.string()), "source": pa.array([source] * len(at), pa.string()), "term": names.take(pa.array(at)), "n": pa.array(held[at])}))
+        return pa.concat_tables(parts)
 
     return texts.groupBy("batch").cogroup(known.groupBy("batch")).applyInArrow(scan, "lang string, source string, term string, n long")
 

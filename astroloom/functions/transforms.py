@@ -15,14 +15,9 @@ def haar(image: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return (a + b + c + d) / 2, (a + b - c - d) / 2, (a - b + c - d) / 2, (a - b - c + d) / 2
 
 
-def components(mask: np.ndarray) -> np.ndarray:
-    """Number of each set pixel's component (sides touch), from 1 in reading order; 0 elsewhere.
-
-    Runs of a row are united with those above that they touch; then all labels jump to the least one."""
-    flat = np.where(mask, np.arange(mask.size).reshape(mask.shape), -1)
-    pairs = [(flat[:, 1:], flat[:, :-1]), (flat[1:], flat[:-1])]
-    a, b = (np.concatenate([p[k][(p[0] >= 0) & (p[1] >= 0)] for p in pairs]) for k in (0, 1))
-    least = np.arange(mask.size)
+def united(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of n nodes the least node that links (a, b) join it to; all nodes jump to the least one until none moves."""
+    least = np.arange(n)
     while True:
         was = least.copy()
         low = np.minimum(least[a], least[b])
@@ -30,7 +25,17 @@ def components(mask: np.ndarray) -> np.ndarray:
         np.minimum.at(least, least[b], low)
         least = least[least]
         if (least == was).all():
-            break
+            return least
+
+
+def components(mask: np.ndarray) -> np.ndarray:
+    """Number of each set pixel's component (sides touch), from 1 in reading order; 0 elsewhere.
+
+    Neighbours in a row and those above each other are united."""
+    flat = np.where(mask, np.arange(mask.size).reshape(mask.shape), -1)
+    pairs = [(flat[:, 1:], flat[:, :-1]), (flat[1:], flat[:-1])]
+    a, b = (np.concatenate([p[k][(p[0] >= 0) & (p[1] >= 0)] for p in pairs]) for k in (0, 1))
+    least = united(mask.size, a, b)
     out = np.zeros(mask.shape, np.int64)
     out[mask] = np.unique(least[flat[mask]], return_inverse=True)[1] + 1
     return out
@@ -112,8 +117,8 @@ def fourier_anomaly(image: np.ndarray, factor: float = 3.0, smooth: bool = False
     return vertical, horizontal, corners, bool(vertical > factor * corners and horizontal > factor * corners)
 
 
-def _meshes(image: np.ndarray, mesh: int, sigma: float, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Level and scatter of each mesh square after clipping, each the median of its 3 x 3 neighbours.
+def mesh_squares(image: np.ndarray, mesh: int, sigma: float, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Level and scatter of each mesh square after clipping; NaN where no pixel has a value.
 
     The level is 2.5 medians less 1.5 means, or the median where the two are far apart."""
     rows, cols = (-(-n // mesh) for n in image.shape)
@@ -130,6 +135,12 @@ def _meshes(image: np.ndarray, mesh: int, sigma: float, rounds: int) -> tuple[np
             if len(v):
                 mean, middle, rms[i, j] = v.mean(), np.median(v), v.std()
                 level[i, j] = 2.5 * middle - 1.5 * mean if rms[i, j] == 0 or abs(mean - middle) < 0.3 * rms[i, j] else middle
+    return level, rms
+
+
+def _meshes(image: np.ndarray, mesh: int, sigma: float, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Level and scatter of each mesh square, each the median of its 3 x 3 neighbours."""
+    level, rms = mesh_squares(image, mesh, sigma, rounds)
     return _around(level), _around(rms)
 
 
@@ -149,21 +160,34 @@ def background_rms(image: np.ndarray, mesh: int = 128, sigma: float = 3.0, round
 
 
 def background(image: np.ndarray, mesh: int = 128, sigma: float = 3.0, rounds: int = 10) -> tuple[np.ndarray, float]:
-    """Level of each pixel, linear between the middles of the mesh squares, and the median scatter."""
+    """Level of each pixel, a bicubic spline through the middles of the mesh squares, and the median scatter."""
     level, rms = _meshes(image, mesh, sigma, rounds)
     if not np.isfinite(level).any():
         return np.zeros(image.shape), float("nan")
-    level = np.where(np.isfinite(level), level, np.nanmedian(level))
+    rows, cols = (np.arange(n) for n in image.shape)
+    return spline(level, mesh, rows, cols), float(np.median(rms[np.isfinite(rms)]))
 
-    def between(n: int, squares: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        at = np.clip((np.arange(n) + 0.5) / mesh - 0.5, 0, squares - 1)
-        low = np.minimum(at.astype(int), max(squares - 2, 0))
-        return low, np.minimum(low + 1, squares - 1), at - low
 
-    r0, r1, fr = between(image.shape[0], level.shape[0])
-    c0, c1, fc = between(image.shape[1], level.shape[1])
-    rows = level[r0] * (1 - fr)[:, None] + level[r1] * fr[:, None]
-    return rows[:, c0] * (1 - fc) + rows[:, c1] * fc, float(np.median(rms[np.isfinite(rms)]))
+def spline(level: np.ndarray, mesh: int, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """A bicubic spline through the middles of mesh squares, at these rows and columns of pixels; mirrored at the border. Squares without a level take the median of all."""
+    level = np.where(np.isfinite(level), level, np.nanmedian(level))
+
+    def weights(n: int, at: np.ndarray) -> np.ndarray:
+        """What each square's level adds to a pixel: cubic pieces times the inverse of the spline's own matrix."""
+        own = np.diag(np.full(n, 4 / 6)) + np.diag(np.full(n - 1, 1 / 6), 1) + np.diag(np.full(n - 1, 1 / 6), -1)
+        own[0, 0] += 1 / 6
+        own[-1, -1] += 1 / 6
+        x = (at + 0.5) / mesh - 0.5
+        low = np.floor(x).astype(int)
+        t = x - low
+        pieces = ((1 - t) ** 3 / 6, (3 * t**3 - 6 * t**2 + 4) / 6, (-3 * t**3 + 3 * t**2 + 3 * t + 1) / 6, t**3 / 6)
+        out = np.zeros((len(at), n))
+        for k, piece in enumerate(pieces):
+            j = (low + k - 1) % (2 * n)
+            np.add.at(out, (np.arange(len(at)), np.where(j < n, j, 2 * n - 1 - j)), piece)
+        return out @ np.linalg.inv(own)
+
+    return weights(level.shape[0], rows) @ level @ weights(level.shape[1], cols).T
 
 
 def background_removed(image: np.ndarray, seed: int, mesh: int = 128, least: float = -0.1) -> np.ndarray:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import extras, pixels, sky, upkeep
+from . import extras, mosaics, pixels, sky, upkeep
 
-_PARTS = [sky, pixels, upkeep, extras]
+_PARTS = [sky, pixels, upkeep, extras, mosaics]
 
 
 def queries() -> dict:

@@ -4,7 +4,7 @@ Files come in through Spark's binaryFile reader, so any store will do; a task
 parses one file at a time with numpy. An image leaves its task as blocks, never
 as one row, in the form that operators.images reads. Only the standard's own
 structures are read: 2880-byte records, header cards of 80 bytes, big-endian
-numbers, BSCALE and BZERO. Compressed images are refused.
+numbers, BSCALE and BZERO. Compressed images: sources.compressed.
 
 Defined results: BLANK pixels of whole-number images and empty table fields are
 missing (NaN in pixels, null in tables); an extension that a file lacks raises;
@@ -52,26 +52,38 @@ def _value(text: str):
     return text or None
 
 
+def cards(raw: bytes) -> dict:
+    """Names and values of a header's cards, up to END."""
+    head, text = {}, raw.decode("ascii", "replace")
+    for k in range(0, len(text), CARD):
+        card = text[k : k + CARD]
+        if card[:8].rstrip() == "END":
+            break
+        if card[8:10] == "= ":
+            head[card[:8].rstrip()] = _value(card[10:])
+    return head
+
+
+def data_size(head: dict) -> int:
+    """Bytes of a unit's data, the heap of a table included."""
+    sides = [head.get(f"NAXIS{k}", 0) for k in range(1, head.get("NAXIS", 0) + 1)]
+    pixels = int(np.prod(sides, dtype=np.int64)) if sides else 0
+    return abs(head.get("BITPIX", 8)) // 8 * head.get("GCOUNT", 1) * (head.get("PCOUNT", 0) + pixels)
+
+
 def units(content: bytes) -> Iterator[tuple[dict, bytes]]:
     """Header and data of each unit of a file."""
     at = 0
     while at + RECORD <= len(content):
-        head, done = {}, False
+        start, done = at, False
         while not done:
-            cards = content[at : at + RECORD].decode("ascii", "replace")
-            if len(cards) < RECORD:
+            record = content[at : at + RECORD]
+            if len(record) < RECORD:
                 raise ValueError("the header has no END")
             at += RECORD
-            for k in range(0, RECORD, CARD):
-                card = cards[k : k + CARD]
-                if card[:8].rstrip() == "END":
-                    done = True
-                    break
-                if card[8:10] == "= ":
-                    head[card[:8].rstrip()] = _value(card[10:])
-        sides = [head.get(f"NAXIS{k}", 0) for k in range(1, head.get("NAXIS", 0) + 1)]
-        pixels = int(np.prod(sides, dtype=np.int64)) if sides else 0
-        size = abs(head.get("BITPIX", 8)) // 8 * head.get("GCOUNT", 1) * (head.get("PCOUNT", 0) + pixels)
+            done = any(record[k : k + 8].rstrip() == b"END" for k in range(0, RECORD, CARD))
+        head = cards(content[start:at])
+        size = data_size(head)
         yield head, content[at : at + size]
         at += -(-size // RECORD) * RECORD
 
@@ -93,7 +105,9 @@ def extension_of(path: str, extension: int | str) -> int:
 def pixels(head: dict, data: bytes) -> np.ndarray:
     """A two-dimensional image in single precision."""
     if head.get("ZIMAGE"):
-        raise ValueError("compressed images aren't read")
+        from .compressed import Image
+
+        return Image(head, lambda at, n: data[at : at + n]).window(0, head["ZNAXIS2"], 0, head["ZNAXIS1"])
     if head.get("NAXIS", 0) != 2:
         return np.zeros((0, 0), np.float32)
     raw = np.frombuffer(data, PIXELS[head["BITPIX"]]).reshape(head["NAXIS2"], head["NAXIS1"])

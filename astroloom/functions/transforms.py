@@ -238,21 +238,143 @@ def saturated(image: np.ndarray, percentile: float, grow: int = 2, holes: bool =
     return filled(mask) if holes else mask
 
 
+def _turn(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Twice the area of triangles a, b, c, above zero where they turn from the first axis to the second."""
+    return (b[..., 0] - a[..., 0]) * (c[..., 1] - a[..., 1]) - (b[..., 1] - a[..., 1]) * (c[..., 0] - a[..., 0])
+
+
+def _side(a: np.ndarray, b: np.ndarray, q: np.ndarray, sign: int, far: int) -> np.ndarray:
+    """On which side of the line from a to b the place q lies once it is moved by next to nothing along sign * (1, far); never on it."""
+    turn = _turn(a, b, q)
+    moved = sign * ((b[..., 0] - a[..., 0]) * far - (b[..., 1] - a[..., 1]))
+    return np.where(turn != 0, np.sign(turn), np.sign(moved))
+
+
+def _holds(x: np.ndarray, y: np.ndarray, z: np.ndarray, q: np.ndarray, sign: int, far: int) -> np.ndarray:
+    """Whether triangles hold the places, moved as above."""
+    area = np.sign(_turn(x, y, z))
+    return (area != 0) & (_side(x, y, q, sign, far) == area) & (_side(y, z, q, sign, far) == area) & (_side(z, x, q, sign, far) == area)
+
+
+def _around_triangle(points: np.ndarray, at: np.ndarray, sign: int, far: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each place a triangle of points that holds it (three numbers of points), and whether there is one.
+
+    From the first point, the last one within half a turn and the first one beyond it."""
+    d = points[None] - (at + sign * 1e-6 * np.array([1 / far, 1]))[:, None]
+    angle = np.arctan2(d[..., 1], d[..., 0])
+    angle = np.mod(angle - angle[:, :1], 2 * np.pi)
+    b, c = np.where(angle <= np.pi, angle, -1).argmax(axis=1), np.where(angle > np.pi, angle, 9).argmin(axis=1)
+    three = np.stack([np.zeros(len(at), int), b, c], axis=1)
+    return three, _holds(*(points[three[:, k]] for k in range(3)), at, sign, far)
+
+
+def triangulated(points: np.ndarray, values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Values at places, linear over the Delaunay triangle of points that holds each; NaN outside all. points, at: whole numbers (n x 2), no point twice.
+
+    A place starts in any triangle around it. While a point lies within the triangle's circle, the one farthest inside takes
+    the place of that corner which leaves the place in the triangle; every step lowers the lifted triangle over the place, so there is an end.
+    So that no place is on a side, each counts as moved by next to nothing, one way and, where that leaves all triangles, the other."""
+    points, at = points.astype(np.int64), at.astype(np.int64)
+    out = np.full(len(at), np.nan)
+    if len(points) < 3:
+        return out
+    far = int(max(np.ptp(points[:, 0]), np.ptp(points[:, 1]))) + 1
+    step = max(1, 1_000_000 // len(points))
+    for sign in (1, -1):
+        left = np.flatnonzero(np.isnan(out))
+        for k in range(0, len(left), step):
+            out[left[k : k + step]] = _over_triangles(points, values, at[left[k : k + step]], sign, far)
+    left = np.flatnonzero(np.isnan(out))
+    for k in range(0, len(left), step):  # a point itself, at a corner of all
+        place, point = np.nonzero((points[None] == at[left[k : k + step], None]).all(axis=-1))
+        out[left[k + place]] = values[point]
+    return out
+
+
+def _over_triangles(points: np.ndarray, values: np.ndarray, own: np.ndarray, sign: int, far: int) -> np.ndarray:
+    lifted = (points**2).sum(axis=1)
+    three, inside = _around_triangle(points, own, sign, far)
+    todo = np.flatnonzero(inside)
+    while len(todo):
+        t, q = three[todo], own[todo]
+        a, b, c = (points[t[:, i]] for i in range(3))
+        d = points[None] - a[:, None]
+        h = lifted[None] - lifted[t[:, :1]] - 2 * (a[:, None] * d).sum(axis=-1)
+        (bx, by), (cx, cy) = (b - a).T, (c - a).T
+        hb, hc = ((v - a) ** 2 for v in (b, c))
+        hb, hc = hb.sum(axis=1), hc.sum(axis=1)
+        # how far each point lies under the plane through the lifted corners, times the triangle's area
+        under = d[..., 0] * (by * hc - cy * hb)[:, None] - d[..., 1] * (bx * hc - cx * hb)[:, None] + h * (bx * cy - by * cx)[:, None]
+        under *= np.sign(_turn(a, b, c))[:, None]
+        p = under.argmin(axis=1)
+        worse = under[np.arange(len(todo)), p] < 0
+        todo, t, q, p = todo[worse], t[worse], q[worse], p[worse]
+        chosen = np.zeros(len(todo), bool)
+        for i in range(3):
+            new = t.copy()
+            new[:, i] = p
+            holds = ~chosen & _holds(*(points[new[:, j]] for j in range(3)), q, sign, far)
+            three[todo[holds]] = new[holds]
+            chosen |= holds
+        todo = todo[chosen]
+    out = np.full(len(own), np.nan)
+    x, y, z = (points[three[inside, j]] for j in range(3))
+    q, area = own[inside], _turn(x, y, z).astype(float)
+    weights = np.stack([_turn(q, y, z), _turn(x, q, z), _turn(x, y, q)], axis=1) / area[:, None]
+    out[inside] = (weights * values[three[inside]]).sum(axis=1)
+    return out
+
+
+def nearest_values(points: np.ndarray, values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The value of the point nearest to each place, of several the first."""
+    step = max(1, 1_000_000 // max(1, len(points)))
+    return np.concatenate([values[((points[None] - at[k : k + step, None]) ** 2).sum(axis=-1).argmin(axis=1)] for k in range(0, len(at), step)]) if len(at) else np.zeros(0)
+
+
+def _holes(known: np.ndarray) -> np.ndarray:
+    """Numbers of patches of unknown pixels, corners touching, 0 elsewhere."""
+    flat = np.where(known, -1, np.arange(known.size).reshape(known.shape))
+    pairs = [(flat[:, 1:], flat[:, :-1]), (flat[1:], flat[:-1]), (flat[1:, 1:], flat[:-1, :-1]), (flat[1:, :-1], flat[:-1, 1:])]
+    a, b = (np.concatenate([p[k][(p[0] >= 0) & (p[1] >= 0)] for p in pairs]) for k in (0, 1))
+    least = united(known.size, a, b)
+    out = np.zeros(known.shape, np.int64)
+    out[~known] = np.unique(least[flat[~known]], return_inverse=True)[1] + 1
+    return out
+
+
 def desaturated(image: np.ndarray, percentile: float, grow: int = 2, holes: bool = True, negatives: bool = False, least: int = 10) -> np.ndarray:
-    """Saturated pixels take the mean of their neighbours that have a value, ring by ring from the rim inwards."""
+    """Saturated pixels are interpolated over the Delaunay triangles of the others; if one of them lies in no triangle, all take the value of the nearest pixel.
+
+    The triangles over a hole have their corners in its rim, so each hole is filled from its own. Missing pixels have no value and stay."""
     if not np.isfinite(image).any():
         return image.copy()
     mask = saturated(image, percentile, grow, holes, negatives, least)
-    if mask.all():
+    known = ~mask & np.isfinite(image)
+    if mask.all() or not known.any() or not mask.any():
         return image.copy()
-    out = np.where(mask, 0.0, image.astype(float))
-    known = ~mask & np.isfinite(out)
-    out[~known] = 0
-    while known.any() and (rim := mask & dilated(known) & ~known).any():
-        v, k = np.pad(out * known, 1), np.pad(known.astype(float), 1)
-        around = lambda x: x[:-2, 1:-1] + x[2:, 1:-1] + x[1:-1, :-2] + x[1:-1, 2:]
-        out[rim] = (around(v)[rim]) / around(k)[rim]
-        known |= rim
+    hole, out = _holes(known), image.astype(float)
+    order = np.argsort(hole, axis=None, kind="stable")
+    edges = np.searchsorted(hole.ravel()[order], np.arange(1, hole.max() + 2))
+    parts = []
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        pixels = np.stack(np.unravel_index(order[a:b], hole.shape), axis=1)
+        at = pixels[mask[pixels[:, 0], pixels[:, 1]]]
+        if not len(at):
+            continue
+        (top, left), (bottom, right) = pixels.min(axis=0) - 1, pixels.max(axis=0) + 1
+        top, left = max(top, 0), max(left, 0)
+        own = np.pad(hole[top : bottom + 1, left : right + 1] == hole[tuple(pixels[0])], 1)
+        near = np.zeros(own.shape, bool)
+        for dy in (-1, 0, 1):
+            for dx in (-1, 0, 1):
+                near |= np.roll(own, (dy, dx), (0, 1))
+        rim = np.argwhere(near[1:-1, 1:-1] & known[top : bottom + 1, left : right + 1]) + (top, left)
+        parts.append((at, rim, out[rim[:, 0], rim[:, 1]]))
+    found = [triangulated(rim, values, at) for at, rim, values in parts]
+    if any(np.isnan(v).any() for v in found):
+        found = [nearest_values(rim, values, at) for at, rim, values in parts]
+    for (at, _, _), v in zip(parts, found, strict=True):
+        out[at[:, 0], at[:, 1]] = v
     return np.where(mask, out, image).astype(image.dtype)
 
 

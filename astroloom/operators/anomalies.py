@@ -102,5 +102,5 @@ def colours(images: DataFrame, key: list[str]) -> DataFrame:
 
 
 def desaturated(images: DataFrame, key: list[str], percentile: float, negatives: bool = False, least: int = 10) -> DataFrame:
-    """key and pix. The fill is by neighbours from the rim inwards, in place of interpolation over triangles."""
+    """key and pix, with saturated pixels interpolated over the triangles of the pixels around them."""
     return _each(images, key, [], "pix array<float>", lambda image: (transforms.desaturated(image, percentile, negatives=negatives, least=least).ravel().tolist(),), 1)

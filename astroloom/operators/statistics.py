@@ -5,6 +5,7 @@ sums of rows that map tasks have made."""
 
 from __future__ import annotations
 
+import math
 from decimal import Decimal, localcontext
 
 from pyspark.sql import Column, DataFrame
@@ -92,6 +93,99 @@ def kahan(values: Column) -> Column:
     return F.aggregate(F.array_sort(values), zero, add, lambda a: a.s)
 
 
+def expansion(values: list[float]) -> list[float]:
+    """A few numbers whose exact sum is that of the values, the largest first: each is the rest's correctly rounded sum. Values that aren't finite give their plain sum."""
+    out: list[float] = []
+    try:
+        while True:
+            rest = math.fsum([*values, *(-x for x in out)])
+            if rest == 0:
+                return out
+            if not math.isfinite(rest):
+                return [rest]
+            out.append(rest)
+    except (OverflowError, ValueError):
+        return [float(sum(values))]
+
+
+def expansions(df: DataFrame, key: list[str], values: list[str]) -> DataFrame:
+    """key and, for each column of doubles, numbers whose exact sum is the column's; nulls are left out.
+
+    A task holds an expansion for each key and column, a few numbers whose sum is exact; what the tasks send is merged by the same rule.
+    Without a key all rows are one group, and an empty table gives one row."""
+    own = df.select(*key, *(F.col(v).cast("double").alias(v) for v in values))
+    typed = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema.fields[: len(key)]), *(f"`{v}` array<double>" for v in values)])
+
+    def parts(batches):
+        import pyarrow as pa
+
+        held: dict[tuple, list[list[float]]] = {}
+
+        def rows():
+            columns = [pa.array([k[n] for k in held], own_types[n]) for n in range(len(key))]
+            columns += [pa.array([v[n] for v in held.values()], pa.list_(pa.float64())) for n in range(len(values))]
+            return pa.RecordBatch.from_arrays(columns, names=[*key, *values])
+
+        own_types: list = []
+        for batch in batches:
+            own_types = own_types or [batch.schema.field(c).type for c in key]
+            keys = list(zip(*(batch.column(c).to_pylist() for c in key), strict=True)) if key else [()] * batch.num_rows
+            groups: dict[tuple, list[int]] = {}
+            for n, k in enumerate(keys):
+                groups.setdefault(k, []).append(n)
+            columns = [batch.column(v).to_pylist() for v in values]
+            for k, at in groups.items():
+                was = held.setdefault(k, [[] for _ in values])
+                for n, c in enumerate(columns):
+                    was[n] = expansion([*was[n], *(c[i] for i in at if c[i] is not None)])
+            if len(held) > 50_000:
+                yield rows()
+                held.clear()
+        if held:
+            yield rows()
+
+    sent = own.mapInArrow(parts, typed)
+    return sent.groupBy(*key).agg(*(F.flatten(F.collect_list(v)).alias(v) for v in values))  # a few numbers from each task
+
+
+def compensated_sums(df: DataFrame, key: list[str], values: list[str]) -> DataFrame:
+    """key and the correctly rounded sum of each column of doubles, whatever the order of the rows and the tasks; a group without values has 0."""
+    found = expansions(df, key, values)
+    typed = ", ".join(f"`{f.name}` {'double' if f.name in values else f.dataType.simpleString()}" for f in found.schema.fields)
+
+    def summed(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            sums = [pa.array([(expansion(v) or [0.0])[0] for v in batch.column(c).to_pylist()], pa.float64()) for c in values]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in key), *sums], names=[*key, *values])
+
+    return found.mapInArrow(summed, typed)
+
+
+def compensated_mean_std(stats: DataFrame, key: list[str] | None = None) -> DataFrame:
+    """n, mean and std over images from exact sums, finished in decimals of 100 digits; for each key or for all. Sums are finite."""
+    import pandas as pd
+
+    key = key or []
+    names = ["n_valid_pixels", "sum_pixel_values", "sum_pixel_values_squared"]
+    sums = expansions(stats, key, names)
+    typed = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in sums.schema.fields[: len(key)])
+
+    def finished(batches):
+        for pdf in batches:
+            rows = []
+            with localcontext() as c:
+                c.prec = 100
+                for *own, n, s, q in pdf[[*key, *names]].itertuples(index=False):
+                    n, s, q = (sum(map(Decimal, map(float, v)), Decimal(0)) for v in (n, s, q))
+                    mean, std = (s / n, max((q - s * s / n) / n, Decimal(0)).sqrt()) if n else (None, None)
+                    rows.append((*own, int(n), mean if mean is None else float(mean), std if std is None else float(std)))
+            yield pd.DataFrame(rows, columns=[*key, "n", "mean", "std"])
+
+    return sums.mapInPandas(finished, f"{typed}n long, mean double, std double")
+
+
 def describe(pixels: DataFrame, key: list[str]) -> DataFrame:
     v = F.col("v")
     moments = pixels.groupBy(*key).agg(F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.var_pop(v).alias("var"), F.skewness(v).alias("skew"), F.kurtosis(v).alias("kurtosis"))

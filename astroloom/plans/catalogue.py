@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import extras, mosaics, pixels, sky, upkeep
+from . import exact, extras, mosaics, pixels, sky, upkeep
 
-_PARTS = [sky, pixels, upkeep, extras, mosaics]
+_PARTS = [sky, pixels, upkeep, extras, mosaics, exact]
 
 
 def queries() -> dict:

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
+from .. import scratch
 from ..functions import names, sky
 from ..functions import pixels as px
 from ..operators import anomalies, derived
@@ -18,11 +17,6 @@ def _read(spark, sf_dir: str, table: str, *cols: str):
     return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*cols)
 
 
-def _scratch(spark, name: str) -> str:
-    """A folder of the warehouse, which all executors share, for the tables that a query writes and reads back."""
-    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def name_centres(spark, sf_dir):
     x, y = (F.pmod(F.col("l_partkey") * k, F.lit(300)).cast("int") for k in (7, 13))
     rows = _read(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey").select("l_orderkey", "l_linenumber", names.tile_file(x, y, "PSS.DR4", ".i.fits", ".", 3).alias("name"))
@@ -113,7 +107,7 @@ SELECT vec_id, pos * 3 + ch AS i, CAST(trunc(greatest(0.0, least(255.0, v / top
 
 def stored_cutouts(spark, sf_dir):
     """Two writes by tile, the second of which replaces its tiles alone; then what is stored, as counts of a tile."""
-    path = _scratch(spark, "cutouts")
+    path = scratch.folder(spark, "cutouts")
     c = _read(spark, sf_dir, "customer", "c_custkey", "c_nationkey").select(F.col("c_custkey").alias("ID"), F.col("c_nationkey").cast("int").alias("xxx"), (F.col("c_custkey") % 3).cast("int").alias("yyy"))
     tables.cutouts(c, path)
     tables.cutouts(c.where("xxx = 3 and ID % 2 = 0"), path)
@@ -127,7 +121,7 @@ WHERE c_nationkey <> 3 OR c_custkey % 2 = 0 OR c_custkey % 3 NOT IN (SELECT c_cu
 
 def stored_master(spark, sf_dir):
     """A master catalogue that is made and then gets rows, by write and swap."""
-    path = _scratch(spark, "master")
+    path = scratch.folder(spark, "master")
     c = _read(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     tables.upsert(c.where("c_custkey % 3 <> 0"), path)
     tables.upsert(c.where("c_custkey % 2 = 0"), path)
@@ -135,7 +129,7 @@ def stored_master(spark, sf_dir):
 
 
 def appended_cutouts(spark, sf_dir):
-    path = _scratch(spark, "appended")
+    path = scratch.folder(spark, "appended")
     o = _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
     for k in (2, 3, 2):
         tables.append(o.where(f"o_orderkey % {k} = 0"), path, ["o_orderkey"])
@@ -143,7 +137,7 @@ def appended_cutouts(spark, sf_dir):
 
 
 def appended_statistics(spark, sf_dir):
-    path = _scratch(spark, "statistics")
+    path = scratch.folder(spark, "statistics")
     c = _read(spark, sf_dir, "customer", "c_custkey", "c_acctbal")
     for k in range(3):
         tables.statistics(c.where(f"c_custkey % 3 = {k}"), path)

@@ -3,7 +3,8 @@
 A text is cut into sentences, each is normalised and looked up among the known
 licence sentences (a fixed table). Sentences end at line ends as well, so a
 known one may also be wrapped: it is found where it equals sentences that follow
-one another. The identifiers found, in text order, are matched against the rules in
+one another. A wording may have slots of a few words, as for the holder's name, and a tag
+line may join licences by or, and, with. The identifiers found, in text order, are matched against the rules in
 the order given: a rule is a sequence of identifiers that must stand one after the
 other, sentences that are not known or in no rule being skipped, and the first rule
 that fits uses its sentences up, so a longer notice goes before its parts. All of it
@@ -63,7 +64,7 @@ RULES = [
     ("MIT", ["mit-notice"]),
     ("MIT", ["mit-grant", "mit-keep", "mit-asis"]),
     ("GPL-3.0", ["gpl3-notice"]),
-    ("GPL-3.0", ["gpl-redistribute", "gpl-hope", "gpl-copy"]),
+    ("GPL-3.0-or-later", ["gpl-redistribute", "gpl-hope", "gpl-copy"]),
     ("GPL-2.0", ["gpl2-notice"]),
     ("CC-BY-NC-4.0", ["ccbync-notice"]),
     ("CC-BY-4.0", ["ccby-notice"]),
@@ -96,6 +97,8 @@ WORDINGS = [
 
 _FREE = "is free software you can redistribute it and or modify it under the terms of the gnu "
 _LATER = " of the license or at your option any later version"
+_ENDORSE = "may be used to endorse or promote products derived from this software without specific prior written permission"
+_EPL = "this program and the accompanying materials are made available under the terms of the eclipse public license "
 
 WORDINGS += [
     ("this library " + _FREE + "lesser general public license as published by the free software foundation either version 2 1" + _LATER, "lgpl21-redistribute"),
@@ -104,25 +107,44 @@ WORDINGS += [
     ("this program " + _FREE + "affero general public license as published by the free software foundation either version 3" + _LATER, "agpl3-redistribute"),
     ("redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", "bsd-source"),
     ("redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution", "bsd-binary"),
-    ("neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", "bsd-endorse"),
+    (f"neither the name of * nor the names of its contributors {_ENDORSE}", "bsd-endorse"),
+    (f"neither the name of * nor the names of other contributors {_ENDORSE}", "bsd-endorse"),
+    (f"neither the name of * nor the names of any contributors {_ENDORSE}", "bsd-endorse"),
+    (f"neither the names of * nor the names of its contributors {_ENDORSE}", "bsd-endorse"),
+    (f"neither the names of * nor the names of their contributors {_ENDORSE}", "bsd-endorse"),
+    ("the name of * may not be used to endorse or promote products derived from this software without specific prior written permission", "bsd-endorse"),
     ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies", "isc-grant"),
     ("permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies", "isc-grant"),
+    *((f"this program {_FREE}general public license {x}", f"gpl{v}-only") for v in (2, 3) for x in (f"version {v} as published by the free software foundation", f"as published by the free software foundation version {v} of the license")),
+    ("permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions", "zlib-grant"),
+    ("this is free and unencumbered software released into the public domain", "unlicense"),
+    ("permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following", "boost-grant"),
+    ("distributed under the boost software license version 1 0", "boost-notice"),
+    *((_EPL + x, "epl2-notice") for x in ("2 0 which is available at https www eclipse org legal epl 2 0", "2 0 which is available at http www eclipse org legal epl 2 0", "v2 0 which accompanies this distribution", "v 2 0 which accompanies this distribution")),
     ("this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0", "mpl-notice"),
 ]
 
 #: Identifiers of licences that a tag line may name.
-TAGGED = ["MIT", "ISC", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "Unlicense"]
-WORDINGS += [("spdx license identifier " + x.lower().replace("-", " ").replace(".", " "), f"tag-{x}") for x in TAGGED]
+TAGGED = ["MIT", "ISC", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "Unlicense", "Zlib", "BSL-1.0", "EPL-2.0", "0BSD"]
+TAG_LINE = "spdx license identifier "
 
 #: Rules on identifiers that only WORDINGS has, in order; they go before RULES.
 WORDING_RULES = [
-    ("GPL-2.0", ["gpl2-redistribute", "gpl-hope", "gpl-copy"]),
+    ("GPL-2.0-or-later", ["gpl2-redistribute", "gpl-hope", "gpl-copy"]),
+    ("GPL-2.0-only", ["gpl2-only"]),
+    ("GPL-3.0-only", ["gpl3-only"]),
     ("LGPL-2.1-or-later", ["lgpl21-redistribute"]),
     ("LGPL-3.0-or-later", ["lgpl3-redistribute"]),
     ("AGPL-3.0-or-later", ["agpl3-redistribute"]),
     ("BSD-3-Clause", ["bsd-redistribute", "bsd-source", "bsd-binary", "bsd-endorse"]),
     ("BSD-2-Clause", ["bsd-redistribute", "bsd-source", "bsd-binary"]),
+    ("BSD-3-Clause", ["bsd-redistribute", "bsd-endorse"]),
     ("ISC", ["isc-grant"]),
+    ("Zlib", ["zlib-grant"]),
+    ("Unlicense", ["unlicense"]),
+    ("BSL-1.0", ["boost-grant"]),
+    ("BSL-1.0", ["boost-notice"]),
+    ("EPL-2.0", ["epl2-notice"]),
     *((x, [f"tag-{x}"]) for x in TAGGED),
 ]
 
@@ -133,15 +155,35 @@ def sentences_of(text: Column) -> Column:
     return F.filter(F.transform(cut, lambda x: F.trim(F.regexp_replace(F.lower(x), r"[^\p{L}\p{N}]+", " "))), lambda x: x != "")
 
 
+#: A slot of a wording: from one word to twelve.
+_SLOT = "[^ \n]+(?:[ \n][^ \n]+){0,11}?"
+
+
+def _pattern(words: str) -> str:
+    return words.replace(" ", "[ \n]").replace("*", _SLOT)
+
+
 def _by_first_word(texts: list[str]) -> str:
-    """A pattern of all the texts, each word after a blank or line feed; at one place the longest counts."""
+    """A pattern of all the texts, each word after a blank or line feed; at one place the longest counts. A word * is a slot."""
     groups: dict[str, list[str]] = {}
     for t in sorted(texts, key=len, reverse=True):
         first, _, rest = t.partition(" ")
-        groups.setdefault(first, []).append(rest.replace(" ", "[ \n]"))
+        groups.setdefault(first, []).append(_pattern(rest))
     return "|".join(f"{first}(?:" + "|".join(f"[ \n]{x}(?=\n)" if x else "(?=\n)" for x in rests) + ")" for first, rests in groups.items())
 
 
+def _named(found: Column, table: dict[str, str], tags: dict[str, str]) -> Column:
+    """Identifiers of a text that was found: its own in the table, those of the wording whose slots it fills, or one for each licence of a tag line."""
+    plain = F.from_json(F.lit(json.dumps({t: n for t, n in table.items() if "*" not in t})), "map<string,string>")
+    own = F.try_element_at(plain, found)
+    for text, name in table.items():
+        if "*" in text:
+            own = F.when(found.rlike(f"^{_pattern(text)}$"), F.lit(name)).otherwise(own)
+    listed = F.regexp_extract_all(found, F.lit(f" ({'|'.join(sorted(tags, key=len, reverse=True))})(?= or | and | with |$)"), F.lit(1))
+    names = F.from_json(F.lit(json.dumps(tags)), "map<string,string>")
+    return F.when(found.startswith(TAG_LINE), F.transform(listed, lambda t: F.concat(F.lit("tag-"), F.try_element_at(names, t)))).otherwise(F.split(own, ","))
+
+
 def _licenses(ids: Column, rules: list[tuple[str, list[str]]]) -> Column:
     """Names of the rules that fit, in order of the rules; one that fits uses its identifiers up wherever it does."""
     text = json.dumps([{"name": n, "seq": "".join(f",{x}," for x in seq)} for n, seq in rules])
@@ -160,12 +202,14 @@ def _licenses(ids: Column, rules: list[tuple[str, list[str]]]) -> Column:
 def scan(docs: DataFrame, sentences: dict[str, str] = SENTENCES, rules: list[tuple[str, list[str]]] = RULES, wordings: list[tuple[str, str]] = WORDINGS, wording_rules: list[tuple[str, list[str]]] = WORDING_RULES) -> DataFrame:
     """docs plus n_sentences, sentence_ids (array, text order) and licenses (array, by name)."""
     table = {text: name for name, text in sentences.items()} | dict(wordings)
-    known = F.from_json(F.lit(json.dumps(table)), "map<string,string>")
-    anyone = f"(?<=\n)(?:{_by_first_word(list(table))})"
+    tags = {x.lower().replace("-", " ").replace(".", " "): x for x in TAGGED} if wordings else {}
+    one = "|".join(sorted(tags, key=len, reverse=True))
+    tag_line = f"|{TAG_LINE}(?:{one})(?: (?:or|and|with) (?:{one}))*(?=\n)" if tags else ""
+    anyone = f"(?<=\n)(?:{_by_first_word(list(table))}{tag_line})"
     own = f"_s_{uuid.uuid4().hex}"  # no column of docs has this name
     text = F.concat(F.lit("\n"), F.array_join(own, "\n"), F.lit("\n"))
-    found_texts = F.transform(F.regexp_extract_all(text, F.lit(anyone), F.lit(0)), lambda x: F.try_element_at(known, F.translate(x, "\n", " ")))
-    ids = F.flatten(F.transform(found_texts, lambda x: F.split(x, ",")))
+    found_texts = F.regexp_extract_all(text, F.lit(anyone), F.lit(0))
+    ids = F.flatten(F.transform(found_texts, lambda x: _named(F.translate(x, "\n", " "), table, tags or {"none": "none"})))
     found = docs.withColumn(own, sentences_of(F.col("text"))).withColumn("n_sentences", F.size(own).cast("long")).withColumn("sentence_ids", ids).drop(own)
     none = F.array().cast("array<string>")
     return found.withColumn("licenses", F.when(F.size("sentence_ids") == 0, none).otherwise(F.array_sort(F.array_distinct(_licenses(F.col("sentence_ids"), [*wording_rules, *rules])))))

@@ -75,8 +75,39 @@ MPL = """This Source Code Form is subject to the terms of the Mozilla Public
 License, v. 2.0. If a copy of the MPL was not distributed with this
 file, You can obtain one at https://mozilla.org/MPL/2.0/.
 """
+GPL2 = GPL3.replace("version 3", "version 2")
+GPL2_ONLY = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License version 2 as
+published by the Free Software Foundation.
+"""
+GPL2_KERNEL = GPL3.split("either")[0] + "version 2 of the License.\n"
+ZLIB = """  This software is provided 'as-is', without any express or implied
+  warranty.  In no event will the authors be held liable for any damages
+  arising from the use of this software.
+
+  Permission is granted to anyone to use this software for any purpose,
+  including commercial applications, and to alter it and redistribute it
+  freely, subject to the following restrictions:
+"""
+UNLICENSE = "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy it.\n"
+BOOST = """Permission is hereby granted, free of charge, to any person or organization
+obtaining a copy of the software and accompanying documentation covered by
+this license (the "Software") to use, reproduce, display, distribute,
+execute, and transmit the Software, and to prepare derivative works of the
+Software, and to permit third-parties to whom the Software is furnished to
+do so, all subject to the following:
+"""
+EPL = """This program and the accompanying materials are made available under the
+terms of the Eclipse Public License 2.0 which is available at
+https://www.eclipse.org/legal/epl-2.0/
+"""
+HOLDERS = ["the <organization>", "the University of California, Berkeley", "Google Inc.", "the copyright holders"]
 WANT = [
-    (MIT, ["MIT"]), (APACHE, ["Apache-2.0"]), (BSD2, ["BSD-2-Clause"]), (BSD3, ["BSD-3-Clause"]), (GPL3, ["GPL-3.0"]), (AGPL, ["AGPL-3.0-or-later"]), (LGPL, ["LGPL-2.1-or-later"]), (ISC, ["ISC"]), (MPL, ["MPL-2.0"]),
+    *((BSD3.replace("the copyright holder", x), ["BSD-3-Clause"]) for x in HOLDERS), (BSD2 + "\n3. The name of the author may not be used to endorse or promote products\n   derived from this software without specific prior written permission.\n", ["BSD-3-Clause"]),
+    (GPL2, ["GPL-2.0-or-later"]), (GPL2_ONLY, ["GPL-2.0-only"]), (GPL2_KERNEL, ["GPL-2.0-only"]), (ZLIB, ["Zlib"]), (UNLICENSE, ["Unlicense"]), (BOOST, ["BSL-1.0"]), (EPL, ["EPL-2.0"]),
+    ("# SPDX-License-Identifier: MIT OR Apache-2.0\n", ["Apache-2.0", "MIT"]), ("/* SPDX-License-Identifier: (GPL-2.0-or-later OR BSD-2-Clause) */", ["BSD-2-Clause", "GPL-2.0-or-later"]), ("SPDX-License-Identifier: Unknown-1.0", []),
+    ("Neither the name of the game nor the names of its players matter.", []),
+    (MIT, ["MIT"]), (APACHE, ["Apache-2.0"]), (BSD2, ["BSD-2-Clause"]), (BSD3, ["BSD-3-Clause"]), (GPL3, ["GPL-3.0-or-later"]), (AGPL, ["AGPL-3.0-or-later"]), (LGPL, ["LGPL-2.1-or-later"]), (ISC, ["ISC"]), (MPL, ["MPL-2.0"]),
     ("// SPDX-License-Identifier: GPL-2.0-or-later\nint main() {}", ["GPL-2.0-or-later"]), (MIT + "\n\n" + APACHE, ["Apache-2.0", "MIT"]), ("I like the MIT license.", []), (None, []), ("", []),
 ]
 

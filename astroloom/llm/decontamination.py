@@ -1,7 +1,7 @@
 """Benchmark decontamination by templates, in DataFrame operations only.
 
-Words lose their punctuation; numbers, names (words with a capital first letter)
-and units (after a number) become typed placeholders. Windows of five template
+Words lose their punctuation; numbers, names (words with a capital first letter, and
+pronouns of the third person) and units (after a number) become typed placeholders. Windows of five template
 words are hash-joined: a document is a candidate for an item if it holds 0.8 or
 more of the item's windows. Then the values in the placeholders are compared:
 the item's values must map to the document's like a function in 0.8 or more of
@@ -16,8 +16,9 @@ the benchmark; only those that pass become rows. The benchmark side is broadcast
 after its windows are counted; beyond MAX_BROADCAST it is joined by a shuffle. Windows with fewer than three
 words outside placeholders carry no evidence and are left out on both sides.
 An item without a window is one window as a whole: with any numbers and units if
-it has three other words, names being literal there, else word by word. An item
-without words matches nothing.
+it has three other words, names being literal there. An item with fewer words of that kind counts
+only where it is a whole line or sentence of a document, signs such as + and = being words. An item
+without words or signs matches nothing.
 
 The SQL twin pools the matches of a document and leaves such items out.
 
@@ -45,6 +46,10 @@ GAP = 3
 #: 64-bit words of the filter that windows pass before they become rows.
 FILTER_WORDS = 2048
 PUNCTUATION = ".,;:!?\"'`()[]{}|#*$%&<>=+~^_\\/"
+#: Signs that stay in the lines and sentences which short items are compared with.
+SIGNS = "+-*/=<>%^"
+#: Words that count as names: capitalised ones, and pronouns that change with a name.
+NAME = r"^(?:\p{Lu}|(?:s?he|they|him|her|them|his|hers|their|theirs|himself|herself|themselves)$)"
 UNITS = "mm cm m km in ft mi mg g kg t lb oz ml l s ms min h hour hours minute minutes second seconds day days week weeks month months year years km/h mph percent dollars euros cents degrees".split()
 
 
@@ -59,7 +64,7 @@ def template(w: Column) -> Column:
     def kind(x: Column, i: Column) -> Column:
         number = x.rlike(r"^[-+]?\p{N}")
         unit = (i > 0) & F.array_contains(units, x) & F.coalesce(F.get(w, i - 1), F.lit("")).rlike(r"^[-+]?\p{N}")
-        return F.when(number, F.lit("<number>")).when(x.rlike(r"^\p{Lu}"), F.lit("<name>")).when(unit, F.lit("<unit>")).otherwise(x)
+        return F.when(number, F.lit("<number>")).when(x.rlike(NAME), F.lit("<name>")).when(unit, F.lit("<unit>")).otherwise(x)
 
     return F.transform(w, kind)
 
@@ -111,27 +116,45 @@ def _slots(w: Column, o: Column) -> Column:
     return F.transform(F.filter(F.arrays_zip(w.alias("w"), o.alias("o")), lambda x: x.o.isin("<number>", "<unit>")), lambda x: x.w)
 
 
-def _whole_items(items: DataFrame) -> DataFrame:
-    """item_id, item_pos, h, item_slots, n_windows, n_words and free of each item without windows: the item as one window; free if its numbers and units are open."""
-    x = _open(items.where((F.size(F.filter("h", lambda v: v.isNotNull())) == 0) & (F.size("w") > 0)))
-    x = x.withColumn("free", F.size(F.filter("o", lambda v: ~v.isin("<number>", "<unit>"))) >= LITERALS).withColumn("n_words", F.size("w"))
-    h = F.xxhash64("n_words", "free", F.when(F.col("free"), F.col("o")).otherwise(F.col("w")))
-    slots = F.when(F.col("free"), _slots(F.col("w"), F.col("o"))).otherwise(F.array().cast("array<string>"))
-    return x.select("item_id", F.lit(0).alias("item_pos"), h.alias("h"), slots.alias("item_slots"), F.lit(1).alias("n_windows"), "n_words", "free")
+def segment(text: Column) -> Column:
+    """A line or sentence without punctuation, but with signs, one blank between words."""
+    bare = F.translate(text, "".join(c for c in PUNCTUATION if c not in SIGNS), "")
+    return F.trim(F.regexp_replace(bare, SPACE, " "))
 
 
-def _runs(prepared: DataFrame, key: str, lengths: list[tuple[int, bool]], passes) -> DataFrame:
-    """key, pos, h and slots of the runs of so many words that pass, as _whole_items makes them."""
+def _whole_items(items: DataFrame, texts: DataFrame) -> DataFrame:
+    """item_id, item_pos, h, item_slots, n_windows, n_words and free of each item without windows: the item as one window with open numbers and units (free), or as a line."""
+    bare = F.size(F.filter("h", lambda v: v.isNotNull())) == 0
+    x = _open(items.where(bare)).withColumn("n_words", F.size("w"))
+    free = F.size(F.filter("o", lambda v: ~v.isin("<number>", "<unit>"))) >= LITERALS
+    open_ = x.where(free).select("item_id", F.xxhash64("n_words", F.lit(True), "o").alias("h"), _slots(F.col("w"), F.col("o")).alias("item_slots"), "n_words", F.lit(True).alias("free"))
+    short = texts.select("item_id", segment(F.coalesce("text", F.lit(""))).alias("s"), words(F.col("text")).alias("w"))
+    short = short.withColumn("t", template(F.col("w"))).where("s <> ''")
+    short = _open(short.withColumn("h", windows(F.col("t"))).where(bare)).where(~free)
+    line = short.select("item_id", F.xxhash64(F.lit("line"), "s").alias("h"), F.array().cast("array<string>").alias("item_slots"), F.size("w").alias("n_words"), F.lit(False).alias("free"))
+    return open_.unionByName(line).select("item_id", F.lit(0).alias("item_pos"), "h", "item_slots", F.lit(1).alias("n_windows"), "n_words", "free")
+
+
+def _lines(docs: DataFrame, passes) -> DataFrame:
+    """doc_id, pos, h and slots (none) of the lines and sentences that pass."""
+    lines = F.split(F.coalesce("text", F.lit("")), "[\r\n]+")
+    parts = F.flatten(F.transform(lines, lambda x: F.array_distinct(F.concat(F.array(x), F.split(x, r"(?<=[.!?])[\x20\x09-\x0D]+")))))
+    hashed = F.transform(parts, lambda x: F.xxhash64(F.lit("line"), segment(x)))
+    own = docs.select("doc_id", F.explode_outer(F.filter(F.transform(hashed, lambda h, i: F.struct(i.alias("pos"), h.alias("h"))), lambda x: passes(x.h))).alias("x")).where("x is not null")
+    return own.select("doc_id", "x.pos", "x.h", F.array().cast("array<string>").alias("slots"))
+
+
+def _runs(prepared: DataFrame, key: str, lengths: list[int], passes) -> DataFrame:
+    """key, pos, h and slots of the runs of so many words that pass, as _whole_items makes them of free items."""
     own = _open(prepared)
 
-    def found(n: int, free: bool) -> Column:
+    def found(n: int) -> Column:
         at = F.when(F.size("w") >= n, F.sequence(F.lit(0), F.size("w") - n))
-        run = F.transform(at, lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit(n), F.lit(free), F.slice("o" if free else "w", i + 1, F.lit(n))).alias("h"), F.lit(n).alias("n"), F.lit(free).alias("free")))
-        return F.coalesce(F.filter(run, lambda r: passes(r.h)), F.array().cast("array<struct<pos:int,h:bigint,n:int,free:boolean>>"))
+        run = F.transform(at, lambda i: F.struct(i.alias("pos"), F.xxhash64(F.lit(n), F.lit(True), F.slice("o", i + 1, F.lit(n))).alias("h"), F.lit(n).alias("n")))
+        return F.coalesce(F.filter(run, lambda r: passes(r.h)), F.array().cast("array<struct<pos:int,h:bigint,n:int>>"))
 
-    own = own.select(key, "w", "o", F.explode_outer(F.concat(*(found(*x) for x in lengths))).alias("x")).where("x is not null")
-    slots = F.when(F.col("x.free"), _slots(F.slice("w", F.col("x.pos") + 1, F.col("x.n")), F.slice("o", F.col("x.pos") + 1, F.col("x.n")))).otherwise(F.array().cast("array<string>"))
-    return own.select(key, "x.pos", "x.h", slots.alias("slots"))
+    own = own.select(key, "w", "o", F.explode_outer(F.concat(*(found(n) for n in lengths))).alias("x")).where("x is not null")
+    return own.select(key, "x.pos", "x.h", _slots(F.slice("w", F.col("x.pos") + 1, F.col("x.n")), F.slice("o", F.col("x.pos") + 1, F.col("x.n"))).alias("slots"))
 
 
 def _occurrences(found: DataFrame) -> DataFrame:
@@ -148,18 +171,22 @@ def _occurrences(found: DataFrame) -> DataFrame:
 def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, n_windows (of the item), n_matched (most in one occurrence that passes) and reparameterised (one that passes has other values), a row for each leak, as a table."""
     d = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
-    items = _prepared(benchmark.select("item_id", "text").dropDuplicates(), "item_id")
+    texts = benchmark.select("item_id", "text").dropDuplicates()
+    items = _prepared(texts, "item_id")
     n_windows = F.size(F.filter("h", lambda x: x.isNotNull()))
     probe = _windows(items, "item_id").withColumnsRenamed({"pos": "item_pos", "slots": "item_slots"})
     probe = probe.join(items.select(F.col("item_id").alias("_i"), n_windows.alias("n_windows"), F.size("w").alias("n_words")).where("n_windows > 0"), F.col("item_id").eqNullSafe(F.col("_i"))).drop("_i")
-    probe = table = materialise(probe.withColumn("free", F.lit(None).cast("boolean")).unionByName(_whole_items(items)), "benchmark")
-    lengths = sorted((r["n_words"], r["free"]) for r in probe.where("free is not null").select("n_words", "free").distinct().collect())
+    probe = table = materialise(probe.withColumn("free", F.lit(None).cast("boolean")).unionByName(_whole_items(items, texts)), "benchmark")
+    whole = probe.where("free is not null").select(F.when(F.col("free"), F.col("n_words")).alias("n")).distinct().collect()  # at most a row for each length without a window
+    lengths = sorted(r["n"] for r in whole if r["n"] is not None)
     probe = probe.drop("free")
     side = F.broadcast(probe) if probe.count() <= MAX_BROADCAST else probe
     passes, prepared = _filter(probe), _prepared(d, "doc_id")
     own = _windows(prepared, "doc_id", passes)
     if lengths:
         own = own.unionByName(_runs(prepared, "doc_id", lengths, passes))
+    if len(whole) > len(lengths):
+        own = own.unionByName(_lines(d, passes))
     met = own.join(side, "h")
     pairs = F.transform(F.arrays_zip("item_slots", "slots"), lambda p: F.struct(p.item_slots.alias("a"), p.slots.alias("b")))
     match = F.struct((F.col("pos") - F.col("item_pos")).alias("off"), "item_pos", pairs.alias("pairs"))
@@ -214,7 +241,7 @@ WITH src AS (SELECT 'd' AS k, doc_id AS id, text FROM documents UNION ALL SELECT
 w AS (SELECT k, id, list_filter(string_split_regex(regexp_replace(coalesce(text, ''), '[.,;:!?"''`()\[\]{}|#*$%&<>=+~^_\\/]', '', 'g'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM src),
 tok AS (SELECT k, id, generate_subscripts(w, 1) AS i, unnest(w) AS x FROM w),
 t AS (
-  SELECT k, id, i, x, CASE WHEN regexp_matches(x, '^[-+]?\p{N}') THEN '<number>' WHEN regexp_matches(x, '^\p{Lu}') THEN '<name>'
+  SELECT k, id, i, x, CASE WHEN regexp_matches(x, '^[-+]?\p{N}') THEN '<number>' WHEN regexp_matches(x, 'NAME') THEN '<name>'
          WHEN x IN (UNITS) AND regexp_matches(coalesce(lag(x) OVER o, ''), '^[-+]?\p{N}') THEN '<unit>' ELSE x END AS t
   FROM tok WINDOW o AS (PARTITION BY k, id ORDER BY i)),
 win AS (
@@ -237,4 +264,4 @@ ok AS (
 agg AS (SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS items, count(*) FILTER (WHERE re) AS nr FROM ok GROUP BY doc_id)
 SELECT documents.doc_id, n IS NOT NULL AS contaminated, coalesce(n, 0) AS n_items, coalesce(items, '') AS items, coalesce(nr, 0) AS n_reparameterised
 FROM documents LEFT JOIN agg USING (doc_id)
-""".replace("UNITS", ", ".join(f"'{u}'" for u in UNITS))
+""".replace("UNITS", ", ".join(f"'{u}'" for u in UNITS)).replace("NAME", NAME)

@@ -8,7 +8,7 @@ from .. import scratch
 from ..functions import names, sky
 from ..functions import pixels as px
 from ..operators import anomalies, derived
-from ..sinks import tables
+from ..sinks import logged, tables
 from .pixels import pictures
 from .sky import GRID, OBJ, grid, objects
 
@@ -136,6 +136,16 @@ def appended_cutouts(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def logged_cutouts(spark, sf_dir):
+    """Three appends and a repeat of the first under its name; keys that two batches have count once, from the earlier."""
+    path = scratch.folder(spark, "logged")
+    o = _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
+    logged.start(spark, path, "o_orderkey long, o_custkey long, batch string", "o_orderkey")
+    for name, where in (("two", "o_orderkey % 2 = 0"), ("three", "o_orderkey % 3 = 0"), ("two", "o_orderkey % 5 = 0"), ("far", "o_orderkey < 0")):
+        logged.append(o.where(where).withColumn("batch", F.lit(name)), path, name)
+    return logged.read(spark, path)
+
+
 def appended_statistics(spark, sf_dir):
     path = scratch.folder(spark, "statistics")
     c = _read(spark, sf_dir, "customer", "c_custkey", "c_acctbal")
@@ -144,7 +154,7 @@ def appended_statistics(spark, sf_dir):
     return spark.read.schema("c_custkey long, c_acctbal double").option("header", True).csv(path)
 
 
-QUERIES = {f.__name__: f for f in (name_centres, reference_pixels, known_flags, done_flags, tile_slice, size_summary, files_of_tiles, tile_accounts, percentile_stretches, colour_composites, stored_cutouts, stored_master, appended_cutouts, appended_statistics)}
+QUERIES = {f.__name__: f for f in (name_centres, reference_pixels, known_flags, done_flags, tile_slice, size_summary, files_of_tiles, tile_accounts, percentile_stretches, colour_composites, stored_cutouts, stored_master, appended_cutouts, logged_cutouts, appended_statistics)}
 SQL = {
     "name_centres": NAME_CENTRES,
     "reference_pixels": "SELECT l_orderkey, l_linenumber, round(l_quantity - 0.5 * 0.25 / 0.186, 6) AS crpix FROM lineitem",
@@ -159,5 +169,6 @@ SQL = {
     "stored_cutouts": STORED_CUTOUTS,
     "stored_master": "SELECT DISTINCT c_custkey, c_nationkey FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0",
     "appended_cutouts": "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0",
+    "logged_cutouts": "SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 2 = 0 THEN 'two' ELSE 'three' END AS batch FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0",
     "appended_statistics": "SELECT c_custkey, c_acctbal FROM customer",
 }

@@ -58,7 +58,7 @@ modification, are permitted provided that the following conditions are met:
  # WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
  # See the License for the specific language governing permissions and
  # limitations under the License.""",
-    "GPL-3.0": """a line without an end
+    "GPL-3.0-or-later": """a line without an end
 This program is free software: you can redistribute it and/or modify
 it under the terms of the GNU General Public License as published by
 the Free Software Foundation, either version 3 of the License, or
@@ -71,7 +71,7 @@ GNU General Public License for more details.
 
 You should have received a copy of the GNU General Public License
 along with this program.  If not, see <https://www.gnu.org/licenses/>.""",
-    "GPL-2.0": """This program is free software; you can redistribute it and/or modify
+    "GPL-2.0-or-later": """This program is free software; you can redistribute it and/or modify
 it under the terms of the GNU General Public License as published by
 the Free Software Foundation; either version 2 of the License, or
 (at your option) any later version.

@@ -4,10 +4,12 @@ Pages that a rule decides are the labels. For the rest: each path becomes a
 template whose variable segments (numbers, ids, children of very wide nodes)
 are wildcards, and the templates of a host form a tree with the host as its root.
 At each level, siblings whose share of blocked pages does not differ significantly
-from that of their node pool their labels. The purity of a node is the smoothed
-share of block among its labelled pages; one with too few of them to reach the
-bound takes the purity of its parent, up to the host. A page is rejected if the
-purity of its template reaches the bound; without labels on the whole host it is
+from that of their node pool their labels. The purity of a node is the share of
+block among its labelled pages, smoothed towards its parent's purity, which fades
+by half towards undecided (0.5) with each step down: labels of one branch tell
+little of the others, and a branch without labels of its own never reaches the
+bound by its parent alone. A page is rejected if the purity of its template
+reaches the bound; a page of a host or branch without labels is
 allowed. Pages without a label count nowhere. Pages are aggregated by (host,
 template) before anything else, so a host with a third of all pages is a map-side
 combined sum.
@@ -33,8 +35,8 @@ IN_PLAN, MAX_BROADCAST = 200, 500_000
 WIDE = 40
 #: Levels of the tree after which the plan starts from a table again.
 STEP = 4
-#: Two-sided bound of the two-proportion test, and bound and weight of the smoothed purity.
-Z, PURITY, PRIOR = 1.96, 0.8, 1.0
+#: Two-sided bound of the two-proportion test; bound of the smoothed purity, half the weight of its prior, and what is left of a parent's purity (less 0.5) a step below.
+Z, PURITY, PRIOR, FADE = 1.96, 0.8, 1.0, 0.5
 
 UP, LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -96,7 +98,7 @@ def template_tree(pages: DataFrame, wide: int = WIDE, held: list | None = None)
     return t
 
 
-def purity(tree: DataFrame, z: float = Z, prior: float = PRIOR, bound: float = PURITY, held: list | None = None) -> DataFrame:
+def purity(tree: DataFrame, z: float = Z, prior: float = PRIOR, fade: float = FADE, held: list | None = None) -> DataFrame:
     """host, node (the first segments of templates), own (its depth) and purity of each node, after similar siblings have pooled their labels."""
     depth = F.posexplode(F.transform(F.sequence(F.lit(0), F.size("template")), lambda d: F.array_join(F.slice("template", 1, d), "/"))).alias("depth", "node")
     node = tree.select("host", "n", "n_block", depth).groupBy("host", "depth", "node").agg(F.sum("n").alias("n"), F.sum("n_block").alias("b"))
@@ -105,9 +107,8 @@ def purity(tree: DataFrame, z: float = Z, prior: float = PRIOR, bound: float = P
     node = materialise(node.withColumn("parent", F.when(F.col("depth") > 1, F.regexp_replace("node", "/[^/]*$", "")).otherwise(F.lit(""))), "nodes")
     held.append(node)
     levels = node.agg(F.max("depth")).first()[0] or 0
-    reached = lambda n: F.col(n) + prior >= bound * (F.col(n) + 2 * prior) - 1e-9
-    smoothed = lambda b, n: (F.col(b) + prior) / (F.col(n) + 2 * prior)
-    above = node.where("depth = 0").select("host", "node", "depth", F.when(reached("n"), smoothed("b", "n")).otherwise(F.lit(0.5)).alias("purity"), "n", "b")
+    smoothed = lambda b, n, up: (F.col(b) + 2 * prior * up) / (F.col(n) + 2 * prior)
+    above = node.where("depth = 0").select("host", "node", "depth", smoothed("b", "n", F.lit(0.5)).alias("purity"), "n", "b")
     out = above
     for d in range(1, levels + 1):
         parent = above.select("host", F.col("node").alias("parent"), F.col("purity").alias("up"), F.col("n").alias("pn"), F.col("b").alias("pb"))
@@ -116,7 +117,7 @@ def purity(tree: DataFrame, z: float = Z, prior: float = PRIOR, bound: float = P
         own = own.withColumn("similar", F.when(F.col("n") > 0, gap * gap * F.col("n") <= p * (1 - p) * (z * z) + 1e-12).otherwise(F.lit(False)))
         merged = own.where("similar").groupBy("host", "parent").agg(F.sum("n").alias("mn"), F.sum("b").alias("mb"))
         own = own.join(merged, ["host", "parent"], "left").withColumn("en", F.when(F.col("similar"), F.col("mn")).otherwise(F.col("n"))).withColumn("eb", F.when(F.col("similar"), F.col("mb")).otherwise(F.col("b")))
-        above = own.select("host", "node", "depth", F.when(reached("en"), smoothed("eb", "en")).otherwise(F.col("up")).alias("purity"), "n", "b")
+        above = own.select("host", "node", "depth", smoothed("eb", "en", 0.5 + fade * (F.col("up") - 0.5)).alias("purity"), "n", "b")
         if d % STEP == 0:
             above = materialise(above, "purities")
             held.append(above)
@@ -133,7 +134,7 @@ def judge(pages: DataFrame, rules=RULES, bound: float = PURITY) -> DataFrame:
     held: list[DataFrame] = []
     tree = materialise(template_tree(p, held=held), "tree")
     leaf = tree.select("host", "shape", F.array_join("template", "/").alias("node"), F.size("template").alias("own"))
-    scored = leaf.join(purity(tree, bound=bound, held=held), ["host", "node", "own"])
+    scored = leaf.join(purity(tree, held=held), ["host", "node", "own"])
     # Only rejected templates are joined to the pages, and only to pages without a rule.
     rejected = materialise(scored.where(F.col("purity") >= bound).select("host", "shape", F.lit(True).alias("_r")), "rejected")
     for table in (tree, *held):
@@ -142,5 +143,11 @@ def judge(pages: DataFrame, rules=RULES, bound: float = PURITY) -> DataFrame:
     return p.join(rejected, ["host", "shape"], "left").select("page_id", "host", "path", "rule", F.array_join("shape", "/").alias("template"), verdict.alias("verdict"))
 
 
+def mixed_hosts(judged: DataFrame) -> DataFrame:
+    """host, n_block and n_allow (pages) of the hosts that have both verdicts; judged: what judge() returns."""
+    block = F.col("verdict") == "block"
+    return judged.groupBy("host").agg(F.count_if(block).alias("n_block"), F.count_if(~block).alias("n_allow")).where("n_block > 0 AND n_allow > 0")
+
+
 def op7_url_filter(spark, sf_dir) -> DataFrame:
     return judge(read(spark, sf_dir, "pages", "page_id", "url")).select("page_id", "host", "path", "rule", "verdict")

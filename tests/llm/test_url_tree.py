@@ -9,7 +9,7 @@ from collections import defaultdict
 from pyspark.sql import functions as F
 
 
-def plain(urls: list, rules, wide: int, z=1.96, bound=0.8, prior=1.0) -> list:
+def plain(urls: list, rules, wide: int, z=1.96, bound=0.8, prior=1.0, fade=0.5) -> list:
     """(rule, verdict) of each url."""
     pages = []
     for url in urls:
@@ -45,20 +45,20 @@ def plain(urls: list, rules, wide: int, z=1.96, bound=0.8, prior=1.0) -> list:
             b[node] += best is not None and best[0] == "block"
             if d:
                 kids[node[:-1]].add(node)
-    enough = lambda x: x + prior >= bound * (x + 2 * prior) - 1e-9
     purity = {}
 
     def down(node, own):
         purity[node] = own
+        faded = 0.5 + fade * (own - 0.5)
         p = b[node] / n[node] if n[node] else 0
         similar = [c for c in kids[node] if n[c] and (b[c] / n[c] - p) ** 2 * n[c] <= p * (1 - p) * z * z + 1e-12]
         pool = sum(n[c] for c in similar), sum(b[c] for c in similar)
         for c in kids[node]:
             cn, cb = pool if c in similar else (n[c], b[c])
-            down(c, (cb + prior) / (cn + 2 * prior) if enough(cn) else own)
+            down(c, (cb + 2 * prior * faded) / (cn + 2 * prior))
 
     for h in {h for h, _, _ in pages}:
-        down((h,), (b[h,] + prior) / (n[h,] + 2 * prior) if enough(n[h,]) else 0.5)
+        down((h,), (b[h,] + prior) / (n[h,] + 2 * prior))
     return [(best[1], best[0]) if best else (None, "block" if purity[h, *template[h, s]] >= bound else "allow") for h, s, best in pages]
 
 
@@ -91,3 +91,17 @@ def test_rules_as_a_table_equal_rules_in_the_plan(spark):
     p = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string").select("page_id", host.alias("host"), path.alias("path"))
     got = [{x.page_id: (x.rule, x.label) for x in U.with_rules(p, rules, n, b).collect()} for n, b in ((200, 0), (0, 500), (0, 0))]
     assert got[0] == got[1] == got[2] and len({v[0] for v in got[0].values()}) > 6
+
+
+def test_labels_of_one_branch_leave_the_others_alone(spark):
+    from astroloom.llm import url_filter as U
+
+    h = "http://a.example.com"
+    urls = [f"{h}/de/{k}" for k in range(50)] + [f"{h}/de"] + [f"{h}/en/{k}" for k in range(30)] + ["http://b.example.com/en/1"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    judged = U.judge(pages)
+    got = {r.page_id: (r.rule, r.verdict) for r in judged.collect()}
+    assert {got[k] for k in range(50)} == {("example.com/de/", "block")}
+    assert got[50] == (None, "block")  # a page of the branch that no rule fits
+    assert {got[k] for k in range(51, 82)} == {(None, "allow")}
+    assert [tuple(r) for r in U.mixed_hosts(judged).collect()] == [("a.example.com", 51, 30)]

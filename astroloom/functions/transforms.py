@@ -96,24 +96,27 @@ def spectrum(image: np.ndarray, smooth: bool = False, log: bool = False) -> np.n
     return np.log1p(m) if log else m
 
 
-def fourier_anomaly(image: np.ndarray, factor: float = 3.0, smooth: bool = False) -> tuple[float, float, float, bool]:
-    """Mean magnitude over the vertical arms (the middle columns at the upper and lower edge), the horizontal arms and the corners; an anomaly if both are over `factor` times the corners.
+def fourier_areas(rows: int, cols: int, arms: tuple[int, int, int] | None = None) -> dict[str, list[tuple[slice, slice]]]:
+    """Vertical arms (the middle columns at the upper and lower edge), horizontal arms and corners of a spectrum. arms: half an arm's width, its length, a corner's side.
 
     The arms start at the edges, so on images larger than two arms the zero frequency lies in none."""
-    m = spectrum(np.nan_to_num(image, nan=0.0, posinf=0.0, neginf=0.0), smooth)
-    rows, cols = m.shape
-    half, length, corner = (10, 3000, 3000) if cols > 500 else (1, 80, 80)
-    if not rows or not cols:
-        return (float("nan"),) * 3 + (False,)
+    half, length, corner = arms or ((10, 3000, 3000) if cols > 500 else (1, 80, 80))
     ends = lambda n, k: (slice(0, min(k, n)), slice(max(n - k, 0), n))
     middle = lambda n: slice(max(n // 2 - half, 0), n // 2 + half + 1)
+    return {
+        "vertical": [(r, middle(cols)) for r in ends(rows, length)],
+        "horizontal": [(middle(rows), c) for c in ends(cols, length)],
+        "corners": [(r, c) for r in ends(rows, corner) for c in ends(cols, corner)],
+    }
 
-    def mean(*areas) -> float:
-        return float(sum(m[a].sum() for a in areas) / sum(m[a].size for a in areas))
 
-    vertical = mean(*((r, middle(cols)) for r in ends(rows, length)))
-    horizontal = mean(*((middle(rows), c) for c in ends(cols, length)))
-    corners = mean(*((r, c) for r in ends(rows, corner) for c in ends(cols, corner)))
+def fourier_anomaly(image: np.ndarray, factor: float = 3.0, smooth: bool = False, arms: tuple[int, int, int] | None = None) -> tuple[float, float, float, bool]:
+    """Mean magnitude over the vertical arms, the horizontal arms and the corners; an anomaly if both are over `factor` times the corners."""
+    m = spectrum(np.nan_to_num(image, nan=0.0, posinf=0.0, neginf=0.0), smooth)
+    if not m.size:
+        return (float("nan"),) * 3 + (False,)
+    mean = lambda areas: float(sum(m[a].sum() for a in areas) / sum(m[a].size for a in areas))
+    vertical, horizontal, corners = (mean(a) for a in fourier_areas(*m.shape, arms).values())
     return vertical, horizontal, corners, bool(vertical > factor * corners and horizontal > factor * corners)
 
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import blocks
+from ..operators import blocks, fourier
 
 SIDE, ROWS, COLS = 8, 10, 5
 FLAT, LEAST = 0.05, 3
 MESH, SIGMA, ROUNDS = 4, 1.5, 2
+ARMS = (1, 16, 10)
 
 
 def mosaic(spark, sf_dir: str) -> DataFrame:
@@ -70,5 +71,38 @@ SELECT a.image, a.my, a.mx, round(median(b.level), 6) AS level, round(median(b.r
 FROM l a JOIN l b ON a.image = b.image AND abs(a.my - b.my) <= 1 AND abs(a.mx - b.mx) <= 1 GROUP BY a.image, a.my, a.mx"""
 
 
-QUERIES = {f.__name__: f for f in (flat_patches, flat_images, mesh_background)}
-SQL = {"flat_patches": FLAT_PATCHES, "flat_images": FLAT_IMAGES, "mesh_background": MESH_BACKGROUND}
+def tile_spectrum(spark, sf_dir):
+    """Magnitudes of the spectrum of each image, its zero frequency in the middle."""
+    pieces = fourier.spectra(mosaic(spark, sf_dir), ["image"], log=False, columns=6, block=SIDE)
+    each = pieces.select("image", "y", "x", "w", F.posexplode("pix").alias("k", "m"))
+    return each.select("image", F.expr("y + k div w").cast("int").alias("y"), F.expr("x + k % w").cast("int").alias("x"), F.round("m", 5).alias("m"))
+
+
+def fourier_arms(spark, sf_dir):
+    """Mean magnitudes over the arms and corners of each image's spectrum."""
+    found = fourier.anomalies(mosaic(spark, sf_dir), ["image"], 1.02, arms=ARMS, columns=6, block=SIDE)
+    return found.select("image", *(F.round(c, 6).alias(c) for c in ("vertical", "horizontal", "corners")), "anomaly")
+
+
+_SPECTRUM = """
+p AS (SELECT vec_id // 50 AS image, vec_id % 50 // 5 * 8 + i // 8 AS y, vec_id % 5 * 8 + i % 8 AS x, CAST(embedding[i + 1] AS DOUBLE) AS v FROM embeddings, range(64) t(i)),
+s AS (SELECT image, max(y) + 1 AS rows, max(x) + 1 AS cols FROM p GROUP BY image),
+r AS (SELECT image, y, k, sum(v * cos(2 * pi() * x * k / cols)) AS re, -sum(v * sin(2 * pi() * x * k / cols)) AS im FROM p JOIN s USING (image), range(40) f(k) WHERE k < cols GROUP BY image, y, k),
+c AS (SELECT image, j, k, sum(re * cos(2 * pi() * y * j / rows) + im * sin(2 * pi() * y * j / rows)) AS re, sum(im * cos(2 * pi() * y * j / rows) - re * sin(2 * pi() * y * j / rows)) AS im FROM r JOIN s USING (image), range(80) g(j) WHERE j < rows GROUP BY image, j, k),
+m AS (SELECT image, rows, cols, CAST((j + rows // 2) % rows AS INT) AS y, CAST((k + cols // 2) % cols AS INT) AS x, sqrt(re * re + im * im) AS m FROM c JOIN s USING (image))"""
+
+TILE_SPECTRUM = f"WITH {_SPECTRUM} SELECT image, y, x, round(m, 5) AS m FROM m"
+
+_HALF, _LONG, _CORNER = ARMS
+FOURIER_ARMS = f"""
+WITH {_SPECTRUM},
+e(a, b) AS (VALUES (0, 0), (0, 1), (1, 0), (1, 1)),
+v AS (SELECT image, avg(m) AS vertical FROM m, range(2) o(a) WHERE abs(x - cols // 2) <= {_HALF} AND CASE WHEN a = 0 THEN y < {_LONG} ELSE y >= rows - {_LONG} END GROUP BY image),
+h AS (SELECT image, avg(m) AS horizontal FROM m, range(2) o(a) WHERE abs(y - rows // 2) <= {_HALF} AND CASE WHEN a = 0 THEN x < {_LONG} ELSE x >= cols - {_LONG} END GROUP BY image),
+q AS (SELECT image, avg(m) AS corners FROM m, e WHERE CASE WHEN a = 0 THEN y < {_CORNER} ELSE y >= rows - {_CORNER} END AND CASE WHEN b = 0 THEN x < {_CORNER} ELSE x >= cols - {_CORNER} END GROUP BY image)
+SELECT image, round(vertical, 6) AS vertical, round(horizontal, 6) AS horizontal, round(corners, 6) AS corners, vertical > 1.02 * corners AND horizontal > 1.02 * corners AS anomaly
+FROM v JOIN h USING (image) JOIN q USING (image)"""
+
+
+QUERIES = {f.__name__: f for f in (flat_patches, flat_images, mesh_background, tile_spectrum, fourier_arms)}
+SQL = {"flat_patches": FLAT_PATCHES, "flat_images": FLAT_IMAGES, "mesh_background": MESH_BACKGROUND, "tile_spectrum": TILE_SPECTRUM, "fourier_arms": FOURIER_ARMS}

@@ -12,13 +12,17 @@ from .crossmatch import nearest, unmatched
 GALAXY = 2.0
 
 
-def in_range_of(labels: DataFrame, det: DataFrame, margin: float = 10 / 3600) -> DataFrame:
-    """Labels within the range of the detections, in degrees; the scan of the labels gets the filters. Without detections none.
+def range_of(det: DataFrame) -> tuple | None:
+    """Least and greatest ra and dec of the detections, from one scan of two columns; None without detections."""
+    found = det.agg(F.min("ra"), F.max("ra"), F.min("dec"), F.max("dec")).first()
+    return None if found[0] is None or found[2] is None else tuple(found)
+
 
-    A range across ra 0 isn't narrowed in ra."""
-    low_ra, high_ra, low, high = det.agg(F.min("ra"), F.max("ra"), F.min("dec"), F.max("dec")).first()
-    if low is None:
-        return labels.limit(0)
+def within(labels: DataFrame, box: tuple | None, margin: float = 10 / 3600) -> DataFrame:
+    """Labels within a range_of() and a margin in degrees; the scan of the labels gets the filters. A range across ra 0 isn't narrowed in ra."""
+    if box is None:
+        return labels.where(F.lit(False))
+    low_ra, high_ra, low, high = box
     near = labels.where(F.col("dec").between(low - margin, high + margin))
     widest = margin / max(math.cos(math.radians(min(max(abs(low), abs(high)) + margin, 89.9))), 1e-3)
     if low_ra - widest < 0 or high_ra + widest > 360:
@@ -26,13 +30,21 @@ def in_range_of(labels: DataFrame, det: DataFrame, margin: float = 10 / 3600) ->
     return near.where(F.col("ra").between(low_ra - widest, high_ra + widest))
 
 
+def in_range_of(labels: DataFrame, det: DataFrame, margin: float = 10 / 3600) -> DataFrame:
+    """Labels within the range of the detections; without detections none."""
+    return within(labels, range_of(det), margin)
+
+
 def attach(det: DataFrame, z: DataFrame, lens: DataFrame, dwarf: DataFrame) -> DataFrame:
     """Detections with class_label, zspec, lens and lsb, and the dwarfs that no detection matches.
 
     det: det_id (unique), ra, dec, tile and more; z, lens and dwarf: label_id (position in their catalogue), ra, dec, and cspec and zspec or tile.
     Each tile finds its own nearest detection. Of several redshifts on a detection the last one holds, nulls included.
     Dwarfs match within their tile and make their detection a galaxy. Without labels nothing matches.
-    Redshifts and lenses are matched in one pass, and what is found is joined to the detections once."""
+    Redshifts and lenses are matched in one pass, and what is found is joined to the detections once. Their scans read what lies in the range of the
+    detections; dwarfs are added whether or not they match, so all of them are read."""
+    box = range_of(det)
+    z, lens = within(z, box), within(lens, box)
     none = F.lit(None).cast("double")
     kinds = lambda k, c, s: F.struct(F.lit(k).alias("kind"), "label_id", c.cast("double").alias("cspec"), s.cast("double").alias("zspec"))
     short = z.select("ra", "dec", kinds(0, F.col("cspec"), F.col("zspec")).alias("lab")).unionByName(lens.select("ra", "dec", kinds(1, none, none).alias("lab")))

@@ -8,7 +8,9 @@ from .. import scratch
 from ..functions import names, sky
 from ..functions import pixels as px
 from ..operators import anomalies, derived
+from ..sinks import fits as fits_sink
 from ..sinks import logged, tables
+from ..sources import fits
 from .pixels import pictures
 from .sky import GRID, OBJ, grid, objects
 
@@ -119,6 +121,24 @@ SELECT CAST(c_nationkey AS INT) AS xxx, CAST(c_custkey % 3 AS INT) AS yyy, count
 WHERE c_nationkey <> 3 OR c_custkey % 2 = 0 OR c_custkey % 3 NOT IN (SELECT c_custkey % 3 FROM customer WHERE c_nationkey = 3 AND c_custkey % 2 = 0) GROUP BY 1, 2"""
 
 
+def stored_fits(spark, sf_dir):
+    """Embeddings as FITS images of 8 x 8 pixels, a file each; then their positions by the cards and their pixels, read back."""
+    path = scratch.folder(spark, "fits")
+    e = _read(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    side = F.lit(8)
+    fits_sink.write(e.select(F.col("vec_id").cast("string").alias("name"), side.alias("ny"), side.alias("nx"), F.col("embedding").alias("pix"), (F.col("vec_id") * 7 % 360 + 0.25).cast("double").alias("ra"), (F.col("vec_id") % 170 - 85).cast("double").alias("dec"), F.col("vec_id").alias("NUMBER")), path)
+    card = lambda n, kind: F.element_at("cards", n).cast(kind).alias(n.lower())
+    heads = fits.headers(spark, path, 0).select("path", card("NUMBER", "long"), card("CRVAL1", "double"), card("CRVAL2", "double"), card("CRPIX1", "double"))
+    pixels = fits.image_blocks(spark, path, 0).select("path", F.posexplode("pix").alias("k", "v"))
+    sums = pixels.groupBy("path").agg(F.round(F.sum(F.col("v").cast("double") * (F.col("k") + 1)), 5).alias("weighed"))
+    return heads.join(sums, "path").select("number", "crval1", "crval2", "crpix1", "weighed")
+
+
+STORED_FITS = """
+SELECT vec_id AS number, CAST(vec_id * 7 % 360 + 0.25 AS DOUBLE) AS crval1, CAST(vec_id % 170 - 85 AS DOUBLE) AS crval2, CAST(4.5 AS DOUBLE) AS crpix1,
+       round(sum(CAST(embedding[k] AS DOUBLE) * k), 5) AS weighed FROM embeddings, range(1, 65) t(k) GROUP BY vec_id"""
+
+
 def stored_master(spark, sf_dir):
     """A master catalogue that is made and then gets rows, by write and swap."""
     path = scratch.folder(spark, "master")
@@ -154,7 +174,7 @@ def appended_statistics(spark, sf_dir):
     return spark.read.schema("c_custkey long, c_acctbal double").option("header", True).csv(path)
 
 
-QUERIES = {f.__name__: f for f in (name_centres, reference_pixels, known_flags, done_flags, tile_slice, size_summary, files_of_tiles, tile_accounts, percentile_stretches, colour_composites, stored_cutouts, stored_master, appended_cutouts, logged_cutouts, appended_statistics)}
+QUERIES = {f.__name__: f for f in (name_centres, reference_pixels, known_flags, done_flags, tile_slice, size_summary, files_of_tiles, tile_accounts, percentile_stretches, colour_composites, stored_cutouts, stored_fits, stored_master, appended_cutouts, logged_cutouts, appended_statistics)}
 SQL = {
     "name_centres": NAME_CENTRES,
     "reference_pixels": "SELECT l_orderkey, l_linenumber, round(l_quantity - 0.5 * 0.25 / 0.186, 6) AS crpix FROM lineitem",
@@ -167,6 +187,7 @@ SQL = {
     "percentile_stretches": PERCENTILE_STRETCHES,
     "colour_composites": COLOUR_COMPOSITES,
     "stored_cutouts": STORED_CUTOUTS,
+    "stored_fits": STORED_FITS,
     "stored_master": "SELECT DISTINCT c_custkey, c_nationkey FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0",
     "appended_cutouts": "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0",
     "logged_cutouts": "SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 2 = 0 THEN 'two' ELSE 'three' END AS batch FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0",

@@ -216,9 +216,28 @@ def detections(spark: SparkSession, path: str | list[str], glob: str = "*.cat")
     return named.withColumn("mag_r", F.when(~F.col("mag_r").isin(-99.0, 99.0), F.col("mag_r")))
 
 
-def encoded(image: np.ndarray) -> bytes:
-    """A single-precision image as a FITS file."""
-    cards = [("SIMPLE", "T"), ("BITPIX", "-32"), ("NAXIS", "2"), ("NAXIS1", str(image.shape[1])), ("NAXIS2", str(image.shape[0]))]
-    head = "".join(f"{k:<8}= {v:>20}".ljust(CARD) for k, v in cards) + "END".ljust(CARD)
+def card(name: str, value) -> str:
+    """A header card. Texts are quoted; one that doesn't fit its card raises."""
+    if isinstance(value, (bool, np.bool_)):
+        shown = f"{'T' if value else 'F':>20}"
+    elif isinstance(value, str):
+        shown = "'" + value.encode("ascii", "replace").decode().replace("'", "''").ljust(8) + "'"
+    else:
+        shown = f"{repr(float(value)).upper() if isinstance(value, (float, np.floating)) else int(value):>20}"
+    if len(out := f"{name:<8}= {shown}") > CARD:
+        raise ValueError(f"the value of {name} doesn't fit a card")
+    return out.ljust(CARD)
+
+
+def header(shape: tuple[int, int], bitpix: int, more: dict | None = None) -> bytes:
+    """The header of a primary unit with a two-dimensional image, or of one without pixels. Values that are None or not finite have no card."""
+    sides = {"NAXIS": 2, "NAXIS1": shape[1], "NAXIS2": shape[0]} if shape[0] and shape[1] else {"NAXIS": 0}
+    known = {k: v for k, v in (more or {}).items() if v is not None and not (isinstance(v, (float, np.floating)) and not np.isfinite(v))}
+    text = "".join(card(k, v) for k, v in ({"SIMPLE": True, "BITPIX": bitpix} | sides | known).items()) + "END".ljust(CARD)
+    return text.ljust(-(-len(text) // RECORD) * RECORD).encode()
+
+
+def encoded(image: np.ndarray, more: dict | None = None) -> bytes:
+    """A single-precision image as a FITS file, with further cards."""
     data = np.ascontiguousarray(image, ">f4").tobytes()
-    return head.ljust(-(-len(head) // RECORD) * RECORD).encode() + data + bytes(-len(data) % RECORD)
+    return header(image.shape, -32, more) + data + bytes(-len(data) % RECORD)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from fnmatch import fnmatch
 
 
-def _store(path: str):
+def store(path: str):
+    """The store of a path, and the path within it."""
     from pyarrow import fs
 
     if "://" in path or path.startswith("file:"):
@@ -17,12 +18,12 @@ def listed(path: str, glob: str) -> list[tuple[str, int]]:
     """Files under a folder, or the file itself, with their sizes, in order; paths as the store's own with its scheme."""
     from pyarrow import fs
 
-    store, inner = _store(path)
+    files, inner = store(path)
     scheme = path[: path.index("://") + 3] if "://" in path and not path.startswith("file:") else ""
-    own = store.get_file_info(inner)
+    own = files.get_file_info(inner)
     if own.type == fs.FileType.File:
         return [(path, own.size)]
-    found = store.get_file_info(fs.FileSelector(inner, recursive=True))
+    found = files.get_file_info(fs.FileSelector(inner, recursive=True))
     return sorted((scheme + f.path, f.size) for f in found if f.type == fs.FileType.File and fnmatch(f.base_name, glob))
 
 
@@ -30,8 +31,8 @@ class Ranges:
     """A file of which only the ranges asked for are read."""
 
     def __init__(self, path: str):
-        store, inner = _store(path)
-        self._file = store.open_input_file(inner)
+        files, inner = store(path)
+        self._file = files.open_input_file(inner)
         self.size = self._file.size()
         self.bytes_read = 0
 

@@ -93,3 +93,21 @@ def test_a_tile_beyond_ra_360(spark):
     """Tile numbers come from positions, so the last tiles of a row reach over ra 0."""
     o = spark.createDataFrame([(1, 3.2, -65.0)], "ID long, ra double, dec double")
     assert tiles.assign(o, spark.createDataFrame([(307, 50)], "xxx int, yyy int")).first().tile == "(307, 50)"
+
+
+def test_attach_reads_labels_in_the_range_of_the_detections(spark, tmp_path):
+    from astroloom.operators import labels
+
+    det = spark.createDataFrame([(k, 10.0 + k, 20.0 + k, "a") for k in range(5)], "det_id long, ra double, dec double, tile string")
+    rows = [(k, 10.0 + k, 20.0 + k, 0.0, 0.1 * k) for k in range(-3, 9)]
+    spark.createDataFrame(rows, "label_id long, ra double, dec double, cspec double, zspec double").write.parquet(str(tmp_path / "z"))
+    z = spark.read.parquet(str(tmp_path / "z"))
+    none = spark.createDataFrame([], "label_id long, ra double, dec double, tile string")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")  # whole filters in the plan's text
+    out = labels.attach(det, z, z.select("label_id", "ra", "dec"), none)
+    assert {r.det_id: (r.zspec, r.lens) for r in out.collect()} == {k: (pytest.approx(0.1 * k), 1.0) for k in range(5)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = [line for line in plan.splitlines() if "Scan parquet" in line]
+    assert scans and all("GreaterThanOrEqual(dec," in line and "LessThanOrEqual(ra," in line for line in scans)
+    assert labels.attach(det.limit(0), z, z.select("label_id", "ra", "dec"), none).count() == 0

@@ -70,7 +70,9 @@ def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
 
 
 def discard(table: DataFrame, part: str = "") -> None:
-    """Delete what materialise or bucketed wrote, or one of its folders, once nothing reads it any more."""
+    """Delete what materialise or bucketed wrote, or one of its folders, once nothing reads it any more.
+
+    Both collectors run, so that Spark's cleaner finds the plans that made it unreachable and drops their shuffle files and broadcasts."""
     spark = table.sparkSession
     if getattr(table, "_loom_table", None):
         spark.sql(f"DROP TABLE IF EXISTS `{table._loom_table}`")

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, crc_mod, labelled_sample, read, text_parts
+from .common import chunks, crc_mod, discard, labelled_sample, materialise, read, text_parts
 
 #: Labelled documents that the model is fitted on, their lines in all, and the lines of one of them, at most; longer ones are only scored.
 SAMPLE_DOCS, SAMPLE_LINES, MOST_LINES = 3000, 300_000, 20_000
@@ -66,8 +66,8 @@ def line_features(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     wh = (h[we] - h[ws]) * inverse[ws]
     again = np.zeros(len(buf), bool)
     if len(ws):
-        same = np.concatenate(([False], wh[1:] == wh[:-1]))
-        again[ws] = same
+        own_doc = doc[np.searchsorted(ends, ws)]
+        again[ws[1:]] = (wh[1:] == wh[:-1]) & (own_doc[1:] == own_doc[:-1])
     lh = (h[ends] - h[starts]) * inverse[starts]
     _, back, count = np.unique(np.stack((lh, doc.astype(np.uint64))), axis=1, return_inverse=True, return_counts=True)
     dup = (count[np.ravel(back)] > 1) & (size > 0)
@@ -185,19 +185,23 @@ def score_texts(texts: list, model: dict) -> np.ndarray:
 
 
 def train(sample: DataFrame) -> dict:
-    """sample: doc_id, text and y, as labelled_sample gives it. Features are computed where the texts are; those of SAMPLE_LINES lines at most, in order of the ids' hashes, come to the driver."""
+    """sample: doc_id, text and y, as labelled_sample gives it. Features of SAMPLE_LINES lines at most come to the driver, those of whole documents in order of
+    their ids' hashes; which ones is settled by ids and numbers of lines, so features are computed for these alone, where the texts are."""
 
     def rows(batches):
         for pdf in batches:
             for own in chunks(pdf):
                 x, size, n = line_features(own["text"].tolist())
                 cut = np.cumsum(n)[:-1]
-                yield pd.DataFrame({"doc_id": own["doc_id"].to_numpy(), "y": own["y"].to_numpy(), "n": n, "size": np.split(size, cut), "x": [v.ravel() for v in np.split(x, cut)]})
-
-    short = sample.where(F.coalesce(F.size(F.split("text", "\n")), F.lit(1)) <= MOST_LINES)
-    before = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)  # over SAMPLE_DOCS rows at most, or copies of their ids
-    made = short.mapInPandas(rows, "doc_id long, y int, n int, size array<double>, x array<double>")
-    got = made.withColumn("total", F.sum("n").over(before)).where(F.col("total") <= SAMPLE_LINES).drop("doc_id", "total").toPandas()
+                yield pd.DataFrame({"y": own["y"].to_numpy(), "n": n, "size": np.split(size, cut), "x": [v.ravel() for v in np.split(x, cut)]})
+
+    held = materialise(sample.select("doc_id", "text", "y"), "labelled")
+    lines = F.coalesce(F.size(F.split("text", "\n")), F.lit(1))
+    short = held.select("doc_id", lines.alias("n")).where(F.col("n") <= MOST_LINES).groupBy("doc_id").agg(F.sum("n").alias("n"))
+    before = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)  # two numbers for each of SAMPLE_DOCS ids at most
+    chosen = short.withColumn("total", F.sum("n").over(before)).where(F.col("total") <= SAMPLE_LINES).select("doc_id")
+    got = held.where(lines <= MOST_LINES).join(F.broadcast(chosen), "doc_id").mapInPandas(rows, "y int, n int, size array<double>, x array<double>").toPandas()
+    discard(held)
     if got.empty:
         return {"constant": 0.5}
     x = np.concatenate(got["x"].tolist())

@@ -98,9 +98,10 @@ def test_urls(spark):
 def test_toxicity(odd, labels):
     from astroloom.llm import toxicity as T
 
-    model = T.model_for(odd, labels) if hasattr(T, "model_for") else None
-    out = T.score(odd, model) if model is not None else None
-    assert out is None or ids(out) == WANT
+    model = T.model_for(odd, labels)
+    out = T.score(odd, model)
+    assert ids(out) == WANT and out.where("score is null or score < 0 or score > 1").count() == 0
+    assert T.score(odd.limit(0), T.model_for(odd.limit(0), labels.limit(0))).count() == 0
 
 
 def test_quality(odd, labels):

@@ -1,8 +1,10 @@
 """Nearest neighbours on the sky within a radius.
 
-Positions become unit vectors and cells of the radius' size; the smaller side
-is sent to its 27 neighbouring cells and both meet in an equi-join. Cells in
-three dimensions know no seam at ra 0 and no pole."""
+Positions become unit vectors. Detections go to the one cell that they are in,
+labels to all cells that their own radius touches, and both meet in an
+equi-join. Cells are several radii wide, so a label touches two or three of
+them on average and eight at most. Cells in three dimensions know no seam at ra 0
+and no pole."""
 
 from __future__ import annotations
 
@@ -13,26 +15,37 @@ from pyspark.sql import functions as F
 
 from ..functions import sky
 
+#: Width of a cell in radii: wider ones mean fewer copies of a label and more detections to compare it with.
+WIDTH = 4
 
-def _cells(v: tuple, h: float) -> list[Column]:
-    return [F.floor(x / h) for x in v]
 
+def _chord(arcsec: float | Column) -> Column:
+    return 2 * F.sin(F.radians((F.lit(arcsec) if isinstance(arcsec, (int, float)) else arcsec) / 3600) / 2)
 
-def nearest(labels: DataFrame, detections: DataFrame, max_sep: float, label: str = "label_id", detection: str = "det_id", same: list[str] | None = None, each: list[str] | None = None) -> DataFrame:
+
+def nearest(labels: DataFrame, detections: DataFrame, max_sep: float, label: str = "label_id", detection: str = "det_id", same: list[str] | None = None, each: list[str] | None = None, reach: str | None = None) -> DataFrame:
     """label, detection and sep (arc seconds, under max_sep) for each label that has a detection near; of equal ones the least detection.
 
-    same: columns that both sides share and that must be equal. each: columns of the detections for whose every value a nearest one is sought."""
+    same: columns that both sides share and that must be equal. each: columns of the detections for whose every value a nearest one is sought.
+    reach: a column of the labels with a radius of their own, max_sep at most, so that labels of several kinds meet the detections in one join; it is kept."""
     same, each = same or [], each or []
-    h = 2 * math.sin(math.radians(max_sep / 3600) / 2)
-    around = F.explode(F.array(*(F.struct(*(F.lit(k).alias(c) for k, c in zip((i, j, m), "ijm", strict=True))) for i in (-1, 0, 1) for j in (-1, 0, 1) for m in (-1, 0, 1))))
-    vl, vd = (sky.unit_vector(F.col("ra"), F.col("dec")) for _ in range(2))
-    left = labels.select(label, *same, *(x.alias(f"l{k}") for k, x in enumerate(vl)), *(c.alias(f"c{k}") for k, c in enumerate(_cells(vl, h)))).withColumn("_n", around)
-    left = left.select(label, *same, "l0", "l1", "l2", *((F.col(f"c{k}") + F.col(f"_n.{c}")).alias(f"c{k}") for k, c in enumerate("ijm")))
-    right = detections.select(detection, *same, *each, *(x.alias(f"d{k}") for k, x in enumerate(vd)), *(c.alias(f"c{k}") for k, c in enumerate(_cells(vd, h))))
-    away = sky.chord(tuple(F.col(f"l{k}") for k in range(3)), tuple(F.col(f"d{k}") for k in range(3)))
-    met = left.join(right, ["c0", "c1", "c2", *same]).select(label, *each, F.struct(away.alias("away"), F.col(detection).alias("det")).alias("m"))
-    best = met.groupBy(label, *each).agg(F.min("m").alias("m"))
-    return best.select(label, *each, F.col("m.det").alias(detection), sky.separation(F.col("m.away")).alias("sep")).where(F.col("sep") < max_sep)
+    w = WIDTH * 2 * math.sin(math.radians(max_sep / 3600) / 2)
+    own = F.col(reach) if reach else F.lit(float(max_sep))
+    axes = range(3)
+    left = labels.select(label, *same, own.alias("reach"), (_chord(own) * (1 + 1e-9)).alias("h"), *(x.alias(f"l{k}") for k, x in enumerate(sky.unit_vector(F.col("ra"), F.col("dec")))))
+    for k in axes:
+        x = F.col(f"l{k}")
+        left = left.withColumn(f"c{k}", F.explode(F.array_distinct(F.array(F.floor((x - F.col("h")) / w), F.floor((x + F.col("h")) / w)))))
+    left = left.drop("h")
+    right = detections.select(detection, *same, *each, *(x.alias(f"d{k}") for k, x in enumerate(sky.unit_vector(F.col("ra"), F.col("dec")))))
+    right = right.select("*", *(F.floor(F.col(f"d{k}") / w).alias(f"c{k}") for k in axes))
+    away = sky.chord(tuple(F.col(f"l{k}") for k in axes), tuple(F.col(f"d{k}") for k in axes))
+    met = left.join(right, ["c0", "c1", "c2", *same]).select(label, *each, "reach", F.col(detection).alias("det"), away.alias("away"))
+    # Pairs beyond the radius (a little wider, as the angle decides) don't reach the aggregation.
+    met = met.where(F.col("away") <= _chord(F.col("reach")) * (1 + 1e-6))
+    best = met.groupBy(label, *each).agg(F.min(F.struct("away", "det")).alias("m"), F.first("reach").alias("reach"))
+    out = best.select(label, *each, F.col("m.det").alias(detection), sky.separation(F.col("m.away")).alias("sep"), F.col("reach").alias(reach or "reach")).where(F.col("sep") < F.col(reach or "reach"))
+    return out if reach else out.drop("reach")
 
 
 def unmatched(labels: DataFrame, matches: DataFrame, label: str = "label_id") -> DataFrame:

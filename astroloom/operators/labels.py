@@ -7,9 +7,11 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .crossmatch import nearest, unmatched
+from .crossmatch import nearest
 
 GALAXY = 2.0
+#: Radii of the matches in arc seconds: redshifts and lenses, dwarfs.
+NEAR, FAR = 1.0, 10.0
 
 
 def range_of(det: DataFrame) -> tuple | None:
@@ -41,16 +43,19 @@ def attach(det: DataFrame, z: DataFrame, lens: DataFrame, dwarf: DataFrame) -> D
     det: det_id (unique), ra, dec, tile and more; z, lens and dwarf: label_id (position in their catalogue), ra, dec, and cspec and zspec or tile.
     Each tile finds its own nearest detection. Of several redshifts on a detection the last one holds, nulls included.
     Dwarfs match within their tile and make their detection a galaxy. Without labels nothing matches.
-    Redshifts and lenses are matched in one pass, and what is found is joined to the detections once. Their scans read what lies in the range of the
+    All three are matched in one pass, each within its own radius, and what is found is joined to the detections once. Scans of redshifts and lenses read what lies in the range of the
     detections; dwarfs are added whether or not they match, so all of them are read."""
     box = range_of(det)
     z, lens = within(z, box), within(lens, box)
     none = F.lit(None).cast("double")
-    kinds = lambda k, c, s: F.struct(F.lit(k).alias("kind"), "label_id", c.cast("double").alias("cspec"), s.cast("double").alias("zspec"))
-    short = z.select("ra", "dec", kinds(0, F.col("cspec"), F.col("zspec")).alias("lab")).unionByName(lens.select("ra", "dec", kinds(1, none, none).alias("lab")))
-    near = nearest(short, det, 1.0, "lab", each=["tile"]).select("det_id", "lab.*")
-    far = nearest(dwarf, det, 10.0, same=["tile"])
-    hits = near.unionByName(far.select("det_id", F.lit(2).alias("kind"), "label_id", none.alias("cspec"), none.alias("zspec")))
+    kinds = ((z, 0, NEAR, F.col("cspec"), F.col("zspec"), F.lit(None)), (lens, 1, NEAR, none, none, F.lit(None)), (dwarf, 2, FAR, none, none, F.col("tile")))
+    sought = None
+    for table, k, reach, cspec, zspec, home in kinds:
+        lab = F.struct(F.lit(k).alias("kind"), "label_id", cspec.cast("double").alias("cspec"), zspec.cast("double").alias("zspec"), home.cast("string").alias("home"))
+        rows = table.select("ra", "dec", F.lit(reach).alias("reach"), lab.alias("lab"))
+        sought = rows if sought is None else sought.unionByName(rows)
+    met = nearest(sought, det, FAR, "lab", each=["tile"], reach="reach").select("det_id", "tile", "reach", "lab.*")
+    hits = met.where((F.col("reach") < FAR) | (F.col("home") == F.col("tile").cast("string")))
     kind = F.col("kind")
     found = hits.groupBy("det_id").agg(
         F.max_by(F.struct("cspec", "zspec"), F.when(kind == 0, F.col("label_id"))).alias("v"),
@@ -59,7 +64,10 @@ def attach(det: DataFrame, z: DataFrame, lens: DataFrame, dwarf: DataFrame) -> D
     )
     out = det.join(found, "det_id", "left")
     out = out.withColumns({"class_label": F.when(F.col("lsb") == 1, F.lit(GALAXY)).otherwise(F.col("v.cspec")), "zspec": F.col("v.zspec")}).select(*det.columns, "class_label", "zspec", "lens", "lsb")
-    rest = unmatched(dwarf, far)
+    # Conditions that can't be pushed below the match, so that its shuffled result serves both uses.
+    known = met.where(F.col("reach") == FAR).select(F.col("label_id").alias("_known"), F.col("tile").cast("string").alias("_tile"))
+    own = F.col("tile").cast("string")
+    rest = dwarf.join(known, F.col("label_id").eqNullSafe(F.col("_known")) & own.eqNullSafe(F.col("_tile")) & own.isNotNull(), "left_anti")
     common = [c for c in dwarf.columns if c in det.columns]
     added = rest.select(*common).withColumns({"class_label": F.lit(GALAXY), "lsb": F.lit(1.0)})
     return out.unionByName(added, allowMissingColumns=True)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sky
 
-#: Width of a cell in radii: wider ones mean fewer copies of a label and more detections to compare it with.
+#: Width of a cell in radii, 2 at least, so that a label touches two cells of an axis at most; wider ones mean fewer copies of a label and more detections to compare it with.
 WIDTH = 4
 
 

@@ -111,3 +111,32 @@ def test_attach_reads_labels_in_the_range_of_the_detections(spark, tmp_path):
     scans = [line for line in plan.splitlines() if "Scan parquet" in line]
     assert scans and all("GreaterThanOrEqual(dec," in line and "LessThanOrEqual(ra," in line for line in scans)
     assert labels.attach(det.limit(0), z, z.select("label_id", "ra", "dec"), none).count() == 0
+
+
+@pytest.mark.parametrize("wide", [2, 4])
+def test_nearest_equals_all_pairs(spark, monkeypatch, wide):
+    import random
+
+    monkeypatch.setattr(crossmatch, "WIDTH", wide)
+    r = random.Random(wide)
+    spots = [(0.0, 0.0), (359.9999, 45.0), (10.0, 89.9999), (200.0, -90.0), (77.0, -33.0)]
+    near = lambda: (lambda a, d: ((a + r.uniform(-8, 8) / 3600) % 360, max(-90.0, min(90.0, d + r.uniform(-8, 8) / 3600))))(*r.choice(spots))
+    det = [(k, *near(), r.choice("ab")) for k in range(150)]
+    det += [(1000 + k, *d[1:]) for k, d in enumerate(det[:10])]  # ties: the least id holds
+    lab = [(k, *near(), r.choice([1.0, 3.0, 10.0])) for k in range(200)]
+
+    def vector(ra, dec):
+        a, d = math.radians(ra), math.radians(dec)
+        return math.cos(d) * math.cos(a), math.cos(d) * math.sin(a), math.sin(d)
+
+    want = {}
+    for k, ra, dec, reach in lab:
+        for d, ra2, dec2, tile in det:
+            sep = math.degrees(2 * math.asin(math.dist(vector(ra, dec), vector(ra2, dec2)) / 2)) * 3600
+            if sep < reach:
+                want[k, tile] = min(want.get((k, tile), (sep, d)), (sep, d))
+    got = crossmatch.nearest(
+        spark.createDataFrame(lab, "label_id long, ra double, dec double, own double"), spark.createDataFrame(det, "det_id long, ra double, dec double, tile string"), 10.0, each=["tile"], reach="own"
+    ).collect()
+    assert len(got) == len(want) > 100
+    assert {(r.label_id, r.tile): r.det_id for r in got} == {k: v[1] for k, v in want.items()}

@@ -9,13 +9,13 @@
    by brute force on the sketches, larger ones split again on positions sampled
    for that bucket. After LEVELS levels what is still large is compared in pairs of
    chunks, each a group of its own: exact, and no group grows.
-   RUNS runs bring a pair of similarity 0.8 to a recall over 0.999.
+   Runs are repeated until a pair of similarity 0.8 is found with the target recall (runs_for); more similar pairs are found more often.
 3. A pair belongs to the least node that both documents reached, and is looked at
    there alone. Buckets name the documents that have such a pair with sketches
    alike or under FEW shingles; their exact sets go to the bucket, which verifies its pairs and returns
    for each document the number of its links and the least document that
    it is connected with there. So pairs never become rows, and what moves
-   follows the documents and not the square of a group.
+   follows the documents and not the square of a group. With exact=True every pair that shares a bucket and could be similar by size is verified, whatever the sketches.
 4. Groups are the connected components of what the buckets return, by least ids
    and pointer jumping over tables in the shared folder.
 
@@ -39,7 +39,9 @@ from pyspark.sql import functions as F
 from .common import blobs, discard, materialise, mixed, partitions, powers, prefix_hash, read, span_hash, spread, text_parts, utf8
 
 WORDS, SIMILARITY = 5, 0.8
-BINS, RUNS, LEVELS, LIMIT = 128, 16, 3, 200
+BINS, LEVELS, LIMIT = 128, 3, 200
+#: Runs are repeated until a pair at the bound is found with this probability.
+RECALL = 0.9995
 #: Documents and shingles in a chunk of a bucket that stays large: a document is sent out once for each chunk, so few large ones move less.
 CHUNK, CHUNK_SHINGLES = 1000, 1_000_000
 #: Documents compared at once within a group, so that arrays stay small.
@@ -140,12 +142,30 @@ def _sampled(node: Column) -> Column:
     return F.filter(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda i: F.pmod(F.xxhash64(node, i), F.lit(1_000_000)) < int(SHARE * 1_000_000))
 
 
-def buckets(reps: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+def runs_for(recall: float) -> list[np.ndarray]:
+    """The root positions of each run, as many runs as a pair of similarity SIMILARITY needs to be found with the given probability.
+
+    A pair meets below a node if it agrees at a sampled position and meets again below that one, LEVELS times in all: the survival of a
+    branching process with 1 child on average. Runs that sample a position again share its agreement, so positions count
+    once with the number of their tries. Where buckets stay small the pair is found sooner, so this is a lower bound, up to the sampling of the sketch."""
+    if not 0 < recall < 1:
+        raise ValueError("recall must lie between 0 and 1")
+    below = 1.0
+    for _ in range(LEVELS - 1):
+        below = 1 - (1 - SHARE * SIMILARITY * below) ** BINS
+    rng, tries, out, missed = np.random.default_rng(7), np.zeros(BINS, np.int64), [], 1.0
+    while missed > 1 - recall:
+        out.append(np.flatnonzero(rng.random(BINS) < SHARE))
+        tries[out[-1]] += 1
+        missed = float(np.prod(1 - SIMILARITY * (1 - (1 - below) ** tries)))
+    return out
+
+
+def buckets(reps: DataFrame, recall: float = RECALL) -> tuple[DataFrame, list[DataFrame]]:
     """key, node, side, doc and a of all final buckets of two documents or more, and the tables behind them. reps: doc, a, n, sketch.
 
     side is 0 where all pairs of the bucket count, else 1 or 2, and only pairs of both sides do."""
-    rng = np.random.default_rng(7)
-    first = [(r, int(i)) for r in range(RUNS) for i in np.flatnonzero(rng.random(BINS) < SHARE)]
+    first = [(r, int(i)) for r, positions in enumerate(runs_for(recall)) for i in positions]
     keys = F.array(*(F.xxhash64(F.lit(r), F.lit(i), F.get("sketch", F.lit(i))) for r, i in first))
     rows = reps.where("n > 0").select("doc", "a", "n", F.explode_outer(keys).alias("key")).where("key is not null")
     done, tables = [], []
@@ -239,7 +259,7 @@ class Owner:
         return ok
 
 
-def candidates(reps: DataFrame, keyed: DataFrame) -> DataFrame:
+def candidates(reps: DataFrame, keyed: DataFrame, exact: bool = False) -> DataFrame:
     """key, node, side, doc and a: in which buckets a document has a pair of its own that is small or whose sketches agree often enough. reps: doc, a, n, marks, nodes."""
 
     def rows(batches):
@@ -250,7 +270,7 @@ def candidates(reps: DataFrame, keyed: DataFrame) -> DataFrame:
             for i, j in _pairs(g["key"].to_numpy(), g["side"].to_numpy()):
                 ok = np.minimum(n[i], n[j]) >= SIMILARITY * np.maximum(n[i], n[j])
                 i, j = i[ok], j[ok]
-                ok = np.minimum(n[i], n[j]) < FEW  # verified whatever their sketches
+                ok = (np.minimum(n[i], n[j]) < FEW) | exact  # verified whatever their sketches
                 large = np.flatnonzero(~ok)
                 ok[large] = (sk[i[large]] == sk[j[large]]).sum(axis=1) >= AGREE
                 i, j = i[ok], j[ok]
@@ -360,18 +380,18 @@ def components(links: DataFrame, name: str = "labels") -> DataFrame:
             return label
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id, copy_of, n_links of every row of docs."""
+def near_duplicates(docs: DataFrame, recall: float = RECALL, exact: bool = False) -> DataFrame:
+    """doc_id, class_id, copy_of, n_links of every row of docs. recall: for pairs at the bound of similarity. exact: no pair is left out for its sketches."""
     sig = materialise(signatures(docs), "signatures")
     classes = sig.where("doc_id is not null").groupBy("a", "b", "n").agg(F.min("doc_id").alias("copy_of"), F.count(F.lit(1)).alias("copies"))
     classes = materialise(classes, "classes")
     marks = F.expr("array_join(transform(sketch, v -> lpad(hex(v & 255), 2, '0')), '')")
     chosen = sig.join(classes.select("a", "b", "n", "copies", F.col("copy_of").alias("doc_id")), ["doc_id", "a", "b", "n"]).dropDuplicates(["doc_id", "a", "b"])
     chosen = materialise(chosen.select(F.col("doc_id").alias("doc"), "a", "n", "copies", "sketch", F.unhex(marks).alias("marks")), "representatives")
-    keyed, levels = buckets(chosen)
+    keyed, levels = buckets(chosen, recall)
     nodes = keyed.groupBy("doc", "a").agg(F.array_sort(F.collect_set("node")).alias("nodes"))
     reps = materialise(chosen.drop("sketch").join(nodes, ["doc", "a"]), "nodes")
-    members = materialise(candidates(reps, keyed), "members")
+    members = materialise(candidates(reps, keyed, exact), "members")
     for table in (chosen, *levels):
         discard(table)
     links = materialise(verify(docs.select(F.col("doc_id").alias("doc"), "text"), reps, members), "links")

@@ -111,7 +111,7 @@ def stored_cutouts(spark, sf_dir):
     """Two writes by tile, the second of which replaces its tiles alone; then what is stored, as counts of a tile."""
     path = scratch.folder(spark, "cutouts")
     c = _read(spark, sf_dir, "customer", "c_custkey", "c_nationkey").select(F.col("c_custkey").alias("ID"), F.col("c_nationkey").cast("int").alias("xxx"), (F.col("c_custkey") % 3).cast("int").alias("yyy"))
-    tables.cutouts(c, path)
+    tables.cutouts(c, path, files=2)
     tables.cutouts(c.where("xxx = 3 and ID % 2 = 0"), path)
     return spark.read.parquet(path).groupBy("xxx", "yyy").agg(F.count(F.lit(1)).alias("n"), F.sum("ID").alias("ids"))
 
@@ -140,12 +140,12 @@ SELECT vec_id AS number, CAST(vec_id * 7 % 360 + 0.25 AS DOUBLE) AS crval1, CAST
 
 
 def stored_master(spark, sf_dir):
-    """A master catalogue that is made and then gets rows, by write and swap."""
+    """A master catalogue that is made and then gets rows, each time as a new version."""
     path = scratch.folder(spark, "master")
     c = _read(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     tables.upsert(c.where("c_custkey % 3 <> 0"), path)
     tables.upsert(c.where("c_custkey % 2 = 0"), path)
-    return spark.read.parquet(path)
+    return tables.current(spark, path)
 
 
 def appended_cutouts(spark, sf_dir):

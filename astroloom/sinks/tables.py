@@ -1,10 +1,10 @@
 """Results as files: cutouts by tile, master catalogues, labels, statistics and lists.
 
 Spark's commit takes the place of locks: what a job writes shows as a whole or not
-at all. A table that is rewritten from itself goes to a folder of its own first
-and then takes the old one's place.
+at all. A table that is rewritten from itself gets a new version, a folder beside the
+older ones; readers take the latest whole one, so at no moment is there none.
 
-Defined results: an empty frame leaves a sink as it is, but for swapped() and
+Defined results: an empty frame leaves a sink as it is, but for versioned() and
 processed(), which then hold no rows; missing columns are null."""
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from ..functions import names
 from ..operators import catalogs, labels
 
 TILE = ["xxx", "yyy"]
+VERSION = "version-"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -30,13 +31,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
-def cutouts(df: DataFrame, path: str) -> None:
-    """Write cutouts in a folder for each tile; tiles that df holds are replaced, others stay. Each tile comes from one task, so a tile is one file."""
-    df.repartition(*TILE).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*TILE).parquet(path)
+def cutouts(df: DataFrame, path: str, files: int = 1, key: str = "ID") -> None:
+    """Write cutouts in a folder for each tile; tiles that df holds are replaced, others stay.
+
+    files: how many tasks share a tile, by hash of key, a file each (fewer where what they hold is small); size it so that a tile's stacks over files suit a task."""
+    deal = [*TILE, F.pmod(F.xxhash64(key), F.lit(files))] if files > 1 else TILE
+    df.repartition(*deal).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*TILE).parquet(path)
 
 
 def append(df: DataFrame, path: str, key: list[str]) -> None:
-    """Append rows whose key isn't there yet, one for each key."""
+    """Append rows whose key isn't there yet, one for each key. Reads the target's keys; one writer at a time (for several, and without that scan: sinks.logged)."""
     spark = df.sparkSession
     new = df.dropDuplicates(key)
     if exists(spark, path):
@@ -44,22 +48,38 @@ def append(df: DataFrame, path: str, key: list[str]) -> None:
     new.write.mode("append").parquet(path)
 
 
-def swapped(df: DataFrame, path: str) -> None:
-    """Write df, which may be made from path, and put it in path's place; the old table goes only after the new one is whole."""
-    spark, mark = df.sparkSession, uuid.uuid4().hex
-    fresh, old = f"{path.rstrip('/')}.new-{mark}", f"{path.rstrip('/')}.old-{mark}"
-    df.write.parquet(fresh)
+def versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Number and folder of each whole version of a table, the latest last; a folder whose write didn't end is none."""
+    where, fs = _fs(spark, path)
+    if not fs.exists(where):
+        return []
+    named = [f.getPath() for f in fs.listStatus(where) if f.getPath().getName().startswith(VERSION)]
+    whole = [w for w in named if fs.exists(_fs(spark, f"{w.toString()}/_SUCCESS")[0])]
+    return sorted((int(w.getName().removeprefix(VERSION)), w.toString()) for w in whole)
+
+
+def current(spark: SparkSession, path: str) -> DataFrame | None:
+    """The latest whole version of a table; None where there is none."""
+    found = versions(spark, path)
+    return spark.read.parquet(found[-1][1]) if found else None
+
+
+def versioned(df: DataFrame, path: str, keep: int = 2) -> None:
+    """Write df, which may be made from path's current version, as the next version; the last `keep` stay, for those who still read the one before.
+
+    One writer at a time (for several: sinks.logged). What a dead driver left behind is no version and is passed over: numbers go on after it."""
+    spark = df.sparkSession
     where, fs = _fs(spark, path)
-    if fs.exists(where):
-        fs.rename(where, _fs(spark, old)[0])
-    fs.rename(_fs(spark, fresh)[0], where)
-    fs.delete(_fs(spark, old)[0], True)
+    taken = [int(f.getPath().getName().removeprefix(VERSION)) for f in fs.listStatus(where) if f.getPath().getName().startswith(VERSION)] if fs.exists(where) else []
+    df.write.parquet(f"{path.rstrip('/')}/{VERSION}{max(taken, default=0) + 1}")
+    for _, old in versions(spark, path)[:-keep]:
+        _delete(spark, old)
 
 
 def upsert(parts: DataFrame, path: str) -> None:
-    """Put rows into a master catalogue, each distinct row once, also when it is made."""
-    spark = parts.sparkSession
-    swapped(catalogs.upsert(spark.read.parquet(path), parts) if exists(spark, path) else parts.dropDuplicates(), path)
+    """Put rows into a master catalogue, each distinct row once, also when it is made. current() reads it."""
+    master = current(parts.sparkSession, path)
+    versioned(parts.dropDuplicates() if master is None else catalogs.upsert(master, parts), path)
 
 
 def tile_catalogue(df: DataFrame, path: str, key: str = "ID") -> None:

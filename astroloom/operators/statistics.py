@@ -193,15 +193,18 @@ def describe(pixels: DataFrame, key: list[str]) -> DataFrame:
     return moments.join(middle, key, "left").select(*key, "mean", "median", "std", "var", "skew", "kurtosis")
 
 
-def percentiles(pixels: DataFrame, key: list[str], shares: list[float], accuracy: int = 10_000) -> DataFrame:
+def percentiles(pixels: DataFrame, key: list[str], shares: list[float], accuracy: int = 10_000, spread: int = 16) -> DataFrame:
     """Exact percentiles with linear interpolation over the pixels that aren't missing, in bounded memory.
 
     A sketch of fixed size brackets each percentile between two values with a share of 4 / accuracy of the pixels; what
-    lies below is counted, and only the distinct values of the brackets come together. Reads pixels twice. A column of key that is null makes no row."""
-    good = pixels.where(F.col("v").isNotNull() & ~F.isnan("v")).select(*key, "v")
+    lies below is counted, and only the distinct values of the brackets come together. Reads pixels twice. A column of key that is null makes no row.
+
+    Where the sketches are too many to broadcast, the pixels of an image meet theirs in `spread` tasks and not in one: rows are dealt by a hash of all
+    their columns (so give pixels their place: rows alike in all columns stay together)."""
+    good = pixels.where(F.col("v").isNotNull() & ~F.isnan("v")).select(*key, "v", F.pmod(F.xxhash64(*pixels.columns), F.lit(spread)).cast("int").alias("_s"))
     at = lambda move: F.array(*(F.lit(min(max(float(x) + move, 0.0), 1.0)) for x in shares))
     sketch = good.groupBy(*key).agg(F.count("v").alias("n"), F.percentile_approx("v", at(-2 / accuracy), accuracy).alias("lo"), F.percentile_approx("v", at(2 / accuracy), accuracy).alias("hi"))
-    met = good.join(sketch, key)
+    met = good.join(sketch.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))), [*key, "_s"])
     each = [(F.get("lo", F.lit(k)), F.get("hi", F.lit(k))) for k in range(len(shares))]
     v = F.col("v")
     # The neighbours of a bracket stand for ranks just outside of it.

@@ -1,6 +1,6 @@
 """Nearest neighbours on the sky within a radius.
 
-Positions become unit vectors. Detections go to the one cell that they are in,
+Positions become unit vectors, by the C library's functions. Detections go to the one cell that they are in,
 labels to all cells that their own radius touches, and both meet in an
 equi-join. Cells are several radii wide, so a label touches two or three of
 them on average and eight at most. Cells in three dimensions know no seam at ra 0
@@ -32,12 +32,14 @@ def nearest(labels: DataFrame, detections: DataFrame, max_sep: float, label: str
     w = WIDTH * 2 * math.sin(math.radians(max_sep / 3600) / 2)
     own = F.col(reach) if reach else F.lit(float(max_sep))
     axes = range(3)
-    left = labels.select(label, *same, own.alias("reach"), (_chord(own) * (1 + 1e-9)).alias("h"), *(x.alias(f"l{k}") for k, x in enumerate(sky.unit_vector(F.col("ra"), F.col("dec")))))
+    vector = sky.unit_vector_c(F.col("ra"), F.col("dec"))
+    parts = lambda name: [F.col(f"v.{c}").alias(f"{name}{k}") for k, c in enumerate("xyz")]
+    left = labels.select(label, *same, own.alias("reach"), (_chord(own) * (1 + 1e-9)).alias("h"), vector.alias("v")).select(label, *same, "reach", "h", *parts("l"))
     for k in axes:
         x = F.col(f"l{k}")
         left = left.withColumn(f"c{k}", F.explode(F.array_distinct(F.array(F.floor((x - F.col("h")) / w), F.floor((x + F.col("h")) / w)))))
     left = left.drop("h")
-    right = detections.select(detection, *same, *each, *(x.alias(f"d{k}") for k, x in enumerate(sky.unit_vector(F.col("ra"), F.col("dec")))))
+    right = detections.select(detection, *same, *each, vector.alias("v")).select(detection, *same, *each, *parts("d"))
     right = right.select("*", *(F.floor(F.col(f"d{k}") / w).alias(f"c{k}") for k in axes))
     away = sky.chord(tuple(F.col(f"l{k}") for k in axes), tuple(F.col(f"d{k}") for k in axes))
     met = left.join(right, ["c0", "c1", "c2", *same]).select(label, *each, "reach", F.col(detection).alias("det"), away.alias("away"))

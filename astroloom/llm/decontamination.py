@@ -50,6 +50,7 @@ PUNCTUATION = ".,;:!?\"'`()[]{}|#*$%&<>=+~^_\\/"
 SIGNS = "+-*/=<>%^"
 #: Words that count as names: capitalised ones, and pronouns that change with a name.
 NAME = r"^(?:\p{Lu}|(?:s?he|they|him|her|them|his|hers|their|theirs|himself|herself|themselves)$)"
+PRONOUNS = "he she they him her them his hers their theirs himself herself themselves".split()
 UNITS = "mm cm m km in ft mi mg g kg t lb oz ml l s ms min h hour hours minute minutes second seconds day days week weeks month months year years km/h mph percent dollars euros cents degrees".split()
 
 
@@ -58,33 +59,40 @@ def words(text: Column) -> Column:
 
 
 def template(w: Column) -> Column:
-    """Words with placeholders. w: a column of words."""
-    units = F.array(*(F.lit(u) for u in UNITS))
+    """Words with placeholders. w: a column of words. Most words begin with a to z; those are looked up in sets, and the patterns see the others."""
 
     def kind(x: Column, i: Column) -> Column:
         number = x.rlike(r"^[-+]?\p{N}")
-        unit = (i > 0) & F.array_contains(units, x) & F.coalesce(F.get(w, i - 1), F.lit("")).rlike(r"^[-+]?\p{N}")
-        return F.when(number, F.lit("<number>")).when(x.rlike(NAME), F.lit("<name>")).when(unit, F.lit("<unit>")).otherwise(x)
+        unit = x.isin(UNITS) & (i > 0) & F.coalesce(F.get(w, i - 1), F.lit("")).rlike(r"^[-+]?\p{N}")
+        small = F.when(x.isin(PRONOUNS), F.lit("<name>")).when(unit, F.lit("<unit>")).otherwise(x)
+        return F.when((x >= "a") & (x < "{"), small).when(number, F.lit("<number>")).when(x.rlike(NAME), F.lit("<name>")).otherwise(x)
 
     return F.transform(w, kind)
 
 
-def windows(t: Column) -> Column:
-    """Hash of the window at each position, null where too few of its words are literal."""
+def codes(t: Column) -> Column:
+    """A number for each template word: its hash but for the last bit, which tells literal words."""
+    return F.transform(t, lambda x: F.shiftleft(F.xxhash64(x), 1).bitwiseOR(F.when(x.startswith("<"), F.lit(0)).otherwise(F.lit(1)).cast("long")))
+
+
+def windows(c: Column, every: bool = False) -> Column:
+    """Hash of the window at each position of codes(), null where too few of its words are literal, or with every never null: such a window equals none that has a hash."""
 
     def at(i: Column) -> Column:
-        own = [F.get(t, i + k) for k in range(WORDS)]
-        literal = sum((F.when(x.startswith("<"), F.lit(0)).otherwise(F.lit(1)) for x in own[1:]), F.when(own[0].startswith("<"), F.lit(0)).otherwise(F.lit(1)))
+        own = [F.get(c, i + k) for k in range(WORDS)]
+        if every:
+            return F.xxhash64(*own)
+        literal = sum((x.bitwiseAND(F.lit(1)) for x in own[1:]), own[0].bitwiseAND(F.lit(1)))
         return F.when(literal >= LITERALS, F.xxhash64(*own))
 
-    return F.when(F.size(t) >= WORDS, F.transform(F.sequence(F.lit(0), F.size(t) - WORDS), at)).otherwise(F.array().cast("array<bigint>"))
+    return F.when(F.size(c) >= WORDS, F.transform(F.sequence(F.lit(0), F.size(c) - WORDS), at)).otherwise(F.array().cast("array<bigint>"))
 
 
-def _prepared(df: DataFrame, key: str) -> DataFrame:
-    """key, w, t and h of each row; w and t are read more than once so that they are computed once."""
+def _prepared(df: DataFrame, key: str, every: bool = False) -> DataFrame:
+    """key, w, t and h of each row; w, t and the codes are read more than once so that they are computed once."""
     w = df.select(F.col(key), words(F.col("text")).alias("w"))
-    t = w.select(key, "w", template(F.col("w")).alias("t"))
-    return t.select(key, "w", "t", windows(F.col("t")).alias("h"))
+    t = w.select(key, "w", template(F.col("w")).alias("t")).select(key, "w", "t", codes(F.col("t")).alias("c"))
+    return t.select(key, "w", "t", windows(F.col("c"), every).alias("h"))
 
 
 def _windows(prepared: DataFrame, key: str, passes=None) -> DataFrame:
@@ -130,7 +138,7 @@ def _whole_items(items: DataFrame, texts: DataFrame) -> DataFrame:
     open_ = x.where(free).select("item_id", F.xxhash64("n_words", F.lit(True), "o").alias("h"), _slots(F.col("w"), F.col("o")).alias("item_slots"), "n_words", F.lit(True).alias("free"))
     short = texts.select("item_id", segment(F.coalesce("text", F.lit(""))).alias("s"), words(F.col("text")).alias("w"))
     short = short.withColumn("t", template(F.col("w"))).where("s <> ''")
-    short = _open(short.withColumn("h", windows(F.col("t"))).where(bare)).where(~free)
+    short = _open(short.withColumn("h", windows(codes(F.col("t")))).where(bare)).where(~free)
     line = short.select("item_id", F.xxhash64(F.lit("line"), "s").alias("h"), F.array().cast("array<string>").alias("item_slots"), F.size("w").alias("n_words"), F.lit(False).alias("free"))
     return open_.unionByName(line).select("item_id", F.lit(0).alias("item_pos"), "h", "item_slots", F.lit(1).alias("n_windows"), "n_words", "free")
 
@@ -181,7 +189,7 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     lengths = sorted(r["n"] for r in whole if r["n"] is not None)
     probe = probe.drop("free")
     side = F.broadcast(probe) if probe.count() <= MAX_BROADCAST else probe
-    passes, prepared = _filter(probe), _prepared(d, "doc_id")
+    passes, prepared = _filter(probe), _prepared(d, "doc_id", every=True)
     own = _windows(prepared, "doc_id", passes)
     if lengths:
         own = own.unionByName(_runs(prepared, "doc_id", lengths, passes))
